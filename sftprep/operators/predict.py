@@ -13,7 +13,7 @@ from pyspark.sql.types import NumericType, StringType, StructType
 
 from sftprep.functions import uniform
 from sftprep.operators.tokens import EOS_ID, Vocabulary, decode, encode
-from sftprep.session import settle, ship
+from sftprep.session import fits, settle, ship
 
 # Sampling settings and request defaults.
 TOP_P = 0.7
@@ -26,7 +26,7 @@ ANY_CONTEXT = -1
 # Decimal places kept before a threshold test: sums differ in their last bits with
 # the order they are taken in.
 PLACES = 9
-SALTS = 32
+SALTS = 8
 STEPS_PER_SETTLE = 8
 
 
@@ -91,41 +91,50 @@ def candidates(lm: DataFrame, top_k: int = TOP_K) -> DataFrame:
     return top(lm).unionByName(top(overall))
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body reads it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _pick(choices: Column, temperature: Column, u: Column, top_p: float) -> Column:
     """The drawn token out of at most top-k choices, as one column expression."""
-    powers = F.transform(choices, lambda c: F.pow(c["w"], 1.0 / temperature))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    sums = F.aggregate(
-        powers,
+    running = F.aggregate(
+        choices,
         F.array(F.lit(0.0)),
-        lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)),
-        lambda a: F.transform(a, lambda s: s / total),
-    )
-    head = F.size(
-        F.filter(F.slice(sums, 1, F.size(choices)), lambda s: F.round(s, PLACES) < top_p)
+        lambda a, c: F.concat(a, F.array(F.element_at(a, -1) + F.pow(c["w"], 1.0 / temperature))),
     )
-    mass = F.get(sums, head)
-    passed = F.size(
-        F.filter(F.slice(sums, 2, head), lambda s: F.round(s / mass, PLACES) <= u)
-    )
-    return F.get(choices, F.least(passed, head - 1))["next"]
 
+    def passed(sums: Column, head: Column) -> Column:
+        mass = F.get(sums, head)
+        return F.size(F.filter(F.slice(sums, 2, head), lambda s: F.round(s / mass, PLACES) <= u))
+
+    def place(sums: Column) -> Column:
+        before = F.slice(sums, 1, F.size(sums) - 1)
+        total = F.element_at(sums, -1)
+        head = F.size(F.filter(before, lambda s: F.round(s / total, PLACES) < top_p))
+        return _with(head, lambda h: F.least(passed(sums, h), h - 1))
+
+    return F.get(choices, _with(running, place))["next"]
 
-def _with_choices(ctx: DataFrame, table: DataFrame, key: str) -> DataFrame:
+
+def _with_choices(ctx: DataFrame, table: DataFrame, key: str, via: str) -> DataFrame:
     """Joins each context row to its choices; unseen contexts get the overall row.
 
-    Many prompts may share their last token, so the table, one row per vocabulary
-    entry, is copied over salts and the prompts are spread across them.
+    A table under the shipping limits is broadcast. Beyond them the table, one row per
+    vocabulary entry, is copied over salts, for many prompts may share a last token.
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    seen = table.where(F.col("prev") != ANY_CONTEXT).withColumn("_salt", salts)
     overall = table.where(F.col("prev") == ANY_CONTEXT).select("choices").scalar()
-    return (
-        ctx.withColumn("_salt", F.pmod(F.hash(key), F.lit(SALTS)))
-        .join(seen, ["prev", "_salt"], "left")
-        .withColumn("choices", F.coalesce("choices", overall))
-        .drop("_salt")
-    )
+    seen = table.where(F.col("prev") != ANY_CONTEXT)
+    if via != "join" and fits(table.select("prev", F.inline("choices"))):
+        joined = ctx.join(F.broadcast(seen), "prev", "left")
+    else:
+        salted = seen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = (
+            ctx.withColumn("_salt", F.pmod(F.hash(key), F.lit(SALTS)))
+            .join(salted, ["prev", "_salt"], "left")
+            .drop("_salt")
+        )
+    return joined.withColumn("choices", F.coalesce("choices", overall))
 
 
 def sample_next(
@@ -136,6 +145,7 @@ def sample_next(
     step: Column | str | int = 0,
     temperature: Column | float = DEFAULT_TEMPERATURE,
     top_p: float = TOP_P,
+    via: str = "auto",
 ) -> DataFrame:
     """Adds ``next``: one token drawn for the context ``prev`` of each row.
 
@@ -144,7 +154,7 @@ def sample_next(
     step = F.lit(step) if isinstance(step, int) else step
     temperature = temperature if isinstance(temperature, Column) else F.lit(float(temperature))
     drawn = _pick(F.col("choices"), temperature, uniform(seed, key, step), top_p)
-    return _with_choices(ctx, table, key).withColumn("next", drawn).drop("choices")
+    return _with_choices(ctx, table, key, via).withColumn("next", drawn).drop("choices")
 
 
 def _sampler(tables: Broadcast, seed, top_p: float):
@@ -171,8 +181,7 @@ def _sampler(tables: Broadcast, seed, top_p: float):
             row = place_of[np.where(known, here, -1)]
             w = np.where(weights[row] > 0, weights[row] ** power[active, None], 0.0)
             sums = np.cumsum(w, axis=1)
-            sums /= sums[:, -1:]
-            before = np.hstack([np.zeros((len(row), 1)), sums[:, :-1]])
+            before = np.hstack([np.zeros((len(row), 1)), sums[:, :-1]]) / sums[:, -1:]
             real = np.arange(w.shape[1]) < sizes[row][:, None]
             head = ((np.round(before, places) < top_p) & real).sum(axis=1)
             mass = sums[np.arange(len(row)), head - 1]
@@ -245,6 +254,7 @@ def _generate_by_join(
                 step,
                 F.col("_temperature"),
                 top_p,
+                via="join",
             )
             going = ~F.col("_done")
             step += 1

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A table may be shipped whole to every task only below both limits. Callers
 # that exceed them must take their shuffle-join path instead.
-MAX_SHIPPED_ROWS = 1 << 20
-MAX_SHIPPED_BYTES = 64 << 20
+MAX_SHIPPED_ROWS = 1 << 22
+MAX_SHIPPED_BYTES = 128 << 20
 
 
 def build_session(master: str | None = None, app: str = "sftprep", **conf) -> SparkSession:
@@ -80,15 +80,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
-def ship(df: DataFrame, text_columns: tuple[str, ...] = ()) -> pa.Table | None:
-    """``df`` as an Arrow table on the driver, or None if it is over the limits.
-
-    Only a count and a byte sum travel before the decision is made.
-    """
+def fits(df: DataFrame, text_columns: tuple[str, ...] = ()) -> bool:
+    """Whether ``df`` is under the limits; only a count and a byte sum are fetched."""
     text_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text_columns), F.lit(0))
     rows, size = df.agg(
         F.count("*"), F.coalesce(F.sum((text_bytes + 8 * len(df.columns)).cast("long")), F.lit(0))
     ).first()
-    if rows > MAX_SHIPPED_ROWS or size > MAX_SHIPPED_BYTES:
-        return None
-    return df.toArrow()
+    return rows <= MAX_SHIPPED_ROWS and size <= MAX_SHIPPED_BYTES
+
+
+def ship(df: DataFrame, text_columns: tuple[str, ...] = ()) -> pa.Table | None:
+    """``df`` as an Arrow table on the driver, or None if it is over the limits."""
+    return df.toArrow() if fits(df, text_columns) else None
