@@ -59,19 +59,19 @@ def save_dataset(
     df.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
 
 
-def export_shards(df: DataFrame, path: str, files_per_worker: int = 64) -> None:
+def export_shards(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Writes one folder per worker, batches whole and in training order.
 
     Range-partitioned by (worker, step, batch): a worker's rows are spread over
     many tasks and each file holds one contiguous stretch of its training order.
+    Without ``partitions`` the session's shuffle setting and AQE size the files.
     """
     order = [c for c in ("worker", "step", "batch_id", "slot") if c in df.columns]
     # Splitting on these never cuts a batch in two, and no key holds many rows.
     stretch = [c for c in order if c != "slot"]
-    workers = df.sparkSession.sparkContext.defaultParallelism
-    (
-        df.repartitionByRange(max(files_per_worker, workers), *stretch)
-        .sortWithinPartitions(*order)
-        .write.partitionBy("worker")
-        .parquet(path)
+    ranged = (
+        df.repartitionByRange(*stretch)
+        if partitions is None
+        else df.repartitionByRange(partitions, *stretch)
     )
+    ranged.sortWithinPartitions(*order).write.partitionBy("worker").parquet(path)
