@@ -75,6 +75,41 @@ def held_out_rows(n: int, test_size: float) -> int:
     return math.ceil(test_size * n)
 
 
+def _keys_at(
+    df: DataFrame, id_col: str, seed, places: Column, digits: int = BUCKET_DIGITS
+) -> Column:
+    """The (key, id) pairs found at some places of the shuffle order, in order.
+
+    ``places`` is a short array and may use ``_total``. Bucket counts tell which
+    bucket holds each place; only those buckets are ranked, from ids alone. Places
+    outside 1..n are left out.
+    """
+    keys = df.select(shuffle_key(seed, id_col).alias("_key"), F.col(id_col).alias("_id"))
+    edges = (
+        _bucket_offsets(keys, digits, [])
+        .withColumn("_want", F.explode(places))
+        .where(
+            (F.col("_before") < F.col("_want"))
+            & (F.col("_want") <= F.col("_before") + F.col("_rows"))
+        )
+        .groupBy("_bucket")
+        .agg(F.collect_list(F.col("_want") - F.col("_before")).alias("_nths"))
+    )
+    # A bucket holds n / 16^digits rows, and there are no more edges than places.
+    inside = Window.partitionBy("_bucket").orderBy("_key", "_id")
+    found = (
+        keys.withColumn("_bucket", _bucket(F.col("_key"), digits))
+        .join(F.broadcast(edges), "_bucket")
+        .withColumn("_nth", F.row_number().over(inside).cast("long"))
+        .where(F.array_contains("_nths", F.col("_nth")))
+    )
+    return found.agg(F.array_sort(F.collect_list(F.struct("_key", "_id")))).scalar()
+
+
+def _own_key(seed, id_col: str) -> Column:
+    return F.struct(shuffle_key(seed, id_col).alias("_key"), F.col(id_col).alias("_id"))
+
+
 def train_test_split(
     df: DataFrame,
     id_col: str,
@@ -85,28 +120,32 @@ def train_test_split(
 ) -> DataFrame:
     """Adds ``split``: exactly ceil(test_size * n) rows are ``test``.
 
-    The test rows are the first in shuffle order, so all that is needed is the last
-    test row's key. It is found from bucket counts plus one bucket of rows; the data
-    itself is then labelled where it lies, with no shuffle.
+    The test rows are the first in shuffle order, so all that is needed is the key of
+    the last of them. The data itself is labelled where it lies, with no shuffle.
     """
-    keys = df.select(F.col(id_col).alias("_id"), shuffle_key(seed, id_col).alias("_key"))
-    want = F.ceil(F.lit(float(test_size)) * F.col("_total"))
-    edge = (
-        _bucket_offsets(keys, digits, [])
-        .where((F.col("_before") < want) & (want <= F.col("_before") + F.col("_rows")))
-        .select("_bucket", (want - F.col("_before")).alias("_nth"))
-    )
-    # One bucket holds n / 16^digits rows and one row names it.
-    inside = Window.partitionBy("_bucket").orderBy("_key", "_id")
-    last_test = (
-        keys.withColumn("_bucket", _bucket(F.col("_key"), digits))
-        .join(F.broadcast(edge), "_bucket")
-        .withColumn("_place", F.row_number().over(inside))
-        .where(F.col("_place") == F.col("_nth"))
-        .select(F.struct("_key", "_id").alias("last"))
+    n_test = F.ceil(F.lit(float(test_size)) * F.col("_total"))
+    last = F.get(_keys_at(df, id_col, seed, F.array(n_test), digits), 0)
+    is_test = _own_key(seed, id_col) <= last
+    return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
+
+
+def order_intervals(
+    df: DataFrame, id_col: str, seed, rows: int, count: int, out: str = "interval"
+) -> DataFrame:
+    """Adds the interval 0..count-1 a row falls in when shuffle order is cut every ``rows``.
+
+    What a run has read by each of a few save points, without ranking the table.
+    """
+    if count == 1:
+        return df.withColumn(out, F.lit(0))
+    cuts = _keys_at(df, id_col, seed, F.array(*[F.lit(rows * i) for i in range(1, count)]))
+    # Bound outside the lambda: a subquery may not stand inside one.
+    return (
+        df.withColumn("_cuts", cuts)
+        .withColumn("_own", _own_key(seed, id_col))
+        .withColumn(out, F.size(F.filter("_cuts", lambda c: c < F.col("_own"))))
+        .drop("_cuts", "_own")
     )
-    mine = F.struct(shuffle_key(seed, id_col).alias("_key"), F.col(id_col).alias("_id"))
-    return df.withColumn(out, F.when(mine <= last_test.scalar(), "test").otherwise("train"))
 
 
 def peek(df: DataFrame, n: int = 1, by: str | list[str] = "rank") -> DataFrame:
@@ -121,7 +160,9 @@ def epochs(df: DataFrame, id_col: str, n_epochs: int, seed) -> DataFrame:
     Give it ids and lengths only; join wide columns back once batches are planned.
     """
     repeated = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))))
-    return shuffle_rank(repeated, id_col, seed, group=["epoch"])
+    # Every 16 times more epochs take a digit less: the bucket table stays bounded.
+    digits = BUCKET_DIGITS - math.ceil(math.log(max(n_epochs / 16, 1), 16))
+    return shuffle_rank(repeated, id_col, seed, group=["epoch"], digits=max(digits, 1))
 
 
 def mega_factor(n: int, batch: int) -> int:

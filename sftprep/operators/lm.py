@@ -16,6 +16,9 @@ from sftprep.operators.tokens import UNK_ID
 
 # Share of the bigram estimate in a mixed probability; the rest is add-one unigram.
 BIGRAM_SHARE = 0.7
+# States are columns of one aggregation, so their number is bounded; a longer run
+# saves less often.
+MAX_CHECKPOINTS = 100
 
 
 def bigrams(
@@ -77,37 +80,41 @@ def adapt(base: DataFrame, domain: DataFrame, weight: float = 0.5) -> DataFrame:
 
 def checkpoint_counts(
     tokens: DataFrame,
-    every: int,
     n_checkpoints: int,
+    interval: Column | str = "interval",
     ids: str = "input_ids",
     pad_id: int = UNK_ID,
 ) -> DataFrame:
     """``(prev, next, counts)``: the count of each pair as of every checkpoint.
 
-    Checkpoint i holds the rows of the first ``i * every`` steps. All states come out
-    of one aggregation; the number of checkpoints is a run setting, not data size.
+    Checkpoint i holds the rows of intervals 0 to i - 1. Pairs are counted per
+    interval first, with one counter in the map-side pass over every token; the
+    states are sums over those few rows. Settle the result when it is read twice.
     """
-    since = F.expr(f"cast(step div {every} as int)").alias("_at")
-    seen = [
-        F.count(F.when(F.col("_at") <= i, True)) for i in range(n_checkpoints)
-    ]
-    return (
-        bigrams(tokens, since, ids=ids, pad_id=pad_id)
-        .groupBy("prev", "next")
-        .agg(F.array(*seen).alias("counts"))
+    if not 1 <= n_checkpoints <= MAX_CHECKPOINTS:
+        raise ValueError(f"between 1 and {MAX_CHECKPOINTS} checkpoints, not {n_checkpoints}")
+    interval = F.col(interval) if isinstance(interval, str) else interval
+    fresh = (
+        bigrams(tokens, interval.alias("_at"), ids=ids, pad_id=pad_id)
+        .groupBy("prev", "next", "_at")
+        .agg(F.count("*").alias("_n"))
     )
+    states = [
+        F.sum(F.when(F.col("_at") <= i, F.col("_n")).otherwise(0)) for i in range(n_checkpoints)
+    ]
+    return fresh.groupBy("prev", "next").agg(F.array(*states).alias("counts"))
 
 
 def checkpoints(
     tokens: DataFrame,
-    every: int,
     n_checkpoints: int,
+    interval: Column | str = "interval",
     ids: str = "input_ids",
     pad_id: int = UNK_ID,
 ) -> DataFrame:
     """Full model state at each checkpoint: ``(checkpoint, prev, next, n)``."""
     return (
-        checkpoint_counts(tokens, every, n_checkpoints, ids, pad_id)
+        checkpoint_counts(tokens, n_checkpoints, interval, ids, pad_id)
         .select("prev", "next", F.posexplode("counts").alias("_i", "n"))
         .where(F.col("n") > 0)
         .select((F.col("_i") + 1).alias("checkpoint"), "prev", "next", "n")
@@ -190,24 +197,22 @@ def best_checkpoint(losses: DataFrame) -> DataFrame:
     ).select("_b.checkpoint", "_b.eval_loss")
 
 
-def metrics(rows: DataFrame, losses: DataFrame, every: int) -> DataFrame:
+def metrics(rows: DataFrame, losses: DataFrame, rows_per_step: int) -> DataFrame:
     """Per checkpoint: steps, rows and tokens seen so far, and held-out loss.
 
-    ``rows`` needs only ``step`` and ``length``.
+    ``rows`` needs only ``interval`` and ``length``.
     """
-    each = rows.groupBy(F.expr(f"cast(step div {every} as int) + 1").alias("checkpoint")).agg(
-        F.max("step").alias("_last"),
-        F.count("*").alias("_rows"),
-        F.sum("length").alias("_tokens"),
+    each = rows.groupBy((F.col("interval") + 1).alias("checkpoint")).agg(
+        F.count("*").alias("_rows"), F.sum("length").alias("_tokens")
     )
     # One row per checkpoint: the window without a key is bounded by the run settings.
     so_far = Window.orderBy("checkpoint").rowsBetween(Window.unboundedPreceding, 0)
     return (
         each.select(
             "checkpoint",
-            (F.col("_last") + 1).alias("step"),
             F.sum("_rows").over(so_far).alias("rows_seen"),
             F.sum("_tokens").over(so_far).alias("tokens_seen"),
         )
+        .withColumn("step", F.ceil(F.col("rows_seen") / F.lit(rows_per_step)))
         .join(losses.select("checkpoint", "eval_loss"), "checkpoint", "left")
     )

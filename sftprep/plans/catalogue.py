@@ -26,7 +26,7 @@ VOCABULARY = 8192
 SPLIT = (0.1, 45)
 WIDE_SPLIT = (0.2, 68)
 BATCH, ACCUM, WORLD = 4, 4, 4
-EVERY = 20
+CHECKPOINTS = 5
 DOMAIN_WEIGHT = 0.7
 TEMPERATURE = 0.7
 DRAWS = 8
@@ -98,21 +98,21 @@ def save_dataset(spark, sf_dir):
     return parts[0].union(parts[1])
 
 
-def _states(spark, sf_dir):
-    placed, last = _placed_tokens(spark, sf_dir)
-    return L.checkpoints(placed, EVERY, last)
+def _states(spark, sf_dir) -> tuple[DataFrame, int]:
+    placed, last = _place(_split_tokens(spark, sf_dir)[0])
+    return L.checkpoints(placed, last), last
 
 
 def save_lm(spark, sf_dir):
     path = new_path(spark, "model")
-    models.save_lm(_states(spark, sf_dir), path)
+    models.save_lm(_states(spark, sf_dir)[0], path)
     return _model_digest(spark.read.parquet(path), "checkpoint")
 
 
 def load_lm(spark, sf_dir):
-    placed, last = _placed_tokens(spark, sf_dir)
+    states, last = _states(spark, sf_dir)
     path = new_path(spark, "model")
-    models.save_lm(L.checkpoints(placed, EVERY, last), path)
+    models.save_lm(states, path)
     return _model_digest(models.load_lm(spark, path, last), "prev")
 
 
@@ -323,14 +323,12 @@ def _split_tokens(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 
 def _place(train: DataFrame) -> tuple[DataFrame, int]:
-    """Training rows with their step, and the number of checkpoints they pass."""
-    ranked = B.shuffle_rank(train, "doc_id", SPLIT[1])
-    last = (train.count() - 1) // (BATCH * ACCUM) // EVERY + 1
-    return B.steps(ranked, BATCH, ACCUM), last
-
-
-def _placed_tokens(spark, sf_dir) -> tuple[DataFrame, int]:
-    return _place(_split_tokens(spark, sf_dir)[0])
+    """Training rows with the save interval they fall in, and the number of saves."""
+    per_step = BATCH * ACCUM
+    n_steps = math.ceil(train.count() / per_step)
+    every = math.ceil(n_steps / CHECKPOINTS)
+    last = math.ceil(n_steps / every)
+    return B.order_intervals(train, "doc_id", SPLIT[1], every * per_step, last), last
 
 
 def fit_lm(spark, sf_dir):
@@ -347,19 +345,19 @@ def adapt(spark, sf_dir):
 
 def eval_loss(spark, sf_dir):
     train, test = _split_tokens(spark, sf_dir)
-    out = L.eval_loss(L.fit_lm(train), test)
+    out = L.eval_loss(settle(L.fit_lm(train)), test)
     return out.select(F.round("eval_loss", 6).alias("eval_loss"), "eval_tokens")
 
 
 def checkpoints(spark, sf_dir):
-    return _model_digest(_states(spark, sf_dir), "checkpoint")
+    return _model_digest(_states(spark, sf_dir)[0], "checkpoint")
 
 
 def _losses(spark, sf_dir):
     train, test = _split_tokens(spark, sf_dir)
     placed, last = _place(train)
-    losses = L.checkpoint_losses(L.checkpoint_counts(placed, EVERY, last), last, test)
-    return placed, losses
+    states = settle(L.checkpoint_counts(placed, last))
+    return placed, L.checkpoint_losses(states, last, test)
 
 
 def best_checkpoint(spark, sf_dir):
@@ -369,7 +367,7 @@ def best_checkpoint(spark, sf_dir):
 
 def metrics(spark, sf_dir):
     placed, losses = _losses(spark, sf_dir)
-    out = L.metrics(placed.select("step", "length"), losses, EVERY)
+    out = L.metrics(placed.select("interval", "length"), losses, BATCH * ACCUM)
     return out.withColumn("eval_loss", F.round("eval_loss", 6))
 
 

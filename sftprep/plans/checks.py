@@ -142,14 +142,16 @@ PLACED = (
     *SPLIT_TOKENS,
     _ranked("ranked", "train", "'45:' || id"),
     "placed as (select *, (rank - 1) // 4 // 4 as step from ranked)",
-    "points as (select unnest(range(1, (select max(step) // 20 + 2 from placed))) as checkpoint)",
+    "cadence as (select ceil(ceil(count(*) / 16) / 5)::bigint as every from train)",
+    """points as (select unnest(range(1, (select max(step) // any_value(every) + 2
+      from placed, cadence))) as checkpoint)""",
 )
 STATES = (
     *PLACED,
     _pairs("tp", "placed", "step, "),
     """states as (
   select checkpoint::integer as checkpoint, prev, next, count(*) as n
-  from tp join points on tp.step // 20 < checkpoint group by all)""",
+  from tp, cadence, points where tp.step // every < checkpoint group by all)""",
 )
 LOSS = """p_of as (
   select h.checkpoint, h.weight,
@@ -469,7 +471,7 @@ CHECKS: dict[str, str] = {
         LOSS,
         """seen as (select p.checkpoint, max(step) + 1 as step, count(*) as rows_seen,
           sum(len(ids))::bigint as tokens_seen
-          from placed join points p on step // 20 < p.checkpoint group by p.checkpoint)""",
+          from placed, cadence, points p where step // every < p.checkpoint group by p.checkpoint)""",
         """select checkpoint::integer as checkpoint, step, rows_seen, tokens_seen,
           round(eval_loss, 6) as eval_loss from seen left join losses using (checkpoint)""",
     ),

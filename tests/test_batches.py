@@ -45,6 +45,13 @@ def test_split_is_exact_and_follows_the_rank(rows, share, seed):
     assert test == {i for i, r in order.items() if r <= math.ceil(share * 1003)}
 
 
+@pytest.mark.parametrize("size,count", [(200, 6), (1003, 1), (334, 3), (1, 40), (700, 5)])
+def test_intervals_follow_the_rank(rows, size, count):
+    got = B.shuffle_rank(B.order_intervals(rows, "id", 45, size, count), "id", 45).collect()
+    assert len(got) == 1003
+    assert all(r["interval"] == min((r["rank"] - 1) // size, count - 1) for r in got)
+
+
 def test_split_of_nothing(rows):
     assert B.train_test_split(rows.where("id < 0"), "id", 0.1, 45).count() == 0
 

@@ -53,9 +53,10 @@ def test_loss_against_brute_force(train, test):
 
 
 def test_checkpoints_hold_all_steps_before_them(train, test):
-    states = L.checkpoints(train, 2, 3).collect()
+    at = F.expr("cast(step div 2 as int)")
+    states = L.checkpoints(train, 3, at).collect()
     losses = {r.checkpoint: r.eval_loss for r in L.checkpoint_losses(
-        L.checkpoint_counts(train, 2, 3), 3, test).collect()}
+        L.checkpoint_counts(train, 3, at), 3, test).collect()}
     for c in (1, 2, 3):
         rows = [r for r in TRAIN if r[1] < 2 * c]
         got = {(r.prev, r.next): r.n for r in states if r.checkpoint == c}
@@ -66,7 +67,7 @@ def test_checkpoints_hold_all_steps_before_them(train, test):
 def test_an_empty_first_state_is_uniform_not_an_error(spark, test):
     late = spark.createDataFrame([(1, 7, [1, 3, 2])], SCHEMA)
     got = {r.checkpoint: r.eval_loss for r in L.checkpoint_losses(
-        L.checkpoint_counts(late, 5, 2), 2, test).collect()}
+        L.checkpoint_counts(late, 2, F.expr("cast(step div 5 as int)")), 2, test).collect()}
     assert got[1] == pytest.approx(-math.log(0.3)) and got[2] < 10
 
 
@@ -88,7 +89,17 @@ def test_best_checkpoint_takes_the_earliest_of_equals(spark):
 
 
 def test_metrics_accumulate(train, test):
-    losses = L.checkpoint_losses(L.checkpoint_counts(train, 2, 3), 3, test)
-    rows = train.select("step", F.size("input_ids").alias("length"))
-    got = [tuple(r)[:4] for r in L.metrics(rows, losses, 2).orderBy("checkpoint").collect()]
-    assert got == [(1, 2, 2, 10), (2, 3, 3, 15), (3, 6, 4, 17)]
+    rows = train.select(
+        "input_ids",
+        F.expr("cast(step div 2 as int)").alias("interval"),
+        F.size("input_ids").alias("length"),
+    )
+    losses = L.checkpoint_losses(L.checkpoint_counts(rows, 3), 3, test)
+    out = L.metrics(rows, losses, 2).orderBy("checkpoint")
+    got = [tuple(r) for r in out.select("checkpoint", "step", "rows_seen", "tokens_seen").collect()]
+    assert got == [(1, 1, 2, 10), (2, 2, 3, 15), (3, 2, 4, 17)]
+
+
+def test_too_many_checkpoints_are_refused(train):
+    with pytest.raises(ValueError):
+        L.checkpoint_counts(train, 10**6, "step")
