@@ -66,29 +66,35 @@ def nucleus(probs: DataFrame, top_p: float = TOP_P, top_k: int = TOP_K) -> DataF
     )
 
 
-def candidates(lm: DataFrame, top_k: int = TOP_K) -> DataFrame:
+def candidates(
+    model: DataFrame,
+    top_k: int = TOP_K,
+    weight: str = "n",
+    overall: DataFrame | None = None,
+) -> DataFrame:
     """``(prev, choices)``: the k likeliest tokens per context, likeliest first.
 
-    Any temperature keeps the order, so one table serves every request. One extra
-    row, ``ANY_CONTEXT``, holds the k likeliest tokens overall.
+    ``weight`` is ``n`` for counts or ``p`` for an adapted model. Any temperature keeps
+    the order, so one table serves every request. One extra row, ``ANY_CONTEXT``, holds
+    the k likeliest tokens of the counts in ``overall``, the model's own by default.
     """
-    overall = lm.groupBy("next").agg(F.sum("n").alias("n")).select(
-        F.lit(ANY_CONTEXT).alias("prev"), "next", "n"
-    )
+    alone = (model if overall is None else overall).groupBy("next").agg(F.sum("n").alias("w"))
 
     def top(rows: DataFrame) -> DataFrame:
         context = Window.partitionBy("prev")
-        ordered = context.orderBy(F.desc("n"), "next")
+        ordered = context.orderBy(F.desc("w"), "next")
         # Weights are relative to the likeliest token, so no power overflows.
         return (
             rows.withColumn("rank", F.row_number().over(ordered))
             .where(F.col("rank") <= top_k)
-            .withColumn("w", F.col("n") / F.max("n").over(context))
+            .withColumn("w", F.col("w") / F.max("w").over(context))
             .groupBy("prev")
             .agg(F.array_sort(F.collect_list(F.struct("rank", "next", "w"))).alias("choices"))
         )
 
-    return top(lm).unionByName(top(overall))
+    return top(model.select("prev", "next", F.col(weight).alias("w"))).unionByName(
+        top(alone.select(F.lit(ANY_CONTEXT).alias("prev"), "next", "w"))
+    )
 
 
 def _with(value: Column, body: Callable[[Column], Column]) -> Column:

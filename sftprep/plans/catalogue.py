@@ -335,12 +335,15 @@ def fit_lm(spark, sf_dir):
     return _model_digest(L.fit_lm(_tokens(spark, sf_dir)), "prev")
 
 
-def adapt(spark, sf_dir):
-    vocab = _vocab(spark, sf_dir)
-    base = L.fit_lm(_tokens(spark, sf_dir, vocab=vocab))
+def _base_and_domain(spark, sf_dir, vocab) -> tuple[DataFrame, DataFrame]:
     rendered = P.format_block(fixtures.instruct(spark, sf_dir))
-    domain = L.fit_lm(K.tokenize(rendered, vocab, None, key="rec_id"))
-    return _probs_digest(L.adapt(base, domain, DOMAIN_WEIGHT))
+    domain = K.tokenize(rendered, vocab, None, key="rec_id")
+    return _tokens(spark, sf_dir, vocab=vocab), domain
+
+
+def adapt(spark, sf_dir):
+    base, domain = _base_and_domain(spark, sf_dir, _vocab(spark, sf_dir))
+    return _probs_digest(L.adapt(L.fit_lm(base), L.fit_lm(domain), DOMAIN_WEIGHT))
 
 
 def eval_loss(spark, sf_dir):
@@ -398,24 +401,39 @@ def sample_next(spark, sf_dir):
     return drawn.select("doc_id", "step", "prev", "next")
 
 
-def _answers(spark, sf_dir, via="auto") -> DataFrame:
-    vocab = _vocab(spark, sf_dir)
-    table = settle(G.candidates(_doc_model(spark, sf_dir, vocab)))
+def _answers(spark, sf_dir, vocab, table) -> DataFrame:
     asked = P.inference_prompt(fixtures.requests(spark, sf_dir), "plain")
     prompts = K.encode(asked, vocab, "prompt_id", "prompt", add_eos=False)
-    return G.generate(prompts, table, "prompt_id", SPLIT[1], TEMPERATURE, via=via)
+    return G.generate(prompts, table, "prompt_id", SPLIT[1], TEMPERATURE)
 
 
-def generate(spark, sf_dir):
-    return _answers(spark, sf_dir).select(
+def _base_answers(spark, sf_dir) -> DataFrame:
+    vocab = _vocab(spark, sf_dir)
+    table = settle(G.candidates(_doc_model(spark, sf_dir, vocab)))
+    return _answers(spark, sf_dir, vocab, table)
+
+
+def _drawn(df: DataFrame) -> DataFrame:
+    return df.select(
         "prompt_id",
         (F.size("output_ids") - F.size("input_ids")).alias("n_drawn"),
         digest("output_ids").alias("ids_md5"),
     )
 
 
+def generate(spark, sf_dir):
+    return _drawn(_base_answers(spark, sf_dir))
+
+
+def generate_adapted(spark, sf_dir):
+    vocab = _vocab(spark, sf_dir)
+    base, domain = _base_and_domain(spark, sf_dir, vocab)
+    table = settle(flows.adapted_candidates(base, domain, DOMAIN_WEIGHT))
+    return _drawn(_answers(spark, sf_dir, vocab, table))
+
+
 def completion(spark, sf_dir):
-    df = _answers(spark, sf_dir)
+    df = _base_answers(spark, sf_dir)
     both = G.completion(G.completion(df, True, out="whole"), False, out="answer")
     return both.select(
         "prompt_id", digest("whole").alias("whole_md5"), digest("answer").alias("answer_md5")
@@ -541,6 +559,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nucleus": nucleus,
     "sample_next": sample_next,
     "generate": generate,
+    "generate_adapted": generate_adapted,
     "completion": completion,
     "predict": predict,
     "apply_rows": apply_rows,

@@ -181,13 +181,13 @@ TEMPERED = """tempered as (select prev, next, power(p, 1.0::double / 0.7::double
 # Drawing. Each kept choice owns an interval [lo, hi) of the uniform number.
 
 
-def _choices(temperatures: str) -> str:
+def _choices(temperatures: str, model: str = "lm", weight: str = "n") -> str:
     return f"""heads as (
   select * from (
-    select prev, next, n / max(n) over (partition by prev) as w,
-           row_number() over (partition by prev order by n desc, next) as rank
-    from (select prev, next, n from lm
-          union all select -1, next, sum(n)::bigint from lm group by next)) where rank <= 50),
+    select prev, next, w / max(w) over (partition by prev) as w,
+           row_number() over (partition by prev order by w desc, next) as rank
+    from (select prev, next, {weight}::double as w from {model}
+          union all select -1, next, sum(n)::double from lm group by next)) where rank <= 50),
 warm as (select t, prev, next, rank, power(w, 1.0::double / t) as w
   from heads cross join (select unnest({temperatures})::double as t)),
 summed as (select *, sum(w) over (partition by t, prev order by rank
@@ -195,12 +195,12 @@ summed as (select *, sum(w) over (partition by t, prev order by rank
   sum(w) over (partition by t, prev) as z from warm),
 kept as (select *, coalesce(lag(s) over (partition by t, prev order by rank), 0) as s0
   from summed qualify round(s0 / z, 9) < 0.7),
-choices as (select t, prev, next, rank,
+choices as materialized (select t, prev, next, rank,
   case when rank = 1 then -1 else round(s0 / max(s) over (partition by t, prev), 9) end as lo,
   case when rank = max(rank) over (partition by t, prev) then 2
        else round(s / max(s) over (partition by t, prev), 9) end as hi
   from kept),
-known as (select distinct prev from lm)"""
+known as materialized (select distinct prev from {model})"""
 
 
 def _u(*parts: str) -> str:
@@ -231,13 +231,30 @@ SECTIONS = (
     f"{_text(BLOCK_INTRO)} || chr(10) || '### Instruction:' || chr(10) || text"
     " || chr(10) || chr(10) || '### Response: '"
 )
-GENERATED = (
-    *DOC_MODEL,
+ASKED = (
     f"pp as (select item_id as id, regexp_extract_all({PLAIN}, '{PIECE}') as p from benchmark)",
     _encoded("pe", "pp", eos=False),
     "asked as (select id, ids, 0.7::double as t, 100 as max_tokens from pe)",
-    _choices("[0.7]"),
-    _continued("asked"),
+)
+GENERATED = (*DOC_MODEL, *ASKED, _choices("[0.7]"), _continued("asked"))
+DRAWN = f"""select id as prompt_id, len(drawn)::integer as n_drawn,
+  {_digest("list_concat(ids, drawn)")} as ids_md5 from answers"""
+MIXED = (
+    *DOC_MODEL,
+    INSTRUCT,
+    _block("block", "instruct"),
+    f"ip as (select rec_id as id, regexp_extract_all(text, '{PIECE}') as p from block)",
+    _encoded("ie", "ip"),
+    _pairs("ib", "ie"),
+    _counts("dm", "ib"),
+    """mixed as (select prev, next, coalesce(b.n, 0) as nb, coalesce(d.n, 0) as nd
+      from lm b full join dm d using (prev, next))""",
+    """shared as (select *, sum(nb) over (partition by prev) as tb,
+      sum(nd) over (partition by prev) as td from mixed)""",
+    """weighed as (select *, case when tb = 0 then 1::double when td = 0 then 0::double
+      else 0.7::double end as share from shared)""",
+    """mix as (select prev, next, share * nd / greatest(td, 1)
+      + (1 - share) * nb / greatest(tb, 1) as p from weighed)""",
 )
 
 # Whole runs
@@ -431,24 +448,7 @@ CHECKS: dict[str, str] = {
         from stepped""",
     ),
     "fit_lm": _query(*DOC_MODEL, _model_digest("lm", "prev")),
-    "adapt": _query(
-        *DOC_MODEL,
-        INSTRUCT,
-        _block("block", "instruct"),
-        f"ip as (select rec_id as id, regexp_extract_all(text, '{PIECE}') as p from block)",
-        _encoded("ie", "ip"),
-        _pairs("ib", "ie"),
-        _counts("dm", "ib"),
-        """mixed as (select prev, next, coalesce(b.n, 0) as nb, coalesce(d.n, 0) as nd
-          from lm b full join dm d using (prev, next))""",
-        """shared as (select *, sum(nb) over (partition by prev) as tb,
-          sum(nd) over (partition by prev) as td from mixed)""",
-        """weighed as (select *, case when tb = 0 then 1::double when td = 0 then 0::double
-          else 0.7::double end as share from shared)""",
-        """mix as (select prev, next, share * nd / greatest(td, 1)
-          + (1 - share) * nb / greatest(tb, 1) as p from weighed)""",
-        _probs_digest("mix"),
-    ),
+    "adapt": _query(*MIXED, _probs_digest("mix")),
     "eval_loss": _query(
         *SPLIT_TOKENS,
         _pairs("bg", "train"),
@@ -498,10 +498,9 @@ CHECKS: dict[str, str] = {
         join choices c on c.prev = coalesce(k.prev, -1)
           and {_u("x.id", "x.step")} >= c.lo and {_u("x.id", "x.step")} < c.hi""",
     ),
-    "generate": _query(
-        *GENERATED,
-        f"""select id as prompt_id, len(drawn)::integer as n_drawn,
-        {_digest("list_concat(ids, drawn)")} as ids_md5 from answers""",
+    "generate": _query(*GENERATED, DRAWN),
+    "generate_adapted": _query(
+        *MIXED, *ASKED, _choices("[0.7]", "mix", "p"), _continued("asked"), DRAWN
     ),
     "completion": _query(
         *GENERATED,

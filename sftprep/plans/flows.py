@@ -16,6 +16,8 @@ from sftprep.operators.batches import (
     steps,
     train_test_split,
 )
+from sftprep.operators.lm import adapt, fit_lm
+from sftprep.operators.predict import candidates
 from sftprep.operators.prompts import (
     CONTEXT_RESPONSE,
     INPUT_OUTPUT,
@@ -113,3 +115,13 @@ def training_shards(rows: DataFrame, id_col: str, config: RunConfig) -> DataFram
     plan = training_plan(rows, id_col, config)
     placed = rows.select(id_col, "input_ids", "length").join(plan, id_col)
     return causal_labels(pad_batch(placed, width="width"))
+
+
+def adapted_candidates(base: DataFrame, domain: DataFrame, weight: float) -> DataFrame:
+    """What a base model adapted to a domain draws from, given the tokens of both.
+
+    Contexts neither has seen fall back to the base's own token frequencies.
+    """
+    base_lm = fit_lm(base)
+    mixed = adapt(base_lm, fit_lm(domain), weight)
+    return candidates(mixed, weight="p", overall=base_lm)
