@@ -148,7 +148,12 @@ def order_intervals(
     )
 
 
-def peek(df: DataFrame, n: int = 1, by: str | list[str] = "rank") -> DataFrame:
+def in_shuffle_order(id_col: str, seed) -> list[Column]:
+    """Sort keys that put rows in the order ``shuffle_rank`` numbers them."""
+    return [shuffle_key(seed, id_col), F.col(id_col)]
+
+
+def peek(df: DataFrame, n: int = 1, by: str | list[Column | str] = "rank") -> DataFrame:
     """The first rows in a stated order: a top-n, never a full sort."""
     keys = [by] if isinstance(by, str) else by
     return df.orderBy(*keys).limit(n)

@@ -83,7 +83,7 @@ def count_records(spark, sf_dir):
 def peek(spark, sf_dir):
     rows = flows.rendered_split(fixtures.instruct(spark, sf_dir), "rec_id")
     train = rows.where(F.col("split") == "train").drop("split")
-    return B.peek(B.shuffle_rank(train, "rec_id", SPLIT[1])).select("rec_id", "text")
+    return B.peek(train, by=B.in_shuffle_order("rec_id", SPLIT[1])).select("rec_id", "text")
 
 
 def save_dataset(spark, sf_dir):
@@ -514,10 +514,24 @@ def full_run_shards(spark, sf_dir):
     return _shards(spark, sf_dir, flows.FULL_RUN)
 
 
+def adapter_run_shards(spark, sf_dir):
+    return _shards(spark, sf_dir, flows.ADAPTER_RUN)
+
+
 def parallel_run_shards(spark, sf_dir):
     return _shards(spark, sf_dir, flows.PARALLEL_ADAPTER_RUN)
 
 
+def answer_requests(spark, sf_dir):
+    vocab = _vocab(spark, sf_dir)
+    table = settle(G.candidates(_doc_model(spark, sf_dir, vocab)))
+    asked = fixtures.requests(spark, sf_dir)
+    out = flows.answer_requests(asked, "prompt_id", vocab, table, SPLIT[1])
+    return out.select(
+        "prompt_id", F.length("answer").alias("n_chars"), F.md5("answer").alias("answer_md5")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_split": load_split,
     "count_records": count_records,
@@ -566,5 +580,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apply_model": apply_model,
     "rendered_split": rendered_split,
     "full_run_shards": full_run_shards,
+    "adapter_run_shards": adapter_run_shards,
     "parallel_run_shards": parallel_run_shards,
+    "answer_requests": answer_requests,
 }

@@ -181,7 +181,9 @@ TEMPERED = """tempered as (select prev, next, power(p, 1.0::double / 0.7::double
 # Drawing. Each kept choice owns an interval [lo, hi) of the uniform number.
 
 
-def _choices(temperatures: str, model: str = "lm", weight: str = "n") -> str:
+def _choices(
+    temperatures: str, model: str = "lm", weight: str = "n", top_p: float = 0.7
+) -> str:
     return f"""heads as (
   select * from (
     select prev, next, w / max(w) over (partition by prev) as w,
@@ -194,7 +196,7 @@ summed as (select *, sum(w) over (partition by t, prev order by rank
     rows between unbounded preceding and current row) as s,
   sum(w) over (partition by t, prev) as z from warm),
 kept as (select *, coalesce(lag(s) over (partition by t, prev order by rank), 0) as s0
-  from summed qualify round(s0 / z, 9) < 0.7),
+  from summed qualify round(s0 / z, 9) < {top_p}::double),
 choices as materialized (select t, prev, next, rank,
   case when rank = 1 then -1 else round(s0 / max(s) over (partition by t, prev), 9) end as lo,
   case when rank = max(rank) over (partition by t, prev) then 2
@@ -260,34 +262,45 @@ MIXED = (
 # Whole runs
 
 
-def _tokenized(share: float, seed: int) -> tuple[str, ...]:
+def _tokenized(share: float, seed: int, layout, epochs: str) -> tuple[str, ...]:
     return (
         DOC_PIECES,
         VOCAB,
         DOC_INSTRUCT,
-        _inline("inline", "doc_instruct"),
-        f"rp as (select rec_id as id, regexp_extract_all(text, '{PIECE}') as p from inline)",
+        layout("rendered", "doc_instruct"),
+        f"rp as (select rec_id as id, regexp_extract_all(text, '{PIECE}') as p from rendered)",
         _encoded("enc", "rp", 512),
         _split("sp", "enc", share, seed),
         "train as (select id, ids, len(ids) as length from sp where split = 'train')",
-        "repeated as (select *, unnest([0, 1])::integer as epoch from train)",
+        "size as (select count(*) as n from train)",
+        f"repeated as (select *, unnest(range((select {epochs} from size)))::integer as epoch from train)",
         _ranked("ordered", "repeated", f"'{seed}:' || epoch || ':' || id", "epoch"),
     )
 
 
-def _placed_run(batch: int, accum: int) -> tuple[str, str]:
-    per_step = batch * accum * 4
-    padded = f"""padded as (
-  select (batch_id % 4)::integer as worker, epoch,
-    epoch * ceil((select count(*) from train) / {per_step})::bigint + batch_id // {accum * 4} as step,
-    batch_id, slot::integer as slot, id as rec_id, length::integer as length, width::integer as width,
-    list_concat(ids, list_transform(range(width - length), lambda x: 0::integer)) as padded_ids
-  from (select *, max(length) over (partition by epoch, batch_id) as width from batched))"""
-    return padded, f"""select worker, epoch, step, batch_id, slot, rec_id, length, width,
-  {_digest("padded_ids")} as ids_md5,
-  {_digest("list_transform(padded_ids, lambda x: case when x = 0 then -100 else x end)")}
-    as labels_md5
-from padded"""
+BY_LENGTH = (
+    "factor as (select greatest(1, least(n // 16, 50)) as mega from size)",
+    "grouped as (select *, (rank - 1) // (4 * mega) as m from ordered, factor)",
+    """sorted as (select *, row_number() over (partition by epoch, m
+      order by length desc, id) - 1 as place from grouped)""",
+    "batched as (select *, m * mega + place // 4 as batch_id, place % 4 as slot from sorted)",
+)
+
+
+def _placed_run(batch: int, accum: int, world: int, cap: int = 1 << 62) -> tuple[str, ...]:
+    return (
+        f"""stepped as (select *, epoch * ceil((select n from size) / {batch * accum * world})::bigint
+          + batch_id // {accum * world} as step,
+          max(length) over (partition by epoch, batch_id) as width from batched)""",
+        f"""padded as (select *, list_concat(ids,
+          list_transform(range(width - length), lambda x: 0::integer)) as padded_ids
+          from stepped where step < {cap})""",
+        f"""select (batch_id % {world})::integer as worker, epoch, step, batch_id,
+          slot::integer as slot, id as rec_id, length::integer as length,
+          width::integer as width, {_digest("padded_ids")} as ids_md5,
+          {_digest("list_transform(padded_ids, lambda x: case when x = 0 then -100 else x end)")}
+            as labels_md5 from padded""",
+    )
 
 
 CAPPED_LENGTHS = f"""lens as (
@@ -541,18 +554,29 @@ CHECKS: dict[str, str] = {
         "select id as rec_id, split, text from sp",
     ),
     "full_run_shards": _query(
-        *_tokenized(0.2, 68),
+        *_tokenized(0.2, 68, _inline, "2"),
         "batched as (select *, rank - 1 as batch_id, 0 as slot from ordered)",
-        *_placed_run(1, 1),
+        *_placed_run(1, 1, 4),
+    ),
+    "adapter_run_shards": _query(
+        *_tokenized(0.1, 45, _block, "ceil(1000 / ceil(n / 16))::bigint"),
+        *BY_LENGTH,
+        *_placed_run(4, 4, 1, 1000),
     ),
     "parallel_run_shards": _query(
-        *_tokenized(0.1, 45),
-        """factor as (select greatest(1, least(count(*) // 16, 50)) as mega from train)""",
-        """grouped as (select *, (rank - 1) // (4 * mega) as m from ordered, factor)""",
-        """sorted as (select *, row_number() over (partition by epoch, m
-          order by length desc, id) - 1 as place from grouped)""",
-        """batched as (select *, m * mega + place // 4 as batch_id, place % 4 as slot
-          from sorted)""",
-        *_placed_run(4, 4),
+        *_tokenized(0.1, 45, _block, "2"), *BY_LENGTH, *_placed_run(4, 4, 4)
+    ),
+    "answer_requests": _query(
+        *DOC_MODEL,
+        f"pp as (select item_id as id, regexp_extract_all({CHAT}, '{PIECE}') as p from benchmark)",
+        _encoded("pe", "pp", eos=False),
+        "asked as (select id, ids, 1.0::double as t, 1024 as max_tokens from pe)",
+        _choices("[1.0]", top_p=1.0),
+        _continued("asked"),
+        """spelled as (select t.id, string_agg(s.piece, '' order by t.pos) as answer
+          from (select id, unnest(drawn) as i, generate_subscripts(drawn, 1) as pos from answers) t
+          join spelling s on s.token_id = t.i where t.i >= 3 group by t.id)""",
+        """select a.id as prompt_id, length(coalesce(answer, ''))::integer as n_chars,
+          md5(coalesce(answer, '')) as answer_md5 from asked a left join spelled s on s.id = a.id""",
     ),
 }

@@ -17,15 +17,24 @@ from sftprep.operators.batches import (
     train_test_split,
 )
 from sftprep.operators.lm import adapt, fit_lm
-from sftprep.operators.predict import candidates
+from sftprep.operators.predict import candidates, completion, generate
 from sftprep.operators.prompts import (
     CONTEXT_RESPONSE,
     INPUT_OUTPUT,
     Fields,
     format_block,
     format_inline,
+    inference_prompt,
+)
+from sftprep.operators.tokens import (
+    MAX_LENGTH,
+    Vocabulary,
+    causal_labels,
+    decode,
+    encode,
+    pad_batch,
+    tokenize,
 )
-from sftprep.operators.tokens import MAX_LENGTH, Vocabulary, causal_labels, pad_batch, tokenize
 
 
 @dataclass(frozen=True)
@@ -41,6 +50,7 @@ class RunConfig:
     max_steps: int | None = None
     max_length: int | None = MAX_LENGTH
     by_length: bool = True
+    inline: bool = False
 
     def steps_per_epoch(self, train_rows: int) -> int:
         return max(1, math.ceil(train_rows / (self.batch * self.accum * self.world)))
@@ -55,7 +65,9 @@ class RunConfig:
 # Split, seed, batch and step settings of the three run kinds.
 ADAPTER_RUN = RunConfig(max_steps=1000)
 PARALLEL_ADAPTER_RUN = RunConfig(world=4)
-FULL_RUN = RunConfig(test_size=0.2, seed=68, batch=1, accum=1, world=4, by_length=False)
+FULL_RUN = RunConfig(
+    test_size=0.2, seed=68, batch=1, accum=1, world=4, by_length=False, inline=True
+)
 
 
 def rendered_split(
@@ -75,10 +87,9 @@ def tokenized_split(
     config: RunConfig = FULL_RUN,
     fields: Fields = CONTEXT_RESPONSE,
 ) -> DataFrame:
-    """Inline-layout texts as ids, labelled train or test."""
-    rendered = format_inline(
-        train_test_split(rows, id_col, config.test_size, config.seed), fields
-    )
+    """Texts in the run's layout as ids, labelled train or test."""
+    layout = format_inline if config.inline else format_block
+    rendered = layout(train_test_split(rows, id_col, config.test_size, config.seed), fields)
     return tokenize(rendered, vocab, config.max_length, key=id_col)
 
 
@@ -125,3 +136,27 @@ def adapted_candidates(base: DataFrame, domain: DataFrame, weight: float) -> Dat
     base_lm = fit_lm(base)
     mixed = adapt(base_lm, fit_lm(domain), weight)
     return candidates(mixed, weight="p", overall=base_lm)
+
+
+# A request list is answered from the full distribution, at length.
+REQUEST_TOKENS, REQUEST_TOP_P = 1024, 1.0
+
+
+def answer_requests(
+    requests: DataFrame,
+    key: str,
+    vocab: Vocabulary,
+    table: DataFrame,
+    seed=0,
+    style: str = "chat",
+    max_tokens: int = REQUEST_TOKENS,
+) -> DataFrame:
+    """Adds ``answer``, the drawn text alone, to each ``user_input``."""
+    asked = encode(
+        inference_prompt(requests, style), vocab, key, text="prompt", add_eos=False
+    )
+    drawn = generate(asked, table, key, seed, max_tokens=max_tokens, top_p=REQUEST_TOP_P)
+    answers = completion(drawn, include_prompt=False)
+    return decode(answers, vocab, key, ids="answer_ids", out="answer").select(
+        *requests.columns, "answer"
+    )
