@@ -148,6 +148,13 @@ def order_intervals(
     )
 
 
+def first_rows(df: DataFrame, id_col: str, seed, rows: int) -> DataFrame:
+    """Keeps the first ``rows`` in shuffle order: a filter by one key, no sort."""
+    last = F.get(_keys_at(df, id_col, seed, F.array(F.lit(rows))), 0)
+    # No such place means the table is shorter and all of it is wanted.
+    return df.where(F.coalesce(_own_key(seed, id_col) <= last, F.lit(True)))
+
+
 def in_shuffle_order(id_col: str, seed) -> list[Column]:
     """Sort keys that put rows in the order ``shuffle_rank`` numbers them."""
     return [shuffle_key(seed, id_col), F.col(id_col)]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from sftprep.operators.batches import (
     epochs,
+    first_rows,
     length_batches,
     mega_factor,
     rank_batches,
@@ -96,13 +97,19 @@ def tokenized_split(
 def training_plan(rows: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
     """Where each training row goes: epoch, batch, slot, width, step and worker.
 
-    Works on ids and lengths alone, so every shuffle of planning is narrow.
+    Works on ids and lengths alone, so every shuffle of planning is narrow. A run
+    capped within its first epoch plans only the rows it will read.
     """
     lengths = rows.select(id_col, "length")
     n = lengths.count()
-    ordered = epochs(lengths, id_col, config.epochs_read(n), config.seed)
+    n_epochs = config.epochs_read(n)
+    mega = mega_factor(n, config.batch) if config.by_length else 1
+    if config.max_steps is not None and n_epochs == 1:
+        megas = math.ceil(config.max_steps * config.accum * config.world / mega)
+        # The order of epoch 0; whole mega-batches, so that batches come out the same.
+        lengths = first_rows(lengths, id_col, f"{config.seed}:0", megas * mega * config.batch)
+    ordered = epochs(lengths, id_col, n_epochs, config.seed)
     if config.by_length:
-        mega = mega_factor(n, config.batch)
         batched = length_batches(ordered, id_col, config.batch, mega, group=["epoch"])
     else:
         batched = rank_batches(ordered, config.batch, group=["epoch"])

@@ -137,6 +137,23 @@ def test_training_plan_places_every_row_once_an_epoch(rows, config):
     assert max(map(len, steps.values())) <= config.accum * config.world
 
 
+@pytest.mark.parametrize("by_length", [True, False])
+@pytest.mark.parametrize("max_steps", [1, 7, 40, 63])
+def test_a_capped_plan_is_the_start_of_the_whole_plan(rows, by_length, max_steps):
+    whole = flows.RunConfig(n_epochs=1, by_length=by_length)
+    capped = flows.RunConfig(max_steps=max_steps, by_length=by_length)
+    want = flows.training_plan(rows, "id", whole).where(F.col("step") < max_steps)
+    got = flows.training_plan(rows, "id", capped)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_first_rows(rows):
+    order = ranks(B.shuffle_rank(rows, "id", 45))
+    for n in (1, 500, 1003, 5000):
+        got = {r["id"] for r in B.first_rows(rows, "id", 45, n).collect()}
+        assert got == {i for i, r in order.items() if r <= n}
+
+
 def test_planning_reads_ids_and_lengths_only(spark, rows, tmp_path):
     wide = rows.withColumn("input_ids", F.array_repeat(F.lit(5), F.col("length")))
     wide.write.parquet(str(tmp_path / "rows"))
