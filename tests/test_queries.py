@@ -3,8 +3,10 @@ import pytest
 from compare import difference, second_engine
 from conftest import SMALL
 
-QUERIES = entry_points.queries()
-CHECKS = entry_points.oracle_sql()
+from sftprep.plans import catalogue, checks
+
+QUERIES = catalogue.QUERIES
+CHECKS = checks.CHECKS
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +16,8 @@ def db():
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(CHECKS) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
