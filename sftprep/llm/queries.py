@@ -4,19 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sftprep.llm import minhash
+from sftprep.llm import exact, fingerprints, language, lines, minhash, mixing, quality
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_documents(spark, sf_dir))
+
+
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(_documents(spark, sf_dir))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.held_out_quality(_documents(spark, sf_dir), labels)
+
+
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(_documents(spark, sf_dir))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.held_out_languages(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op5_mixing": op5_mixing,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_document_fingerprints": op8_document_fingerprints,
+    "op10_language_id": op10_language_id,
 }
