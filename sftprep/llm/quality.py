@@ -22,8 +22,8 @@ FEATURES = 4096
 LATENT = 64
 NEIGHBOURS = 15
 THRESHOLD = 0.3
-# A word that follows itself counts as this many byte pairs.
-REPEATS = 100
+# Weight of the share of words that follow themselves, beside byte pairs of length 1.
+REPEATS = 2.0
 _ROWS = 256
 _SLOT = (mix(np.arange(65536, dtype=np.uint64) + np.uint64(77)) % np.uint64(FEATURES - 1)).astype(np.int64) + 1
 
@@ -36,16 +36,19 @@ def counts(texts: pa.Array) -> np.ndarray:
         if high - low > 1:
             pair = data[low : high - 1].astype(np.int64) << 8 | data[low + 1 : high]
             out[row] = np.bincount(_SLOT[pair], minlength=FEATURES)
-    # One more feature: how often a word follows itself.
+    # One more feature: the share of words that follow themselves.
     words = words_of(texts)
     again = (words.name[1:] == words.name[:-1]) & (words.row[1:] == words.row[:-1])
-    out[:, 0] = REPEATS * np.bincount(words.row[1:][again], minlength=len(out))
+    out[:, 0] = np.bincount(words.row[1:][again], minlength=len(out)) / np.maximum(words.count(), 1)
     return out
 
 
 def _weighted(raw: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    raw = np.log1p(raw) * rarity
-    return raw / np.maximum(np.linalg.norm(raw, axis=1, keepdims=True), 1e-9)
+    pairs = np.log1p(raw) * rarity
+    pairs[:, 0] = 0.0
+    pairs = _unit(pairs)
+    pairs[:, 0] = REPEATS * raw[:, 0]
+    return _unit(pairs)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
