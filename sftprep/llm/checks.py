@@ -57,8 +57,28 @@ select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (part
  doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256 from t
 """
 
+SUBSTRING_DEDUP = r"""
+with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+starts as (select doc_id, w, unnest(range(1, len(w) - 18)) as pos from t where len(w) >= 20),
+windows as (select doc_id, pos, sha256(array_to_string(w[pos:pos + 19], ' ')) as h from starts),
+firsts as (select h, min((doc_id, pos)) as first_one from windows group by h),
+again as (select doc_id, pos from windows join firsts using (h) where (doc_id, pos) > first_one),
+words as (select doc_id, w, unnest(range(1, len(w) + 1)) as pos from t),
+marked as (
+  select words.doc_id, words.pos, words.w[words.pos] as word, coalesce(max(again.pos) over (
+    partition by words.doc_id order by words.pos rows between 19 preceding and current row), 0) > 0 as gone
+  from words left join again using (doc_id, pos)),
+kept as (
+  select doc_id, count(*) filter (gone) as n_removed,
+    coalesce(string_agg(word, ' ' order by pos) filter (not gone), '') as kept
+  from marked group by doc_id)
+select t.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from t left join kept using (doc_id)
+"""
+
 CHECKS = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_minhash_near_dedup": NEAR_DEDUP,
     "op6_exact_dedup": EXACT_DEDUP,
+    "op9_substring_dedup": SUBSTRING_DEDUP,
 }

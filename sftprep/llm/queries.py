@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sftprep.llm import exact, fingerprints, language, lines, minhash, mixing, quality
+from sftprep.llm import exact, fingerprints, language, lines, minhash, mixing, quality, substrings
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +40,12 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_documents(spark, sf_dir))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats_removed(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.held_out_languages(_documents(spark, sf_dir))
 
@@ -51,5 +57,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_document_fingerprints": op8_document_fingerprints,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
 }
