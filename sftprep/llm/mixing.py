@@ -16,7 +16,7 @@ AXES = ("source", "lang", "topic")
 # How far a share is moved towards evenness (1 leaves it), which part of
 # the tokens is kept, and when raking has converged.
 TEMPER = {"source": 0.8, "lang": 0.9, "topic": 1.0}
-SHARE = 0.8
+SHARE = 0.9
 CLOSE, MOST_ROUNDS = 1e-6, 60
 _ROUNDS_A_JOB = 4
 _SCALES = 64

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sftprep.llm import exact, fingerprints, language, lines, minhash, mixing, quality, substrings, transducer
+from sftprep.llm import exact, fingerprints, katz, language, lines, minhash, mixing, quality, substrings, transducer
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op3_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.held_out_scores(_documents(spark, sf_dir))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.round_trip(_documents(spark, sf_dir))
 
@@ -57,6 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_katz_backoff": op3_katz_backoff,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_mixing": op5_mixing,
     "op6_exact_dedup": op6_exact_dedup,
