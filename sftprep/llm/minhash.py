@@ -277,6 +277,6 @@ def near_duplicates(
     named = sketches.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     out = named.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "doc_id", "n_shingles",
-        F.coalesce("component_id", F.when(F.col("doc_id").isNotNull(), F.col("rep")), "doc_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep", "doc_id")).alias("component_id"),
     )
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

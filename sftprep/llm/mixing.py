@@ -153,7 +153,7 @@ def mixed(
     drawn = F.coalesce(uniform(seed, "doc_id"), F.lit(0.0)) < F.col("keep_probability")
     return (
         listed.join(weights, list(AXES), "left")
-        .withColumn("keep_probability", F.coalesce("keep_probability", F.lit(1.0)))
+        .withColumn("keep_probability", F.when(F.col("n_tokens") > 0, F.col("keep_probability")).otherwise(1.0))
         .withColumn("weight", F.coalesce("weight", F.lit(1.0)))
         .withColumn("kept", drawn)
     )
