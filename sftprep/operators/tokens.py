@@ -6,7 +6,7 @@ from functools import cached_property
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from sftprep.functions import pieces
@@ -15,16 +15,19 @@ from sftprep.session import settle, ship
 # Special tokens and the ids they hold.
 SPECIALS = ("<unk>", "<s>", "</s>")
 UNK_ID, BOS_ID, EOS_ID = 0, 1, 2
+# Ids 3 to 258 stand for the 256 bytes; pieces and characters follow.
+FIRST_BYTE, BYTES = len(SPECIALS), 256
+FIRST_PIECE = FIRST_BYTE + BYTES
 IGNORED_LABEL = -100
 MAX_LENGTH = 512
 
-# Copies of the larger-than-memory vocabulary in the join path, so that one piece
-# making up most of a corpus is spread over this many tasks before AQE splits more.
-SALTS = 32
-
 
 class Vocabulary:
-    """A settled table ``(token_id, piece)`` with ids 0..size-1 and no gaps."""
+    """A settled table ``(token_id, piece)`` with ids 0..size-1 and no gaps.
+
+    A piece outside it is spelled by its characters, and a character outside it by its
+    bytes, so every text has ids and no id is ever unknown.
+    """
 
     def __init__(self, table: DataFrame):
         self.table = table
@@ -53,25 +56,31 @@ def piece_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def build_vocab(df: DataFrame, k: int = 8192, text: str = "text") -> Vocabulary:
-    """The ``k`` most frequent pieces, ties by piece, after the special tokens."""
+    """Special tokens, the 256 bytes, the ``k`` most frequent pieces (ties by piece), and
+    the characters of all other pieces in their own order.
+
+    Characters are taken from distinct pieces; there are at most as many as Unicode has.
+    """
     spark = df.sparkSession
+    counts = settle(piece_counts(df, text))
     order = (F.desc("n"), F.asc("piece"))
-    # The unpartitioned window ranks at most k rows; k is a setting, not data size.
-    top = (
-        piece_counts(df, text)
-        .orderBy(*order)
-        .limit(k)
-        .select(
-            (F.row_number().over(Window.orderBy(*order)) + F.lit(len(SPECIALS) - 1))
-            .cast("int")
-            .alias("token_id"),
-            "piece",
-        )
+    # The unpartitioned windows rank at most k pieces, and the characters of a corpus.
+    top = counts.orderBy(*order).limit(k).select(
+        F.row_number().over(Window.orderBy(*order)).alias("place"), "piece"
+    )
+    characters = counts.select(F.explode(F.split("piece", "")).alias("piece")).distinct()
+    others = (
+        characters.where("piece <> ''").join(top.select("piece"), "piece", "left_anti")
+        .select(F.row_number().over(Window.orderBy("piece")).alias("place"), "piece")
     )
-    specials = spark.createDataFrame(
-        list(enumerate(SPECIALS)), "token_id int, piece string"
+    known = settle(top.withColumn("kind", F.lit(0)).union(others.withColumn("kind", F.lit(1))))
+    n_top = known.where("kind = 0").count()
+    fixed = [*SPECIALS, *(f"<0x{b:02X}>" for b in range(BYTES))]
+    specials = spark.createDataFrame(list(enumerate(fixed)), "token_id int, piece string")
+    pieces_and_characters = known.select(
+        (F.col("place") + F.col("kind") * n_top + FIRST_PIECE - 1).cast("int").alias("token_id"), "piece"
     )
-    return Vocabulary(settle(specials.union(top).coalesce(1)))
+    return Vocabulary(settle(specials.union(pieces_and_characters).coalesce(1)))
 
 
 def with_pieces(df: DataFrame, text: str = "text", out: str = "pieces") -> DataFrame:
@@ -83,38 +92,107 @@ def truncate(
 ) -> DataFrame:
     """Drop pieces beyond the cap, leaving room for the special tokens.
 
-    Runs on pieces, before ids are looked up, so the dropped tail costs nothing and
-    the end token always survives.
+    Runs on pieces, before ids are looked up, so the dropped tail costs nothing. Each
+    piece has at least one id, so what is left still covers the cap.
     """
     return df.withColumn(col, F.slice(col, 1, max(max_length - specials, 0)))
 
 
+def spelled_out(piece: str, characters: dict[str, int]) -> list[int]:
+    """Ids of a piece outside the vocabulary: its characters, or else their bytes."""
+    ids = []
+    for c in piece:
+        found = characters.get(c)
+        ids += [found] if found is not None else [FIRST_BYTE + b for b in c.encode()]
+    return ids
+
+
 def _lookup(shipped: Broadcast):
     @arrow_udf("array<int>")
     def ids(lists: pa.Array) -> pa.Array:
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        found = pc.index_in(lists.flatten(), value_set=shipped.value)
-        starts = pc.subtract(lists.offsets, lists.offsets[0])
-        return pa.ListArray.from_arrays(starts, pc.fill_null(found, 0).cast(pa.int32()))
+        flat = lists.flatten()
+        starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        found = pc.index_in(flat, value_set=shipped.value)
+        if not found.null_count:
+            return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), found.cast(pa.int32()))
+        # Distinct pieces without an id are spelled once for the whole batch.
+        rare = pc.filter(flat, pc.is_null(found)).dictionary_encode()
+        names = rare.dictionary.to_pylist()
+        letters = sorted(set("".join(names)))
+        places = pc.index_in(pa.array(letters, pa.string()), value_set=shipped.value).to_pylist()
+        known = {c: i for c, i in zip(letters, places) if i is not None}
+        spelled = [spelled_out(n, known) for n in names]
+        sizes = np.array([len(x) for x in spelled])
+        begins = np.cumsum(sizes) - sizes
+        rare = rare.indices.to_numpy()
+        missing = pc.is_null(found).to_numpy(zero_copy_only=False)
+        each = np.ones(len(flat), np.int64)
+        each[missing] = sizes[rare]
+        ends = np.cumsum(each)
+        out = np.empty(int(ends[-1]), np.int32)
+        out[(ends - 1)[~missing]] = pc.drop_null(found).to_numpy()
+        counts = sizes[rare]
+        steps = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+        out[np.repeat((ends - each)[missing], counts) + steps] = np.concatenate(
+            [np.array(x, np.int32) for x in spelled]
+        )[np.repeat(begins[rare], counts) + steps]
+        bounds = np.append(0, ends)[starts]
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out))
 
     return ids
 
 
-def _ids_by_join(df: DataFrame, vocab: DataFrame, key: str, col: str, out: str) -> DataFrame:
-    salted_vocab = vocab.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    tokens = df.select(key, F.posexplode_outer(col).alias("_pos", "piece")).withColumn(
-        "_salt", F.pmod(F.hash(key, "_pos"), F.lit(SALTS))
+def salts(spark: SparkSession) -> int:
+    """Copies of a joined table, so that one piece making up most of a corpus is spread
+    over as many tasks as a shuffle has."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _bytes_of(character: Column) -> Column:
+    """Byte ids of a character."""
+    digits = F.hex(F.encode(character, "utf-8"))
+    return F.transform(
+        F.sequence(F.lit(1), F.length(digits), F.lit(2)),
+        lambda i: F.conv(F.substr(digits, i, F.lit(2)), 16, 10).cast("int") + FIRST_BYTE,
+    )
+
+
+def spellings(used: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``piece, ids`` for each distinct piece of ``used (piece)``."""
+    distinct = used.distinct().join(vocab, "piece", "left")
+    rare = distinct.where("token_id is null").select(
+        "piece", F.posexplode(F.filter(F.split("piece", ""), lambda c: c != "")).alias("at", "c")
+    )
+    letters = vocab.select(F.col("piece").alias("c"), F.col("token_id").alias("c_id"))
+    part = F.struct("at", F.when(F.col("c_id").isNull(), _bytes_of(F.col("c"))).otherwise(F.array("c_id")).alias("ids"))
+    spelled = rare.join(letters, "c", "left").groupBy("piece").agg(
+        F.flatten(F.array_sort(F.collect_list(part))["ids"]).alias("ids")
+    )
+    known = distinct.where("token_id is not null").select("piece", F.array("token_id").alias("ids"))
+    return known.union(spelled)
+
+
+def _ids_by_join(df: DataFrame, vocab: DataFrame, col: str, out: str) -> DataFrame:
+    """Ids by joins; rows are told apart by a number of their own, so ids may repeat or be null."""
+    rows = settle(df.withColumn("_row", F.uuid()))
+    n = salts(df.sparkSession)
+    table = spellings(rows.select(F.explode(col).alias("piece")), vocab).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    )
+    tokens = rows.select("_row", F.posexplode(col).alias("_pos", "piece")).withColumn(
+        "_salt", F.pmod(F.hash("_row", "_pos"), F.lit(n))
     )
-    token = F.struct("_pos", F.coalesce("token_id", F.lit(UNK_ID)).alias("id"))
-    rows = (
-        tokens.join(salted_vocab, ["piece", "_salt"], "left")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), token))).alias("_t"))
-        .select(key, F.col("_t.id").alias(out))
+    found = (
+        tokens.join(table, ["piece", "_salt"])
+        .groupBy("_row")
+        .agg(F.flatten(F.array_sort(F.collect_list(F.struct("_pos", "ids")))["ids"]).alias(out))
     )
-    return df.join(rows, key)
+    none = F.array().cast("array<int>")
+    return rows.join(found, "_row", "left").withColumn(out, F.coalesce(out, none)).drop("_row")
 
 
 def encode(
@@ -125,21 +203,24 @@ def encode(
     add_bos: bool = True,
     add_eos: bool = True,
     via: str = "auto",
+    max_length: int | None = None,
 ) -> DataFrame:
     """Adds ``input_ids``. Uses column ``pieces`` when present, else cuts ``text``.
 
     A vocabulary under the shipping limits is looked up inside each Arrow batch: no
-    row moves. A larger one is joined by piece, which needs a unique ``key``.
+    row moves. A larger one is joined by piece. Both keep every row, whether or not its
+    ``key`` is null or repeats. ``max_length`` counts the special tokens.
     """
     if "pieces" not in df.columns:
         df = with_pieces(df, text)
     shipped = None if via == "join" else vocab.shipped
     if shipped is not None:
         df = df.withColumn("input_ids", _lookup(shipped)("pieces"))
-    elif key is None:
-        raise ValueError("this vocabulary needs a join: name a unique key column")
     else:
-        df = _ids_by_join(df, vocab.table, key, "pieces", "input_ids")
+        df = _ids_by_join(df, vocab.table, "pieces", "input_ids")
+    if max_length is not None:
+        room = max(max_length - int(add_bos) - int(add_eos), 0)
+        df = df.withColumn("input_ids", F.slice("input_ids", 1, room))
     if add_bos or add_eos:
         bos = [F.array(F.lit(BOS_ID))] if add_bos else []
         eos = [F.array(F.lit(EOS_ID))] if add_eos else []
@@ -166,9 +247,8 @@ def tokenize(
     df = with_pieces(df, text)
     if max_length is not None:
         df = truncate(df, max_length, specials)
-    # The length follows from the pieces, so a plan that needs no ids looks none up.
-    df = df.withColumn("length", F.size("pieces") + F.lit(specials))
-    df = encode(df, vocab, key, text, add_bos, add_eos, via)
+    df = encode(df, vocab, key, text, add_bos, add_eos, via, max_length)
+    df = with_length(df)
     return df.withColumn("attention_mask", F.array_repeat(F.lit(1), F.col("length")))
 
 
@@ -207,8 +287,8 @@ def pad_batch(
 def causal_labels(df: DataFrame, pad_id: int = UNK_ID, out: str = "labels") -> DataFrame:
     """Labels are the ids with every pad id ignored.
 
-    Masks by id, not by attention mask: where pad and unknown share an id, genuine
-    unknown tokens are ignored too.
+    Masks by id, not by attention mask. The pad id is the unknown id by default; encoding
+    never gives a text that id.
     """
     ignored = F.lit(IGNORED_LABEL)
     return df.withColumn(
@@ -229,13 +309,23 @@ def _spell(shipped: Broadcast, first_id: int):
         import pyarrow.compute as pc
 
         flat = lists.flatten()
-        kept = pc.and_(pc.greater_equal(flat, first_id), pc.less(flat, len(shipped.value)))
-        words = shipped.value.take(pc.filter(flat, kept))
+        names = shipped.value
+        kept = pc.and_(pc.greater_equal(flat, first_id), pc.less(flat, len(names)))
+        whole = pa.concat_arrays([
+            names[:FIRST_BYTE].cast(pa.binary()), pa.array([bytes([b]) for b in range(BYTES)], pa.binary()),
+            names[FIRST_PIECE:].cast(pa.binary()),
+        ])
+        words = whole.take(pc.filter(flat, kept))
         # New offsets: how many kept ids precede each list.
         before = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False))])
         starts = before[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         rows = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), words)
-        return pc.binary_join(rows, "").cast(pa.string())
+        joined = pc.binary_join(rows, b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:  # drawn ids need not spell whole characters
+            texts = [None if t is None else t.decode("utf-8", "replace") for t in joined.to_pylist()]
+            return pa.array(texts, pa.string())
 
     return text
 
@@ -249,24 +339,30 @@ def decode(
     skip_special: bool = True,
     via: str = "auto",
 ) -> DataFrame:
-    """Adds the text the ids spell; special tokens are left out unless asked for."""
+    """Adds the text the ids spell; special tokens are left out unless asked for.
+
+    Bytes that spell no character read as U+FFFD.
+    """
     first_id = len(SPECIALS) if skip_special else 0
     shipped = None if via == "join" else vocab.shipped
     if shipped is not None:
         return df.withColumn(out, _spell(shipped, first_id)(ids))
-    if key is None:
-        raise ValueError("this vocabulary needs a join: name a unique key column")
-    salted_vocab = vocab.table.where(F.col("token_id") >= first_id).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    rows = settle(df.withColumn("_row", F.uuid()))
+    n = salts(df.sparkSession)
+    is_byte = F.col("token_id").between(FIRST_BYTE, FIRST_PIECE - 1)
+    spelled = F.when(is_byte, F.substr("piece", F.lit(4), F.lit(2))).otherwise(F.hex(F.encode("piece", "utf-8")))
+    table = vocab.table.where(F.col("token_id") >= first_id).select(
+        "token_id", spelled.alias("hex"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")
     )
-    tokens = df.select(key, F.posexplode_outer(ids).alias("_pos", "token_id")).withColumn(
-        "_salt", F.pmod(F.hash(key, "_pos"), F.lit(SALTS))
+    tokens = rows.select("_row", F.posexplode(ids).alias("_pos", "token_id")).withColumn(
+        "_salt", F.pmod(F.hash("_row", "_pos"), F.lit(n))
     )
-    token = F.struct("_pos", "piece")
-    rows = (
-        tokens.join(salted_vocab, ["token_id", "_salt"], "left")
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), token))).alias("_t"))
-        .select(key, F.array_join(F.col("_t.piece"), "").alias(out))
+    texts = (
+        tokens.join(table, ["token_id", "_salt"])
+        .groupBy("_row")
+        .agg(F.array_sort(F.collect_list(F.struct("_pos", "hex")))["hex"].alias("_hex"))
     )
-    return df.join(rows, key)
+    read = F.decode(F.unhex(F.array_join(F.coalesce("_hex", F.array().cast("array<string>")), "")), "utf-8")
+    return rows.join(texts, "_row", "left").withColumn(
+        out, F.when(F.col(ids).isNotNull(), read)
+    ).drop("_row", "_hex")

@@ -54,9 +54,7 @@ def _tokens(
 
 
 def _lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids and capped lengths; needs pieces but no vocabulary."""
-    cut = K.truncate(K.with_pieces(_documents(spark, sf_dir)))
-    return cut.select("doc_id", (F.size("pieces") + 2).alias("length"))
+    return _tokens(spark, sf_dir, K.MAX_LENGTH).select("doc_id", "length")
 
 
 # Sources and sinks
@@ -198,8 +196,7 @@ def encode(spark, sf_dir):
 
 
 def encode_by_join(spark, sf_dir):
-    docs = _documents(spark, sf_dir)
-    return _ids(K.encode(docs, _vocab(spark, sf_dir), key="doc_id", via="join"))
+    return _ids(K.encode(_documents(spark, sf_dir), _vocab(spark, sf_dir), via="join"))
 
 
 def truncate(spark, sf_dir):
@@ -207,10 +204,11 @@ def truncate(spark, sf_dir):
 
 
 def pad_batch(spark, sf_dir):
-    df = _tokens(spark, sf_dir, K.MAX_LENGTH)
-    ranked = B.shuffle_rank(df, "doc_id", SPLIT[1])
-    batched = ranked.withColumn("batch_id", F.expr(f"(rank - 1) div {BATCH}"))
-    return K.pad_batch(batched).select(
+    df = settle(_tokens(spark, sf_dir, K.MAX_LENGTH))
+    # Batches are planned on ids and lengths; the arrays move once, unpadded.
+    ranked = B.shuffle_rank(df.select("doc_id", "length"), "doc_id", SPLIT[1])
+    plan = B.rank_batches(ranked, BATCH).select("doc_id", "batch_id", "width")
+    return K.pad_batch(df.join(plan, "doc_id"), width="width").select(
         "doc_id",
         "batch_id",
         "length",
@@ -249,6 +247,28 @@ def decode(spark, sf_dir):
     )
 
 
+def decode_by_join(spark, sf_dir):
+    vocab = _vocab(spark, sf_dir)
+    df = K.decode(_tokens(spark, sf_dir, vocab=vocab), vocab, out="plain", via="join")
+    return df.select("doc_id", F.length("plain").alias("n_chars"), F.md5("plain").alias("plain_md5"))
+
+
+def round_trip(spark, sf_dir):
+    """A vocabulary of a few pieces still gives every text back, by either path."""
+    docs = _documents(spark, sf_dir)
+    small = K.build_vocab(docs, 64)
+    there = K.encode(docs, small)
+    back = K.decode(there, small, out="back").drop("input_ids")
+    joined = K.decode(K.encode(back, small, via="join"), small, out="joined", via="join")
+    unknown = F.size(F.filter("input_ids", lambda i: i == K.UNK_ID))
+    return joined.select(
+        "doc_id",
+        (F.col("back") == F.col("text")).alias("same"),
+        unknown.alias("n_unk"),
+        (F.col("joined") == F.col("text")).alias("same_joined"),
+    )
+
+
 # Split, shuffle, batches
 
 
@@ -489,8 +509,8 @@ def rendered_split(spark, sf_dir):
 
 
 def _shards(spark, sf_dir, config):
-    vocab = _vocab(spark, sf_dir)
     rows = fixtures.doc_instruct(spark, sf_dir)
+    vocab = K.build_vocab(flows.rendered(rows, config, P.INPUT_OUTPUT), VOCABULARY)
     saved = settle(flows.tokenized_split(rows, "rec_id", vocab, config, P.INPUT_OUTPUT))
     train = saved.where(F.col("split") == "train")
     path = new_path(spark, "shards")
@@ -556,6 +576,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "causal_labels": causal_labels,
     "only_full_length": only_full_length,
     "decode": decode,
+    "decode_by_join": decode_by_join,
+    "round_trip": round_trip,
     "shuffle_rank": shuffle_rank,
     "train_test_split": train_test_split,
     "epochs": epochs,

@@ -26,7 +26,7 @@ def _digest(ids: str) -> str:
 # Instruction tables
 
 INSTRUCT = """instruct as (
-  select x.conv_id * 1000 + x.turn as rec_id, x.text as instruction,
+  select x.conv_id || ':' || x.turn as rec_id, x.text as instruction,
          coalesce(sy.text, '') as input, x.nt as output
   from (select *, lead(role) over (partition by conv_id order by turn) as nr,
                   lead(text) over (partition by conv_id order by turn) as nt
@@ -67,24 +67,52 @@ def _inline(name: str, rows: str) -> str:
 
 DOC_PIECES = f"dp as (select doc_id as id, regexp_extract_all(text, '{PIECE}') as p from documents)"
 
-VOCAB = """vocab as (
-  select piece, cast(row_number() over (order by n desc, piece) + 2 as integer) as token_id
-  from (select piece, count(*) as n from (select unnest(p) as piece from dp)
-        group by piece order by n desc, piece limit 8192)),
-spelling as (select 0 as token_id, '<unk>' as piece union all select 1, '<s>'
-  union all select 2, '</s>' union all select token_id, piece from vocab)"""
+
+
+def _vocab(source: str) -> str:
+    """Pieces of ``source (id, p)`` from id 259 on, then characters of other pieces."""
+    return f"""counted as (select piece, count(*) as n from (select unnest(p) as piece from {source})
+        group by piece),
+top as (select piece, row_number() over (order by n desc, piece) as place from counted
+        order by n desc, piece limit 8192),
+letters as (select distinct unnest(regexp_extract_all(piece, '(?s:.)')) as piece from counted),
+rest as (select piece, row_number() over (order by piece) as place
+         from letters anti join top using (piece)),
+vocab as (select piece, (place + 258)::integer as token_id from top
+  union all select piece, (place + 258 + (select count(*) from top))::integer from rest),
+spelling as (select 0 as token_id, '<unk>' as piece, hex(encode('<unk>')) as hex
+  union all select 1, '<s>', hex(encode('<s>')) union all select 2, '</s>', hex(encode('</s>'))
+  union all select (b + 3)::integer, '<0x' || printf('%02X', b) || '>', printf('%02X', b)
+    from (select unnest(range(256)) as b)
+  union all select token_id, piece, hex(encode(piece)) from vocab)"""
+
+
+VOCAB = _vocab("dp")
 
 
 def _encoded(name: str, source: str, cap: int | None = None, eos: bool = True) -> str:
     """``id, ids`` from ``id, p``; cap counts both special tokens."""
     p = f"p[1:{cap - 2}]" if cap else "p"
+    cut = f"[1:{cap - 2}]" if cap else ""
     end = "[2]" if eos else "[]::integer[]"
-    return f"""{name} as (
-  select s.id, list_concat(list_concat([1::integer], coalesce(b.l, []::integer[])), {end}) as ids
+    return f"""rare_{name} as (
+  select piece, unnest(regexp_extract_all(piece, '(?s:.)')) as c,
+    generate_subscripts(regexp_extract_all(piece, '(?s:.)'), 1) as pos
+  from (select distinct piece from (select unnest({p}) as piece from {source})
+        anti join vocab using (piece))),
+spelt_{name} as (
+  select r.piece, flatten(list(case when v.token_id is null
+      then list_transform(range(1, len(hex(encode(c))), 2),
+        lambda i: (('0x' || substr(hex(encode(c)), i, 2))::integer + 3)::integer)
+      else [v.token_id] end order by pos)) as ids
+  from rare_{name} r left join vocab v on v.piece = r.c group by r.piece
+  union all select piece, [token_id] from vocab),
+{name} as (
+  select s.id, list_concat(list_concat([1::integer], coalesce(b.l, []::integer[]){cut}), {end}) as ids
   from {source} s left join (
-    select t.id, list(coalesce(v.token_id, 0)::integer order by t.pos) as l
+    select t.id, flatten(list(v.ids order by t.pos)) as l
     from (select id, unnest({p}) as piece, generate_subscripts({p}, 1) as pos from {source}) t
-    left join vocab v on t.piece = v.piece group by t.id) b on s.id = b.id)"""
+    join spelt_{name} v on t.piece = v.piece group by t.id) b on s.id = b.id)"""
 
 
 DOC_TOKENS = (DOC_PIECES, VOCAB, _encoded("enc", "dp"))
@@ -264,11 +292,10 @@ MIXED = (
 
 def _tokenized(share: float, seed: int, layout, epochs: str) -> tuple[str, ...]:
     return (
-        DOC_PIECES,
-        VOCAB,
         DOC_INSTRUCT,
         layout("rendered", "doc_instruct"),
         f"rp as (select rec_id as id, regexp_extract_all(text, '{PIECE}') as p from rendered)",
+        _vocab("rp"),
         _encoded("enc", "rp", 512),
         _split("sp", "enc", share, seed),
         "train as (select id, ids, len(ids) as length from sp where split = 'train')",
@@ -303,9 +330,7 @@ def _placed_run(batch: int, accum: int, world: int, cap: int = 1 << 62) -> tuple
     )
 
 
-CAPPED_LENGTHS = f"""lens as (
-  select doc_id as id, least(len(regexp_extract_all(text, '{PIECE}')), 510) + 2 as length
-  from documents)"""
+CAPPED_LENGTHS = (*CUT_TOKENS, "lens as (select id, len(ids) as length from enc)")
 
 CHECKS: dict[str, str] = {
     "load_split": "select doc_id, lang, source, n_chars, md5(text) as text_md5 from documents",
@@ -403,14 +428,16 @@ CHECKS: dict[str, str] = {
     "decode": _query(
         *DOC_TOKENS,
         """spelled as (
-          select t.id, string_agg(case when t.i >= 3 then s.piece else '' end, '' order by t.pos)
-              as plain,
-            string_agg(s.piece, '' order by t.pos) as special
+          select t.id, decode(unhex(string_agg(case when t.i >= 3 then s.hex else '' end, ''
+              order by t.pos))) as plain,
+            decode(unhex(string_agg(s.hex, '' order by t.pos))) as special
           from (select id, unnest(ids) as i, generate_subscripts(ids, 1) as pos from enc) t
           join spelling s on s.token_id = t.i group by t.id)""",
         """select id as doc_id, length(plain)::integer as n_chars, md5(plain) as plain_md5,
         md5(special) as special_md5 from spelled""",
     ),
+    "round_trip": "select doc_id, true as same, 0 as n_unk, true as same_joined from documents",
+    "decode_by_join": _query(*DOC_TOKENS, "select doc_id, length(text)::integer as n_chars, md5(text) as plain_md5 from documents"),
     "shuffle_rank": """select doc_id,
         row_number() over (order by md5('45:' || doc_id), doc_id) as rank from documents""",
     "train_test_split": """select doc_id,
@@ -424,7 +451,7 @@ CHECKS: dict[str, str] = {
           as rank
         from (select doc_id, unnest([0, 1]) as epoch from documents)""",
     "length_batches": _query(
-        CAPPED_LENGTHS,
+        *CAPPED_LENGTHS,
         _ranked("ranked", "lens", "'45:' || id"),
         """placed as (select id, length, (rank - 1) // 200 as mega, row_number() over
           (partition by (rank - 1) // 200 order by length desc, id) - 1 as place from ranked)""",
@@ -534,7 +561,7 @@ CHECKS: dict[str, str] = {
           from pe e join requests r on r.id = e.id)""",
         _choices("[0.5, 0.75, 1.0]"),
         _continued("asked"),
-        """spelled as (select t.id, string_agg(s.piece, '' order by t.pos) as answer
+        """spelled as (select t.id, decode(unhex(string_agg(s.hex, '' order by t.pos))) as answer
           from (select id, unnest(drawn) as i, generate_subscripts(drawn, 1) as pos from answers) t
           join spelling s on s.token_id = t.i where t.i >= 3 group by t.id)""",
         """select r.id as prompt_id,
@@ -573,7 +600,7 @@ CHECKS: dict[str, str] = {
         "asked as (select id, ids, 1.0::double as t, 1024 as max_tokens from pe)",
         _choices("[1.0]", top_p=1.0),
         _continued("asked"),
-        """spelled as (select t.id, string_agg(s.piece, '' order by t.pos) as answer
+        """spelled as (select t.id, decode(unhex(string_agg(s.hex, '' order by t.pos))) as answer
           from (select id, unnest(drawn) as i, generate_subscripts(drawn, 1) as pos from answers) t
           join spelling s on s.token_id = t.i where t.i >= 3 group by t.id)""",
         """select a.id as prompt_id, length(coalesce(answer, ''))::integer as n_chars,

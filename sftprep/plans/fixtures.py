@@ -39,7 +39,7 @@ def instruct(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("_salt", F.pmod(F.col("turn"), F.lit(TURN_SALTS)).cast("int"))
         .join(system, ["conv_id", "_salt"], "left")
         .select(
-            (F.col("conv_id") * 1000 + F.col("turn")).alias("rec_id"),
+            F.concat_ws(":", "conv_id", "turn").alias("rec_id"),
             "instruction",
             F.coalesce("_system", F.lit("")).alias("input"),
             "output",

@@ -81,6 +81,11 @@ def rendered_split(
     return format_block(train_test_split(rows, id_col, config.test_size, config.seed), fields)
 
 
+def rendered(rows: DataFrame, config: RunConfig, fields: Fields = CONTEXT_RESPONSE) -> DataFrame:
+    """Texts in the run's layout: what its vocabulary should be counted on."""
+    return (format_inline if config.inline else format_block)(rows, fields)
+
+
 def tokenized_split(
     rows: DataFrame,
     id_col: str,
@@ -89,9 +94,8 @@ def tokenized_split(
     fields: Fields = CONTEXT_RESPONSE,
 ) -> DataFrame:
     """Texts in the run's layout as ids, labelled train or test."""
-    layout = format_inline if config.inline else format_block
-    rendered = layout(train_test_split(rows, id_col, config.test_size, config.seed), fields)
-    return tokenize(rendered, vocab, config.max_length, key=id_col)
+    split = train_test_split(rows, id_col, config.test_size, config.seed)
+    return tokenize(rendered(split, config, fields), vocab, config.max_length, key=id_col)
 
 
 def training_plan(rows: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
