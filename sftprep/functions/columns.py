@@ -34,10 +34,10 @@ def pieces(c: Column | str) -> Column:
 
 
 def shuffle_key(seed, *parts: Column | str) -> Column:
-    """Uniform 32-digit hex key of a row, repeatable for a seed."""
+    """Uniform 32-digit hex key of a row, repeatable for a seed; null reads as empty."""
     fields = [F.lit(str(seed))]
     for part in parts:
-        fields += [F.lit(":"), _column(part).cast("string")]
+        fields += [F.lit(":"), F.coalesce(_column(part).cast("string"), F.lit(""))]
     return F.md5(F.concat(*fields))
 
 

@@ -1,13 +1,17 @@
 """Seeded shuffle, exact split, epochs, length-grouped batches, steps and shards.
 
-Row ids must be unique and stable. Everything here orders rows by a hash of
-(seed, id), so the same seed gives the same result on any cluster, and a source or
-group of copies that makes up much of the data cannot make a bucket hot.
+Row ids must be stable. Everything here orders rows by a hash of (seed, id), so the
+same seed gives the same result on any cluster, and a source or group of copies that
+makes up much of the data cannot make a bucket hot. A null or repeated id keeps all its
+rows, but rows with one id are in no order among themselves; plans that are joined back
+by id refuse them (``unique_ids``).
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -60,16 +64,27 @@ def shuffle_rank(
     offsets = _bucket_offsets(keyed.select(*group, "_key"), digits, group)
     offsets = offsets.select(*group, "_bucket", "_before")
     inside = Window.partitionBy(*group, "_bucket").orderBy("_key", id_col)
-    # The bucket table is bounded by 16^digits rows per group; groups are epochs.
+    # Up to 16^digits rows per group; Spark broadcasts the table only if it is small.
+    placed = keyed.withColumn("_bucket", _bucket(F.col("_key"), digits)).withColumn(
+        "_place", F.row_number().over(inside)
+    )
+    same = [placed[c].eqNullSafe(offsets[c]) for c in [*group, "_bucket"]]
     return (
-        keyed.withColumn("_bucket", _bucket(F.col("_key"), digits))
-        .withColumn("_place", F.row_number().over(inside))
-        .join(F.broadcast(offsets), [*group, "_bucket"])
+        placed.join(offsets, reduce(and_, same))
+        .drop(*[offsets[c] for c in [*group, "_bucket"]])
         .withColumn(out, F.col("_before") + F.col("_place"))
         .select(*df.columns, out)
     )
 
 
+def unique_ids(df: DataFrame, id_col: str) -> int:
+    """The number of rows, after making sure that each has an id of its own."""
+    n, distinct = df.agg(F.count("*"), F.count_distinct(id_col)).first()
+    if n != distinct:
+        raise ValueError(f"{id_col} must be unique and not null: {n} rows have {distinct} ids")
+    return n
+
+
 def held_out_rows(n: int, test_size: float) -> int:
     """Rows of the test split: the share rounded up; training gets the rest."""
     return math.ceil(test_size * n)
@@ -171,6 +186,8 @@ def epochs(df: DataFrame, id_col: str, n_epochs: int, seed) -> DataFrame:
 
     Give it ids and lengths only; join wide columns back once batches are planned.
     """
+    if n_epochs < 1:
+        raise ValueError(f"at least one epoch, not {n_epochs}")
     repeated = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))))
     # Every 16 times more epochs take a digit less: the bucket table stays bounded.
     digits = BUCKET_DIGITS - math.ceil(math.log(max(n_epochs / 16, 1), 16))
@@ -218,6 +235,11 @@ def rank_batches(df: DataFrame, batch: int, group: list[str] | None = None) -> D
     )
 
 
+def step_cap(max_steps: int | None) -> int | None:
+    """The step cap of a run; none at 0 or below, as trainers read -1."""
+    return max_steps if max_steps is not None and max_steps > 0 else None
+
+
 def steps(
     df: DataFrame,
     batch: int,
@@ -226,7 +248,7 @@ def steps(
     max_steps: int | None = None,
     steps_per_epoch: int | None = None,
 ) -> DataFrame:
-    """Adds ``step``, the optimiser step a row's batch belongs to.
+    """Adds ``step``, the optimiser step a row's batch belongs to; -1 is no cap.
 
     Batches are dealt to ``world`` processes in turn and ``accum`` rounds make a
     step. Batches come from ``batch_id``, or from ``rank`` when there is none.
@@ -238,11 +260,27 @@ def steps(
     if "epoch" in df.columns and steps_per_epoch is not None:
         step = F.col("epoch") * F.lit(steps_per_epoch).cast("long") + step
     df = df.withColumn("step", step)
-    return df if max_steps is None else df.where(F.col("step") < max_steps)
+    cap = step_cap(max_steps)
+    return df if cap is None else df.where(F.col("step") < cap)
 
 
-def shard(df: DataFrame, world: int = 4) -> DataFrame:
-    """Adds ``worker``, the process that trains on the row's batch."""
+def shard(df: DataFrame, world: int = 4, even: bool = False, group: list[str] | None = None) -> DataFrame:
+    """Adds ``worker``, the process that trains on the row's batch.
+
+    With ``even``, the first batches of a group are repeated at its end until every
+    worker has the same number, so processes that train in step all reach the end.
+    """
+    if even:
+        last = df.groupBy(*(group or [])).agg((F.max("batch_id") + 1).alias("_batches"))
+        missing = F.pmod(-F.col("_batches"), F.lit(world))
+        counted = df.join(last, group) if group else df.withColumn("_batches", last.scalar())
+        # A table of fewer batches than workers repeats its batches in turn.
+        again = F.filter(
+            F.transform(F.sequence(F.lit(0), F.lit(world - 1)), lambda i: F.col("_batches") + i),
+            lambda b: (b - F.col("_batches") < missing)
+            & ((b - F.col("_batches")) % F.col("_batches") == F.col("batch_id")),
+        )
+        df = counted.withColumn("batch_id", F.explode(F.concat(F.array("batch_id"), again))).drop("_batches")
     return df.withColumn("worker", (F.col("batch_id") % world).cast("int"))
 
 
@@ -255,7 +293,13 @@ def run_plan(
     test_size: float = 0.1,
     max_steps: int | None = None,
 ) -> DataFrame:
-    """One row: how many rows, batches and steps a run over ``df`` takes."""
+    """One row: how many rows, batches and steps a run over ``df`` takes.
+
+    A ``max_steps`` above 0 overrides the number of epochs; others are no cap.
+    """
+    if n_epochs < 1:
+        raise ValueError(f"at least one epoch, not {n_epochs}")
+    cap = step_cap(max_steps)
     planned = (
         df.agg(F.count("*").alias("n_rows"))
         .withColumn("test_rows", F.ceil(F.lit(float(test_size)) * F.col("n_rows")))
@@ -266,7 +310,7 @@ def run_plan(
         )
         .withColumn("epoch_steps", F.col("steps_per_epoch") * F.lit(n_epochs).cast("long"))
     )
-    capped = F.col("epoch_steps") if max_steps is None else F.lit(max_steps).cast("long")
+    capped = F.col("epoch_steps") if cap is None else F.lit(cap).cast("long")
     return planned.withColumn("total_steps", capped).withColumn(
         "epochs_read", F.ceil(F.col("total_steps") / F.col("steps_per_epoch"))
     )

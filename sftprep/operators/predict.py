@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -359,7 +360,10 @@ def check_requests(df: DataFrame) -> DataFrame:
         F.when(F.col("prompt").isNull(), "prompt is null")
         .when(F.col("temperature").isNull(), "temperature is null")
         .when(F.col("max_tokens").isNull(), "max_tokens is null")
-        .when(~(F.col("temperature") > 0), "temperature must be positive")
+        .when(
+            ~(F.col("temperature") > 0) | F.isnan("temperature") | (F.col("temperature") == float("inf")),
+            "temperature must be positive",
+        )
         .when(F.col("max_tokens") < 1, "max_tokens must be at least 1"),
     )
 
@@ -409,17 +413,66 @@ def apply_rows(
     return df.mapInPandas(batches, schema)
 
 
+# What each Python worker has loaded, by the call that asked for it.
+_LOADED: dict[str, object] = {}
+
+
+def loaded(call: str, load: Callable[[], object]) -> object:
+    """The worker's model for a call; workers refer to this function by name, and so
+    keep what it has loaded."""
+    if call not in _LOADED:
+        _LOADED.clear()
+        _LOADED[call] = load()
+    return _LOADED[call]
+
+
 def apply_model(
     df: DataFrame,
     load: Callable[[], object],
     fn: Callable[[object, pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
 ) -> DataFrame:
-    """A caller's model over batches of rows, loaded once for each task."""
+    """A caller's model over batches of rows, loaded once for each Python worker.
+
+    A worker serves many tasks and keeps the model between them.
+    """
+    call = uuid.uuid4().hex
 
     def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        model = loaded(call, load)
         for part in parts:
             yield fn(model, part)
 
     return df.mapInPandas(batches, schema)
+
+
+def predict_with(
+    df: DataFrame,
+    load: Callable[[], object],
+    fn: Callable[[object, pd.DataFrame], pd.Series],
+) -> DataFrame:
+    """Answers a request table with a caller's model: adds ``generated_text`` and ``error``.
+
+    The table is checked as in ``check_requests``. ``fn`` gets the model and a batch of
+    good requests (``prompt``, ``temperature``, ``max_tokens``) and returns their texts.
+    Every row is answered, or says why it is not; an exception of ``fn`` falls back to
+    single rows, so it costs only the rows that raise it.
+    """
+    checked = check_requests(df)
+
+    def answer(model: object, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.assign(generated_text=None)
+        good = rows.index[rows["error"].isna()]
+        asked = rows.loc[good, ["prompt", "temperature", "max_tokens"]]
+        try:
+            rows.loc[good, "generated_text"] = list(fn(model, asked)) if len(asked) else []
+        except Exception:  # noqa: BLE001  the caller's function may raise anything
+            for i in good:
+                try:
+                    rows.loc[i, "generated_text"] = list(fn(model, asked.loc[[i]]))[0]
+                except Exception as failure:  # noqa: BLE001
+                    rows.loc[i, "error"] = f"{type(failure).__name__}: {failure}"
+        return rows
+
+    schema = StructType([*checked.schema.fields]).add("generated_text", StringType())
+    return apply_model(checked, load, answer, schema)

@@ -362,7 +362,8 @@ def decode(
         .groupBy("_row")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "hex")))["hex"].alias("_hex"))
     )
-    read = F.decode(F.unhex(F.array_join(F.coalesce("_hex", F.array().cast("array<string>")), "")), "utf-8")
+    spelled = F.unhex(F.array_join(F.coalesce("_hex", F.array().cast("array<string>")), ""))
+    read = F.make_valid_utf8(spelled.cast("string"))
     return rows.join(texts, "_row", "left").withColumn(
         out, F.when(F.col(ids).isNotNull(), read)
     ).drop("_row", "_hex")

@@ -311,6 +311,7 @@ def run_plan(spark, sf_dir):
         "adapter": flows.ADAPTER_RUN,
         "parallel": flows.PARALLEL_ADAPTER_RUN,
         "full": flows.FULL_RUN,
+        "uncapped": flows.RunConfig(max_steps=0, n_epochs=3),
     }
     out = None
     for name, c in runs.items():
@@ -500,6 +501,20 @@ def apply_model(spark, sf_dir):
     return G.apply_model(_documents(spark, sf_dir), load, grade, "doc_id long, grade int")
 
 
+def predict_with(spark, sf_dir):
+    """A caller's model: the pieces of a saved vocabulary, picked by the prompt's length."""
+    ranked = _vocab(spark, sf_dir).table.where(F.col("token_id") >= K.FIRST_PIECE)
+    common = [r["piece"] for r in ranked.orderBy("token_id").limit(50).collect()]
+
+    def answer(model: list[str], rows: pd.DataFrame) -> pd.Series:
+        return rows["prompt"] + rows["prompt"].str.len().map(lambda n: model[n % len(model)])
+
+    asked = _prediction_requests(spark, sf_dir)
+    return G.predict_with(asked, lambda: list(common), answer).select(
+        "prompt_id", F.md5("generated_text").alias("text_md5"), "error"
+    )
+
+
 # Whole runs
 
 
@@ -514,9 +529,8 @@ def _shards(spark, sf_dir, config):
     saved = settle(flows.tokenized_split(rows, "rec_id", vocab, config, P.INPUT_OUTPUT))
     train = saved.where(F.col("split") == "train")
     path = new_path(spark, "shards")
-    shards = flows.training_shards(train, "rec_id", config)
-    datasets.export_shards(shards, path)
-    return spark.read.schema(shards.schema).parquet(path).select(
+    flows.export_run(train, "rec_id", config, path)
+    return spark.read.parquet(path).select(
         "worker",
         "epoch",
         "step",
@@ -598,6 +612,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "generate_adapted": generate_adapted,
     "completion": completion,
     "predict": predict,
+    "predict_with": predict_with,
     "apply_rows": apply_rows,
     "apply_model": apply_model,
     "rendered_split": rendered_split,

@@ -473,7 +473,8 @@ CHECKS: dict[str, str] = {
     "run_plan": _query(
         INSTRUCT,
         """runs as (select * from (values ('adapter', 0.1::double, 4, 4, 1, 2, 1000),
-          ('parallel', 0.1::double, 4, 4, 4, 2, null), ('full', 0.2::double, 1, 1, 4, 2, null))
+          ('parallel', 0.1::double, 4, 4, 4, 2, null), ('full', 0.2::double, 1, 1, 4, 2, null),
+          ('uncapped', 0.1::double, 4, 4, 1, 3, null))
           r(run, share, batch, accum, world, epochs, cap))""",
         "sized as (select *, (select count(*) from instruct) as n_rows from runs)",
         "cut as (select *, ceil(share * n_rows)::bigint as test_rows from sized)",
@@ -570,6 +571,18 @@ CHECKS: dict[str, str] = {
                when t is null then 'temperature is null' end as error
         from requests r left join spelled s on s.id = r.id""",
     ),
+    "predict_with": _query(
+        DOC_PIECES,
+        VOCAB,
+        f"""requests as (select item_id as id,
+          case when item_id % 11 <> 3 then {SECTIONS} end as prompt,
+          case when item_id % 7 <> 2 then 1 end as t from benchmark)""",
+        """select id as prompt_id,
+          case when t is not null then md5(prompt || v.piece) end as text_md5,
+          case when prompt is null then 'prompt is null'
+               when t is null then 'temperature is null' end as error
+        from requests left join top v on v.place - 1 = length(prompt) % 50""",
+    ),
     "apply_rows": """select doc_id, len(string_split(text, chr(10)))::bigint as n_lines
         from documents""",
     "apply_model": """select doc_id, ((length(text) > 200)::integer

@@ -1,4 +1,4 @@
-"""End-to-end jobs: rendered splits, training shards, held-out loss, answers."""
+"""End-to-end jobs: rendered splits, training shards, answers."""
 
 from __future__ import annotations
 
@@ -14,8 +14,10 @@ from sftprep.operators.batches import (
     mega_factor,
     rank_batches,
     shard,
+    step_cap,
     steps,
     train_test_split,
+    unique_ids,
 )
 from sftprep.operators.lm import adapt, fit_lm
 from sftprep.operators.predict import candidates, completion, generate
@@ -36,6 +38,7 @@ from sftprep.operators.tokens import (
     pad_batch,
     tokenize,
 )
+from sftprep.sources.datasets import export_shards
 
 
 @dataclass(frozen=True)
@@ -48,26 +51,26 @@ class RunConfig:
     accum: int = 4
     world: int = 1
     n_epochs: int = 2
-    max_steps: int | None = None
+    max_steps: int | None = None  # 0 or below: no cap
     max_length: int | None = MAX_LENGTH
     by_length: bool = True
     inline: bool = False
+    even: bool = False  # repeat leading batches until all workers have as many
 
     def steps_per_epoch(self, train_rows: int) -> int:
         return max(1, math.ceil(train_rows / (self.batch * self.accum * self.world)))
 
     def epochs_read(self, train_rows: int) -> int:
         """A step cap overrides the number of epochs, in either direction."""
-        if self.max_steps is None:
-            return self.n_epochs
-        return math.ceil(self.max_steps / self.steps_per_epoch(train_rows))
+        cap = step_cap(self.max_steps)
+        return self.n_epochs if cap is None else math.ceil(cap / self.steps_per_epoch(train_rows))
 
 
 # Split, seed, batch and step settings of the three run kinds.
 ADAPTER_RUN = RunConfig(max_steps=1000)
 PARALLEL_ADAPTER_RUN = RunConfig(world=4)
 FULL_RUN = RunConfig(
-    test_size=0.2, seed=68, batch=1, accum=1, world=4, by_length=False, inline=True
+    test_size=0.2, seed=68, batch=1, accum=1, world=4, max_steps=-1, by_length=False, inline=True
 )
 
 
@@ -105,11 +108,12 @@ def training_plan(rows: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
     capped within its first epoch plans only the rows it will read.
     """
     lengths = rows.select(id_col, "length")
-    n = lengths.count()
+    n = unique_ids(lengths, id_col)
     n_epochs = config.epochs_read(n)
     mega = mega_factor(n, config.batch) if config.by_length else 1
-    if config.max_steps is not None and n_epochs == 1:
-        megas = math.ceil(config.max_steps * config.accum * config.world / mega)
+    cap = step_cap(config.max_steps)
+    if cap is not None and n_epochs == 1:
+        megas = math.ceil(cap * config.accum * config.world / mega)
         # The order of epoch 0; whole mega-batches, so that batches come out the same.
         lengths = first_rows(lengths, id_col, f"{config.seed}:0", megas * mega * config.batch)
     ordered = epochs(lengths, id_col, n_epochs, config.seed)
@@ -125,20 +129,34 @@ def training_plan(rows: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
         config.max_steps,
         config.steps_per_epoch(n),
     )
-    return shard(placed, config.world).drop("length", "rank")
+    return shard(placed, config.world, config.even, ["epoch"]).drop("length", "rank")
 
 
-def training_shards(rows: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
-    """Padded, labelled rows with their place in the run.
+def placed_rows(rows: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
+    """Rows with their place in the run, not yet padded.
 
     ``rows`` should be a saved or settled table: planning reads two of its columns and
-    the wide columns move once, in the join with the plan.
+    the ids move in the join with the plan.
     """
     plan = training_plan(rows, id_col, config)
-    placed = rows.select(id_col, "input_ids", "length").join(plan, id_col)
+    return rows.select(id_col, "input_ids", "length").join(plan, id_col)
+
+
+def padded(placed: DataFrame) -> DataFrame:
+    """Padded and labelled rows; row by row, so it belongs after the last shuffle."""
     return causal_labels(pad_batch(placed, width="width"))
 
 
+def training_shards(rows: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
+    """Padded, labelled rows with their place in the run."""
+    return padded(placed_rows(rows, id_col, config))
+
+
+def export_run(rows: DataFrame, id_col: str, config: RunConfig, path: str) -> None:
+    """Writes the shards of a run; ids move unpadded and are padded where they are written."""
+    export_shards(placed_rows(rows, id_col, config), path, finish=padded)
+
+
 def adapted_candidates(base: DataFrame, domain: DataFrame, weight: float) -> DataFrame:
     """What a base model adapted to a domain draws from, given the tokens of both.
 
@@ -149,7 +167,7 @@ def adapted_candidates(base: DataFrame, domain: DataFrame, weight: float) -> Dat
     return candidates(mixed, weight="p", overall=base_lm)
 
 
-# A request list is answered from the full distribution, at length.
+# A request list is answered at length, without a nucleus cut.
 REQUEST_TOKENS, REQUEST_TOP_P = 1024, 1.0
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -59,19 +61,23 @@ def save_dataset(
     df.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
 
 
-def export_shards(df: DataFrame, path: str, partitions: int | None = None) -> None:
+STEPS_PER_FILE = 512
+
+
+def export_shards(
+    df: DataFrame,
+    path: str,
+    steps_per_file: int = STEPS_PER_FILE,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Writes one folder per worker, batches whole and in training order.
 
-    Range-partitioned by (worker, step, batch): a worker's rows are spread over
-    many tasks and each file holds one contiguous stretch of its training order.
-    Without ``partitions`` the session's shuffle setting and AQE size the files.
+    A worker's rows are cut into stretches of ``steps_per_file`` steps and dealt by
+    (worker, stretch), which needs no sample of the rows; a stretch is never split. Rows
+    lie in training order within a file. ``finish`` is applied to rows where they are
+    written, so what it adds (padding, labels) is never shuffled.
     """
     order = [c for c in ("worker", "step", "batch_id", "slot") if c in df.columns]
-    # Splitting on these never cuts a batch in two, and no key holds many rows.
-    stretch = [c for c in order if c != "slot"]
-    ranged = (
-        df.repartitionByRange(*stretch)
-        if partitions is None
-        else df.repartitionByRange(partitions, *stretch)
-    )
-    ranged.sortWithinPartitions(*order).write.partitionBy("worker").parquet(path)
+    stretch = F.expr(f"step div {steps_per_file}")
+    dealt = df.repartition("worker", stretch).sortWithinPartitions(*order)
+    (finish(dealt) if finish else dealt).write.partitionBy("worker").parquet(path)

@@ -13,7 +13,6 @@ from pyspark.sql.types import StructType
 
 from sftprep.operators.prompts import INPUT_OUTPUT, Fields, format_block
 from sftprep.operators.tokens import MAX_LENGTH, Vocabulary, causal_labels, tokenize
-from sftprep.session import new_path
 
 
 def read_rows(
@@ -31,13 +30,17 @@ def prepare_rows(
 ) -> DataFrame:
     """Rendered, tokenized and labelled rows; stateless, so no watermark is needed."""
     if vocab.shipped is None:
-        raise ValueError("this vocabulary needs a join by row; encode it in batch")
+        raise ValueError("this vocabulary is over the shipping limits; encode in batch")
     return causal_labels(tokenize(format_block(rows, fields), vocab, max_length))
 
 
 def write_rows(df: DataFrame, path: str, progress: str | None = None, **trigger) -> StreamingQuery:
-    """Appends to parquet exactly once per input file; ``trigger`` as in Spark."""
-    progress = progress or new_path(df.sparkSession, "progress")
+    """Appends to parquet exactly once per input file; ``trigger`` as in Spark.
+
+    What has been read is noted in ``progress``, by default inside the output folder, so
+    a later call with the same output goes on where the last one ended.
+    """
+    progress = progress or f"{path.rstrip('/')}/_progress"
     return (
         df.writeStream.format("parquet")
         .option("checkpointLocation", progress)

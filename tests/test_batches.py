@@ -124,7 +124,7 @@ def test_peek_is_a_top_n(rows):
 def test_training_plan_places_every_row_once_an_epoch(rows, config):
     plan = flows.training_plan(rows, "id", config)
     got = plan.collect()
-    if config.max_steps is None:
+    if B.step_cap(config.max_steps) is None:
         assert len(got) == 2 * 1003
     else:
         assert len(got) == config.max_steps * config.batch * config.accum * config.world
@@ -164,3 +164,49 @@ def test_planning_reads_ids_and_lengths_only(spark, rows, tmp_path):
     shards = flows.training_shards(saved, "id", flows.PARALLEL_ADAPTER_RUN)
     bad = shards.where("size(input_ids) <> width or size(labels) <> width")
     assert bad.count() == 0 and shards.count() == 2 * 1003
+
+
+@pytest.mark.parametrize("cap", [-1, 0, None])
+def test_no_cap(rows, cap):
+    config = flows.RunConfig(max_steps=cap)
+    plan = flows.training_plan(rows, "id", config)
+    assert plan.count() == 2 * 1003 and plan.agg(F.min("epoch")).first()[0] == 0
+    one = B.run_plan(rows, 4, 4, 1, 2, 0.1, cap).first()
+    assert (one.total_steps, one.epochs_read) == (114, 2)
+    ranked = B.shuffle_rank(rows, "id", 45)
+    assert B.steps(ranked, 4, max_steps=cap).count() == 1003
+
+
+def test_epochs_below_one_are_refused(rows):
+    with pytest.raises(ValueError):
+        B.epochs(rows, "id", 0, 45)
+    with pytest.raises(ValueError):
+        B.run_plan(rows, n_epochs=0)
+
+
+def test_null_and_repeated_ids_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, 5), (None, 5), (3, 5), (3, 6)], "id int, length int")
+    assert sorted(r["rank"] for r in B.shuffle_rank(df, "id", 45).collect()) == [1, 2, 3, 4]
+    with pytest.raises(ValueError):
+        flows.training_plan(df, "id", flows.FULL_RUN)
+
+
+@pytest.mark.parametrize("n,world", [(903, 4), (5, 4), (1, 4), (8, 4), (1, 3)])
+def test_even_workers(spark, n, world):
+    df = spark.range(n).withColumn("batch_id", F.expr("id div 2")).withColumn("epoch", F.lit(0))
+    for group in (None, ["epoch"]):
+        got = B.shard(df, world, even=True, group=group)
+        each = {r["worker"]: r["n"] for r in got.groupBy("worker").agg(F.count_distinct("batch_id").alias("n")).collect()}
+        assert len(each) == world and len(set(each.values())) == 1
+        assert got.select("id").distinct().count() == n
+
+
+def test_padding_comes_after_the_last_shuffle(spark, rows, tmp_path):
+    wide = rows.withColumn("input_ids", F.array_repeat(F.lit(5), F.col("length")))
+    wide.write.parquet(str(tmp_path / "rows"))
+    saved = spark.read.parquet(str(tmp_path / "rows"))
+    placed = flows.placed_rows(saved, "id", flows.PARALLEL_ADAPTER_RUN)
+    assert "array_repeat" not in plan_of(placed)
+    flows.export_run(saved, "id", flows.PARALLEL_ADAPTER_RUN, str(tmp_path / "shards"))
+    got = spark.read.parquet(str(tmp_path / "shards"))
+    assert got.count() == 2 * 1003 and got.where("size(labels) <> width").count() == 0

@@ -164,3 +164,37 @@ def test_caller_functions(documents):
 
     rooted = G.apply_model(documents, load, root, "doc_id long, root double")
     assert rooted.where(F.abs(F.col("root") - F.sqrt("doc_id")) > 1e-12).count() == 0
+
+
+def test_models_are_loaded_once_a_worker(spark, tmp_path):
+    mark = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(os.path.join(mark, f"{os.getpid()}-{uuid.uuid4().hex}"), "w").close()
+        return 1
+
+    df = spark.range(200).repartition(40)
+    got = G.apply_model(df, load, lambda m, rows: rows.assign(one=m), "id long, one long")
+    assert got.count() == 200
+    import os
+
+    loads = [name.split("-")[0] for name in os.listdir(mark)]
+    assert 1 <= len(loads) == len(set(loads)) <= 16
+
+
+def test_predict_with_answers_every_row(spark):
+    rows = [(1, "a", 1.0), (2, None, 1.0), (3, "bad", 1.0), (4, "d", float("nan")), (5, "e", float("inf"))]
+    df = spark.createDataFrame(rows, "id int, prompt string, temperature double")
+
+    def answer(model, rows):
+        if (rows["prompt"] == "bad").any():
+            raise ValueError("no answer")
+        return rows["prompt"] + model
+
+    got = {r["id"]: (r["generated_text"], r["error"]) for r in G.predict_with(df, lambda: "!", answer).collect()}
+    assert got[1] == ("a!", None) and got[2] == (None, "prompt is null")
+    assert got[3] == (None, "ValueError: no answer")
+    assert got[4] == got[5] == (None, "temperature must be positive")

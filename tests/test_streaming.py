@@ -15,3 +15,13 @@ def test_arriving_rows_are_prepared_like_stored_ones(spark, edge_rows, vocab, tm
         edge_rows.write.mode("append").parquet(source)
     stored = causal_labels(tokenize(format_block(edge_rows), vocab))
     assert got.distinct().exceptAll(stored.select(got.columns)).count() == 0
+
+
+def test_a_second_call_goes_on_where_the_first_ended(spark, edge_rows, vocab, tmp_path):
+    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    arriving = None
+    for expected in (9, 18):
+        edge_rows.write.mode("append").parquet(source)
+        arriving = arriving or read_rows(spark, source, edge_rows.schema)
+        write_rows(prepare_rows(arriving, vocab), sink).awaitTermination(120)
+        assert spark.read.parquet(sink).count() == expected

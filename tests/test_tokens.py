@@ -27,8 +27,10 @@ def test_vocab_order(documents, vocab):
         counted.update(row["p"])
     want = sorted(counted, key=lambda p: (-counted[p], p.encode()))[:500]
     got = [r["piece"] for r in vocab.table.orderBy("token_id").collect()]
-    assert got == ["<unk>", "<s>", "</s>", *want]
-    assert vocab.size == 503
+    assert got[:3] == ["<unk>", "<s>", "</s>"] and got[3] == "<0x00>" and got[258] == "<0xFF>"
+    assert got[259:759] == want
+    letters = {c for p in counted for c in p} - set(want)
+    assert got[759:] == sorted(letters) and vocab.size == len(got)
 
 
 def test_hot_piece_is_counted_before_the_shuffle(spark):
@@ -63,20 +65,35 @@ def test_encode_by_lookup_and_by_join_agree(documents, edge_rows, vocab, max_len
 def test_lookup_moves_no_rows(documents, vocab):
     plan = plan_of(K.tokenize(documents, vocab))
     assert "ArrowEvalPython" in plan and "Exchange" not in plan
-    lengths = plan_of(K.tokenize(documents, vocab).select("doc_id", "length"))
-    assert "Python" not in lengths
+
+
+def test_hot_unknown_pieces_are_spelled(spark):
+    """Characters and emoji no corpus had come back too, by either path."""
+    small = K.build_vocab(spark.createDataFrame([("ab cd ab",)], "text string"), 2)
+    rows = [(1, "ab abcd xyz"), (2, "肺がん 😀\u0000"), (None, "new"), (None, "new"), (5, ""), (6, None), (7, "<0x41> <unk>")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    for via in ("auto", "join"):
+        ids = K.encode(df, small, via=via)
+        back = K.decode(ids, small, via=via)
+        got = sorted((str(r["id"]), r["text"] or "", r["decoded"]) for r in back.collect())
+        assert got == sorted((str(i), t or "", t or "") for i, t in rows)
+        assert ids.where(F.array_contains("input_ids", K.UNK_ID)).count() == 0
+
+
+def test_broken_bytes_read_as_replacement(spark, vocab):
+    df = spark.createDataFrame([([1, 3 + 0xC3, 3 + 0x41, 2],)], "input_ids array<int>")
+    got = [K.decode(df, vocab, via=via).first()["decoded"] for via in ("auto", "join")]
+    assert got == ["\ufffdA", "\ufffdA"]
 
 
 def test_a_vocabulary_over_the_limit_is_joined(documents, vocab, monkeypatch):
     monkeypatch.setattr("sftprep.session.MAX_SHIPPED_ROWS", 10)
     large = K.Vocabulary(vocab.table)
     assert large.shipped is None
-    with pytest.raises(ValueError):
-        K.encode(documents, large)
-    got = K.tokenize(documents, large, key="doc_id").select("doc_id", "input_ids")
+    got = K.tokenize(documents, large).select("doc_id", "input_ids")
     want = K.tokenize(documents, vocab).select("doc_id", "input_ids")
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
-    text = K.decode(K.tokenize(documents, large, key="doc_id"), large, "doc_id")
+    text = K.decode(K.tokenize(documents, large), large)
     same = K.decode(K.tokenize(documents, vocab), vocab).select("doc_id", "decoded")
     assert text.select("doc_id", "decoded").exceptAll(same).count() == 0
 
