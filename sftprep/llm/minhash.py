@@ -218,7 +218,7 @@ def near_duplicates(
     known = sketches.where("doc_id is not null and n_shingles > 0")
     classes = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
     heads = known.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi")
-    entries = heads.select("doc_id", F.explode("bands").alias("band")).distinct()
+    entries = heads.select("doc_id", F.explode("bands").alias("band"))
     crowds = entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     crowded = keep(entries.join(crowds, "band"))
     score = crowded.groupBy("doc_id").agg(F.sum("n").alias("score"))
@@ -274,6 +274,9 @@ def near_duplicates(
                 (F.col("settled") | F.coalesce("drawn", F.lit(False))).alias("settled"),
             )
         )
+        # A bucket with nobody left to take a turn is done with.
+        waiting = members.where("not settled").select("band").distinct()
+        members = keep(members.join(waiting, "band", "left_semi"))
     named = sketches.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     out = named.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "doc_id", "n_shingles",
