@@ -17,8 +17,10 @@ LEAST_WORDS = 8
 _PRIME = (1 << 31) - 1
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(line, "[ \\t\\x0b\\x0c\\r]+"), lambda w: w != "")
+def _normal(line: Column) -> Column:
+    """The words of a line with one space between them."""
+    spaced = F.translate(line, "\t\x0b\x0c\r", "    ")
+    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
 
 
 def _weight(word: Column, place: Column, seed: int) -> Column:
@@ -28,18 +30,18 @@ def _weight(word: Column, place: Column, seed: int) -> Column:
     return F.pmod(value * factor, F.lit(_PRIME))
 
 
-def _halves() -> Column:
+def _halves(words: Column) -> Column:
     """Keys of the leading and trailing halves of a line.
 
     One edit leaves the first or the last half of the shorter line untouched, so near
     lines share a key. The shorter line has as many words as this one, or one fewer.
     """
-    size = F.size("words")
+    size = F.size(words)
     keys = []
     for half in (F.floor(size / 2), F.floor((size - 1) / 2)):
         half = half.cast("int")
-        keys.append(F.xxhash64(F.lit("head"), half, F.slice("words", F.lit(1), half)))
-        keys.append(F.xxhash64(F.lit("tail"), half, F.slice("words", size - half + 1, half)))
+        keys.append(F.xxhash64(F.lit("head"), half, F.slice(words, F.lit(1), half)))
+        keys.append(F.xxhash64(F.lit("tail"), half, F.slice(words, size - half + 1, half)))
     return F.array_distinct(F.array(*keys))
 
 
@@ -115,6 +117,16 @@ def near_earlier(suspects: DataFrame) -> DataFrame:
     ).select("line", "near")
 
 
+def _cut(texts: DataFrame, *beside: str) -> DataFrame:
+    """One row per line that has words: ``doc_id, at, line_text``."""
+    lines = texts.select("doc_id", *beside, F.posexplode(F.split("text", "\n")).alias("at", "line_text"))
+    return lines.withColumn("line_text", _normal(F.col("line_text"))).where("line_text <> ''")
+
+
+def _key() -> Column:
+    return F.unhex(F.md5("line_text")).alias("line")
+
+
 def line_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS
 ) -> DataFrame:
@@ -130,27 +142,25 @@ def line_dedup(
     verified on the words.
     """
     texts = texts_of(docs, id_col, text_col)
-    cut = (
-        texts.where("doc_id is not null")
-        .select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "words"))
-        .withColumn("words", _words(F.col("words")))
-        .where(F.size("words") > 0)
-        .withColumn("line", F.unhex(F.md5(F.array_join("words", " "))))
-    )
-    halves = F.when(F.size("words") >= least_words, _halves()).alias("halves")
-    places = keep(cut.select("doc_id", "at", "line", halves))
+    cut = _cut(texts.where("doc_id is not null"))
+    words = F.split("line_text", " ")
+    halves = F.when(F.size(words) >= least_words, _halves(words)).alias("halves")
+    places = keep(cut.select("doc_id", "at", _key(), halves))
     firsts = keep(
         places.groupBy("line").agg(
             F.min(F.struct("doc_id", "at")).alias("first"), F.first("halves").alias("halves")
         )
     )
     # The words of a distinct line are those at its first place.
-    wanted = firsts.join(_suspects(firsts), "line", "left_semi").select(
-        F.col("first.doc_id").alias("doc_id"), F.col("first.at").alias("at"), "first"
+    wanted = (
+        firsts.join(_suspects(firsts), "line", "left_semi")
+        .groupBy(F.col("first.doc_id").alias("doc_id"))
+        .agg(F.collect_list("first.at").alias("wanted"))
     )
     suspects = keep(
-        cut.join(wanted, ["doc_id", "at"])
-        .select("line", "first", "words")
+        _cut(texts.join(wanted, "doc_id"), "wanted")
+        .where(F.array_contains("wanted", F.col("at")))
+        .select(_key(), F.struct("doc_id", "at").alias("first"), words.alias("words"))
         .dropDuplicates(["line"])
     )
     near = near_earlier(suspects).select("line", F.lit(True).alias("near"))
