@@ -16,9 +16,6 @@ from sftprep.operators.tokens import UNK_ID
 
 # Share of the bigram estimate in a mixed probability; the rest is add-one unigram.
 BIGRAM_SHARE = 0.7
-# States are columns of one aggregation, so their number is bounded; a longer run
-# saves less often.
-MAX_CHECKPOINTS = 100
 
 
 def bigrams(
@@ -80,53 +77,42 @@ def adapt(base: DataFrame, domain: DataFrame, weight: float = 0.5) -> DataFrame:
 
 def checkpoint_counts(
     tokens: DataFrame,
-    n_checkpoints: int,
     interval: Column | str = "interval",
     ids: str = "input_ids",
     pad_id: int = UNK_ID,
 ) -> DataFrame:
-    """``(prev, next, counts)``: the count of each pair as of every checkpoint.
+    """``(prev, next, interval, n)``: what each save interval adds to each pair.
 
-    Checkpoint i holds the rows of intervals 0 to i - 1. Pairs are counted per
-    interval first, with one counter in the map-side pass over every token; the
-    states are sums over those few rows. Settle the result when it is read twice.
+    Checkpoint i is the sum of intervals 0 to i - 1. Pairs are counted map-side in the
+    one pass over tokens; everything later reads these rows, so settle them.
     """
-    if not 1 <= n_checkpoints <= MAX_CHECKPOINTS:
-        raise ValueError(f"between 1 and {MAX_CHECKPOINTS} checkpoints, not {n_checkpoints}")
     interval = F.col(interval) if isinstance(interval, str) else interval
-    fresh = (
-        bigrams(tokens, interval.alias("_at"), ids=ids, pad_id=pad_id)
-        .groupBy("prev", "next", "_at")
-        .agg(F.count("*").alias("_n"))
+    return (
+        bigrams(tokens, interval.cast("int").alias("interval"), ids=ids, pad_id=pad_id)
+        .groupBy("prev", "next", "interval")
+        .agg(F.count("*").alias("n"))
     )
-    states = [
-        F.sum(F.when(F.col("_at") <= i, F.col("_n")).otherwise(0)) for i in range(n_checkpoints)
-    ]
-    return fresh.groupBy("prev", "next").agg(F.array(*states).alias("counts"))
 
 
-def checkpoints(
-    tokens: DataFrame,
-    n_checkpoints: int,
-    interval: Column | str = "interval",
-    ids: str = "input_ids",
-    pad_id: int = UNK_ID,
-) -> DataFrame:
-    """Full model state at each checkpoint: ``(checkpoint, prev, next, n)``."""
+def _standing(fresh: DataFrame, n_checkpoints: int, *keys: str) -> DataFrame:
+    """``(checkpoint, keys, n)``: running sums, one row per key and checkpoint it is in."""
+    own = Window.partitionBy(*keys).orderBy("interval")
+    until = F.least(F.coalesce(F.lead("interval").over(own), F.lit(n_checkpoints)), F.lit(n_checkpoints))
     return (
-        checkpoint_counts(tokens, n_checkpoints, interval, ids, pad_id)
-        .select("prev", "next", F.posexplode("counts").alias("_i", "n"))
-        .where(F.col("n") > 0)
-        .select((F.col("_i") + 1).alias("checkpoint"), "prev", "next", "n")
+        fresh.where(F.col("interval") < n_checkpoints)
+        .select(*keys, "interval", F.sum("n").over(own).alias("n"), until.alias("until"))
+        .select(F.explode(F.sequence(F.col("interval") + 1, F.col("until"))).alias("checkpoint"), *keys, "n")
     )
 
 
-def _sums(counts: str, n: int) -> Column:
-    return F.array(*[F.sum(F.col(counts)[i]) for i in range(n)])
+def checkpoints(fresh: DataFrame, n_checkpoints: int) -> DataFrame:
+    """Full model state at each checkpoint, ``(checkpoint, prev, next, n)``, from
+    ``checkpoint_counts``."""
+    return _standing(fresh, n_checkpoints, "prev", "next")
 
 
 def checkpoint_losses(
-    model: DataFrame,
+    fresh: DataFrame,
     n_checkpoints: int,
     eval_tokens: DataFrame,
     bigram_share: float = BIGRAM_SHARE,
@@ -135,44 +121,48 @@ def checkpoint_losses(
 ) -> DataFrame:
     """``(checkpoint, eval_loss, eval_tokens)`` of the states in ``checkpoint_counts``.
 
-    Held-out pairs are counted first, so a frequent pair is one row in every join.
+    Held-out pairs are counted first, so a frequent pair is one row in every join, and
+    only what they name is summed up. Rows grow with held-out pairs times checkpoints,
+    never with full states.
     """
-    span = range(n_checkpoints)
-    contexts = model.groupBy("prev").agg(_sums("counts", n_checkpoints).alias("in_context"))
-    unigrams = model.groupBy("next").agg(_sums("counts", n_checkpoints).alias("alone"))
-    totals = unigrams.agg(
-        F.struct(
-            _sums("alone", n_checkpoints).alias("tokens"),
-            F.array(*[F.count(F.when(F.col("alone")[i] > 0, True)) for i in span]).alias("types"),
-        ).alias("totals")
-    ).scalar()
+    fresh = fresh.where(F.col("interval") < n_checkpoints)
     held_out = (
         bigrams(eval_tokens, ids=ids, pad_id=pad_id)
         .groupBy("prev", "next")
         .agg(F.count("*").alias("weight"))
     )
-    matched = (
-        held_out.join(model, ["prev", "next"], "left")
-        .join(contexts, "prev", "left")
-        .join(unigrams, "next", "left")
-        .withColumn("totals", totals)
-    )
 
-    def loss(i: int) -> Column:
-        pair = F.coalesce(F.try_divide(F.col("counts")[i], F.col("in_context")[i]), F.lit(0.0))
-        alone = (F.coalesce(F.col("alone")[i], F.lit(0)) + 1) / (
-            F.col("totals.tokens")[i] + F.col("totals.types")[i] + 1
-        )
-        p = F.lit(bigram_share) * pair + F.lit(1.0 - bigram_share) * alone
-        return F.sum(-F.log(p) * F.col("weight")) / F.sum("weight")
+    def standing(*keys: str) -> DataFrame:
+        wanted = fresh.join(held_out.select(*keys).distinct(), list(keys), "left_semi")
+        return _standing(wanted.groupBy(*keys, "interval").agg(F.sum("n").alias("n")), n_checkpoints, *keys)
 
-    return (
-        matched.agg(
-            F.array(*[loss(i) for i in span]).alias("_losses"),
-            F.sum("weight").alias("eval_tokens"),
-        )
-        .select(F.posexplode("_losses").alias("_i", "eval_loss"), "eval_tokens")
-        .select((F.col("_i") + 1).alias("checkpoint"), "eval_loss", "eval_tokens")
+    points = fresh.sparkSession.range(1, n_checkpoints + 1).select(F.col("id").cast("int").alias("checkpoint"))
+    alone = fresh.groupBy("next", "interval").agg(F.sum("n").alias("n"))
+    new_types = alone.groupBy("next").agg(F.min("interval").alias("interval")).groupBy("interval").agg(
+        F.count("*").alias("types")
+    )
+    added = alone.groupBy("interval").agg(F.sum("n").alias("tokens")).join(new_types, "interval", "left")
+    # One row per checkpoint: the window without a key is bounded by the run settings.
+    so_far = Window.orderBy("checkpoint").rowsBetween(Window.unboundedPreceding, 0)
+    totals = points.join(added.withColumn("checkpoint", F.col("interval") + 1), "checkpoint", "left").select(
+        "checkpoint",
+        F.coalesce(F.sum("tokens").over(so_far), F.lit(0)).alias("tokens"),
+        F.coalesce(F.sum("types").over(so_far), F.lit(0)).alias("types"),
+    )
+    every = F.explode(F.sequence(F.lit(1), F.lit(n_checkpoints))).alias("checkpoint")
+    matched = (
+        held_out.select("prev", "next", "weight", every)
+        .join(standing("prev", "next").withColumnRenamed("n", "pairs"), ["checkpoint", "prev", "next"], "left")
+        .join(standing("prev").withColumnRenamed("n", "in_context"), ["checkpoint", "prev"], "left")
+        .join(standing("next").withColumnRenamed("n", "alone"), ["checkpoint", "next"], "left")
+        .join(totals, "checkpoint")
+    )
+    pair = F.coalesce(F.try_divide("pairs", "in_context"), F.lit(0.0))
+    single = (F.coalesce("alone", F.lit(0)) + 1) / (F.col("tokens") + F.col("types") + 1)
+    p = F.lit(bigram_share) * pair + F.lit(1.0 - bigram_share) * single
+    return matched.groupBy("checkpoint").agg(
+        (F.sum(-F.log(p) * F.col("weight")) / F.sum("weight")).alias("eval_loss"),
+        F.sum("weight").alias("eval_tokens"),
     )
 
 
@@ -184,8 +174,8 @@ def eval_loss(
     pad_id: int = UNK_ID,
 ) -> DataFrame:
     """One row: mean negative log probability per held-out label."""
-    state = lm.select("prev", "next", F.array("n").alias("counts"))
-    return checkpoint_losses(state, 1, eval_tokens, bigram_share, ids, pad_id).select(
+    fresh = lm.select("prev", "next", F.lit(0).alias("interval"), "n")
+    return checkpoint_losses(fresh, 1, eval_tokens, bigram_share, ids, pad_id).select(
         "eval_loss", "eval_tokens"
     )
 
@@ -197,22 +187,19 @@ def best_checkpoint(losses: DataFrame) -> DataFrame:
     ).select("_b.checkpoint", "_b.eval_loss")
 
 
-def metrics(rows: DataFrame, losses: DataFrame, rows_per_step: int) -> DataFrame:
+def metrics(rows: DataFrame, losses: DataFrame) -> DataFrame:
     """Per checkpoint: steps, rows and tokens seen so far, and held-out loss.
 
-    ``rows`` needs only ``interval`` and ``length``.
+    ``rows`` needs only ``interval``, ``step`` and ``length``.
     """
     each = rows.groupBy((F.col("interval") + 1).alias("checkpoint")).agg(
-        F.count("*").alias("_rows"), F.sum("length").alias("_tokens")
+        F.count("*").alias("_rows"), F.sum("length").alias("_tokens"), F.max("step").alias("_step")
     )
     # One row per checkpoint: the window without a key is bounded by the run settings.
     so_far = Window.orderBy("checkpoint").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        each.select(
-            "checkpoint",
-            F.sum("_rows").over(so_far).alias("rows_seen"),
-            F.sum("_tokens").over(so_far).alias("tokens_seen"),
-        )
-        .withColumn("step", F.ceil(F.col("rows_seen") / F.lit(rows_per_step)))
-        .join(losses.select("checkpoint", "eval_loss"), "checkpoint", "left")
-    )
+    return each.select(
+        "checkpoint",
+        F.sum("_rows").over(so_far).alias("rows_seen"),
+        F.sum("_tokens").over(so_far).alias("tokens_seen"),
+        (F.max("_step").over(so_far) + 1).alias("step"),
+    ).join(losses.select("checkpoint", "eval_loss"), "checkpoint", "left")

@@ -26,7 +26,8 @@ VOCABULARY = 8192
 SPLIT = (0.1, 45)
 WIDE_SPLIT = (0.2, 68)
 BATCH, ACCUM, WORLD = 4, 4, 4
-CHECKPOINTS = 5
+# Rank-ordered batches of 4 x 4 rows, two epochs, evaluated every 25 steps.
+STATE_RUN = flows.RunConfig(by_length=False, eval_steps=25)
 DOMAIN_WEIGHT = 0.7
 TEMPERATURE = 0.7
 DRAWS = 8
@@ -97,8 +98,8 @@ def save_dataset(spark, sf_dir):
 
 
 def _states(spark, sf_dir) -> tuple[DataFrame, int]:
-    placed, last = _place(_split_tokens(spark, sf_dir)[0])
-    return L.checkpoints(placed, last), last
+    placed, last = flows.placed_states(_split_tokens(spark, sf_dir)[0], "doc_id", STATE_RUN)
+    return L.checkpoints(settle(L.checkpoint_counts(placed)), last), last
 
 
 def save_lm(spark, sf_dir):
@@ -343,15 +344,6 @@ def _split_tokens(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
 
 
-def _place(train: DataFrame) -> tuple[DataFrame, int]:
-    """Training rows with the save interval they fall in, and the number of saves."""
-    per_step = BATCH * ACCUM
-    n_steps = math.ceil(train.count() / per_step)
-    every = math.ceil(n_steps / CHECKPOINTS)
-    last = math.ceil(n_steps / every)
-    return B.order_intervals(train, "doc_id", SPLIT[1], every * per_step, last), last
-
-
 def fit_lm(spark, sf_dir):
     return _model_digest(L.fit_lm(_tokens(spark, sf_dir)), "prev")
 
@@ -379,9 +371,8 @@ def checkpoints(spark, sf_dir):
 
 def _losses(spark, sf_dir):
     train, test = _split_tokens(spark, sf_dir)
-    placed, last = _place(train)
-    states = settle(L.checkpoint_counts(placed, last))
-    return placed, L.checkpoint_losses(states, last, test)
+    placed, last = flows.placed_states(train, "doc_id", STATE_RUN)
+    return placed, L.checkpoint_losses(settle(L.checkpoint_counts(placed)), last, test)
 
 
 def best_checkpoint(spark, sf_dir):
@@ -391,10 +382,17 @@ def best_checkpoint(spark, sf_dir):
 
 def metrics(spark, sf_dir):
     placed, losses = _losses(spark, sf_dir)
-    out = L.metrics(placed.select("interval", "length"), losses, BATCH * ACCUM)
+    out = L.metrics(placed.select("interval", "step", "length"), losses)
     return out.withColumn("eval_loss", F.round("eval_loss", 6))
 
 
+def evaluate_run(spark, sf_dir):
+    """The best model of a run, read back from where the run saved it."""
+    train, test = _split_tokens(spark, sf_dir)
+    _, model = flows.evaluate_run(train, test, "doc_id", STATE_RUN, new_path(spark, "states"))
+    return _model_digest(model, "prev")
+
+
 # Prediction
 
 
@@ -605,6 +603,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "checkpoints": checkpoints,
     "best_checkpoint": best_checkpoint,
     "metrics": metrics,
+    "evaluate_run": evaluate_run,
     "with_temperature": with_temperature,
     "nucleus": nucleus,
     "sample_next": sample_next,

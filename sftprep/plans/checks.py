@@ -168,9 +168,12 @@ SPLIT_TOKENS = (
 )
 PLACED = (
     *SPLIT_TOKENS,
-    _ranked("ranked", "train", "'45:' || id"),
-    "placed as (select *, (rank - 1) // 4 // 4 as step from ranked)",
-    "cadence as (select ceil(ceil(count(*) / 16) / 5)::bigint as every from train)",
+    "size as (select count(*) as n from train)",
+    "repeated as (select *, unnest([0, 1]) as epoch from train)",
+    _ranked("ordered", "repeated", "'45:' || epoch || ':' || id", "epoch"),
+    """placed as (select *, epoch * ceil((select n from size) / 16)::bigint + (rank - 1) // 16 as step
+      from ordered)""",
+    "cadence as (select 25 as every)",
     """points as (select unnest(range(1, (select max(step) // any_value(every) + 2
       from placed, cadence))) as checkpoint)""",
 )
@@ -516,6 +519,16 @@ CHECKS: dict[str, str] = {
         """select checkpoint::integer as checkpoint, step, rows_seen, tokens_seen,
           round(eval_loss, 6) as eval_loss from seen left join losses using (checkpoint)""",
     ),
+    "evaluate_run": _query(
+        *STATES,
+        *HELD,
+        LOSS,
+        _model_digest(
+            """(select * from states where checkpoint = (select checkpoint from losses
+            order by round(eval_loss, 9), checkpoint limit 1))""",
+            "prev",
+        ),
+    ),
     "with_temperature": _query(*DOC_MODEL, PROBS, TEMPERED, _probs_digest("tempered")),
     "nucleus": _query(
         *DOC_MODEL,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from sftprep.operators.batches import (
     epochs,
@@ -19,7 +19,15 @@ from sftprep.operators.batches import (
     train_test_split,
     unique_ids,
 )
-from sftprep.operators.lm import adapt, fit_lm
+from sftprep.operators.lm import (
+    adapt,
+    best_checkpoint,
+    checkpoint_counts,
+    checkpoint_losses,
+    checkpoints,
+    fit_lm,
+    metrics,
+)
 from sftprep.operators.predict import candidates, completion, generate
 from sftprep.operators.prompts import (
     CONTEXT_RESPONSE,
@@ -38,7 +46,9 @@ from sftprep.operators.tokens import (
     pad_batch,
     tokenize,
 )
+from sftprep.session import settle
 from sftprep.sources.datasets import export_shards
+from sftprep.sources.models import load_lm, save_lm
 
 
 @dataclass(frozen=True)
@@ -56,10 +66,22 @@ class RunConfig:
     by_length: bool = True
     inline: bool = False
     even: bool = False  # repeat leading batches until all workers have as many
+    # Steps between saves, evaluations and log lines; 0 is once an epoch.
+    save_steps: int = 500
+    eval_steps: int = 200
+    logging_steps: int = 100
 
     def steps_per_epoch(self, train_rows: int) -> int:
         return max(1, math.ceil(train_rows / (self.batch * self.accum * self.world)))
 
+    def total_steps(self, train_rows: int) -> int:
+        return step_cap(self.max_steps) or self.n_epochs * self.steps_per_epoch(train_rows)
+
+    def cadence(self, train_rows: int, every: int) -> tuple[int, int]:
+        """Steps per interval for a setting, and how many intervals the run has."""
+        every = every if every > 0 else self.steps_per_epoch(train_rows)
+        return every, math.ceil(self.total_steps(train_rows) / every)
+
     def epochs_read(self, train_rows: int) -> int:
         """A step cap overrides the number of epochs, in either direction."""
         cap = step_cap(self.max_steps)
@@ -68,9 +90,10 @@ class RunConfig:
 
 # Split, seed, batch and step settings of the three run kinds.
 ADAPTER_RUN = RunConfig(max_steps=1000)
-PARALLEL_ADAPTER_RUN = RunConfig(world=4)
+PARALLEL_ADAPTER_RUN = RunConfig(world=4, save_steps=0, eval_steps=0)
 FULL_RUN = RunConfig(
-    test_size=0.2, seed=68, batch=1, accum=1, world=4, max_steps=-1, by_length=False, inline=True
+    test_size=0.2, seed=68, batch=1, accum=1, world=4, max_steps=-1, by_length=False, inline=True,
+    save_steps=100, eval_steps=100, logging_steps=10,
 )
 
 
@@ -157,6 +180,32 @@ def export_run(rows: DataFrame, id_col: str, config: RunConfig, path: str) -> No
     export_shards(placed_rows(rows, id_col, config), path, finish=padded)
 
 
+def placed_states(
+    train: DataFrame, id_col: str, config: RunConfig, every: int | None = None
+) -> tuple[DataFrame, int]:
+    """Training rows with ``step`` and ``interval`` of the run's plan, once per epoch they
+    are read in, and the number of intervals. The cadence is that of evaluation."""
+    step, count = config.cadence(train.count(), config.eval_steps if every is None else every)
+    plan = training_plan(train, id_col, config).select(id_col, "epoch", "step")
+    return train.join(plan, id_col).withColumn("interval", F.expr(f"cast(step div {step} as int)")), count
+
+
+def evaluate_run(
+    train: DataFrame, test: DataFrame, id_col: str, config: RunConfig, path: str
+) -> tuple[DataFrame, DataFrame]:
+    """The run's metrics per evaluation, and the model of lowest held-out loss.
+
+    States are saved under ``path``, one folder each, and the best is read from there.
+    """
+    placed, count = placed_states(train, id_col, config)
+    fresh = settle(checkpoint_counts(placed))
+    losses = settle(checkpoint_losses(fresh, count, test))
+    save_lm(checkpoints(fresh, count), path)
+    best = best_checkpoint(losses).first()
+    model = load_lm(train.sparkSession, path, best["checkpoint"])
+    return metrics(placed.select("interval", "step", "length"), losses), model
+
+
 def adapted_candidates(base: DataFrame, domain: DataFrame, weight: float) -> DataFrame:
     """What a base model adapted to a domain draws from, given the tokens of both.
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sftprep.operators import lm as L
+from sftprep.plans import flows
 
 TRAIN = [(1, 0, [1, 3, 4, 3, 2]), (2, 1, [1, 3, 0, 4, 2]), (3, 2, [1, 4, 4, 4, 2]), (4, 5, [1, 2])]
 TEST = [(9, 0, [1, 3, 4, 2]), (10, 0, [1, 5, 0, 2])]
@@ -54,9 +55,9 @@ def test_loss_against_brute_force(train, test):
 
 def test_checkpoints_hold_all_steps_before_them(train, test):
     at = F.expr("cast(step div 2 as int)")
-    states = L.checkpoints(train, 3, at).collect()
-    losses = {r.checkpoint: r.eval_loss for r in L.checkpoint_losses(
-        L.checkpoint_counts(train, 3, at), 3, test).collect()}
+    fresh = L.checkpoint_counts(train, at)
+    states = L.checkpoints(fresh, 3).collect()
+    losses = {r.checkpoint: r.eval_loss for r in L.checkpoint_losses(fresh, 3, test).collect()}
     for c in (1, 2, 3):
         rows = [r for r in TRAIN if r[1] < 2 * c]
         got = {(r.prev, r.next): r.n for r in states if r.checkpoint == c}
@@ -67,7 +68,7 @@ def test_checkpoints_hold_all_steps_before_them(train, test):
 def test_an_empty_first_state_is_uniform_not_an_error(spark, test):
     late = spark.createDataFrame([(1, 7, [1, 3, 2])], SCHEMA)
     got = {r.checkpoint: r.eval_loss for r in L.checkpoint_losses(
-        L.checkpoint_counts(late, 2, F.expr("cast(step div 5 as int)")), 2, test).collect()}
+        L.checkpoint_counts(late, F.expr("cast(step div 5 as int)")), 2, test).collect()}
     assert got[1] == pytest.approx(-math.log(0.3)) and got[2] < 10
 
 
@@ -91,15 +92,37 @@ def test_best_checkpoint_takes_the_earliest_of_equals(spark):
 def test_metrics_accumulate(train, test):
     rows = train.select(
         "input_ids",
+        "step",
         F.expr("cast(step div 2 as int)").alias("interval"),
         F.size("input_ids").alias("length"),
     )
-    losses = L.checkpoint_losses(L.checkpoint_counts(rows, 3), 3, test)
-    out = L.metrics(rows, losses, 2).orderBy("checkpoint")
+    losses = L.checkpoint_losses(L.checkpoint_counts(rows), 3, test)
+    out = L.metrics(rows, losses).orderBy("checkpoint")
     got = [tuple(r) for r in out.select("checkpoint", "step", "rows_seen", "tokens_seen").collect()]
-    assert got == [(1, 1, 2, 10), (2, 2, 3, 15), (3, 2, 4, 17)]
-
-
-def test_too_many_checkpoints_are_refused(train):
-    with pytest.raises(ValueError):
-        L.checkpoint_counts(train, 10**6, "step")
+    assert got == [(1, 2, 2, 10), (2, 3, 3, 15), (3, 6, 4, 17)]
+
+
+def test_many_checkpoints(spark, test):
+    """More than a hundred states, each the sum of all rows before it."""
+    rows = [(i, i, [1, 3 + i % 7, 2]) for i in range(150)]
+    train = spark.createDataFrame(rows, SCHEMA)
+    fresh = L.checkpoint_counts(train, "step")
+    got = {r["checkpoint"]: r["n"] for r in L.checkpoints(fresh, 150).groupBy("checkpoint").agg(F.sum("n").alias("n")).collect()}
+    assert got == {c: 2 * c for c in range(1, 151)}
+    losses = {r.checkpoint: r.eval_loss for r in L.checkpoint_losses(fresh, 150, test).collect()}
+    assert len(losses) == 150
+    assert losses[120] == pytest.approx(loss([r for r in rows if r[1] < 120], TEST)[0], abs=1e-12)
+
+
+def test_rows_seen_are_the_rows_of_the_plan(spark):
+    rows = spark.range(300).select("id", F.lit(3).alias("length"), F.array(*map(F.lit, (1, 3, 2))).alias("input_ids"))
+    for config in (flows.RunConfig(n_epochs=3, eval_steps=7), flows.RunConfig(max_steps=10, eval_steps=4),
+                   flows.RunConfig(eval_steps=0)):
+        placed, count = flows.placed_states(rows, "id", config)
+        plan = flows.training_plan(rows, "id", config)
+        every, _ = config.cadence(300, config.eval_steps)
+        losses = L.checkpoint_losses(L.checkpoint_counts(placed), count, rows)
+        got = L.metrics(placed, losses).collect()
+        assert len(got) == count
+        for r in got:
+            assert r["rows_seen"] == plan.where(F.col("step") < r["checkpoint"] * every).count()
