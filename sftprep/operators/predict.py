@@ -13,7 +13,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import NumericType, StringType, StructType
 
 from sftprep.functions import uniform
-from sftprep.operators.tokens import EOS_ID, Vocabulary, decode, encode
+from sftprep.operators.tokens import EOS_ID, Vocabulary, decode, encode, salts
 from sftprep.session import fits, settle, ship
 
 # Sampling settings and request defaults.
@@ -27,7 +27,6 @@ ANY_CONTEXT = -1
 # Decimal places kept before a threshold test: sums differ in their last bits with
 # the order they are taken in.
 PLACES = 9
-SALTS = 8
 STEPS_PER_SETTLE = 8
 
 
@@ -124,6 +123,27 @@ def _pick(choices: Column, temperature: Column, u: Column, top_p: float) -> Colu
     return F.get(choices, _with(running, place))["next"]
 
 
+def _cumulated(choices: Column, temperature: float, top_p: float) -> Column:
+    """The kept choices of a context, each with the upper end ``hi`` of its share of [0, 1)."""
+    weights = F.transform(choices, lambda c: F.pow(c["w"], F.lit(1.0 / temperature)))
+    sums = F.aggregate(
+        weights, F.array(F.lit(0.0)), lambda a, w: F.concat(a, F.array(F.element_at(a, -1) + w))
+    )
+
+    def kept(sums: Column) -> Column:
+        total = F.element_at(sums, -1)
+        before = F.slice(sums, 1, F.size(sums) - 1)
+        head = F.size(F.filter(before, lambda s: F.round(s / total, PLACES) < top_p))
+        return _with(head, lambda h: F.transform(
+            F.slice(choices, 1, h),
+            lambda c, i: F.struct(
+                c["next"].alias("next"), F.round(F.get(sums, i + 1) / F.get(sums, h), PLACES).alias("hi")
+            ),
+        ))
+
+    return _with(sums, kept)
+
+
 def _with_choices(ctx: DataFrame, table: DataFrame, key: str, via: str) -> DataFrame:
     """Joins each context row to its choices; unseen contexts get the overall row.
 
@@ -135,9 +155,10 @@ def _with_choices(ctx: DataFrame, table: DataFrame, key: str, via: str) -> DataF
     if via != "join" and fits(table.select("prev", F.inline("choices"))):
         joined = ctx.join(F.broadcast(seen), "prev", "left")
     else:
-        salted = seen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        n = salts(ctx.sparkSession)
+        salted = seen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
         joined = (
-            ctx.withColumn("_salt", F.pmod(F.hash(key), F.lit(SALTS)))
+            ctx.withColumn("_salt", F.pmod(F.hash(key), F.lit(n)))
             .join(salted, ["prev", "_salt"], "left")
             .drop("_salt")
         )
@@ -156,10 +177,16 @@ def sample_next(
 ) -> DataFrame:
     """Adds ``next``: one token drawn for the context ``prev`` of each row.
 
-    The draw depends on (seed, key, step) alone, so reruns repeat it.
+    The draw depends on (seed, key, step) alone, so reruns repeat it. With one
+    temperature for all, shares are summed up once per context and a draw is a lookup.
     """
     step = F.lit(step) if isinstance(step, int) else step
-    temperature = temperature if isinstance(temperature, Column) else F.lit(float(temperature))
+    if not isinstance(temperature, Column):
+        table = table.withColumn("choices", _cumulated(F.col("choices"), float(temperature), top_p))
+        below = F.size(F.filter("choices", lambda c: c["hi"] <= F.col("_u")))
+        joined = _with_choices(ctx.withColumn("_u", uniform(seed, key, step)), table, key, via)
+        picked = F.get("choices", F.least(below, F.size("choices") - 1))["next"]
+        return joined.withColumn("next", picked).drop("choices", "_u")
     drawn = _pick(F.col("choices"), temperature, uniform(seed, key, step), top_p)
     return _with_choices(ctx, table, key, via).withColumn("next", drawn).drop("choices")
 

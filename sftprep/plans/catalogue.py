@@ -410,16 +410,20 @@ def nucleus(spark, sf_dir):
     return _probs_digest(G.nucleus(probs))
 
 
-def sample_next(spark, sf_dir):
+def sample_next(spark, sf_dir, via="auto"):
     vocab = _vocab(spark, sf_dir)
     tokens = settle(_tokens(spark, sf_dir, vocab=vocab))
     table = settle(G.candidates(L.fit_lm(tokens)))
     draws = F.explode(F.sequence(F.lit(0), F.lit(DRAWS - 1))).alias("step")
     ctx = tokens.select("doc_id", F.get("input_ids", F.size("input_ids") - 2).alias("prev"), draws)
-    drawn = G.sample_next(ctx, table, "doc_id", SPLIT[1], "step", TEMPERATURE)
+    drawn = G.sample_next(ctx, table, "doc_id", SPLIT[1], "step", TEMPERATURE, via=via)
     return drawn.select("doc_id", "step", "prev", "next")
 
 
+def sample_next_by_join(spark, sf_dir):
+    return sample_next(spark, sf_dir, "join")
+
+
 def _answers(spark, sf_dir, vocab, table) -> DataFrame:
     asked = P.inference_prompt(fixtures.requests(spark, sf_dir), "plain")
     prompts = K.encode(asked, vocab, "prompt_id", "prompt", add_eos=False)
@@ -607,6 +611,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "with_temperature": with_temperature,
     "nucleus": nucleus,
     "sample_next": sample_next,
+    "sample_next_by_join": sample_next_by_join,
     "generate": generate,
     "generate_adapted": generate_adapted,
     "completion": completion,

@@ -335,6 +335,16 @@ def _placed_run(batch: int, accum: int, world: int, cap: int = 1 << 62) -> tuple
 
 CAPPED_LENGTHS = (*CUT_TOKENS, "lens as (select id, len(ids) as length from enc)")
 
+SAMPLED = _query(
+        *DOC_MODEL,
+        _choices("[0.7]"),
+        "ctx as (select id, ids[len(ids) - 1] as prev, unnest(range(8))::integer as step from enc)",
+        f"""select x.id as doc_id, x.step, x.prev, c.next from ctx x
+        left join known k on k.prev = x.prev
+        join choices c on c.prev = coalesce(k.prev, -1)
+          and {_u("x.id", "x.step")} >= c.lo and {_u("x.id", "x.step")} < c.hi""",
+    )
+
 CHECKS: dict[str, str] = {
     "load_split": "select doc_id, lang, source, n_chars, md5(text) as text_md5 from documents",
     "count_records": _query(
@@ -543,15 +553,8 @@ CHECKS: dict[str, str] = {
         "kept as (select prev, next, p / sum(p) over (partition by prev) as p from head)",
         _probs_digest("kept"),
     ),
-    "sample_next": _query(
-        *DOC_MODEL,
-        _choices("[0.7]"),
-        "ctx as (select id, ids[len(ids) - 1] as prev, unnest(range(8))::integer as step from enc)",
-        f"""select x.id as doc_id, x.step, x.prev, c.next from ctx x
-        left join known k on k.prev = x.prev
-        join choices c on c.prev = coalesce(k.prev, -1)
-          and {_u("x.id", "x.step")} >= c.lo and {_u("x.id", "x.step")} < c.hi""",
-    ),
+    "sample_next": SAMPLED,
+    "sample_next_by_join": SAMPLED,
     "generate": _query(*GENERATED, DRAWN),
     "generate_adapted": _query(
         *MIXED, *ASKED, _choices("[0.7]", "mix", "p"), _continued("asked"), DRAWN
