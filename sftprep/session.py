@@ -51,9 +51,30 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+# Paths this process has handed out and not yet discarded.
+_HANDED_OUT: list[str] = []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path nobody has written to yet, inside the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(path)
+    return path
+
+
+def discard_settled(spark: SparkSession) -> int:
+    """Deletes what this process has written under ``new_path``, and says how many.
+
+    Call it when a job's results have been written: tables that read a settled one can
+    no longer be computed afterwards.
+    """
+    files = spark._jvm.org.apache.hadoop.fs
+    hadoop = spark._jsc.hadoopConfiguration()
+    gone = 0
+    while _HANDED_OUT:
+        path = files.Path(_HANDED_OUT.pop())
+        gone += bool(path.getFileSystem(hadoop).delete(path, True))
+    return gone
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -71,3 +71,19 @@ def test_one_checkpoint_is_read(spark, tmp_path):
     last = load_lm(spark, path, 2)
     assert sorted(map(tuple, last.collect())) == [(3, 4, 5), (4, 3, 1)]
     assert "PartitionFilters: [isnotnull(checkpoint" in plan_of(last)
+
+
+def test_settled_tables_can_be_discarded(spark):
+    import os
+
+    from sftprep import session
+
+    kept = list(session._HANDED_OUT)
+    session._HANDED_OUT.clear()
+    try:
+        df = session.settle(spark.range(3))
+        path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(path) and session.discard_settled(spark) == 1 and not os.path.exists(path)
+        assert session.discard_settled(spark) == 0
+    finally:
+        session._HANDED_OUT.extend(kept)
