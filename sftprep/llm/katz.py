@@ -12,14 +12,15 @@ the order asked and store their share of the count tables, so no text moves to a
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sftprep.llm.store import (
-    MESSAGE, asked, block_count, blocked, by_block, keep, messages, remainder, slices,
-    with_answers,
+    MESSAGE, asked, block_count, blocked, by_block, from_planes, keep, messages, planes, remainder,
+    slices, with_answers,
 )
 from sftprep.llm.words import mix, ranks, seeded, words_of
 
@@ -60,20 +61,29 @@ def _sorted(block: pa.Table) -> pa.Table:
     return block.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def _ask(owners: int):
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as the first key and the steps between: small numbers pack well."""
+    steps = keys.copy()
+    steps[1:] -= keys[:-1]
+    return steps
+
+
+def _ask(owners: int, pairs: bool):
+    """Questions about the words of a block, or about its pairs (of owners further on)."""
+
     def run(block: pa.Table) -> pa.Table:
         block = _sorted(block)
         tokens = tokens_of(block.column("text"))
         train = block.column("train").to_numpy().astype(bool)[tokens.row]
-        parts = []
-        for shift, names in ((0, tokens.name), (owners, tokens.pair)):
-            keys, place, _ = ranks(names)
-            times = np.bincount(place, weights=train, minlength=len(keys)).astype(np.uint32)
-            parts += [
-                (shift + o, keys[a:b].tobytes() + times[a:b].tobytes())
+        keys, place, _ = ranks(tokens.pair if pairs else tokens.name)
+        times = np.bincount(place, weights=train, minlength=len(keys)).astype(np.uint32)
+        return messages(
+            block.column("block")[0].as_py(),
+            [
+                (owners * pairs + o, planes(_steps(keys[a:b])) + planes(times[a:b]))
                 for o, a, b in slices(keys, owners)
-            ]
-        return messages(block.column("block")[0].as_py(), parts)
+            ],
+        )
 
     return run
 
@@ -86,23 +96,23 @@ def _tell(asks: pa.Table) -> pa.Table:
     """
     payloads = asks.column("payload").to_pylist()
     sizes = [len(p) // 12 for p in payloads]
-    keys = np.concatenate([np.frombuffer(p, np.uint64, n) for p, n in zip(payloads, sizes)])
-    times = np.concatenate([np.frombuffer(p, np.uint32, n, 8 * n) for p, n in zip(payloads, sizes)])
+    keys = np.concatenate([np.cumsum(from_planes(p, np.uint64, n)) for p, n in zip(payloads, sizes)])
+    times = np.concatenate([from_planes(p, np.uint32, n, 8 * n) for p, n in zip(payloads, sizes)])
     distinct, place, _ = ranks(keys)
     total = np.bincount(place, weights=times, minlength=len(distinct)).astype(np.int64)
     first = np.zeros(len(distinct), np.int64)
     first[place[::-1]] = np.arange(len(keys))[::-1]
     answer = 2 * total[place] + (first[place] == np.arange(len(keys)))
-    answers = [part.tobytes() for part in np.split(answer, np.cumsum(sizes)[:-1])]
+    answers = [planes(np.ascontiguousarray(part)) for part in np.split(answer, np.cumsum(sizes)[:-1])]
     known = total > 0
-    steps = np.diff(distinct[known], prepend=np.uint64(0))
+    stored = planes(_steps(distinct[known])) + planes(total[known])
     counted = [int((total == r).sum()) for r in range(1, GT_LIMIT + 2)]
     owner = asks.column("owner")[0].as_py()
     return pa.table(
         {
             "block": pa.array([*asks.column("block").to_pylist(), -1], pa.int32()),
             "owner": pa.array([owner] * (len(answers) + 1), pa.int32()),
-            "payload": pa.array([*answers, steps.tobytes() + total[known].tobytes()], pa.binary()),
+            "payload": pa.array([*answers, stored], pa.binary()),
             "counted": pa.array(
                 [None] * len(answers) + [[*counted, int(known.sum()), int(total.sum())]],
                 pa.list_(pa.int64()),
@@ -149,7 +159,7 @@ def _answers(answers: pa.Table, keys: np.ndarray, owners: int, shift: int) -> np
     found = dict(zip(answers.column("owner").to_pylist(), answers.column("payload").to_pylist()))
     out = np.zeros(len(keys), np.int64)
     for owner, a, b in slices(keys, owners):
-        out[a:b] = np.frombuffer(found[owner + shift], np.int64)
+        out[a:b] = from_planes(found[owner + shift], np.int64, b - a)
     return out
 
 
@@ -240,7 +250,11 @@ def katz_scores(
     )
     owners = block_count(texts)
     rows = blocked(texts, owners)
-    told = keep(asked(by_block(rows, _ask(owners), MESSAGE), _tell, _TOLD))
+    # Words and pairs are counted one after the other, so only one is on the disks at a time.
+    told = reduce(
+        DataFrame.union,
+        [keep(asked(by_block(rows, _ask(owners, p), MESSAGE), _tell, _TOLD)) for p in (False, True)],
+    )
     is_word = F.col("owner") < owners
     sums = told.where("block = -1").groupBy(is_word.alias("words")).agg(
         F.array(*[F.sum(F.col("counted")[i]) for i in range(GT_LIMIT + 3)]).alias("counted")

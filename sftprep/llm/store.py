@@ -91,6 +91,19 @@ def slices(keys: np.ndarray, owners: int) -> list[tuple[int, int, int]]:
     return list(zip(own[heads].tolist(), heads.tolist(), np.r_[heads[1:], len(keys)].tolist()))
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The bytes of an array, first bytes of all values first: where high bytes are zero
+    or alike, shuffle and file compression then leave almost nothing of them."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def from_planes(payload: bytes, dtype, size: int, at: int = 0) -> np.ndarray:
+    """``size`` values written by ``planes`` from byte ``at`` on."""
+    width = np.dtype(dtype).itemsize
+    flat = np.frombuffer(payload, np.uint8, size * width, at).reshape(width, size)
+    return np.ascontiguousarray(flat.T).view(dtype).ravel()
+
+
 def messages(block: int, parts: list[tuple[int, bytes]]) -> pa.Table:
     return pa.table(
         {
@@ -104,11 +117,3 @@ def messages(block: int, parts: list[tuple[int, bytes]]) -> pa.Table:
 def asked(rows: DataFrame, answer: Callable[[pa.Table], pa.Table], schema: str = MESSAGE) -> DataFrame:
     """Runs ``answer`` once per owner over all that blocks have asked it."""
     return rows.groupBy("owner").applyInArrow(answer, schema)
-
-
-def join_answers(answers: pa.Table, dtype) -> np.ndarray:
-    """The payloads of one block's answers in owner order, as one array."""
-    owners = answers.column("owner").to_numpy()
-    payloads = answers.column("payload").to_pylist()
-    found = [np.frombuffer(payloads[i], dtype) for i in np.argsort(owners)]
-    return np.concatenate(found) if found else np.zeros(0, dtype)
