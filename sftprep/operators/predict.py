@@ -92,8 +92,10 @@ def candidates(
             .agg(F.array_sort(F.collect_list(F.struct("rank", "next", "w"))).alias("choices"))
         )
 
+    # Cut to k rows before they meet under one key.
+    likeliest = alone.orderBy(F.desc("w"), "next").limit(top_k)
     return top(model.select("prev", "next", F.col(weight).alias("w"))).unionByName(
-        top(alone.select(F.lit(ANY_CONTEXT).alias("prev"), "next", "w"))
+        top(likeliest.select(F.lit(ANY_CONTEXT).alias("prev"), "next", "w"))
     )
 
 
