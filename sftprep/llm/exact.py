@@ -9,19 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sftprep.llm.store import keep, texts_of
+from sftprep.llm.store import keep, single_spaced, texts_of
 
 # A chunk ends at the first sentence or clause end after CHUNK_LEAST
 # characters and has CHUNK_MOST at most.
 CHUNK_LEAST, CHUNK_MOST = 512, 4096
 
 
-def normalised(text: Column) -> Column:
-    """The text with each run of white space as one space; null counts as empty."""
-    spaces = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.regexp_replace(spaces, " {2,}", " ")
-
-
 def chunks(text: Column, least: int = CHUNK_LEAST, most: int = CHUNK_MOST) -> Column:
     """Cuts a text losslessly where its content has a mark, within the size bounds."""
     pattern = rf"(?s).{{{least},{most - 2}}}?[.,;:!?] |.{{1,{most}}}"
@@ -67,7 +61,8 @@ def exact_duplicates(
     chunk) pairs of the corpus are grouped, and an identifier that two texts share is
     told apart by a number. Lists are compared as values, never as hashes.
     """
-    cut = texts_of(docs, id_col, text_col).withColumn("text", normalised(F.col("text")))
+    texts = texts_of(docs, id_col, text_col).na.fill("", ["text"])
+    cut = single_spaced(texts, "text")
     cut = cut.withColumn("chunks", chunks(F.col("text"), least, most))
     clashing = keep(_clashing(cut))
     digest = F.sha2("text", 256).alias("text_sha256")

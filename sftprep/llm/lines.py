@@ -10,19 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sftprep.llm.store import keep, texts_of
+from sftprep.llm.store import keep, single_spaced, texts_of
 
 # Lines with fewer words are only compared for equality: one word of a few is too much.
 LEAST_WORDS = 8
 _PRIME = (1 << 31) - 1
 
 
-def _normal(line: Column) -> Column:
-    """The words of a line with one space between them."""
-    spaced = F.translate(line, "\t\x0b\x0c\r", "    ")
-    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
-
-
 def _weight(word: Column, place: Column, seed: int) -> Column:
     """What a word adds to the key of a line when it stands at ``place``."""
     value = F.pmod(F.xxhash64(word, F.lit(seed)), F.lit(_PRIME))
@@ -30,18 +24,17 @@ def _weight(word: Column, place: Column, seed: int) -> Column:
     return F.pmod(value * factor, F.lit(_PRIME))
 
 
-def _halves(words: Column) -> Column:
-    """Keys of the leading and trailing halves of a line.
+def _halves(line: str, size: Column) -> Column:
+    """Keys of the leading and trailing halves of a line of words with single spaces.
 
     One edit leaves the first or the last half of the shorter line untouched, so near
     lines share a key. The shorter line has as many words as this one, or one fewer.
     """
-    size = F.size(words)
     keys = []
     for half in (F.floor(size / 2), F.floor((size - 1) / 2)):
         half = half.cast("int")
-        keys.append(F.xxhash64(F.lit("head"), half, F.slice(words, F.lit(1), half)))
-        keys.append(F.xxhash64(F.lit("tail"), half, F.slice(words, size - half + 1, half)))
+        keys.append(F.xxhash64(F.lit("head"), half, F.call_function("substring_index", F.col(line), F.lit(" "), half)))
+        keys.append(F.xxhash64(F.lit("tail"), half, F.call_function("substring_index", F.col(line), F.lit(" "), -half)))
     return F.array_distinct(F.array(*keys))
 
 
@@ -118,9 +111,10 @@ def near_earlier(suspects: DataFrame) -> DataFrame:
 
 
 def _cut(texts: DataFrame, *beside: str) -> DataFrame:
-    """One row per line that has words: ``doc_id, at, line_text``."""
-    lines = texts.select("doc_id", *beside, F.posexplode(F.split("text", "\n")).alias("at", "line_text"))
-    return lines.withColumn("line_text", _normal(F.col("line_text"))).where("line_text <> ''")
+    """One row per line that has words: ``doc_id, at, line_text`` with single spaces."""
+    spaced = single_spaced(texts, "text", newlines=False)
+    lines = spaced.select("doc_id", *beside, F.posexplode(F.split("text", "\n")).alias("at", "line_text"))
+    return lines.where("line_text not in ('', ' ')").withColumn("line_text", F.trim("line_text"))
 
 
 def _key() -> Column:
@@ -143,8 +137,9 @@ def line_dedup(
     """
     texts = texts_of(docs, id_col, text_col)
     cut = _cut(texts.where("doc_id is not null"))
-    words = F.split("line_text", " ")
-    halves = F.when(F.size(words) >= least_words, _halves(words)).alias("halves")
+    size = F.octet_length("line_text") - F.octet_length(F.replace("line_text", F.lit(" "), F.lit(""))) + 1
+    cut = cut.withColumn("size", size)
+    halves = F.when(F.col("size") >= least_words, _halves("line_text", F.col("size"))).alias("halves")
     places = keep(cut.select("doc_id", "at", _key(), halves))
     firsts = keep(
         places.groupBy("line").agg(
@@ -160,10 +155,10 @@ def line_dedup(
     suspects = keep(
         _cut(texts.join(wanted, "doc_id"), "wanted")
         .where(F.array_contains("wanted", F.col("at")))
-        .select(_key(), F.struct("doc_id", "at").alias("first"), words.alias("words"))
+        .select(_key(), F.struct("doc_id", "at").alias("first"), F.split("line_text", " ").alias("words"))
         .dropDuplicates(["line"])
     )
-    near = near_earlier(suspects).select("line", F.lit(True).alias("near"))
+    near = keep(near_earlier(suspects).select("line", F.lit(True).alias("near")))
     judged = (
         places.drop("halves").join(firsts.drop("halves"), "line")
         .join(near, "line", "left")

@@ -9,6 +9,8 @@ more often than there are blocks, and texts never travel to the keys.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,23 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def single_spaced(df: DataFrame, column: str, newlines: bool = True) -> DataFrame:
+    """``column`` with each run of white space as one space; newlines stay when not wanted.
+
+    Searching bytes is far cheaper than rewriting characters, so texts are rewritten
+    only where a search finds something to do. One step per column keeps Spark from
+    repeating a step in each place that reads it.
+    """
+    if newlines:
+        df = df.withColumn(column, F.replace(column, F.lit("\n"), F.lit(" ")))
+    odd = reduce(or_, [F.contains(column, F.lit(c)) for c in "\t\x0b\x0c\r"])
+    df = df.withColumn(column, F.when(odd, F.translate(column, "\t\x0b\x0c\r", "    ")).otherwise(F.col(column)))
+    double = F.contains(column, F.lit("  "))
+    return df.withColumn(
+        column, F.when(double, F.regexp_replace(column, " {2,}", " ")).otherwise(F.col(column))
+    )
+
+
 def remainder(doc_id: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id gives 0."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
