@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sftprep.functions import uniform
-from sftprep.llm.store import keep
+from sftprep.llm.store import keep, single_spaced
 
 AXES = ("source", "lang", "topic")
 # How far a share is moved towards evenness (1 leaves it), which part of
@@ -22,25 +22,30 @@ _ROUNDS_A_JOB = 4
 _SCALES = 64
 
 
-def token_count(text: Column) -> Column:
-    """Words of a text; null has none."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\x0c\r", "     ")
-    return F.size(F.filter(F.split(spaced, " +"), lambda w: w != "")).cast("long")
+def _occurrences(text: Column, *marks: str) -> Column:
+    """How often any of some one-byte marks stands in a text."""
+    return sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(m), F.lit(""))) for m in marks), F.lit(0))
+
+
+def token_count(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds the number of words of a text; null has none. The text column is used up."""
+    spaced = single_spaced(df, text).withColumn(text, F.trim(text))
+    words = F.when(F.col(text) == "", 0).otherwise(_occurrences(F.col(text), " ") + 1)
+    return spaced.withColumn(out, F.coalesce(words, F.lit(0)).cast("long")).drop(text)
 
 
 def layout_topic(text: Column) -> Column:
     """A topic for corpora without one: how the text is laid out.
 
-    ``table`` (cells between bars), ``code`` (braces or semicolons at line ends),
-    ``notes`` (short lines), ``long`` and ``prose``.
+    ``table`` (cells between bars), ``code`` (braces or semicolons), ``notes`` (short
+    lines), ``long`` and ``prose``.
     """
     text = F.coalesce(text, F.lit(""))
-    size = F.length(text)
-    lines = size - F.length(F.translate(text, "\n", "")) + 1
+    size = F.octet_length(text)
     return (
-        F.when((size - F.length(F.translate(text, "|", ""))) * 40 > size, "table")
-        .when((size - F.length(F.translate(text, "{};", ""))) * 40 > size, "code")
-        .when(size < lines * 60, "notes")
+        F.when(_occurrences(text, "|") * 40 > size, "table")
+        .when(_occurrences(text, "{", "}", ";") * 40 > size, "code")
+        .when(size < (_occurrences(text, "\n") + 1) * 60, "notes")
         .when(size > 8000, "long")
         .otherwise("prose")
     )
@@ -137,11 +142,12 @@ def mixed(
     id, so reruns agree and rows that repeat an id are drawn together.
     """
     topic = layout_topic(F.col(text_col)) if topic is None else topic
+    named = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        F.col(lang_col).alias("lang"), topic.alias("topic"), F.col(text_col).alias("_text"),
+    )
     listed = keep(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-            F.col(lang_col).alias("lang"), topic.alias("topic"), token_count(F.col(text_col)).alias("n_tokens"),
-        ).select("doc_id", *[_named(a).alias(a) for a in AXES], "n_tokens")
+        token_count(named, "_text", "n_tokens").select("doc_id", *[_named(a).alias(a) for a in AXES], "n_tokens")
     )
     cells = keep(
         listed.where("n_tokens > 0").groupBy(*AXES).agg(F.sum("n_tokens").alias("tokens"))
