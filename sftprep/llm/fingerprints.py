@@ -24,7 +24,7 @@ _P = (1 << 31) - 1
 _BASES = (1_103_515_245, 1_664_525_021)
 _KEPT: dict[str, list[np.ndarray]] = {}
 # Ranges of ids sorted side by side; a range is streamed, so its size is no matter.
-MOST_RANGES = 2000
+MOST_RANGES = 8000
 
 
 def _fold(x: np.ndarray) -> np.ndarray:
