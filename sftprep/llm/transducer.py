@@ -11,6 +11,7 @@ such places, once for each distinct stretch of a batch and for all stretches at
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ FALLBACK_WEIGHT = 40.0
 # Merge ranks are read as Zipf ranks: weight = log(rank + offset).
 ZIPF_OFFSET = 3.0
 _SPACE, _META = b" ", "▁".encode()
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES, _BATCH_ROWS = 1 << 20, 250
 _KEPT: dict[str, Pieces] = {}
 
 
@@ -55,13 +56,21 @@ class Pieces:
                 ranked[self.spelled[i]] = i
         if (self.byte_id < 0).any():
             raise ValueError("the model has no byte fallback")
-        best = {b: i for b, i in ranked.items()}
         scores = np.array([source.get_score(i) for i in range(size)])
         weight = np.log(scores.max() - scores + ZIPF_OFFSET).astype(np.float32)
+        self.ranked, self.weight = ranked, weight
+        lengths = np.array([len(s) for s in self.spelled])
+        self.text = np.frombuffer(b"".join(self.spelled), np.uint8)
+        self.text_start, self.text_size = np.cumsum(lengths) - lengths, lengths
+
+    @cached_property
+    def trie(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Transitions by state and byte, the piece that ends in each state, and which
+        bytes stand side by side in some piece. Only encoding needs them."""
         children: list[dict[int, int]] = [{}]
         ends: dict[int, int] = {}
-        self.together = np.zeros((256, 256), bool)
-        for spelled, i in best.items():
+        together = np.zeros((256, 256), bool)
+        for spelled, i in self.ranked.items():
             state = 0
             for byte in spelled:
                 if byte not in children[state]:
@@ -70,23 +79,21 @@ class Pieces:
                 state = children[state][byte]
             ends[state] = i
             pair = np.frombuffer(spelled, np.uint8)
-            self.together[pair[:-1], pair[1:]] = True
-        self.go = np.zeros((len(children), 256), np.int32)
+            together[pair[:-1], pair[1:]] = True
+        go = np.zeros((len(children), 256), np.int32)
         for state, out in enumerate(children):
             if out:
-                self.go[state, list(out)] = list(out.values())
-        self.piece = np.full(len(children), -1, np.int32)
-        self.piece[list(ends)] = list(ends.values())
-        self.weight = weight
-        lengths = np.array([len(s) for s in self.spelled])
-        self.text = np.frombuffer(b"".join(self.spelled), np.uint8)
-        self.text_start, self.text_size = np.cumsum(lengths) - lengths, lengths
+                go[state, list(out)] = list(out.values())
+        piece = np.full(len(children), -1, np.int32)
+        piece[list(ends)] = list(ends.values())
+        return go, piece, together
 
     def shortest(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         """Piece ids of the shortest path of each stretch, flat, and how many each has.
 
         Among equal sums the path found first stays: the longest last piece.
         """
+        go, ending, _ = self.trie
         order = np.argsort(-sizes, kind="stable")
         starts, sizes = starts[order], sizes[order]
         base = np.cumsum(sizes + 1) - (sizes + 1)
@@ -102,7 +109,7 @@ class Pieces:
             better = cost < best[own + 1]
             best[own[better] + 1], came[own[better] + 1] = cost[better], at
             by[own[better] + 1] = self.byte_id[byte[better]]
-            state, here, depth = self.go[0, byte], own, 0
+            state, here, depth = go[0, byte], own, 0
             while True:
                 alive = state > 0
                 if not alive.all():
@@ -110,7 +117,7 @@ class Pieces:
                 if not len(state):
                     break
                 depth += 1
-                piece = self.piece[state]
+                piece = ending[state]
                 some = piece >= 0
                 to, found = here[some] + depth, piece[some]
                 cost = best[here[some]] + self.weight[found]
@@ -120,7 +127,7 @@ class Pieces:
                 more = here + depth < end
                 if not more.all():
                     state, here, byte_at, end = state[more], here[more], byte_at[more], end[more]
-                state = self.go[state, data[byte_at + depth]]
+                state = go[state, data[byte_at + depth]]
         # Walk all paths back together; pieces come out last first.
         place, which, steps = sizes.copy(), np.arange(len(sizes)), []
         while len(which):
@@ -144,7 +151,7 @@ class Pieces:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(places), np.int64)
         cut = np.ones(len(data), bool)
-        cut[1:] = ~self.together[data[:-1], data[1:]]
+        cut[1:] = ~self.trie[2][data[:-1], data[1:]]
         cut[places[:-1][places[:-1] < places[1:]]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))
@@ -234,8 +241,8 @@ def decode(df: DataFrame, ids_col: str = "ids", out: str = "decoded", model_path
     def run(batches):
         machine = pieces_of(model.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, _BATCH_ROWS):
+                part = batch.slice(at, _BATCH_ROWS)
                 lists = part.column(ids_col)
                 ids = lists.flatten().to_numpy()
                 each = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
