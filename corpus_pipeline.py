@@ -17,18 +17,14 @@ from sftprep.llm.mixing import mixed
 from sftprep.llm.store import keep
 from sftprep.llm.transducer import decode, encode
 
-# A text whose nearest prototype is farther than this is in no known language.
-LEAST_COSINE = 0.05
-
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without letters and texts far from every language."""
-    named = held_out_languages(docs)
-    return _without(docs, named.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < LEAST_COSINE)))
+    """Drops texts that are in no language: null texts and texts without letters."""
+    return _without(docs, held_out_languages(docs).where(F.col("lang_pred") == UNKNOWN))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
