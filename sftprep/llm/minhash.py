@@ -4,13 +4,13 @@ Each text's set of word shingles is hashed once; the hash space is cut into bins
 the smallest hash of each bin is the signature. Empty bins borrow from a bin drawn by a
 hash of the bin itself, the same for every document (optimal densification). Runs of
 bins are bands. Documents that share a band bucket are compared with the bucket's hub
-only (a star), never pair by pair. Every candidate is confirmed on the full sets.
+(a star), never pair by pair. Members that hubs leave apart are joined by their rarest
+shingles, which misses no pair. Every candidate is confirmed on the full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +151,73 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_similar(percent), "a long, b long")
 
 
+def _shingles():
+    """One row per shingle of each set."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                sets = [np.frombuffer(s.as_buffer(), np.int64) for s in part.column("shingles")]
+                sizes = np.array([len(s) for s in sets], np.int64)
+                row = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").take(row), part.column("component_id").take(row),
+                        pa.array(sizes).take(row), pa.array(np.concatenate(sets)),
+                    ],
+                    ["doc_id", "component_id", "size", "shingle"],
+                )
+
+    return run
+
+
+def links_between(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """All pairs ``(a, b)`` of similar enough ``members`` in different components.
+
+    ``members`` has unique ``doc_id`` and ``component_id``, ``sets`` their ``shingles``.
+    Shingles are put in one order, those within one component first and then from rare
+    to common. Ends of a link have their first common shingle so early in both sets that
+    the shingles from there on can still make up the intersection a link needs. Only
+    such places are joined; what many unlinked sets share comes too late in them.
+    """
+    shingles = (
+        sets.join(members.select("doc_id", "component_id"), "doc_id")
+        .select("doc_id", "component_id", "shingles")
+        .mapInArrow(_shingles(), "doc_id long, component_id long, size long, shingle long")
+    )
+    between = keep(
+        shingles.groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+        .where("low <> high").select("shingle", "n")
+    )
+    ordered = (
+        shingles.join(between, "shingle").groupBy("doc_id", "component_id", "size")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("between"))
+        .select("doc_id", "component_id", "size", F.size("between").alias("n"), F.posexplode("between").alias("at", "one"))
+        # Shingles of the set from this one on.
+        .select("doc_id", "component_id", "size", F.col("one.shingle").alias("shingle"), (F.col("n") - F.col("at")).alias("left"))
+    )
+    early = keep(ordered.where(100 * F.col("left") >= percent * F.col("size")))
+    # The smaller end of a link needs an intersection in proportion to twice its own size.
+    x = early.where((100 + percent) * F.col("left") >= 2 * percent * F.col("size")).alias("x")
+    y = early.alias("y")
+    smaller = (F.col("x.size") < F.col("y.size")) | (
+        (F.col("x.size") == F.col("y.size")) & (F.col("x.doc_id") < F.col("y.doc_id"))
+    )
+    enough = (100 + percent) * F.least("x.left", "y.left") >= percent * (F.col("x.size") + F.col("y.size"))
+    pairs = (
+        x.join(
+            y,
+            (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component_id") != F.col("y.component_id"))
+            & smaller & (100 * F.col("x.size") >= percent * F.col("y.size")) & enough,
+        )
+        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+        .distinct()
+    )
+    return _confirmed(pairs, sets, percent)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(doc_id, component_id)``, the smallest id reachable over ``links (a, b)``.
 
@@ -184,6 +251,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("v").alias("doc_id"), F.col("label").alias("component_id"))
 
 
+def _joined(found: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Components over new links; earlier ones are summed up by the labels they led to."""
+    if labels is not None:
+        found = found.union(labels.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))
+    return components(found)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -204,9 +278,9 @@ def near_duplicates(
     In a bucket, the member that shares most buckets overall is the hub, and only the
     pairs with the hub are compared. In the next round, members that no hub has drawn
     into its component choose a new hub among themselves, which is compared with all
-    members outside its component. Rounds go on until one adds no link. A link is only
-    unseen if in each of the buckets its two ends share (12 on average at 0.75), the hub
-    of every round is linked to one end at most.
+    members outside its component. Rounds go on until one adds no link. Members that
+    share a bucket, have not been its hub and are still in different components are
+    then compared by ``links_between``, so every link between sharers of a bucket counts.
     """
     texts = texts_of(docs, id_col, text_col)
     sketches = keep(
@@ -224,6 +298,7 @@ def near_duplicates(
     score = crowded.groupBy("doc_id").agg(F.sum("n").alias("score"))
     members = keep(
         crowded.select("band", "doc_id").join(score, "doc_id")
+        .withColumn("component_id", F.col("doc_id"))
         .withColumn("settled", F.lit(False))
     )
     sets = keep(
@@ -233,50 +308,46 @@ def near_duplicates(
     )
     labels = None
     while True:
-        labelled = members
-        if labels is None:
-            labelled = labelled.withColumn("component_id", F.col("doc_id"))
-        else:
-            labelled = labelled.join(labels, "doc_id", "left").withColumn(
-                "component_id", F.coalesce("component_id", "doc_id")
-            )
         hubs = (
-            labelled.where("not settled").groupBy("band")
+            members.where("not settled").groupBy("band")
             .agg(F.max(F.struct("score", (-F.col("doc_id")).alias("first"), "component_id")).alias("best"))
             .select("band", (-F.col("best.first")).alias("hub"), F.col("best.component_id").alias("hub_component"))
         )
         pairs = (
-            labelled.join(hubs, "band")
+            members.join(hubs, "band")
             .where("component_id <> hub_component")
             .select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
             .distinct()
         )
         found = keep(_confirmed(pairs, sets, percent))
-        if labels is not None and found.isEmpty():
-            break
-        # Links of earlier rounds are summed up by the labels they led to.
-        earlier = [] if labels is None else [
-            labels.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-        ]
-        labels = components(reduce(DataFrame.union, [found, *earlier]))
+        last = labels is not None and found.isEmpty()
+        if not last:
+            labels = _joined(found, labels)
         drawn = (
-            hubs.select("band", F.col("hub").alias("doc_id"))
-            .join(labels, "doc_id", "left")
-            .select("band", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("drawn", F.lit(True))
-        )
-        now = members.join(labels, "doc_id", "left").withColumn(
-            "component_id", F.coalesce("component_id", "doc_id")
+            hubs.select("band", "hub").join(labels.withColumnRenamed("doc_id", "hub"), "hub", "left")
+            .select("band", "hub", F.coalesce("component_id", "hub").alias("hub_component"))
         )
+        # Hubs are compared with everybody in their bucket, so they leave it.
         members = keep(
-            now.join(drawn, ["band", "component_id"], "left").select(
-                "band", "doc_id", "score",
-                (F.col("settled") | F.coalesce("drawn", F.lit(False))).alias("settled"),
+            members.drop("component_id").join(labels, "doc_id", "left")
+            .withColumn("component_id", F.coalesce("component_id", "doc_id"))
+            .join(drawn, "band", "left")
+            .where("hub is null or doc_id <> hub")
+            .select(
+                "band", "doc_id", "score", "component_id",
+                (F.col("settled") | F.coalesce(F.col("component_id") == F.col("hub_component"), F.lit(False))).alias("settled"),
             )
         )
-        # A bucket with nobody left to take a turn is done with.
-        waiting = members.where("not settled").select("band").distinct()
-        members = keep(members.join(waiting, "band", "left_semi"))
+        # A bucket whose members are all in one component is done with.
+        apart = members.groupBy("band").agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+        members = keep(members.join(apart.where("low <> high").select("band"), "band", "left_semi"))
+        if last:
+            break
+    waiting = keep(members.select("doc_id", "component_id").distinct())
+    if not waiting.isEmpty():
+        found = keep(links_between(waiting, sets, percent))
+        if not found.isEmpty():
+            labels = _joined(found, labels)
     named = sketches.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     out = named.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
         "doc_id", "n_shingles",

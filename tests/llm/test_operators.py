@@ -98,6 +98,39 @@ def test_near_duplicates_of_a_large_group(spark):
     assert as_set(got.collect()) == as_set(plain.near(rows))
 
 
+def test_near_duplicates_among_many_apart(spark):
+    """One passage in many texts just under the bound to each other, and pairs just over it."""
+    passage = [f"p{i}" for i in range(124)]
+    rows = [(i, " ".join(passage + [f"o{i}_{j}" for j in range(24)])) for i in range(400)]
+    for i in range(1000, 1080, 2):
+        ends = [[f"s{i}_{j}" for j in range(4)] + [f"o{k}_{j}" for j in range(20)] for k in (i, i + 1)]
+        rows += [(i + k, " ".join(passage + ends[k])) for k in (0, 1)]
+    got = minhash.near_duplicates(table(spark, rows)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 if i >= 1000 else i for i, _ in rows}
+
+
+def test_links_between_components_are_all_found(spark):
+    rng = np.random.default_rng(5)
+    bases = [rng.choice(3000, 60, replace=False) for _ in range(6)]
+    sets = {}
+    for i in range(240):
+        base, gone = bases[i % 6], rng.integers(0, 14)
+        sets[i] = set(rng.choice(base, len(base) - gone, replace=False).tolist()) | set(rng.integers(0, 3000, rng.integers(0, 14)).tolist())
+    component = {i: i - i % 3 for i in sets}
+    want = set()
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if component[a] != component[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                want.add((b, a))
+    held = spark.createDataFrame(
+        [(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in sets.items()], "doc_id long, shingles binary"
+    )
+    members = spark.createDataFrame(list(component.items()), "doc_id long, component_id long")
+    got = minhash.links_between(members, held, 75).collect()
+    assert len(want) > 50 and sorted((r["a"], r["b"]) for r in got) == sorted(want)
+
+
 def test_densification_gives_equal_sets_equal_signatures():
     sets = [np.sort(np.random.default_rng(1).integers(0, 2**63, n, np.uint64)) for n in (1, 3, 3000, 0)]
     a, b = minhash.signatures(sets), minhash.signatures(sets[::-1])[::-1]
