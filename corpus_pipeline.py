@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sftprep.llm.exact import exact_duplicates
-from sftprep.llm.language import UNKNOWN, held_out_languages
+from sftprep.llm.language import held_out_languages
 from sftprep.llm.minhash import near_duplicates
 from sftprep.llm.mixing import mixed
 from sftprep.llm.store import keep
@@ -23,8 +23,11 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that are in no language: null texts and texts without letters."""
-    return _without(docs, held_out_languages(docs).where(F.col("lang_pred") == UNKNOWN))
+    """Drops texts that are in no language: null texts and texts without letters.
+
+    A text with letters stays, also when no language can be learned from the table.
+    """
+    return _without(docs, held_out_languages(docs).where("not lettered"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -155,6 +155,7 @@ def _named(langs: list[str], vectors: np.ndarray, dimensions: int):
                 n = part.num_rows
                 ids, rows = trigrams(part.column("text"))
                 names, score = [UNKNOWN] * n, np.zeros(n)
+                has = np.bincount(rows, minlength=n) > 0
                 if len(ids) and langs:
                     used, place = compact(ids)
                     counts = np.bincount(
@@ -164,15 +165,14 @@ def _named(langs: list[str], vectors: np.ndarray, dimensions: int):
                     length = np.maximum(np.linalg.norm(own, axis=1), 1e-9)
                     cosine = (own @ vectors.T) / length[:, None]
                     best = cosine.argmax(axis=1)
-                    has = np.bincount(rows, minlength=n) > 0
                     names = [langs[b] if h else UNKNOWN for b, h in zip(best, has)]
                     score = np.where(has, np.clip(cosine.max(axis=1), 0.0, 1.0), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array(names, pa.string()),
-                        pa.array(score.astype(np.float64), pa.float64()),
+                        pa.array(score.astype(np.float64), pa.float64()), pa.array(has, pa.bool_()),
                     ],
-                    ["doc_id", "lang_pred", "score"],
+                    ["doc_id", "lang_pred", "score", "lettered"],
                 )
 
     return run
@@ -185,11 +185,11 @@ def identify(
     text_col: str = "text",
     dimensions: int = DIMENSIONS,
 ) -> DataFrame:
-    """``doc_id, lang_pred, score``: the nearest prototype and its cosine, per row.
+    """``doc_id, lang_pred, score, lettered``: the nearest prototype and its cosine, per row.
 
     ``labelled`` holds ``text`` and non-null ``lang``. A text that is null or has no
-    letter is ``und`` with score 0, as is every text when nothing is labelled. Ties go
-    to the language that sorts first. One vector per language reaches every task: their
+    letter is ``und`` with score 0, as is every text when nothing is labelled;
+    ``lettered`` tells the two apart. Ties go to the language that sorts first. One vector per language reaches every task: their
     number times the dimensions, whatever the size of the corpus.
     """
     # As many rows as there are languages.
@@ -199,7 +199,7 @@ def identify(
     vectors = np.array([v for _, v in found], np.float32).reshape(-1, dimensions)
     vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     return texts_of(docs, id_col, text_col).mapInArrow(
-        _named(langs, vectors, dimensions), "doc_id long, lang_pred string, score double"
+        _named(langs, vectors, dimensions), "doc_id long, lang_pred string, score double, lettered boolean"
     )
 
 

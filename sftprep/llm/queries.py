@@ -55,7 +55,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.held_out_languages(_documents(spark, sf_dir))
+    return language.held_out_languages(_documents(spark, sf_dir)).select(
+        "doc_id", "lang_pred", "score", "held_out"
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -26,6 +26,14 @@ def test_stages_on_odd_rows(spark):
     assert encoded.count() == len(TEXTS) and encoded.where("not exact or n_tokens <> size(ids)").count() == 0
 
 
+def test_lettered_texts_stay_when_no_language_is_known(spark):
+    docs = table(spark, TEXTS).select(*DOCUMENTS).withColumn("lang", F.lit(None).cast("string"))
+    assert ids(pipeline.language_id(spark, docs, "")) == {d for d, _ in TEXTS} - {3, 4, 5}
+    held_out = docs.withColumn("lang", F.lit("en")).where(F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+    left = ids(held_out)
+    assert left and ids(pipeline.language_id(spark, held_out, "")) == left - {3, 4, 5}
+
+
 def test_stages_on_an_empty_table(spark):
     docs = table(spark, TEXTS).select(*DOCUMENTS).limit(0)
     for _, stage in pipeline.STAGES:
