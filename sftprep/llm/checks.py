@@ -76,9 +76,50 @@ select t.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed,
 from t left join kept using (doc_id)
 """
 
+# crc32 of the id as text: eight shifts after each byte, marked by -1.
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+  string_split(c::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: case when x >= 0 then xor(a, x)
+    else xor(a >> 1, case when a & 1 = 1 then 3988292384::bigint else 0::bigint end) end), 4294967295::bigint)"""
+
+CONVERSATION_TRIE = f"""
+with own as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+    partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as pos
+  from conversations where conv_id is not null),
+convs as (select c, c - c % 100 as base, {_CRC} % 6 as h from (select distinct c from own)),
+again as (
+  select convs.c, 0 as part, pos, role, text from convs join own on own.c = base and pos < h
+  union all select own.c, 1, pos, role, text from own join convs using (c) where pos >= h),
+turns as (
+  select c, row_number() over (partition by c order by part, pos) as depth, length(text) as chars,
+    sha256(concat(length(role), ':', role, text)) as item from again),
+paths as materialized (
+  select c, depth, chars, sha256(string_agg(item, '') over (partition by c order by depth)) as name from turns
+  union all select c, 0, 0, '' from convs),
+nodes as materialized (
+  select depth, name, min(c) as owner, count(*) as n_convs, (count(*) - 1) * any_value(chars) as saved
+  from paths group by 1, 2),
+way as materialized (select c, depth, owner from paths join nodes using (depth, name)),
+tree as materialized (
+  select nodes.*, way.owner as parent from nodes left join way on way.c = nodes.owner and way.depth = nodes.depth - 1),
+children as (select parent as owner, depth - 1 as depth, count(*) as n from tree where depth > 0 group by 1, 2),
+below as (
+  select way.owner, way.depth, sum(saved)::bigint as saved, count(*) filter (children.n is null) as leaves
+  from tree left join children using (owner, depth) join way on way.c = tree.owner and way.depth <= tree.depth
+  group by 1, 2),
+ends as (
+  select depth, name, sha256(string_agg(c::varchar, ',' order by c)) as sha
+  from paths join (select c, max(depth) as depth from paths group by 1) using (c, depth) group by 1, 2)
+select owner as conv_id, depth::bigint as depth, parent as parent_conv_id, n_convs, coalesce(children.n, 0) as n_children,
+  leaves as n_leaves, below.saved as saved_tokens, coalesce(sha, sha256('')) as ends_sha256
+from tree join below using (owner, depth) left join children using (owner, depth) left join ends using (depth, name)
+"""
+
 CHECKS = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_minhash_near_dedup": NEAR_DEDUP,
     "op6_exact_dedup": EXACT_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
+    "op13_conversation_trie": CONVERSATION_TRIE,
 }

@@ -14,6 +14,7 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sftprep.session import settle
@@ -21,6 +22,7 @@ from sftprep.session import settle
 # One Arrow table per group of a few megabytes keeps a Python worker
 # well under a gigabyte, whatever the size of the corpus.
 BLOCK_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 MESSAGE = "block int, owner int, payload binary"
@@ -110,6 +112,22 @@ def slices(keys: np.ndarray, owners: int) -> list[tuple[int, int, int]]:
     return list(zip(own[heads].tolist(), heads.tolist(), np.r_[heads[1:], len(keys)].tolist()))
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
+    """``batch`` in parts whose ``column`` holds about ``limit`` bytes, one row at least.
+
+    Arrow batches are cut by rows, and rows may be long: what a worker builds from one
+    part is bounded by bytes.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes.astype(np.int64) + 16)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def planes(values: np.ndarray) -> bytes:
     """The bytes of an array, first bytes of all values first: where high bytes are zero
     or alike, shuffle and file compression then leave almost nothing of them."""
