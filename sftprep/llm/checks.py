@@ -76,6 +76,30 @@ select t.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0) as n_removed,
 from t left join kept using (doc_id)
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_TERMS = rf"""regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}')"""
+
+RANKED_SEARCH = f"""
+with q as (select item_id, unnest({_TERMS}) as term from benchmark),
+asked as (select item_id, term, count(*) as n from q group by 1, 2),
+d as (select doc_id, {_TERMS} as w from documents),
+totals as (select count(*) filter (len(w) > 0) as n_docs, sum(len(w))::bigint as n_terms from d),
+hits as materialized (
+  select doc_id, len(w)::bigint as n, term, count(*) as tf
+  from (select doc_id, w, unnest(w) as term from d) semi join asked using (term) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from hits, totals group by term, n_docs),
+scores as (
+  select item_id, doc_id, sum(asked.n * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * hits.n * n_docs) // n_terms))))::bigint as score
+  from hits join asked using (term) join weights using (term), totals group by 1, 2),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+  from scores where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked where rank <= 20
+"""
+
 # crc32 of the id as text: eight shifts after each byte, marked by -1.
 _CRC = """xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
   string_split(c::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
@@ -121,5 +145,6 @@ CHECKS = {
     "op2_minhash_near_dedup": NEAR_DEDUP,
     "op6_exact_dedup": EXACT_DEDUP,
     "op9_substring_dedup": SUBSTRING_DEDUP,
+    "op11_ranked_search": RANKED_SEARCH,
     "op13_conversation_trie": CONVERSATION_TRIE,
 }

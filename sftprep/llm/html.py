@@ -42,6 +42,7 @@ _AROUND = frozenset(
     "share sharing sidebar signup social sponsor sponsored subscribe toolbar complementary".split()
 )
 _HEADERS = frozenset(("header", "site-header", "page-header"))
+_MARKUP = re.compile(r"<[a-zA-Z/!?]")
 _NAME = re.compile(r"[a-z]+")
 # Elements that end at the next of their kind when nothing else is open between.
 _ENDS_ITSELF = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -161,6 +162,9 @@ class _Lines(HTMLParser):
             self._parts.append(data)
 
     def close(self):
+        # A page that ends within a tag or comment ends with markup, not with text.
+        if _MARKUP.match(self.rawdata):
+            self.rawdata = ""
         super().close()
         self._end_line()
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sftprep.llm import (
-    exact, fingerprints, html, katz, language, lines, minhash, mixing, quality, substrings, transducer, trie,
+    balls, exact, fingerprints, html, katz, language, lines, minhash, mixing, quality, substrings, transducer, trie,
 )
 
 
@@ -62,6 +62,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balls.ranked(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
     "op12_html_extraction": op12_html_extraction,
     "op13_conversation_trie": op13_conversation_trie,
 }

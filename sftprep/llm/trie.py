@@ -335,6 +335,7 @@ def conversation_trie(turns: DataFrame, family: int = 100, spread: int = 6) -> D
     ``turns`` has ``conv_id, turn, role, text``; other columns are left out. Turns are
     ordered by ``turn``, null first, equal ones by role and text. A null role or text is
     empty. Repeated rows are turns of their own. Rows without a ``conv_id`` belong to no
-    conversation. An empty table has no nodes, not even a root.
+    conversation. The remainder of a negative id is negative. An empty table has no nodes,
+    not even a root.
     """
     return prefix_trie(*rebuilt(turns, family, spread))

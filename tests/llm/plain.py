@@ -163,3 +163,66 @@ def katz(rows, training, words_model, pairs_model):
             before = w
         out.append((doc_id, len(own), sum(uni[w] > 0 for w in own), n, base, score))
     return out, probability, following, uni
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(_LOWER))
+
+
+def search(rows, items, top=20):
+    """Scores every document for every item."""
+    docs = [(doc_id, Counter(terms(text))) for doc_id, text in rows]
+    docs = [(d, c, sum(c.values())) for d, c in docs if c]
+    n_docs, n_terms = len(docs), sum(n for _, _, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    out = []
+    for item_id, text in items:
+        asked = Counter(terms(text))
+        weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in asked}
+        found = []
+        for doc_id, c, n in docs:
+            m = 100 - 25 + (25 * n * n_docs) // n_terms
+            score = sum(k * weight[t] * ((1000000000 * c[t]) // (1000 * c[t] + 12 * m)) for t, k in asked.items())
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0))
+        for rank, (score, null, doc_id) in enumerate(sorted(found)[:top], 1):
+            out.append((item_id, rank, None if null else doc_id, -score))
+    return out
+
+
+def trie(turns):
+    """The nodes of the trie of rebuilt conversations, by lists of turns."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text in sorted(
+        (t for t in turns if t[0] is not None),
+        key=lambda t: (t[0], t[1] is not None, t[1] or 0, t[2] or "", t[3] or ""),
+    ):
+        own[conv_id].append((role or "", text or ""))
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, said in own.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        line = tuple(own.get(c - int(math.fmod(c, 100)), [])[:h] + said[h:])  # the remainder has the sign of c
+        for depth in range(len(line) + 1):
+            members[line[:depth]].append(c)
+        ends[line].append(c)
+    children = defaultdict(list)
+    for line in members:
+        if line:
+            children[line[:-1]].append(line)
+
+    def below(line):
+        leaves = 0 if children[line] else 1
+        saved = (len(members[line]) - 1) * len(line[-1][1]) if line else 0
+        for child in children[line]:
+            more = below(child)
+            leaves, saved = leaves + more[0], saved + more[1]
+        return leaves, saved
+
+    return [
+        (min(m), len(line), min(members[line[:-1]]) if line else None, len(m), len(children[line]), *below(line),
+         sha(",".join(map(str, sorted(ends[line])))))
+        for line, m in members.items()
+    ]
