@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sftprep.llm.store import remainder, texts_of
+from sftprep.llm.store import byte_slices, remainder, texts_of
 from sftprep.llm.words import seeded
 
 DIMENSIONS = 1024
@@ -24,6 +24,8 @@ UNKNOWN = "und"
 CLASSES = 128
 _GAP = 0
 _ROWS = 256
+# Languages a task counts at the same time, 16 MB each.
+_TABLES_HELD = 6
 _KEPT: dict[str, np.ndarray] = {}
 
 
@@ -86,22 +88,32 @@ def compact(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bundles():
-    """Trigram counts per language within each Arrow batch."""
+    """Trigram counts per language of the rows a task reads, in tables of fixed size."""
+
+    def counted(found):
+        for lang, table in sorted(found.items(), key=lambda f: str(f[0])):
+            used = np.flatnonzero(table)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()),
+                    pa.array(table[used], pa.int64()),
+                ],
+                ["lang", "trigram", "n"],
+            )
 
     def run(batches):
+        found: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs = np.array(batch.column("lang").to_pylist(), object)
-            ids, rows = trigrams(batch.column("text"))
-            for lang in sorted(set(langs.tolist())):
-                own = ids[(langs == lang)[rows]]
-                used, place = compact(own)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()),
-                        pa.array(np.bincount(place, minlength=len(used)), pa.int64()),
-                    ],
-                    ["lang", "trigram", "n"],
-                )
+            for part in byte_slices(batch, "text"):
+                langs = np.array(part.column("lang").to_pylist(), object)
+                ids, rows = trigrams(part.column("text"))
+                for lang in sorted(set(langs.tolist())):
+                    if lang not in found and len(found) == _TABLES_HELD:
+                        yield from counted(found)
+                        found = {}
+                    table = found.setdefault(lang, np.zeros(CLASSES**3, np.int64))
+                    np.add.at(table, ids[(langs == lang)[rows]], 1)
+        yield from counted(found)
 
     return run
 
@@ -150,8 +162,7 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
 def _named(langs: list[str], vectors: np.ndarray, dimensions: int):
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(at, _ROWS)
+            for part in byte_slices(batch, "text", rows=_ROWS):
                 n = part.num_rows
                 ids, rows = trigrams(part.column("text"))
                 names, score = [UNKNOWN] * n, np.zeros(n)

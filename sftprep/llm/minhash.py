@@ -5,7 +5,7 @@ the smallest hash of each bin is the signature. Empty bins borrow from a bin dra
 hash of the bin itself, the same for every document (optimal densification). Runs of
 bins are bands. Documents that share a band bucket are compared with the bucket's hub
 (a star), never pair by pair. Members that hubs leave apart are joined by their rarest
-shingles, which misses no pair. Every candidate is confirmed on the full sets.
+shingles and compared as bitmaps, which misses no pair. Every candidate is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -16,15 +16,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sftprep.llm.store import keep, texts_of
+from sftprep.llm.store import byte_slices, keep, slices_by, texts_of, with_one
 from sftprep.llm.words import Words, distinct, mix, seeded, words_of
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 BINS = 256
 BAND_ROWS = 5
+# Another round of stars is worth it when one pair in so many was a link; what is left
+# then is found by the prefix join.
+WORTH_A_ROUND = 50
+# Sets are also drawn as bitmaps of this many 64-bit words: the bits in which two differ
+# are at most the shingles in which they differ.
+BITMAP_WORDS = 8
+_ROWS = 1000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_BITS = [f"bits{i}" for i in range(BITMAP_WORDS)]
 
 
 def shingle_sets(words: Words, size: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -87,8 +95,7 @@ def band_keys(signature: np.ndarray, band_rows: int = BAND_ROWS) -> np.ndarray:
 def _sketch(bins: int, band_rows: int, size: int):
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in byte_slices(batch, "text", rows=_ROWS):
                 sets = shingle_sets(words_of(part.column("text"), lower=True), size)
                 keys = band_keys(signatures(sets, bins), band_rows).view(np.int64)
                 used = np.array([len(s) > 0 for s in sets], bool)
@@ -114,8 +121,7 @@ def _sketch(bins: int, band_rows: int, size: int):
 def _full_sets(size: int):
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in byte_slices(batch, "text", rows=_ROWS):
                 sets = shingle_sets(words_of(part.column("text"), lower=True), size)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -151,13 +157,35 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_similar(percent), "a long, b long")
 
 
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The parity of the shingles that fall on each bit, one row of words per set."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    flat = mix(np.concatenate(sets).view(np.uint64) + _STEP) if len(sets) else np.zeros(0, np.uint64)
+    bits = 64 * BITMAP_WORDS
+    place = np.repeat(np.arange(len(sets)), sizes) * bits + (flat % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(place, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(-1, BITMAP_WORDS)
+
+
+def _bitmaps():
+    def run(batches):
+        for batch in batches:
+            for part in byte_slices(batch, "shingles", rows=_ROWS):
+                drawn = bitmaps([np.frombuffer(s.as_buffer(), np.int64) for s in part.column("shingles")])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *(pa.array(np.ascontiguousarray(w)) for w in drawn.T)],
+                    ["doc_id", *_BITS],
+                )
+
+    return run
+
+
 def _shingles():
     """One row per shingle of each set."""
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for part in byte_slices(batch, "shingles", rows=_ROWS):
                 sets = [np.frombuffer(s.as_buffer(), np.int64) for s in part.column("shingles")]
                 sizes = np.array([len(s) for s in sets], np.int64)
                 row = pa.array(np.repeat(np.arange(len(sets)), sizes))
@@ -179,7 +207,10 @@ def links_between(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -
     Shingles are put in one order, those within one component first and then from rare
     to common. Ends of a link have their first common shingle so early in both sets that
     the shingles from there on can still make up the intersection a link needs. Only
-    such places are joined; what many unlinked sets share comes too late in them.
+    such places are joined; what many unlinked sets share comes too late in them. Two sets
+    that differ in ``d`` bits of their bitmaps differ in ``d`` shingles or more, so places
+    whose sets differ in too many bits make no pair: pairs grow with the sets that are
+    about as similar as a link, however many share a shingle.
     """
     shingles = (
         sets.join(members.select("doc_id", "component_id"), "doc_id")
@@ -198,19 +229,25 @@ def links_between(members: DataFrame, sets: DataFrame, percent: int = PERCENT) -
         # Shingles of the set from this one on.
         .select("doc_id", "component_id", "size", F.col("one.shingle").alias("shingle"), (F.col("n") - F.col("at")).alias("left"))
     )
-    early = keep(ordered.where(100 * F.col("left") >= percent * F.col("size")))
+    drawn = sets.join(members.select("doc_id"), "doc_id", "left_semi").select("doc_id", "shingles").mapInArrow(
+        _bitmaps(), ", ".join(["doc_id long", *(f"{w} long" for w in _BITS)])
+    )
+    early = keep(ordered.where(100 * F.col("left") >= percent * F.col("size")).join(drawn, "doc_id"))
     # The smaller end of a link needs an intersection in proportion to twice its own size.
     x = early.where((100 + percent) * F.col("left") >= 2 * percent * F.col("size")).alias("x")
     y = early.alias("y")
     smaller = (F.col("x.size") < F.col("y.size")) | (
         (F.col("x.size") == F.col("y.size")) & (F.col("x.doc_id") < F.col("y.doc_id"))
     )
+    differ = sum((F.bit_count(F.col(f"x.{w}").bitwiseXOR(F.col(f"y.{w}"))) for w in _BITS), F.lit(0))
+    # Of shingles in all, a link leaves at most the share (100 - percent) / (100 + percent) in one set only.
+    alike = (100 + percent) * differ <= (100 - percent) * (F.col("x.size") + F.col("y.size"))
     enough = (100 + percent) * F.least("x.left", "y.left") >= percent * (F.col("x.size") + F.col("y.size"))
     pairs = (
         x.join(
             y,
             (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component_id") != F.col("y.component_id"))
-            & smaller & (100 * F.col("x.size") >= percent * F.col("y.size")) & enough,
+            & smaller & (100 * F.col("x.size") >= percent * F.col("y.size")) & enough & alike,
         )
         .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
         .distinct()
@@ -275,12 +312,12 @@ def near_duplicates(
     Rows that repeat an id share its class.
 
     A pair at exactly 0.75 shares none of the 51 default buckets with probability 1e-6.
-    In a bucket, the member that shares most buckets overall is the hub, and only the
-    pairs with the hub are compared. In the next round, members that no hub has drawn
-    into its component choose a new hub among themselves, which is compared with all
-    members outside its component. Rounds go on until one adds no link. Members that
-    share a bucket, have not been its hub and are still in different components are
-    then compared by ``links_between``, so every link between sharers of a bucket counts.
+    In each bucket whose members are in different components, the member that meets most
+    others is the hub. Each member is compared with one hub a round, the one it shares
+    most buckets with outside its component, so a round has at most one pair per member.
+    Rounds go on, with new hubs, while they find links for one pair in ``WORTH_A_ROUND``.
+    Members that share a bucket and are still in different components are then compared
+    by ``links_between``, so every link between sharers of a bucket counts.
     """
     texts = texts_of(docs, id_col, text_col)
     sketches = keep(
@@ -289,68 +326,71 @@ def near_duplicates(
             "doc_id long, n_shingles long, set_key binary, bands array<long>",
         )
     )
-    known = sketches.where("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    heads = known.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi")
-    entries = heads.select("doc_id", F.explode("bands").alias("band"))
+    known = keep(sketches.where("doc_id is not null and n_shingles > 0").select("doc_id", "n_shingles", "set_key"))
+    classes = keep(known.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
+    entries = (
+        sketches.where("doc_id is not null and n_shingles > 0")
+        .join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi")
+        .select("doc_id", F.explode("bands").alias("band"))
+    )
     crowds = entries.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     crowded = keep(entries.join(crowds, "band"))
     score = crowded.groupBy("doc_id").agg(F.sum("n").alias("score"))
-    members = keep(
-        crowded.select("band", "doc_id").join(score, "doc_id")
-        .withColumn("component_id", F.col("doc_id"))
-        .withColumn("settled", F.lit(False))
-    )
+    crowded = keep(crowded.select("band", "doc_id").join(score, "doc_id"))
+    # Of rows that repeat an id with different texts, the set whose bytes come first counts.
     sets = keep(
-        texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+        texts.join(crowded.select("doc_id").distinct(), "doc_id", "left_semi")
         .mapInArrow(_full_sets(size), "doc_id long, shingles binary")
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id").agg(F.min("shingles").alias("shingles"))
     )
+    members = crowded.withColumn("component_id", F.col("doc_id"))
     labels = None
     while True:
-        hubs = (
-            members.where("not settled").groupBy("band")
+        hubs = keep(
+            members.groupBy("band")
             .agg(F.max(F.struct("score", (-F.col("doc_id")).alias("first"), "component_id")).alias("best"))
             .select("band", (-F.col("best.first")).alias("hub"), F.col("best.component_id").alias("hub_component"))
         )
-        pairs = (
-            members.join(hubs, "band")
-            .where("component_id <> hub_component")
-            .select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
-            .distinct()
+        met = (
+            with_one(members, hubs, "band").where("component_id <> hub_component")
+            .groupBy("doc_id", "hub").agg(F.count("*").alias("shared"))
         )
+        nearest = met.groupBy("doc_id").agg(F.max(F.struct("shared", (-F.col("hub")).alias("first"))).alias("best"))
+        pairs = nearest.select("doc_id", (-F.col("best.first")).alias("hub")).select(
+            F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")
+        ).distinct()
+        pairs = keep(pairs)
         found = keep(_confirmed(pairs, sets, percent))
-        last = labels is not None and found.isEmpty()
-        if not last:
+        links = found.count()
+        if links or labels is None:
             labels = _joined(found, labels)
-        drawn = (
-            hubs.select("band", "hub").join(labels.withColumnRenamed("doc_id", "hub"), "hub", "left")
-            .select("band", "hub", F.coalesce("component_id", "hub").alias("hub_component"))
-        )
-        # Hubs are compared with everybody in their bucket, so they leave it.
-        members = keep(
-            members.drop("component_id").join(labels, "doc_id", "left")
-            .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-            .join(drawn, "band", "left")
-            .where("hub is null or doc_id <> hub")
-            .select(
-                "band", "doc_id", "score", "component_id",
-                (F.col("settled") | F.coalesce(F.col("component_id") == F.col("hub_component"), F.lit(False))).alias("settled"),
-            )
-        )
-        # A bucket whose members are all in one component is done with.
-        apart = members.groupBy("band").agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
-        members = keep(members.join(apart.where("low <> high").select("band"), "band", "left_semi"))
-        if last:
+        if links * WORTH_A_ROUND <= pairs.count():
             break
-    waiting = keep(members.select("doc_id", "component_id").distinct())
+        # Buckets whose members are all in one component are done with; a hub serves once.
+        members = _apart(
+            with_one(members, hubs.select("band", "hub"), "band").where("doc_id <> hub").select("band", "doc_id", "score"),
+            labels,
+        )
+    waiting = keep(_apart(crowded, labels).select("doc_id", "component_id").distinct())
     if not waiting.isEmpty():
         found = keep(links_between(waiting, sets, percent))
         if not found.isEmpty():
             labels = _joined(found, labels)
-    named = sketches.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
-    out = named.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep", "doc_id")).alias("component_id"),
+    reps = classes.join(labels.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
+        "set_key", F.coalesce("component_id", "rep").alias("component_id")
+    )
+    named = with_one(known, reps, "set_key").select("doc_id", "n_shingles", "component_id")
+    alone = sketches.where("doc_id is null or n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+    )
+    return named.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries with their components, of buckets that hold more than one component."""
+    named = keep(
+        entries.join(labels, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     )
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    mixed = named.groupBy("band").agg(F.min("component_id").alias("low"), F.max("component_id").alias("high"))
+    mixed = mixed.where("low <> high").select("band", F.lit(True).alias("_mixed"))
+    return keep(with_one(named, mixed, "band").drop("_mixed"))

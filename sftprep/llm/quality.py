@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sftprep.llm.store import remainder, texts_of
+from sftprep.llm.store import byte_slices, remainder, texts_of
 from sftprep.llm.words import mix, text_bytes, words_of
 
 # At most this many labelled rows are shipped, the first by a hash of their id: the
@@ -57,8 +57,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def _sparse(batches):
     for batch in batches:
-        for at in range(0, batch.num_rows, _ROWS):
-            part = batch.slice(at, _ROWS)
+        for part in byte_slices(batch, "text", rows=_ROWS):
             raw = counts(part.column("text"))
             rows, slots = np.nonzero(raw)
             offsets = pa.array(np.searchsorted(rows, np.arange(len(raw) + 1)), pa.int32())
@@ -142,8 +141,7 @@ def quality_scores(
     def run(batches):
         model = shipped.value
         for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(at, _ROWS)
+            for part in byte_slices(batch, "text", rows=_ROWS):
                 score = model.score(part.column("text"), neighbours)
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -23,6 +23,9 @@ from sftprep.session import settle
 # well under a gigabyte, whatever the size of the corpus.
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
+# A key that more rows than this hold may be shipped, and this many keys at most.
+LIGHT_ROWS = 1000
+HEAVY_KEYS = 1 << 15
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 MESSAGE = "block int, owner int, payload binary"
@@ -112,22 +115,47 @@ def slices(keys: np.ndarray, owners: int) -> list[tuple[int, int, int]]:
     return list(zip(own[heads].tolist(), heads.tolist(), np.r_[heads[1:], len(keys)].tolist()))
 
 
-def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
-    """``batch`` in parts whose ``column`` holds about ``limit`` bytes, one row at least.
-
-    Arrow batches are cut by rows, and rows may be long: what a worker builds from one
-    part is bounded by bytes.
-    """
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes.astype(np.int64) + 16)
+def slices_by(batch: pa.RecordBatch, sizes: np.ndarray, limit: int, rows: int | None = None):
+    """``batch`` in parts whose ``sizes`` sum to about ``limit``, one row at least and
+    ``rows`` at most."""
+    ends = np.cumsum(sizes.astype(np.int64))
     at = 0
     while at < batch.num_rows:
         before = int(ends[at - 1]) if at else 0
         to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        to = to if rows is None else min(to, at + rows)
         yield batch.slice(at, to - at)
         at = to
 
 
+def byte_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int | None = None):
+    """``batch`` in parts whose ``column`` holds about ``limit`` bytes, one row at least.
+
+    Arrow batches are cut by rows, and rows may be long: what a worker builds from one
+    part is bounded by bytes.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    yield from slices_by(batch, sizes.astype(np.int64) + 16, limit, rows)
+
+
+def with_one(rows: DataFrame, table: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Joins ``rows`` with the one row that ``table`` has per ``on``.
+
+    Keys that a large share of the rows hold are looked up where the rows lie: there are
+    at most ``HEAVY_KEYS`` of them, whatever the size of the rows. ``rows`` should be a
+    kept table, for it is counted first.
+    """
+    limit = max(LIGHT_ROWS, rows.count() // HEAVY_KEYS)
+    heavy = rows.groupBy(on).agg(F.count("*").alias("_n")).where(F.col("_n") > limit).select(on)
+    shipped = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+    marked = rows.join(shipped, on, "left")
+    few = table.join(F.broadcast(heavy), on, "left_semi")
+    return (
+        marked.where("_heavy").drop("_heavy").join(F.broadcast(few), on, how)
+        .unionByName(marked.where("_heavy is null").drop("_heavy").join(table, on, how))
+    )
+
+
 def planes(values: np.ndarray) -> bytes:
     """The bytes of an array, first bytes of all values first: where high bytes are zero
     or alike, shuffle and file compression then leave almost nothing of them."""

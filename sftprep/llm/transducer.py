@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from sftprep.llm.store import SLICE_BYTES, byte_slices, slices_by
 from sftprep.llm.words import _TABLES, ranks, span_hashes, text_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -27,7 +28,6 @@ FALLBACK_WEIGHT = 40.0
 # Merge ranks are read as Zipf ranks: weight = log(rank + offset).
 ZIPF_OFFSET = 3.0
 _SPACE, _META = b" ", "▁".encode()
-_BATCH_BYTES, _BATCH_ROWS = 1 << 20, 250
 _KEPT: dict[str, Pieces] = {}
 
 
@@ -194,17 +194,6 @@ def _model_bytes(path: str) -> bytes:
         return file.read()
 
 
-def _parts(batch: pa.RecordBatch, column: str):
-    """Slices of a batch of a few megabytes of text."""
-    sizes = np.cumsum([len(x) if x else 0 for x in (v.as_py() for v in batch.column(column))] or [0])
-    low = 0
-    while low < batch.num_rows:
-        spent = sizes[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(sizes, spent + _BATCH_BYTES)))
-        yield batch.slice(low, high - low)
-        low = high
-
-
 def encode(df: DataFrame, text_col: str = "text", out: str = "ids", model_path: str = MODEL) -> DataFrame:
     """Adds ``out``, the piece ids of each text. Null and empty texts have none.
 
@@ -218,7 +207,7 @@ def encode(df: DataFrame, text_col: str = "text", out: str = "ids", model_path:
     def run(batches):
         machine = pieces_of(model.value)
         for batch in batches:
-            for part in _parts(batch, text_col):
+            for part in byte_slices(batch, text_col):
                 texts = part.column(text_col)
                 full = pc.if_else(
                     pc.equal(pc.binary_length(texts.fill_null("")), 0), "",
@@ -241,8 +230,8 @@ def decode(df: DataFrame, ids_col: str = "ids", out: str = "decoded", model_path
     def run(batches):
         machine = pieces_of(model.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, _BATCH_ROWS):
-                part = batch.slice(at, _BATCH_ROWS)
+            each = pc.fill_null(pc.list_value_length(batch.column(ids_col)), 0).to_numpy(zero_copy_only=False)
+            for part in slices_by(batch, each + 4, SLICE_BYTES // 4):
                 lists = part.column(ids_col)
                 ids = lists.flatten().to_numpy()
                 each = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False)).astype(np.int64)
