@@ -203,3 +203,42 @@ def metrics(rows: DataFrame, losses: DataFrame) -> DataFrame:
         F.sum("_tokens").over(so_far).alias("tokens_seen"),
         (F.max("_step").over(so_far) + 1).alias("step"),
     ).join(losses.select("checkpoint", "eval_loss"), "checkpoint", "left")
+
+
+def _before(counts: DataFrame, *keys: str) -> DataFrame:
+    """Adds ``before``: the sum of ``n`` over earlier intervals of the same keys."""
+    earlier = Window.partitionBy(*keys).orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
+def run_log(fresh: DataFrame, bigram_share: float = BIGRAM_SHARE) -> DataFrame:
+    """``(interval, tokens, loss)``: each interval's own tokens scored by the state before it.
+
+    This is the training loss a run reports as it goes: no token is scored by a model that
+    has seen it. ``fresh`` is ``checkpoint_counts`` at the cadence of the log. Everything
+    comes from counts per interval: what a pair, a context and a token had before are
+    running sums over the intervals they occur in, so no state is ever written out.
+    """
+    pairs = _before(fresh.select("prev", "next", "interval", "n"), "prev", "next").withColumnRenamed("before", "pairs")
+    contexts = _before(fresh.groupBy("prev", "interval").agg(F.sum("n").alias("n")), "prev")
+    single = _before(fresh.groupBy("next", "interval").agg(F.sum("n").alias("n")), "next")
+    # One row per interval: the window without a key is bounded by the run settings.
+    so_far = Window.orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)
+    totals = single.groupBy("interval").agg(
+        F.sum("n").alias("tokens"), F.sum((F.col("before") == 0).cast("long")).alias("types")
+    ).select(
+        "interval",
+        F.coalesce(F.sum("tokens").over(so_far), F.lit(0)).alias("tokens"),
+        F.coalesce(F.sum("types").over(so_far), F.lit(0)).alias("types"),
+    )
+    scored = (
+        pairs.join(contexts.select("prev", "interval", F.col("before").alias("in_context")), ["prev", "interval"])
+        .join(single.select("next", "interval", F.col("before").alias("alone")), ["next", "interval"])
+        .join(F.broadcast(totals), "interval")
+    )
+    pair = F.coalesce(F.try_divide("pairs", "in_context"), F.lit(0.0))
+    one = (F.col("alone") + 1) / (F.col("tokens") + F.col("types") + 1)
+    p = F.lit(bigram_share) * pair + F.lit(1.0 - bigram_share) * one
+    return scored.groupBy("interval").agg(
+        F.sum("n").alias("tokens"), (F.sum(-F.log(p) * F.col("n")) / F.sum("n")).alias("loss")
+    )

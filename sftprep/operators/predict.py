@@ -13,7 +13,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import NumericType, StringType, StructType
 
 from sftprep.functions import uniform
-from sftprep.operators.tokens import EOS_ID, Vocabulary, decode, encode, salts
+from sftprep.operators.tokens import EOS_ID, Vocabulary, decode, encode, join_frequent
 from sftprep.session import fits, settle, ship
 
 # Sampling settings and request defaults.
@@ -149,21 +149,15 @@ def _cumulated(choices: Column, temperature: float, top_p: float) -> Column:
 def _with_choices(ctx: DataFrame, table: DataFrame, key: str, via: str) -> DataFrame:
     """Joins each context row to its choices; unseen contexts get the overall row.
 
-    A table under the shipping limits is broadcast. Beyond them the table, one row per
-    vocabulary entry, is copied over salts, for many prompts may share a last token.
+    A table under the shipping limits is broadcast. Beyond them it is joined, with copies
+    of the contexts that many prompts share.
     """
     overall = table.where(F.col("prev") == ANY_CONTEXT).select("choices").scalar()
     seen = table.where(F.col("prev") != ANY_CONTEXT)
     if via != "join" and fits(table.select("prev", F.inline("choices"))):
         joined = ctx.join(F.broadcast(seen), "prev", "left")
     else:
-        n = salts(ctx.sparkSession)
-        salted = seen.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        joined = (
-            ctx.withColumn("_salt", F.pmod(F.hash(key), F.lit(n)))
-            .join(salted, ["prev", "_salt"], "left")
-            .drop("_salt")
-        )
+        joined = join_frequent(ctx, seen, "prev", (key,), "left")
     return joined.withColumn("choices", F.coalesce("choices", overall))
 
 

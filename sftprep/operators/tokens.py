@@ -146,10 +146,27 @@ def _lookup(shipped: Broadcast):
     return ids
 
 
-def salts(spark: SparkSession) -> int:
-    """Copies of a joined table, so that one piece making up most of a corpus is spread
-    over as many tasks as a shuffle has."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def join_frequent(
+    tokens: DataFrame, table: DataFrame, on: str, by: tuple[str, ...] = ("_row", "_pos"), how: str = "inner"
+) -> DataFrame:
+    """Joins ``tokens`` with the one row of ``table`` per ``on``.
+
+    A key that holds more than a shuffle partition's share of all tokens is dealt, by a
+    hash of the columns ``by``, over as many copies as it has shares. There are fewer such
+    keys than partitions, and all copies together are at most twice as many, so the table
+    grows by no more than that.
+    """
+    shares = max(1, int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = settle(tokens.groupBy(on).agg(F.count("*").alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    frequent = F.broadcast(
+        counts.where(F.col("_n") * shares > total)
+        .select(on, F.ceil(F.col("_n") * shares / F.lit(max(total, 1))).cast("int").alias("_copies"))
+    )
+    copies = F.coalesce("_copies", F.lit(1))
+    dealt = tokens.join(frequent, on, "left").withColumn("_salt", F.pmod(F.hash(*by), copies))
+    copied = table.join(frequent, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return dealt.drop("_copies").join(copied.drop("_copies"), [on, "_salt"], how).drop("_salt")
 
 
 def _bytes_of(character: Column) -> Column:
@@ -176,18 +193,13 @@ def spellings(used: DataFrame, vocab: DataFrame) -> DataFrame:
     return known.union(spelled)
 
 
-def _ids_by_join(df: DataFrame, vocab: DataFrame, col: str, out: str) -> DataFrame:
-    """Ids by joins; rows are told apart by a number of their own, so ids may repeat or be null."""
+def ids_by_join(df: DataFrame, spelled: DataFrame, col: str, out: str) -> DataFrame:
+    """Ids by a join with ``spelled (piece, ids)``; rows are told apart by a number of
+    their own, so ids may repeat or be null."""
     rows = settle(df.withColumn("_row", F.uuid()))
-    n = salts(df.sparkSession)
-    table = spellings(rows.select(F.explode(col).alias("piece")), vocab).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    )
-    tokens = rows.select("_row", F.posexplode(col).alias("_pos", "piece")).withColumn(
-        "_salt", F.pmod(F.hash("_row", "_pos"), F.lit(n))
-    )
+    tokens = rows.select("_row", F.posexplode(col).alias("_pos", "piece"))
     found = (
-        tokens.join(table, ["piece", "_salt"])
+        join_frequent(tokens, spelled, "piece")
         .groupBy("_row")
         .agg(F.flatten(F.array_sort(F.collect_list(F.struct("_pos", "ids")))["ids"]).alias(out))
     )
@@ -217,7 +229,8 @@ def encode(
     if shipped is not None:
         df = df.withColumn("input_ids", _lookup(shipped)("pieces"))
     else:
-        df = _ids_by_join(df, vocab.table, "pieces", "input_ids")
+        used = df.select(F.explode("pieces").alias("piece"))
+        df = ids_by_join(df, spellings(used, vocab.table), "pieces", "input_ids")
     if max_length is not None:
         room = max(max_length - int(add_bos) - int(add_eos), 0)
         df = df.withColumn("input_ids", F.slice("input_ids", 1, room))
@@ -348,17 +361,12 @@ def decode(
     if shipped is not None:
         return df.withColumn(out, _spell(shipped, first_id)(ids))
     rows = settle(df.withColumn("_row", F.uuid()))
-    n = salts(df.sparkSession)
     is_byte = F.col("token_id").between(FIRST_BYTE, FIRST_PIECE - 1)
     spelled = F.when(is_byte, F.substr("piece", F.lit(4), F.lit(2))).otherwise(F.hex(F.encode("piece", "utf-8")))
-    table = vocab.table.where(F.col("token_id") >= first_id).select(
-        "token_id", spelled.alias("hex"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")
-    )
-    tokens = rows.select("_row", F.posexplode(ids).alias("_pos", "token_id")).withColumn(
-        "_salt", F.pmod(F.hash("_row", "_pos"), F.lit(n))
-    )
+    table = vocab.table.where(F.col("token_id") >= first_id).select("token_id", spelled.alias("hex"))
+    tokens = rows.select("_row", F.posexplode(ids).alias("_pos", "token_id"))
     texts = (
-        tokens.join(table, ["token_id", "_salt"])
+        join_frequent(tokens, table, "token_id")
         .groupBy("_row")
         .agg(F.array_sort(F.collect_list(F.struct("_pos", "hex")))["hex"].alias("_hex"))
     )

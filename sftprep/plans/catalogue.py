@@ -12,11 +12,12 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sftprep.functions import pieces, truthy
+from sftprep.functions import PIECE_PATTERN, pieces, truthy
 from sftprep.operators import batches as B
 from sftprep.operators import lm as L
 from sftprep.operators import predict as G
 from sftprep.operators import prompts as P
+from sftprep.operators import subwords as S
 from sftprep.operators import tokens as K
 from sftprep.plans import fixtures, flows
 from sftprep.session import new_path, settle, spread
@@ -26,8 +27,10 @@ VOCABULARY = 8192
 SPLIT = (0.1, 45)
 WIDE_SPLIT = (0.2, 68)
 BATCH, ACCUM, WORLD = 4, 4, 4
-# Rank-ordered batches of 4 x 4 rows, two epochs, evaluated every 25 steps.
-STATE_RUN = flows.RunConfig(by_length=False, eval_steps=25)
+# Rank-ordered batches of 4 x 4 rows, two epochs, saved and evaluated every 25 steps.
+STATE_RUN = flows.RunConfig(by_length=False, eval_steps=25, save_steps=25, logging_steps=10)
+# A public byte-pair vocabulary; any file of the same kind will do.
+SUBWORDS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 DOMAIN_WEIGHT = 0.7
 TEMPERATURE = 0.7
 DRAWS = 8
@@ -115,6 +118,31 @@ def load_lm(spark, sf_dir):
     return _model_digest(models.load_lm(spark, path, last), "prev")
 
 
+def state_log(spark, sf_dir):
+    """Every state of a run, added up from its saved increments, one of them compacted."""
+    train = _split_tokens(spark, sf_dir)[0]
+    log = flows.save_run(train, "doc_id", STATE_RUN, new_path(spark, "log"))
+    saved = log.saved()
+    log.compact(saved[len(saved) // 2])
+    states = [log.state(c).withColumn("checkpoint", F.lit(c)) for c in saved]
+    out = states[0]
+    for state in states[1:]:
+        out = out.union(state)
+    return _model_digest(out, "checkpoint")
+
+
+def reuse_dataset(spark, sf_dir):
+    """Prepared rows, computed by the first call and read back by the second."""
+    root = new_path(spark, "prepared")
+    rows = flows.rendered_split(fixtures.doc_instruct(spark, sf_dir), "rec_id")
+    kept = [
+        datasets.reuse(rows, root, [f"{sf_dir}/documents.parquet"], {"layout": "block"}) for _ in range(2)
+    ]
+    return kept[1].rows.select("rec_id", "split", F.md5("text").alias("text_md5")).withColumn(
+        "hits", F.lit(sum(k.hit for k in kept))
+    )
+
+
 # Prompts
 
 
@@ -200,6 +228,17 @@ def encode_by_join(spark, sf_dir):
     return _ids(K.encode(_documents(spark, sf_dir), _vocab(spark, sf_dir), via="join"))
 
 
+def encode_subwords(spark, sf_dir):
+    """Ids by a public vocabulary's merges, within the same pieces that other queries cut."""
+    known = S.Subwords(spark, SUBWORDS)
+    ids = S.encode(_documents(spark, sf_dir), known, pattern=PIECE_PATTERN)
+    back = S.decode(ids, known)
+    return back.select(
+        "doc_id", F.size("input_ids").alias("length"), digest("input_ids").alias("ids_md5"),
+        (F.col("decoded") == F.col("text")).alias("same"),
+    )
+
+
 def truncate(spark, sf_dir):
     return _ids(_tokens(spark, sf_dir, K.MAX_LENGTH))
 
@@ -386,6 +425,11 @@ def metrics(spark, sf_dir):
     return out.withColumn("eval_loss", F.round("eval_loss", 6))
 
 
+def run_log(spark, sf_dir):
+    out = flows.logged_run(_split_tokens(spark, sf_dir)[0], "doc_id", STATE_RUN)
+    return out.withColumn("loss", F.round("loss", 6))
+
+
 def evaluate_run(spark, sf_dir):
     """The best model of a run, read back from where the run saved it."""
     train, test = _split_tokens(spark, sf_dir)
@@ -608,6 +652,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_checkpoint": best_checkpoint,
     "metrics": metrics,
     "evaluate_run": evaluate_run,
+    "run_log": run_log,
+    "state_log": state_log,
+    "reuse_dataset": reuse_dataset,
+    "encode_subwords": encode_subwords,
     "with_temperature": with_temperature,
     "nucleus": nucleus,
     "sample_next": sample_next,

@@ -209,6 +209,47 @@ TEMPERED = """tempered as (select prev, next, power(p, 1.0::double / 0.7::double
   / sum(power(p, 1.0::double / 0.7::double)) over (partition by prev) as p from probs)"""
 
 
+# The log: pairs of an interval of ten steps against what all earlier ones have counted.
+LOGGED = (
+    *PLACED,
+    _pairs("tp", "placed", "step, "),
+    "grown as (select step // 10 as interval, prev, next, count(*) as n from tp group by all)",
+    """sums as (
+  select g.interval, g.n,
+    (select coalesce(sum(n), 0) from grown b where b.interval < g.interval and b.prev = g.prev and b.next = g.next) as pairs,
+    (select coalesce(sum(n), 0) from grown b where b.interval < g.interval and b.prev = g.prev) as context,
+    (select coalesce(sum(n), 0) from grown b where b.interval < g.interval and b.next = g.next) as alone,
+    (select coalesce(sum(n), 0) from grown b where b.interval < g.interval) as tokens,
+    (select count(distinct next) from grown b where b.interval < g.interval) as types
+  from grown g)""",
+    """scored as (select interval, n, 0.7::double * case when context = 0 then 0 else pairs::double / context end
+    + (1.0::double - 0.7::double) * (alone + 1)::double / (tokens + types + 1) as p from sums)""",
+)
+
+# Merges of a public vocabulary: each step joins, in every piece, the leftmost of the
+# neighbours that make the token of lowest id.
+SUBWORDS = """ranks as materialized (
+  select hex(from_base64(token)) as token, id from read_csv('/opt/tokenizers/byte_bpe_50k.tiktoken',
+    delim = ' ', header = false, quote = '', escape = '', columns = {'token': 'varchar', 'id': 'integer'})),
+words as materialized (select distinct piece from (select unnest(p) as piece from dp)),
+steps as (
+  select piece, regexp_extract_all(hex(encode(piece)), '..') as parts, 0 as step from words
+  union all
+  select piece, list_concat(parts[1:best - 1], list_concat([parts[best] || parts[best + 1]], parts[best + 2:])) as parts, step + 1
+  from (
+    select piece, any_value(parts) as parts, step, arg_min(i, id * 100000::bigint + i) as best
+    from (select piece, parts, step, unnest(range(1, len(parts))) as i from steps) s
+    join ranks on token = parts[i] || parts[i + 1]
+    group by piece, step)),
+ends as (select piece, arg_max(parts, step) as parts from steps group by piece),
+spelt as materialized (
+  select piece, list(id order by i) as ids
+  from (select piece, unnest(parts) as token, generate_subscripts(parts, 1) as i from ends) join ranks using (token)
+  group by piece),
+subwords as (
+  select id, flatten(list(ids order by i)) as ids
+  from (select id, unnest(p) as piece, generate_subscripts(p, 1) as i from dp) join spelt using (piece) group by id)"""
+
 # Drawing. Each kept choice owns an interval [lo, hi) of the uniform number.
 
 
@@ -539,6 +580,25 @@ CHECKS: dict[str, str] = {
             "prev",
         ),
     ),
+    "run_log": _query(
+        *LOGGED,
+        """select least((interval + 1) * 10, (select max(step) + 1 from placed))::bigint as step,
+          sum(n)::bigint as tokens, round(sum(-ln(p) * n) / sum(n), 6) as loss from scored group by interval""",
+    ),
+    "state_log": _query(*STATES, _model_digest("states", "checkpoint")),
+    "reuse_dataset": _query(
+        DOC_INSTRUCT,
+        _block("block", "doc_instruct"),
+        _split("sp", "(select rec_id as id, text from block)", 0.1, 45),
+        "select id as rec_id, split, md5(text) as text_md5, 1 as hits from sp",
+    ),
+    "encode_subwords": _query(
+        DOC_PIECES,
+        SUBWORDS,
+        """select doc_id, coalesce(len(ids), 0)::integer as length,
+          md5(array_to_string(coalesce(ids, [])::varchar[], ' ')) as ids_md5, true as same
+          from documents left join subwords on id = doc_id""",
+    ),
     "with_temperature": _query(*DOC_MODEL, PROBS, TEMPERED, _probs_digest("tempered")),
     "nucleus": _query(
         *DOC_MODEL,

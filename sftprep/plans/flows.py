@@ -24,9 +24,9 @@ from sftprep.operators.lm import (
     best_checkpoint,
     checkpoint_counts,
     checkpoint_losses,
-    checkpoints,
     fit_lm,
     metrics,
+    run_log,
 )
 from sftprep.operators.predict import candidates, completion, generate
 from sftprep.operators.prompts import (
@@ -48,7 +48,7 @@ from sftprep.operators.tokens import (
 )
 from sftprep.session import settle
 from sftprep.sources.datasets import export_shards
-from sftprep.sources.models import load_lm, save_lm
+from sftprep.sources.models import StateLog
 
 
 @dataclass(frozen=True)
@@ -190,20 +190,55 @@ def placed_states(
     return train.join(plan, id_col).withColumn("interval", F.expr(f"cast(step div {step} as int)")), count
 
 
+def logged_run(train: DataFrame, id_col: str, config: RunConfig) -> DataFrame:
+    """The run's log, ``step, tokens, loss``: one row per ``logging_steps`` steps."""
+    placed, count = placed_states(train, id_col, config, config.logging_steps)
+    every, _ = config.cadence(train.count(), config.logging_steps)
+    last = config.total_steps(train.count())
+    found = run_log(settle(checkpoint_counts(placed))).where(F.col("interval") < count)
+    return found.select(F.least((F.col("interval") + 1) * every, F.lit(last)).cast("long").alias("step"), "tokens", "loss")
+
+
+def save_run(train: DataFrame, id_col: str, config: RunConfig, path: str) -> StateLog:
+    """Saves the run's states every ``save_steps`` steps, each as what it adds.
+
+    States that an earlier, unfinished call has saved are not computed again.
+    """
+    placed, count = placed_states(train, id_col, config, config.save_steps)
+    log = StateLog(train.sparkSession, path)
+    wanted = [c for c in range(1, count + 1) if c not in log.saved()]
+    if wanted:
+        log.append(settle(checkpoint_counts(placed)), wanted)
+    return log
+
+
+def best_saved(losses: DataFrame, config: RunConfig, train_rows: int) -> tuple[int, int | None]:
+    """The checkpoint to keep, ``(save, evaluation)``: of the states that were both saved and
+    evaluated the one of lowest loss, or the last save when no step was both."""
+    evaluated, n = config.cadence(train_rows, config.eval_steps)
+    saved, saves = config.cadence(train_rows, config.save_steps)
+    last = config.total_steps(train_rows)
+    step = {min(c * saved, last): c for c in range(1, saves + 1)}
+    both = {c: step[min(c * evaluated, last)] for c in range(1, n + 1) if min(c * evaluated, last) in step}
+    if not both:
+        return saves, None
+    best = best_checkpoint(losses.where(F.col("checkpoint").isin(list(both)))).first()["checkpoint"]
+    return both[best], best
+
+
 def evaluate_run(
     train: DataFrame, test: DataFrame, id_col: str, config: RunConfig, path: str
 ) -> tuple[DataFrame, DataFrame]:
-    """The run's metrics per evaluation, and the model of lowest held-out loss.
+    """The run's metrics per evaluation, and the best of its saved models.
 
-    States are saved under ``path``, one folder each, and the best is read from there.
+    States are saved under ``path`` every ``save_steps`` steps and evaluated every
+    ``eval_steps``; the best is read back from there (see ``best_saved``).
     """
+    log = save_run(train, id_col, config, path)
     placed, count = placed_states(train, id_col, config)
-    fresh = settle(checkpoint_counts(placed))
-    losses = settle(checkpoint_losses(fresh, count, test))
-    save_lm(checkpoints(fresh, count), path)
-    best = best_checkpoint(losses).first()
-    model = load_lm(train.sparkSession, path, best["checkpoint"])
-    return metrics(placed.select("interval", "step", "length"), losses), model
+    losses = settle(checkpoint_losses(settle(checkpoint_counts(placed)), count, test))
+    best, _ = best_saved(losses, config, train.count())
+    return metrics(placed.select("interval", "step", "length"), losses), log.state(best)
 
 
 def adapted_candidates(base: DataFrame, domain: DataFrame, weight: float) -> DataFrame:

@@ -62,18 +62,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system names it."""
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(spark._jsc.hadoopConfiguration()), named
+
+
 def discard_settled(spark: SparkSession) -> int:
     """Deletes what this process has written under ``new_path``, and says how many.
 
     Call it when a job's results have been written: tables that read a settled one can
     no longer be computed afterwards.
     """
-    files = spark._jvm.org.apache.hadoop.fs
-    hadoop = spark._jsc.hadoopConfiguration()
     gone = 0
     while _HANDED_OUT:
-        path = files.Path(_HANDED_OUT.pop())
-        gone += bool(path.getFileSystem(hadoop).delete(path, True))
+        files, path = hadoop_path(spark, _HANDED_OUT.pop())
+        gone += bool(files.delete(path, True))
     return gone
 
 

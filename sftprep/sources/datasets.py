@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from sftprep.session import hadoop_path
+
 FORMATS = ("parquet", "json", "csv")
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"'}
 
@@ -61,6 +68,100 @@ def save_dataset(
     df.write.option("maxRecordsPerFile", rows_per_file).partitionBy(*keys).parquet(path)
 
 
+# The layout of one kept entry. The manifest is written last.
+MANIFEST, DATA = "manifest.json", "data"
+_NUMBERS = re.compile(r"#\d+L?|plan_id=\d+")
+
+
+@dataclass(frozen=True)
+class Kept:
+    """Prepared rows, whether they were there before, and where they are."""
+
+    rows: DataFrame
+    hit: bool
+    path: str
+
+
+def source_digest(spark: SparkSession, sources: list[str]) -> dict:
+    """Number, bytes and a digest of the files under ``sources`` by path, size and time of
+    change. Spark lists the files and adds them up; their content is not read."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sources)
+        .select("path", "length", F.unix_micros("modificationTime").alias("changed"))
+    )
+    key = F.xxhash64("path", "length", "changed")
+    found = listed.agg(
+        F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.bit_xor(key), F.lit(0)).alias("all"), F.sum(key.cast("decimal(20,0)")).cast("string").alias("sum"),
+    ).first()
+    return found.asDict()
+
+
+def plan_text(df: DataFrame) -> str:
+    """The analysed plan without the numbers that differ from one session to the next."""
+    return _NUMBERS.sub("", df._jdf.queryExecution().analyzed().toString())
+
+
+def reuse(
+    df: DataFrame, root: str, sources: list[str], settings: dict | None = None, by: str | list[str] = "split"
+) -> Kept:
+    """``df`` as prepared rows under ``root``: read back when they are there, else written.
+
+    An entry is named by the files under ``sources``, the plan of ``df`` and ``settings``
+    (whatever else decides the rows: a seed, the version of a function). A file that is
+    added, replaced or removed, another plan or another setting names another entry. An
+    entry counts once its manifest is there, which is written after its rows, so what a
+    run that was cut short has left is never read. Two runs that prepare the same entry at
+    the same time write to folders of their own, and the last manifest holds. ``df`` must
+    not depend on anything else, such as the time of day.
+    """
+    spark = df.sparkSession
+    keys = [by] if isinstance(by, str) else list(by)
+    files = source_digest(spark, sources)
+    about = {"sources": files, "plan": plan_text(df), "settings": settings or {}, "by": keys, "schema": df.schema.json()}
+    name = hashlib.sha256(json.dumps(about, sort_keys=True, default=str).encode()).hexdigest()
+    entry = f"{root.rstrip('/')}/{name[:32]}"
+    found = _manifest(spark, entry)
+    hit = found is not None
+    if not hit:
+        data = f"{DATA}-{uuid.uuid4().hex}"
+        save_dataset(df, f"{entry}/{data}", keys)
+        found = {"data": data, "key": name, "sources": files, "settings": settings or {}}
+        _write(spark, f"{entry}/{MANIFEST}", json.dumps(found, default=str))
+    path = f"{entry}/{found['data']}"
+    return Kept(spark.read.schema(df.schema).parquet(path).select(*df.columns), hit, path)
+
+
+def _manifest(spark: SparkSession, entry: str) -> dict | None:
+    files, path = hadoop_path(spark, f"{entry}/{MANIFEST}")
+    if not files.exists(path):
+        return None
+    stream = files.open(path)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    try:
+        found = json.loads(text)
+    except ValueError:  # cut short
+        return None
+    return found if files.exists(path.getParent().suffix(f"/{found['data']}/_SUCCESS")) else None
+
+
+def _write(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file under another name first, so that it is there whole or not at all."""
+    files, final = hadoop_path(spark, path)
+    draft = final.suffix(f"-{uuid.uuid4().hex}")
+    stream = files.create(draft)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files.delete(final, False)
+    if not files.rename(draft, final):
+        raise OSError(f"could not write {path}")
+
+
 STEPS_PER_FILE = 512
 
 

@@ -1,9 +1,14 @@
-"""Keeping and opening model tables, one folder per checkpoint."""
+"""Keeping and opening model tables: one folder per checkpoint, or a log of increments."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sftprep.session import hadoop_path
+
+COUNTS = "prev int, next int, n long"
+DONE = "_SUCCESS"
+
 
 def save_lm(states: DataFrame, path: str) -> None:
     """Writes ``(checkpoint, prev, next, n)`` with a folder for each checkpoint."""
@@ -12,6 +17,68 @@ def save_lm(states: DataFrame, path: str) -> None:
 
 def load_lm(spark: SparkSession, path: str, checkpoint: int) -> DataFrame:
     """One checkpoint's ``(prev, next, n)``; the other folders are not read."""
-    schema = "prev int, next int, n long, checkpoint int"
-    states = spark.read.schema(schema).parquet(path)
+    states = spark.read.schema(f"{COUNTS}, checkpoint int").parquet(path)
     return states.where(F.col("checkpoint") == checkpoint).drop("checkpoint")
+
+
+class StateLog:
+    """Model states as a log: what each checkpoint adds to the one before.
+
+    Checkpoint i is the sum of increments 1 to i. The log grows with new counts only, where
+    full states grow with their number times their size. ``compact`` writes one full state;
+    later states then read it and what came after. An increment or a full state counts once
+    Spark has marked its folder as done, so a run that was cut short leaves no half state:
+    the next one writes the same folder again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def _folder(self, kind: str, checkpoint: int) -> str:
+        return f"{self.path}/{kind}/{checkpoint:08d}"
+
+    def _done(self, kind: str) -> list[int]:
+        """Checkpoints of which a whole folder is there; one entry per save of the run."""
+        files, folder = hadoop_path(self.spark, f"{self.path}/{kind}")
+        if not files.exists(folder):
+            return []
+        names = [s.getPath() for s in files.listStatus(folder)]
+        return sorted(int(p.getName()) for p in names if files.exists(p.suffix(f"/{DONE}")))
+
+    def saved(self) -> list[int]:
+        """Checkpoints that can be opened: those without a gap before them."""
+        done, start = self._done("increment"), max([0, *self._done("full")])
+        last = start
+        while last + 1 in done:
+            last += 1
+        return sorted({c for c in done if c <= last} | {c for c in self._done("full")})
+
+    def append(self, fresh: DataFrame, checkpoints: list[int]) -> list[int]:
+        """Saves increments of ``fresh (prev, next, interval, n)`` that are not saved yet, and
+        tells which: interval i - 1 is what checkpoint i adds."""
+        missing = sorted(set(checkpoints) - set(self._done("increment")))
+        for checkpoint in missing:
+            part = fresh.where(F.col("interval") == checkpoint - 1).groupBy("prev", "next").agg(F.sum("n").alias("n"))
+            part.write.mode("overwrite").parquet(self._folder("increment", checkpoint))
+        return missing
+
+    def state(self, checkpoint: int) -> DataFrame:
+        """``(prev, next, n)`` at a checkpoint; reads the last full state before it and the
+        increments since. Checkpoint 0 is the empty model."""
+        full = max([0, *(c for c in self._done("full") if c <= checkpoint)])
+        wanted = list(range(full + 1, checkpoint + 1))
+        absent = sorted(set(wanted) - set(self._done("increment")))
+        if absent:
+            raise ValueError(f"checkpoint {checkpoint} of {self.path} needs increments {absent}")
+        paths = [self._folder("increment", c) for c in wanted]
+        if full:
+            paths.append(self._folder("full", full))
+        if not paths:
+            return self.spark.createDataFrame([], COUNTS)
+        parts = self.spark.read.schema(COUNTS).parquet(*paths)
+        return parts if len(paths) == 1 else parts.groupBy("prev", "next").agg(F.sum("n").alias("n"))
+
+    def compact(self, checkpoint: int) -> None:
+        """Writes the full state of a checkpoint; the log stays as it is."""
+        if checkpoint not in self._done("full"):
+            self.state(checkpoint).write.mode("overwrite").parquet(self._folder("full", checkpoint))
