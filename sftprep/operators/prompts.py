@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sftprep.functions import truthy, words_or_none
+from sftprep.operators.templates import Template, render
 
 # Wording a trained model expects, byte for byte.
 BLOCK_INTRO = (
@@ -56,19 +56,20 @@ INPUT_OUTPUT = Fields()
 CONTEXT_RESPONSE = Fields("instruction", "context", "response", context_optional=False)
 
 
-def _layout(df: DataFrame, fields: Fields, out: str, head: str, lead: str, sep: str) -> DataFrame:
-    # concat puts each value in once, so braces or keys inside the data stay literal.
-    context = fields.context_column(df)
-    with_context = F.concat(F.lit(sep + INPUT_KEY + lead), context.cast("string"))
-    return df.withColumn(
-        out,
-        F.concat(
-            F.lit(head + INSTRUCTION_KEY + lead),
-            words_or_none(fields.instruction),
-            F.when(truthy(context), with_context).otherwise(F.lit("")),
-            F.lit(sep + RESPONSE_KEY + lead),
-            words_or_none(fields.response),
-        ),
+def layouts(intro: str, head: str, lead: str, sep: str) -> tuple[Template, Template]:
+    """The layout with context and the one without, open slots being the fields."""
+    start = "{intro}{head}{asks}{lead}{instruction}"
+    end = "{sep}{answers}{lead}{response}"
+    keys = {"intro": intro, "head": head, "lead": lead, "sep": sep, "asks": INSTRUCTION_KEY, "answers": RESPONSE_KEY}
+    both = Template.of(start + "{sep}{given}{lead}{context}" + end).fill(**keys, given=INPUT_KEY)
+    return both, Template.of(start + end).fill(**keys)
+
+
+def _layout(df: DataFrame, fields: Fields, out: str, intro: str, head: str, lead: str, sep: str) -> DataFrame:
+    with_context, without = layouts(intro, head, lead, sep)
+    return render(
+        df, with_context, without, when="context", out=out, instruction=fields.instruction,
+        context=fields.context_column(df), response=fields.response,
     )
 
 
@@ -76,14 +77,14 @@ def format_block(
     df: DataFrame, fields: Fields = INPUT_OUTPUT, intro: str = BLOCK_INTRO, out: str = "text"
 ) -> DataFrame:
     """Keys and values on their own lines, blank lines between the blocks."""
-    return _layout(df, fields, out, intro + "\n\n", "\n", "\n\n")
+    return _layout(df, fields, out, intro, "\n\n", "\n", "\n\n")
 
 
 def format_inline(
     df: DataFrame, fields: Fields = CONTEXT_RESPONSE, intro: str = INLINE_INTRO, out: str = "text"
 ) -> DataFrame:
     """Everything on one line, each key directly followed by its value."""
-    return _layout(df, fields, out, intro + " ", "", " ")
+    return _layout(df, fields, out, intro, " ", "", " ")
 
 
 def inference_prompt(
@@ -96,4 +97,5 @@ def inference_prompt(
     if style not in INFERENCE_STYLES:
         raise ValueError(f"unknown style {style!r}; one of {sorted(INFERENCE_STYLES)}")
     before, after = INFERENCE_STYLES[style]
-    return df.withColumn(out, F.concat(F.lit(before), words_or_none(request), F.lit(after)))
+    asked = Template.of("{before}{request}{after}").fill(before=before, after=after)
+    return render(df, asked, out=out, request=request)

@@ -18,6 +18,7 @@ from sftprep.operators import lm as L
 from sftprep.operators import predict as G
 from sftprep.operators import prompts as P
 from sftprep.operators import subwords as S
+from sftprep.operators import templates as T
 from sftprep.operators import tokens as K
 from sftprep.plans import fixtures, flows
 from sftprep.session import new_path, settle, spread
@@ -146,6 +147,14 @@ def reuse_dataset(spark, sf_dir):
 # Prompts
 
 
+def custom_template(spark, sf_dir):
+    """A caller's own template: constants first, columns later, braces kept."""
+    asked = T.Template.of("{intro}: {{{instruction}}} given {context} -> {response}").fill(intro="Task {1}")
+    plain = T.Template.of("{intro}: {{{instruction}}} -> {response}").fill(intro="Task {1}")
+    out = T.render(fixtures.instruct(spark, sf_dir), asked, plain, when="context", context="input", response="output")
+    return out.select("rec_id", "text")
+
+
 def format_block(spark, sf_dir):
     return P.format_block(fixtures.instruct(spark, sf_dir)).select("rec_id", "text")
 
@@ -652,6 +661,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_checkpoint": best_checkpoint,
     "metrics": metrics,
     "evaluate_run": evaluate_run,
+    "custom_template": custom_template,
     "run_log": run_log,
     "state_log": state_log,
     "reuse_dataset": reuse_dataset,

@@ -580,6 +580,12 @@ CHECKS: dict[str, str] = {
             "prev",
         ),
     ),
+    "custom_template": _query(
+        INSTRUCT,
+        """select rec_id, 'Task {1}: {' || coalesce(instruction, 'None') || '}'
+          || case when coalesce(input, '') <> '' then ' given ' || input else '' end
+          || ' -> ' || coalesce(output, 'None') as text from instruct""",
+    ),
     "run_log": _query(
         *LOGGED,
         """select least((interval + 1) * 10, (select max(step) + 1 from placed))::bigint as step,

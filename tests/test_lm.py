@@ -126,3 +126,43 @@ def test_rows_seen_are_the_rows_of_the_plan(spark):
         assert len(got) == count
         for r in got:
             assert r["rows_seen"] == plan.where(F.col("step") < r["checkpoint"] * every).count()
+
+
+def test_run_log_scores_each_interval_by_what_came_before(train):
+    at = F.expr("cast(step div 2 as int)")
+    got = {r["interval"]: r for r in L.run_log(L.checkpoint_counts(train, at)).collect()}
+    for interval in (0, 1, 2):
+        before = pairs([r for r in TRAIN if r[1] // 2 < interval])
+        context, alone = Counter(), Counter()
+        for (v, w), n in before.items():
+            context[v] += n
+            alone[w] += n
+        total, types = sum(alone.values()), len(alone)
+        own = list(pairs([r for r in TRAIN if r[1] // 2 == interval]).elements())
+        losses = [
+            -math.log(0.7 * (before[v, w] / context[v] if context[v] else 0) + 0.3 * (alone[w] + 1) / (total + types + 1))
+            for v, w in own
+        ]
+        assert got[interval]["tokens"] == len(own)
+        assert math.isclose(got[interval]["loss"], sum(losses) / len(own), rel_tol=1e-9)
+
+
+def test_runs_save_evaluate_and_log_at_their_own_cadence(spark, tmp_path):
+    rows = spark.range(320).select(
+        F.col("id").alias("rec"), F.array(F.lit(1), (F.col("id") % 7 + 3).cast("int"), F.lit(2)).alias("input_ids"),
+        F.lit(3).alias("length"),
+    )
+    config = flows.RunConfig(by_length=False, n_epochs=1, save_steps=8, eval_steps=5, logging_steps=4)
+    log = flows.save_run(rows, "rec", config, str(tmp_path / "log"))
+    assert log.saved() == [1, 2, 3] and config.total_steps(320) == 20
+    sizes = [log.state(c).agg(F.sum("n")).first()[0] for c in log.saved()]
+    assert sizes == [2 * 16 * 8, 2 * 16 * 16, 2 * 320]
+    steps = sorted(r["step"] for r in flows.logged_run(rows, "rec", config).collect())
+    assert steps == [4, 8, 12, 16, 20]
+    # Evaluated at 5, 10, 15 and 20, saved at 8, 16 and 20: only the last step was both.
+    found, model = flows.evaluate_run(rows, rows, "rec", config, str(tmp_path / "log"))
+    assert found.count() == 4 and model.agg(F.sum("n")).first()[0] == 640
+    losses = spark.createDataFrame([(c, float(c)) for c in range(1, 5)], "checkpoint int, eval_loss double")
+    assert flows.best_saved(losses, config, 320) == (3, 4)
+    odd = flows.RunConfig(by_length=False, max_steps=6, save_steps=5, eval_steps=2)
+    assert flows.best_saved(losses, odd, 320)[0] == 2

@@ -181,8 +181,9 @@ def test_models_are_loaded_once_a_worker(spark, tmp_path):
     assert got.count() == 200
     import os
 
+    # Once per process; how many processes there are is Spark's affair.
     loads = [name.split("-")[0] for name in os.listdir(mark)]
-    assert 1 <= len(loads) == len(set(loads)) <= 16
+    assert 1 <= len(loads) == len(set(loads))
 
 
 def test_predict_with_answers_every_row(spark):

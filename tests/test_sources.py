@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from sftprep.operators.batches import shard, shuffle_rank, steps, train_test_split
 from sftprep.operators.prompts import format_block
 from sftprep.sources import datasets as D
-from sftprep.sources.models import load_lm, save_lm
+from sftprep.sources.models import StateLog, load_lm, save_lm
 
 SCHEMA = "rec_id long, instruction string, input string, output string"
 
@@ -87,3 +87,86 @@ def test_settled_tables_can_be_discarded(spark):
         assert session.discard_settled(spark) == 0
     finally:
         session._HANDED_OUT.extend(kept)
+
+
+def kept(spark, tmp_path, **more):
+    rows = spark.read.parquet(str(tmp_path / "in")).withColumn("split", F.lit("train"))
+    return D.reuse(rows, str(tmp_path / "kept"), [str(tmp_path / "in")], **more)
+
+
+def test_prepared_rows_are_reused_until_something_changes(spark, edge_rows, tmp_path):
+    edge_rows.write.parquet(str(tmp_path / "in"))
+    first, again = kept(spark, tmp_path), kept(spark, tmp_path)
+    assert (first.hit, again.hit) == (False, True) and first.path == again.path
+    assert again.rows.count() == 9 and again.rows.columns == [*edge_rows.columns, "split"]
+    # The second call reads what was kept and no source file.
+    assert all("/kept/" in f for f in again.rows.inputFiles())
+    other = kept(spark, tmp_path, settings={"seed": 1})
+    assert not other.hit and other.path != first.path and kept(spark, tmp_path, settings={"seed": 1}).hit
+    edge_rows.limit(2).write.mode("append").parquet(str(tmp_path / "in"))
+    grown = kept(spark, tmp_path)
+    assert not grown.hit and grown.rows.count() == 11 and kept(spark, tmp_path).hit
+
+
+def test_another_plan_is_another_entry(spark, edge_rows, tmp_path):
+    edge_rows.write.parquet(str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "in")).withColumn("split", F.lit("train"))
+    root, sources = str(tmp_path / "kept"), [str(tmp_path / "in")]
+    assert not D.reuse(rows, root, sources).hit
+    assert not D.reuse(rows.where("rec_id > 3"), root, sources).hit
+    assert D.reuse(spark.read.parquet(sources[0]).withColumn("split", F.lit("train")), root, sources).hit
+
+
+def test_half_written_entries_are_not_read(spark, edge_rows, tmp_path):
+    import os
+
+    edge_rows.write.parquet(str(tmp_path / "in"))
+    first = kept(spark, tmp_path)
+    entry = os.path.dirname(first.path)
+    os.remove(os.path.join(entry, D.MANIFEST))
+    again = kept(spark, tmp_path)
+    assert not again.hit and again.path != first.path and again.rows.count() == 9
+    with open(os.path.join(entry, D.MANIFEST), "w") as file:
+        file.write('{"data": "da')
+    crc = os.path.join(entry, f".{D.MANIFEST}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    assert not kept(spark, tmp_path).hit and kept(spark, tmp_path).hit
+    os.remove(os.path.join(kept(spark, tmp_path).path, "_SUCCESS"))
+    assert not kept(spark, tmp_path).hit
+
+
+def increments(spark):
+    rows = [(1, 2, 0, 3), (1, 3, 0, 1), (1, 2, 2, 5), (4, 4, 2, 1), (1, 2, 3, 1)]
+    return spark.createDataFrame(rows, "prev int, next int, interval int, n long")
+
+
+def state(log, checkpoint):
+    return sorted(tuple(r) for r in log.state(checkpoint).collect())
+
+
+def test_states_are_sums_of_increments(spark, tmp_path):
+    log = StateLog(spark, str(tmp_path / "log"))
+    assert log.saved() == [] and state(log, 0) == []
+    assert log.append(increments(spark), [1, 2, 3, 4]) == [1, 2, 3, 4] and log.saved() == [1, 2, 3, 4]
+    assert state(log, 1) == state(log, 2) == [(1, 2, 3), (1, 3, 1)]
+    assert state(log, 4) == [(1, 2, 9), (1, 3, 1), (4, 4, 1)]
+    # What is kept grows with new counts, not with states.
+    assert spark.read.parquet(str(tmp_path / "log" / "increment" / "*")).count() == 5
+    log.compact(3)
+    assert state(log, 4) == [(1, 2, 9), (1, 3, 1), (4, 4, 1)] and state(log, 3)[0] == (1, 2, 8)
+    assert {f.split("/")[-3] for f in log.state(4).inputFiles()} == {"full", "increment"}
+    assert len({f.rsplit("/", 1)[0] for f in log.state(4).inputFiles()}) == 2
+
+
+def test_a_run_goes_on_where_it_was_cut_short(spark, tmp_path):
+    import os
+
+    log = StateLog(spark, str(tmp_path / "log"))
+    log.append(increments(spark), [1, 2, 3])
+    os.remove(str(tmp_path / "log" / "increment" / "00000002" / "_SUCCESS"))
+    assert log.saved() == [1]
+    with pytest.raises(ValueError):
+        log.state(3)
+    assert log.append(increments(spark), [1, 2, 3, 4]) == [2, 4]
+    assert log.saved() == [1, 2, 3, 4] and state(log, 4)[0] == (1, 2, 9)
