@@ -306,21 +306,24 @@ def prefix_trie(convs: DataFrame, items: DataFrame) -> DataFrame:
             "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(none)).alias("ends_sha256"),
         )
     )
-    # The root, one row: every conversation starts with no turn.
-    tops = out.where("depth = 1").agg(
-        F.count("*").alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens")
-    )
+    # The root, one row: every conversation starts with no turn. Its parts are one row each.
     turnless = convs.join(last, "conv_id", "left_anti").select(
         "conv_id", F.lit(0).cast("long").alias("depth"), F.unhex(F.lit(none)).alias("name")
     )
-    top = (
+    parts = (
         convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"))
-        .withColumn("depth", F.lit(0).cast("long"))
-        .join(tops.withColumn("depth", F.lit(0).cast("long")), "depth")
-        .join(ends_of(turnless).drop("name"), "depth", "left")
-        .where("n_convs > 0")
+        .unionByName(
+            out.where("depth = 1").agg(
+                F.count("*").alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens")
+            ),
+            allowMissingColumns=True,
+        )
+        .unionByName(ends_of(turnless).select("ends_sha256"), allowMissingColumns=True)
+    )
+    top = (
+        parts.agg(*(F.max(c).alias(c) for c in parts.columns)).where("n_convs > 0")
         .select(
-            "conv_id", "depth", F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children",
+            "conv_id", F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children",
             F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.col("n_leaves")).cast("long").alias("n_leaves"),
             F.coalesce("saved_tokens", F.lit(0)).alias("saved_tokens"),
             F.coalesce("ends_sha256", F.lit(none)).alias("ends_sha256"),
