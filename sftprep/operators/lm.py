@@ -40,6 +40,91 @@ def fit_lm(tokens: DataFrame, ids: str = "input_ids", pad_id: int = UNK_ID) -> D
     )
 
 
+def ngrams(
+    tokens: DataFrame, order: int, *keep: Column | str, ids: str = "input_ids", pad_id: int = UNK_ID
+) -> DataFrame:
+    """``context, next`` of every label from the second token on: its longest context, up to
+    ``order - 1`` tokens of the same row."""
+    places = F.sequence(F.lit(2), F.greatest(F.size(ids), F.lit(2)))
+    reach = order - 1
+
+    def gram(i: Column) -> Column:
+        first = F.greatest(i - reach, F.lit(1))
+        return F.struct(F.slice(ids, first, i - first).alias("context"), F.get(ids, i - 1).alias("next"))
+
+    return tokens.where(F.size(ids) > 1).select(*keep, F.inline(F.transform(places, gram))).where(F.col("next") != pad_id)
+
+
+def _with_length(context: Column | str, length: Column) -> Column:
+    """The last ``length`` tokens of a context."""
+    return F.slice(context, F.size(context) - length + 1, length)
+
+
+def fit_ngrams(tokens: DataFrame, order: int = 3, ids: str = "input_ids", pad_id: int = UNK_ID) -> DataFrame:
+    """Counts ``(length, context, next, n)`` for contexts of 0 to ``order - 1`` tokens.
+
+    Longest contexts are counted first, map-side; shorter ones are summed from those counts.
+    """
+    if order < 1:
+        raise ValueError("order must be at least 1")
+    longest = ngrams(tokens, order, ids=ids, pad_id=pad_id).groupBy("context", "next").agg(F.count("*").alias("n"))
+    each = longest.select(
+        "context", "next", "n", F.explode(F.sequence(F.lit(0), F.size("context"))).alias("length")
+    )
+    return (
+        each.select("length", _with_length("context", F.col("length")).alias("context"), "next", "n")
+        .groupBy("length", "context", "next").agg(F.sum("n").alias("n"))
+    )
+
+
+def ngram_probs(model: DataFrame, asked: DataFrame, share: float = BIGRAM_SHARE) -> DataFrame:
+    """Adds ``p`` to ``asked (context, next)``, whose rows are distinct.
+
+    From the shortest context to the longest the model has seen,
+    ``p = share * c(context, next) / c(context) + (1 - share) * p of one token less``, and
+    ``p = (c(next) + 1) / (N + V + 1)`` without context. A context that was never seen
+    leaves ``p`` as it is, so the probabilities of all known tokens and one unknown sum to
+    one in every context.
+    """
+    each = asked.select(
+        F.col("context").alias("asked"), "next", F.explode(F.sequence(F.lit(0), F.size("context"))).alias("length")
+    ).withColumn("context", _with_length("asked", F.col("length")))
+    totals = model.groupBy("length", "context").agg(F.sum("n").alias("total"), F.count("*").alias("types"))
+    overall = totals.where("length = 0").agg(
+        F.coalesce(F.max("total"), F.lit(0)).alias("tokens"), F.coalesce(F.max("types"), F.lit(0)).alias("types")
+    ).first()
+    size = overall["tokens"] + overall["types"] + 1
+    # Totals are looked up once per context, not once per asked token of it.
+    wanted = each.select("length", "context").distinct().join(totals.drop("types"), ["length", "context"])
+    counted = (
+        each.join(model, ["length", "context", "next"], "left").join(wanted, ["length", "context"], "left")
+        .groupBy("asked", "next").agg(F.array_sort(F.collect_list(F.struct("length", "n", "total"))).alias("steps"))
+    )
+    start = (F.coalesce(F.get("steps", F.lit(0))["n"], F.lit(0)) + 1).cast("double") / F.lit(float(size))
+
+    def step(p: Column, s: Column) -> Column:
+        mixed = share * F.coalesce(s["n"], F.lit(0)) / s["total"] + F.lit(1.0 - share) * p
+        return F.when(s["total"].isNull(), p).otherwise(mixed)
+
+    longer = F.slice("steps", 2, F.greatest(F.size("steps") - 1, F.lit(0)))
+    return counted.select(F.col("asked").alias("context"), "next", F.aggregate(longer, start, step).alias("p"))
+
+
+def ngram_loss(
+    model: DataFrame, eval_tokens: DataFrame, order: int = 3, share: float = BIGRAM_SHARE,
+    ids: str = "input_ids", pad_id: int = UNK_ID,
+) -> DataFrame:
+    """One row: mean negative log probability per held-out label under ``fit_ngrams``."""
+    held_out = ngrams(eval_tokens, order, ids=ids, pad_id=pad_id).groupBy("context", "next").agg(
+        F.count("*").alias("weight")
+    )
+    scored = ngram_probs(model, held_out.select("context", "next"), share).join(held_out, ["context", "next"])
+    return scored.agg(
+        (F.sum(-F.log("p") * F.col("weight")) / F.sum("weight")).alias("eval_loss"),
+        F.sum("weight").alias("eval_tokens"),
+    )
+
+
 def adapt(base: DataFrame, domain: DataFrame, weight: float = 0.5) -> DataFrame:
     """Mixes a base and a domain model into ``(prev, next, p)``.
 

@@ -32,6 +32,7 @@ BATCH, ACCUM, WORLD = 4, 4, 4
 STATE_RUN = flows.RunConfig(by_length=False, eval_steps=25, save_steps=25, logging_steps=10)
 # A public byte-pair vocabulary; any file of the same kind will do.
 SUBWORDS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+ORDER = 3
 DOMAIN_WEIGHT = 0.7
 TEMPERATURE = 0.7
 DRAWS = 8
@@ -434,6 +435,20 @@ def metrics(spark, sf_dir):
     return out.withColumn("eval_loss", F.round("eval_loss", 6))
 
 
+def fit_ngrams(spark, sf_dir):
+    """Trigram counts and, for each length of context, what they add up to."""
+    model = L.fit_ngrams(_split_tokens(spark, sf_dir)[0], ORDER)
+    return model.groupBy("length").agg(
+        F.count("*").alias("n_grams"), F.sum("n").alias("n"), F.countDistinct("context").alias("n_contexts")
+    )
+
+
+def ngram_loss(spark, sf_dir):
+    train, test = _split_tokens(spark, sf_dir)
+    out = L.ngram_loss(settle(L.fit_ngrams(train, ORDER)), test, ORDER)
+    return out.withColumn("eval_loss", F.round("eval_loss", 6))
+
+
 def run_log(spark, sf_dir):
     out = flows.logged_run(_split_tokens(spark, sf_dir)[0], "doc_id", STATE_RUN)
     return out.withColumn("loss", F.round("loss", 6))
@@ -662,6 +677,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics": metrics,
     "evaluate_run": evaluate_run,
     "custom_template": custom_template,
+    "fit_ngrams": fit_ngrams,
+    "ngram_loss": ngram_loss,
     "run_log": run_log,
     "state_log": state_log,
     "reuse_dataset": reuse_dataset,

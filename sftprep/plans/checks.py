@@ -226,6 +226,38 @@ LOGGED = (
     + (1.0::double - 0.7::double) * (alone + 1)::double / (tokens + types + 1) as p from sums)""",
 )
 
+
+
+def _grams(name: str, source: str) -> str:
+    return f"""{name} as (
+  select ids[greatest(i - 2, 1):i - 1] as context, ids[i] as next
+  from (select ids, unnest(range(2, len(ids) + 1)) as i from {source}) where ids[i] <> 0)"""
+
+
+GRAMS = (
+    *SPLIT_TOKENS,
+    _grams("seen", "train"),
+    """grams as materialized (
+  select k as length, context[len(context) - k + 1:] as context, next, count(*) as n
+  from (select context, next, unnest(range(0, len(context) + 1)) as k from seen) group by all)""",
+)
+GRAM_LOSS = (
+    *GRAMS,
+    _grams("later", "test"),
+    "asked as (select context, next, count(*) as weight from later group by all)",
+    "totals as (select length, context, sum(n)::double as total, count(*) as types from grams group by 1, 2)",
+    """zero as (select a.*, (coalesce(g.n, 0) + 1)::double / (t.total + t.types + 1) as p0
+  from asked a left join grams g on g.length = 0 and g.next = a.next join totals t on t.length = 0)""",
+    """one as (select z.*, case when t.total is null then p0
+    else 0.7::double * coalesce(g.n, 0) / t.total + (1.0::double - 0.7::double) * p0 end as p1
+  from zero z left join totals t on t.length = 1 and t.context = z.context[-1:]
+  left join grams g on g.length = 1 and g.context = z.context[-1:] and g.next = z.next)""",
+    """two as (select o.weight, case when t.total is null then p1
+    else 0.7::double * coalesce(g.n, 0) / t.total + (1.0::double - 0.7::double) * p1 end as p
+  from one o left join totals t on t.length = 2 and t.context = o.context
+  left join grams g on g.length = 2 and g.context = o.context and g.next = o.next)""",
+)
+
 # Merges of a public vocabulary: each step joins, in every piece, the leftmost of the
 # neighbours that make the token of lowest id.
 SUBWORDS = """ranks as materialized (
@@ -586,6 +618,15 @@ CHECKS: dict[str, str] = {
           || case when coalesce(input, '') <> '' then ' given ' || input else '' end
           || ' -> ' || coalesce(output, 'None') as text from instruct""",
     ),
+    "fit_ngrams": _query(
+        *GRAMS,
+        """select length::integer as length, count(*) as n_grams, sum(n)::bigint as n,
+          count(distinct context) as n_contexts from grams group by 1""",
+    ),
+    "ngram_loss": _query(
+        *GRAM_LOSS,
+        "select round(sum(-ln(p) * weight) / sum(weight), 6) as eval_loss, sum(weight)::bigint as eval_tokens from two",
+    ),
     "run_log": _query(
         *LOGGED,
         """select least((interval + 1) * 10, (select max(step) + 1 from placed))::bigint as step,

@@ -166,3 +166,29 @@ def test_runs_save_evaluate_and_log_at_their_own_cadence(spark, tmp_path):
     assert flows.best_saved(losses, config, 320) == (3, 4)
     odd = flows.RunConfig(by_length=False, max_steps=6, save_steps=5, eval_steps=2)
     assert flows.best_saved(losses, odd, 320)[0] == 2
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_ngram_probabilities_sum_to_one(spark, train, order):
+    model = L.fit_ngrams(train, order).cache()
+    known = [r[0] for r in model.select("next").distinct().collect()]
+    contexts = [c for c in ([], [1], [4], [3, 4], [9], [9, 3], [4, 4, 4], [8, 1, 3]) if len(c) < order]
+    asked = [(c, w) for c in contexts for w in [*known, 999]]
+    rows = spark.createDataFrame(asked, "context array<int>, next int")
+    sums = Counter()
+    for r in L.ngram_probs(model, rows).collect():
+        assert r["p"] > 0
+        sums[tuple(r["context"])] += r["p"]
+    assert len(sums) == len(contexts) and all(math.isclose(s, 1.0) for s in sums.values())
+
+
+def test_ngram_loss_of_long_contexts(spark, train, test):
+    got = [L.ngram_loss(L.fit_ngrams(train, n), test, n).first() for n in (1, 3)]
+    tokens = sum(pairs(TEST).values())
+    assert got[0]["eval_tokens"] == got[1]["eval_tokens"] == tokens
+    alone = Counter(b for (_, b), n in pairs(TRAIN).items() for _ in range(n))
+    size = sum(alone.values()) + len(alone) + 1
+    want = sum(-n * math.log((alone[b] + 1) / size) for (_, b), n in pairs(TEST).items()) / tokens
+    assert math.isclose(got[0]["eval_loss"], want, rel_tol=1e-9)
+    empty = L.fit_ngrams(train.limit(0), 3)
+    assert empty.collect() == [] and L.ngram_loss(empty, test, 3).first()["eval_loss"] == 0.0
