@@ -7,14 +7,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import NumericType, StringType, StructType
+from pyspark.sql.types import IntegerType, NumericType, StringType, StructType
 
 from sftprep.functions import uniform
 from sftprep.operators.tokens import EOS_ID, Vocabulary, decode, encode, join_frequent
 from sftprep.session import fits, settle, ship
+from sftprep.sources.models import share_table
 
 # Sampling settings and request defaults.
 TOP_P = 0.7
@@ -469,6 +471,42 @@ def apply_model(
     return df.mapInPandas(batches, schema)
 
 
+def likeliest(lm: DataFrame) -> DataFrame:
+    """``prev, next``: the most frequent next token of each context, ties by token."""
+    return lm.groupBy("prev").agg(F.min_by("next", F.struct(-F.col("n"), "next")).alias("next"))
+
+
+def with_likeliest(
+    df: DataFrame, best: DataFrame, ids: str = "input_ids", out: str = "next_id", via: str = "auto"
+) -> DataFrame:
+    """Adds the token that follows the last one of ``ids`` by ``best (prev, next)``, or null
+    when there is no last token or it is no context of the table.
+
+    A table under the shipping limits is one file per executor that its workers map; a
+    larger one is joined, with frequent last tokens dealt over copies.
+    """
+    asked = df.withColumn("_last", F.try_element_at(ids, F.lit(-1)).cast("int"))
+    load = None if via == "join" else share_table(best, sort_by="prev")
+    if load is None:
+        asked = asked.withColumn("_row", F.uuid())
+        table = best.select(F.col("prev").alias("_last"), F.col("next").cast("int").alias(out))
+        rows = settle(asked)
+        return join_frequent(rows, table, "_last", by=("_row",), how="left").select(*df.columns, out)
+
+    def answer(model: pa.Table, rows: pd.DataFrame) -> pd.DataFrame:
+        contexts, tokens = (model.column(c).to_numpy() for c in ("prev", "next"))
+        last = rows["_last"].fillna(-1).to_numpy(np.int64)
+        at = np.searchsorted(contexts, last)
+        at[at == len(contexts)] = 0
+        found = contexts[at] == last if len(contexts) else np.zeros(len(rows), bool)
+        following = pd.array(tokens[at] if len(contexts) else at, dtype="Int32")
+        following[~found] = pd.NA
+        return rows.drop(columns="_last").assign(**{out: following})
+
+    schema = StructType([*df.schema.fields]).add(out, IntegerType())
+    return apply_model(asked, load, answer, schema)
+
+
 def predict_with(
     df: DataFrame,
     load: Callable[[], object],

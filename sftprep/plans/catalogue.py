@@ -22,12 +22,15 @@ from sftprep.operators import templates as T
 from sftprep.operators import tokens as K
 from sftprep.plans import fixtures, flows
 from sftprep.session import new_path, settle, spread
-from sftprep.sources import datasets, models
+from sftprep.sources import datasets, models, shards
+from sftprep.streaming import rows as streams
 
 VOCABULARY = 8192
 SPLIT = (0.1, 45)
 WIDE_SPLIT = (0.2, 68)
 BATCH, ACCUM, WORLD = 4, 4, 4
+# Steps per file: short, so that a small table has several files a worker.
+STRETCH = 8
 # Rank-ordered batches of 4 x 4 rows, two epochs, saved and evaluated every 25 steps.
 STATE_RUN = flows.RunConfig(by_length=False, eval_steps=25, save_steps=25, logging_steps=10)
 # A public byte-pair vocabulary; any file of the same kind will do.
@@ -249,6 +252,20 @@ def encode_subwords(spark, sf_dir):
     )
 
 
+def stream_encode(spark, sf_dir):
+    """Documents encoded as they arrive, by joins with the vocabulary batch by batch."""
+    vocab, path = _vocab(spark, sf_dir), new_path(spark, "stream")
+    stored = datasets.load_split(spark, f"{sf_dir}/documents.parquet")
+    # As a pattern, the path may be a folder or a single file.
+    arriving = streams.read_rows(spark, f"{sf_dir}/{{documents.parquet}}", stored.schema)
+
+    def prepare(batch: DataFrame) -> DataFrame:
+        return K.encode(batch.select("doc_id", "text"), vocab, via="join").select("doc_id", "input_ids")
+
+    streams.write_batches(arriving, path, prepare).awaitTermination()
+    return _ids(streams.read_batches(spark, path, "doc_id long, input_ids array<int>"))
+
+
 def truncate(spark, sf_dir):
     return _ids(_tokens(spark, sf_dir, K.MAX_LENGTH))
 
@@ -355,6 +372,32 @@ def shard(spark, sf_dir):
     return spark.read.schema(placed.schema).parquet(path)
 
 
+def _seekable(spark, sf_dir) -> str:
+    placed = B.shard(B.steps(shuffle_rank(spark, sf_dir), BATCH, ACCUM, WORLD), WORLD)
+    path = new_path(spark, "shards")
+    shards.write_shards(placed, path, STRETCH)
+    return path
+
+
+def shard_index(spark, sf_dir):
+    """Where each worker's steps lie in files that open at any step."""
+    return shards.shard_index(spark, _seekable(spark, sf_dir)).drop("file", "bytes")
+
+
+def open_shards(spark, sf_dir):
+    """A run that stopped half way, opened at its middle step by every worker."""
+    path = _seekable(spark, sf_dir)
+    last = shards.shard_index(spark, path).agg(F.max("last_step")).first()[0]
+    return shards.open_shards(spark, path, first_step=((last or 0) + 1) // 2)
+
+
+def resumed_run_shards(spark, sf_dir):
+    """The second epoch of a run's padded, labelled shards, opened at its first step."""
+    config = flows.FULL_RUN
+    train, path = _export(spark, sf_dir, config, shards.write_shards)
+    return _run_digest(shards.open_shards(spark, path, config.steps_per_epoch(train.count())))
+
+
 def run_plan(spark, sf_dir):
     df = fixtures.instruct(spark, sf_dir)
     runs = {
@@ -585,6 +628,25 @@ def predict_with(spark, sf_dir):
     )
 
 
+def _likeliest(spark, sf_dir, via):
+    ids = _tokens(spark, sf_dir)
+    path = new_path(spark, "lm")
+    models.save_lm(L.fit_lm(ids).withColumn("checkpoint", F.lit(1)), path)
+    best = G.likeliest(models.load_lm(spark, path, 1))
+    # The end of a text has no next token; what is asked for follows its last piece.
+    asked = ids.select("doc_id", F.expr("slice(input_ids, 1, size(input_ids) - 1)").alias("input_ids"))
+    return G.with_likeliest(asked, best, via=via).select("doc_id", "next_id")
+
+
+def apply_shared_model(spark, sf_dir):
+    """A saved model, mapped once per executor: what follows each document's last piece."""
+    return _likeliest(spark, sf_dir, "auto")
+
+
+def apply_joined_model(spark, sf_dir):
+    return _likeliest(spark, sf_dir, "join")
+
+
 # Whole runs
 
 
@@ -593,14 +655,18 @@ def rendered_split(spark, sf_dir):
     return rows.select("rec_id", "split", "text")
 
 
-def _shards(spark, sf_dir, config):
+def _export(spark, sf_dir, config, write) -> tuple[DataFrame, str]:
     rows = fixtures.doc_instruct(spark, sf_dir)
     vocab = K.build_vocab(flows.rendered(rows, config, P.INPUT_OUTPUT), VOCABULARY)
     saved = settle(flows.tokenized_split(rows, "rec_id", vocab, config, P.INPUT_OUTPUT))
     train = saved.where(F.col("split") == "train")
     path = new_path(spark, "shards")
-    flows.export_run(train, "rec_id", config, path)
-    return spark.read.parquet(path).select(
+    flows.export_run(train, "rec_id", config, path, write)
+    return train, path
+
+
+def _run_digest(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "worker",
         "epoch",
         "step",
@@ -614,6 +680,10 @@ def _shards(spark, sf_dir, config):
     )
 
 
+def _shards(spark, sf_dir, config):
+    return _run_digest(spark.read.parquet(_export(spark, sf_dir, config, datasets.export_shards)[1]))
+
+
 def full_run_shards(spark, sf_dir):
     return _shards(spark, sf_dir, flows.FULL_RUN)
 
@@ -654,6 +724,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "build_vocab": build_vocab,
     "encode": encode,
     "encode_by_join": encode_by_join,
+    "stream_encode": stream_encode,
     "truncate": truncate,
     "pad_batch": pad_batch,
     "with_length": with_length,
@@ -668,6 +739,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "length_batches": length_batches,
     "steps": steps,
     "shard": shard,
+    "shard_index": shard_index,
+    "open_shards": open_shards,
     "run_plan": run_plan,
     "fit_lm": fit_lm,
     "adapt": adapt,
@@ -692,11 +765,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "completion": completion,
     "predict": predict,
     "predict_with": predict_with,
+    "apply_shared_model": apply_shared_model,
+    "apply_joined_model": apply_joined_model,
     "apply_rows": apply_rows,
     "apply_model": apply_model,
     "rendered_split": rendered_split,
     "full_run_shards": full_run_shards,
     "adapter_run_shards": adapter_run_shards,
     "parallel_run_shards": parallel_run_shards,
+    "resumed_run_shards": resumed_run_shards,
     "answer_requests": answer_requests,
 }

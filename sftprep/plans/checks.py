@@ -418,6 +418,12 @@ SAMPLED = _query(
           and {_u("x.id", "x.step")} >= c.lo and {_u("x.id", "x.step")} < c.hi""",
     )
 
+_FULL_RUN = _query(
+    *_tokenized(0.2, 68, _inline, "2"),
+    "batched as (select *, rank - 1 as batch_id, 0 as slot from ordered)",
+    *_placed_run(1, 1, 4),
+)
+
 CHECKS: dict[str, str] = {
     "load_split": "select doc_id, lang, source, n_chars, md5(text) as text_md5 from documents",
     "count_records": _query(
@@ -487,6 +493,7 @@ CHECKS: dict[str, str] = {
     "build_vocab": _query(DOC_PIECES, VOCAB, "select token_id::integer as token_id, piece from spelling"),
     "encode": _query(*DOC_TOKENS, IDS),
     "encode_by_join": _query(*DOC_TOKENS, IDS),
+    "stream_encode": _query(*DOC_TOKENS, IDS),
     "truncate": _query(*CUT_TOKENS, IDS),
     "pad_batch": _query(
         *CUT_TOKENS,
@@ -556,6 +563,21 @@ CHECKS: dict[str, str] = {
         ((rank - 1) // 4 % 4)::integer as worker
         from (select doc_id, row_number() over (order by md5('45:' || doc_id), doc_id) as rank
               from documents)""",
+    "shard_index": _query(
+        _ranked("ranked", "(select doc_id as id from documents)", "'45:' || id"),
+        "placed as (select (rank - 1) // 4 // 16 as step, (rank - 1) // 4 % 4 as worker from ranked)",
+        """files as (select worker::integer as worker, (step // 8)::bigint as stretch,
+          min(step)::bigint as first_step, max(step)::bigint as last_step, count(*) as n_rows
+          from placed group by all)""",
+        """select *, coalesce(sum(n_rows) over (partition by worker order by stretch
+          rows between unbounded preceding and 1 preceding), 0)::bigint as rows_before from files""",
+    ),
+    "open_shards": _query(
+        _ranked("ranked", "(select doc_id as id from documents)", "'45:' || id"),
+        """placed as (select id as doc_id, rank, (rank - 1) // 4 as batch_id, (rank - 1) // 4 // 16 as step,
+          ((rank - 1) // 4 % 4)::integer as worker from ranked)""",
+        "select * from placed where step >= (select (max(step) + 1) // 2 from placed)",
+    ),
     "run_plan": _query(
         INSTRUCT,
         """runs as (select * from (values ('adapter', 0.1::double, 4, 4, 1, 2, 1000),
@@ -706,6 +728,20 @@ CHECKS: dict[str, str] = {
                when t is null then 'temperature is null' end as error
         from requests left join top v on v.place - 1 = length(prompt) % 50""",
     ),
+    "apply_shared_model": _query(
+        *DOC_MODEL,
+        """best as (select prev, next from (select prev, next,
+          row_number() over (partition by prev order by n desc, next) as place from lm) where place = 1)""",
+        """select id as doc_id, next::integer as next_id
+          from (select id, ids[len(ids) - 1] as last from enc) left join best on prev = last""",
+    ),
+    "apply_joined_model": _query(
+        *DOC_MODEL,
+        """best as (select prev, next from (select prev, next,
+          row_number() over (partition by prev order by n desc, next) as place from lm) where place = 1)""",
+        """select id as doc_id, next::integer as next_id
+          from (select id, ids[len(ids) - 1] as last from enc) left join best on prev = last""",
+    ),
     "apply_rows": """select doc_id, len(string_split(text, chr(10)))::bigint as n_lines
         from documents""",
     "apply_model": """select doc_id, ((length(text) > 200)::integer
@@ -716,11 +752,7 @@ CHECKS: dict[str, str] = {
         _split("sp", "(select rec_id as id, text from block)", 0.1, 45),
         "select id as rec_id, split, text from sp",
     ),
-    "full_run_shards": _query(
-        *_tokenized(0.2, 68, _inline, "2"),
-        "batched as (select *, rank - 1 as batch_id, 0 as slot from ordered)",
-        *_placed_run(1, 1, 4),
-    ),
+    "full_run_shards": _FULL_RUN,
     "adapter_run_shards": _query(
         *_tokenized(0.1, 45, _block, "ceil(1000 / ceil(n / 16))::bigint"),
         *BY_LENGTH,
@@ -729,6 +761,7 @@ CHECKS: dict[str, str] = {
     "parallel_run_shards": _query(
         *_tokenized(0.1, 45, _block, "2"), *BY_LENGTH, *_placed_run(4, 4, 4)
     ),
+    "resumed_run_shards": f"select * from ({_FULL_RUN}) where epoch >= 1",
     "answer_requests": _query(
         *DOC_MODEL,
         f"pp as (select item_id as id, regexp_extract_all({CHAT}, '{PIECE}') as p from benchmark)",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -175,9 +176,14 @@ def training_shards(rows: DataFrame, id_col: str, config: RunConfig) -> DataFram
     return padded(placed_rows(rows, id_col, config))
 
 
-def export_run(rows: DataFrame, id_col: str, config: RunConfig, path: str) -> None:
-    """Writes the shards of a run; ids move unpadded and are padded where they are written."""
-    export_shards(placed_rows(rows, id_col, config), path, finish=padded)
+def export_run(
+    rows: DataFrame, id_col: str, config: RunConfig, path: str, write: Callable[..., None] = export_shards
+) -> None:
+    """Writes the shards of a run; ids move unpadded and are padded where they are written.
+
+    With ``write=write_shards`` a run can be opened at any step (``open_shards``).
+    """
+    write(placed_rows(rows, id_col, config), path, finish=padded)
 
 
 def placed_states(

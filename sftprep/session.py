@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -53,12 +56,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 # Paths this process has handed out and not yet discarded.
 _HANDED_OUT: list[str] = []
+# The list of the thread that is inside ``passing``, if any.
+_PASSING = threading.local()
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path nobody has written to yet, inside the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _HANDED_OUT.append(path)
+    passing = getattr(_PASSING, "paths", None)
+    (_HANDED_OUT if passing is None else passing).append(path)
     return path
 
 
@@ -74,13 +80,33 @@ def discard_settled(spark: SparkSession) -> int:
     Call it when a job's results have been written: tables that read a settled one can
     no longer be computed afterwards.
     """
+    return _discard(spark, _HANDED_OUT)
+
+
+def _discard(spark: SparkSession, paths: list[str]) -> int:
     gone = 0
-    while _HANDED_OUT:
-        files, path = hadoop_path(spark, _HANDED_OUT.pop())
+    while paths:
+        files, path = hadoop_path(spark, paths.pop())
         gone += bool(files.delete(path, True))
     return gone
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread settles inside are deleted at the end of the block.
+
+    For jobs without an end, such as streams: each of their batches has its results
+    written before the block ends.
+    """
+    before, paths = getattr(_PASSING, "paths", None), []
+    _PASSING.paths = paths
+    try:
+        yield
+    finally:
+        _PASSING.paths = before
+        _discard(spark, paths)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared folder and cut its lineage there.
 

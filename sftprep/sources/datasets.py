@@ -70,6 +70,7 @@ def save_dataset(
 
 # The layout of one kept entry. The manifest is written last.
 MANIFEST, DATA = "manifest.json", "data"
+_SLICE = 1 << 20
 _NUMBERS = re.compile(r"#\d+L?|plan_id=\d+")
 
 
@@ -127,34 +128,41 @@ def reuse(
         data = f"{DATA}-{uuid.uuid4().hex}"
         save_dataset(df, f"{entry}/{data}", keys)
         found = {"data": data, "key": name, "sources": files, "settings": settings or {}}
-        _write(spark, f"{entry}/{MANIFEST}", json.dumps(found, default=str))
+        write_small(spark, f"{entry}/{MANIFEST}", json.dumps(found, default=str))
     path = f"{entry}/{found['data']}"
     return Kept(spark.read.schema(df.schema).parquet(path).select(*df.columns), hit, path)
 
 
-def _manifest(spark: SparkSession, entry: str) -> dict | None:
-    files, path = hadoop_path(spark, f"{entry}/{MANIFEST}")
-    if not files.exists(path):
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None when there is none."""
+    files, named = hadoop_path(spark, path)
+    if not files.exists(named):
         return None
-    stream = files.open(path)
+    stream = files.open(named)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def _manifest(spark: SparkSession, entry: str) -> dict | None:
+    files, path = hadoop_path(spark, f"{entry}/{MANIFEST}")
     try:
-        found = json.loads(text)
-    except ValueError:  # cut short
+        found = json.loads(read_small(spark, f"{entry}/{MANIFEST}") or "")
+    except ValueError:  # absent or cut short
         return None
     return found if files.exists(path.getParent().suffix(f"/{found['data']}/_SUCCESS")) else None
 
 
-def _write(spark: SparkSession, path: str, text: str) -> None:
+def write_small(spark: SparkSession, path: str, data: str | bytes) -> None:
     """Writes a small file under another name first, so that it is there whole or not at all."""
+    data = data.encode() if isinstance(data, str) else data
     files, final = hadoop_path(spark, path)
     draft = final.suffix(f"-{uuid.uuid4().hex}")
     stream = files.create(draft)
     try:
-        stream.write(bytearray(text.encode()))
+        for at in range(0, len(data), _SLICE):
+            stream.write(bytearray(data[at:at + _SLICE]))
     finally:
         stream.close()
     files.delete(final, False)

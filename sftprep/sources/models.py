@@ -1,10 +1,17 @@
-"""Keeping and opening model tables: one folder per checkpoint, or a log of increments."""
+"""Keeping and opening model tables: one folder per checkpoint, a log of increments, or a
+file that all workers of an executor share."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sftprep.session import hadoop_path
+from sftprep.session import hadoop_path, new_path, ship
+from sftprep.sources.datasets import write_small
 
 COUNTS = "prev int, next int, n long"
 DONE = "_SUCCESS"
@@ -82,3 +89,35 @@ class StateLog:
         """Writes the full state of a checkpoint; the log stays as it is."""
         if checkpoint not in self._done("full"):
             self.state(checkpoint).write.mode("overwrite").parquet(self._folder("full", checkpoint))
+
+
+def mapped(name: str) -> pa.Table:
+    """A shared file as an Arrow table whose columns lie in the file's pages."""
+    return pa.ipc.open_file(pa.memory_map(SparkFiles.get(name))).read_all()
+
+
+def share_table(
+    df: DataFrame, sort_by: str | None = None, text_columns: tuple[str, ...] = ()
+) -> Callable[[], pa.Table] | None:
+    """``df`` as one file on each executor; returns what a worker calls to open it.
+
+    Give the result to ``apply_model`` or ``predict_with`` as ``load``. A broadcast variable
+    is unpacked by every Python worker; this file is mapped, so all workers of an executor
+    read the same pages. Spark fetches it once per executor, also for executors that join
+    later. None if the table is over the shipping limits: join it then. ``sort_by`` orders
+    the rows, for binary search.
+    """
+    table = ship(df, text_columns)
+    if table is None:
+        return None
+    if sort_by is not None:
+        table = table.sort_by(sort_by)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_file(sink, table.schema) as writer:
+        # One piece a column, so that a column is a view of the file.
+        writer.write_table(table.combine_chunks())
+    spark, name = df.sparkSession, f"model-{uuid.uuid4().hex}.arrow"
+    path = f"{new_path(spark, 'shared')}/{name}"
+    write_small(spark, path, sink.getvalue().to_pybytes())
+    spark.sparkContext.addFile(path)
+    return lambda: mapped(name)

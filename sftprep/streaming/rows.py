@@ -2,17 +2,24 @@
 
 Rendering, cutting, encoding, labels and pure row functions look at one row at a
 time, so they run on a streaming table as they are. Splits, shuffles and batches
-need the whole table and stay batch operators.
+need the whole table and stay batch operators. Whatever joins with a table that is too
+large to ship (a large vocabulary, a saved model) runs on each batch of arriving rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from sftprep.operators.prompts import INPUT_OUTPUT, Fields, format_block
 from sftprep.operators.tokens import MAX_LENGTH, Vocabulary, causal_labels, tokenize
+from sftprep.session import passing
+
+# Fixed value: names the folder of each batch.
+BATCH = "arrived"
 
 
 def read_rows(
@@ -27,11 +34,16 @@ def prepare_rows(
     vocab: Vocabulary,
     fields: Fields = INPUT_OUTPUT,
     max_length: int | None = MAX_LENGTH,
+    via: str = "auto",
 ) -> DataFrame:
-    """Rendered, tokenized and labelled rows; stateless, so no watermark is needed."""
-    if vocab.shipped is None:
-        raise ValueError("this vocabulary is over the shipping limits; encode in batch")
-    return causal_labels(tokenize(format_block(rows, fields), vocab, max_length))
+    """Rendered, tokenized and labelled rows; stateless, so no watermark is needed.
+
+    A vocabulary over the shipping limits is joined, which a streaming table cannot do by
+    itself: hand this function to ``write_batches`` then.
+    """
+    if rows.isStreaming and (via == "join" or vocab.shipped is None):
+        raise ValueError("this vocabulary is joined: prepare each batch by write_batches")
+    return causal_labels(tokenize(format_block(rows, fields), vocab, max_length, via=via))
 
 
 def write_rows(df: DataFrame, path: str, progress: str | None = None, **trigger) -> StreamingQuery:
@@ -47,3 +59,37 @@ def write_rows(df: DataFrame, path: str, progress: str | None = None, **trigger)
         .trigger(**(trigger or {"availableNow": True}))
         .start(path)
     )
+
+
+def write_batches(
+    rows: DataFrame,
+    path: str,
+    prepare: Callable[[DataFrame], DataFrame],
+    progress: str | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Appends ``prepare(batch)`` of each batch of arriving rows to parquet.
+
+    ``prepare`` gets a plain table, so it may join, count and settle; what it settles is
+    deleted when its batch is written. A batch has a folder of its own, ``arrived=<id>``,
+    which is replaced when a batch is run again after a failure, so nothing is written
+    twice. ``progress`` belongs to the output: with a new one, batches are numbered from 0
+    again, so give a new output folder too.
+    """
+    progress = progress or f"{path.rstrip('/')}/_progress"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with passing(batch.sparkSession):
+            prepare(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
+
+    return (
+        rows.writeStream.foreachBatch(write)
+        .option("checkpointLocation", progress)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_batches(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """What ``write_batches`` has written so far, without the number of the batch."""
+    return spark.read.schema(schema).parquet(path).drop(BATCH)

@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter
 from hashlib import md5
 
@@ -10,6 +11,7 @@ from sftprep.operators import lm as L
 from sftprep.operators import predict as G
 from sftprep.operators import tokens as K
 from sftprep.session import settle
+from sftprep.sources.models import share_table
 
 
 @pytest.fixture(scope="module")
@@ -199,3 +201,42 @@ def test_predict_with_answers_every_row(spark):
     assert got[1] == ("a!", None) and got[2] == (None, "prompt is null")
     assert got[3] == (None, "ValueError: no answer")
     assert got[4] == got[5] == (None, "temperature must be positive")
+
+
+def test_a_shared_model_is_one_file_for_all_workers(spark):
+    table = spark.range(1000).select(F.col("id").alias("prev"), (F.col("id") * 3).alias("next"))
+    load = share_table(table, sort_by="prev")
+
+    def look(model, rows):
+        with open("/proc/self/maps") as maps:
+            mapped = {tuple(line.split()[3:6]) for line in maps if "model-" in line and ".arrow" in line}
+        # A column is a view of the file: its values lie in mapped pages.
+        address = model.column("next").chunk(0).buffers()[1].address
+        with open("/proc/self/maps") as maps:
+            ranges = [line.split()[0].split("-") for line in maps if "model-" in line and ".arrow" in line]
+        inside = any(int(a, 16) <= address < int(b, 16) for a, b in ranges)
+        return pd.DataFrame({"pid": [os.getpid()], "files": [len(mapped)], "file": [str(sorted(mapped))], "inside": [inside]})
+
+    df = spark.range(400).repartition(40)
+    got = G.apply_model(df, load, look, "pid long, files long, file string, inside boolean").collect()
+    assert {r["files"] for r in got} == {1} and all(r["inside"] for r in got)
+    assert len({r["file"] for r in got}) == 1  # device, inode and path
+
+
+def test_a_model_over_the_limits_is_not_shared(spark, monkeypatch):
+    monkeypatch.setattr("sftprep.session.MAX_SHIPPED_ROWS", 3)
+    assert share_table(spark.range(4)) is None and share_table(spark.range(3)) is not None
+
+
+@pytest.mark.parametrize("via", ["auto", "join"])
+def test_likeliest_next_tokens(spark, via):
+    lm = spark.createDataFrame([(1, 5, 2), (1, 4, 2), (1, 9, 1), (7, 1, 1)], "prev int, next int, n long")
+    rows = [(1, [3, 1]), (2, []), (3, None), (4, [1, 8]), (5, [7]), (5, [7]), (None, [1])]
+    df = spark.createDataFrame(rows, "doc_id long, input_ids array<int>")
+    got = G.with_likeliest(df, G.likeliest(lm), via=via)
+    assert got.columns == ["doc_id", "input_ids", "next_id"]
+    found = sorted(((r["doc_id"] or 0), r["next_id"]) for r in got.collect() if r["next_id"] is not None)
+    assert found == [(0, 4), (1, 4), (5, 1), (5, 1)] and got.count() == 7
+    none = G.with_likeliest(df, G.likeliest(lm.limit(0)), via=via)
+    assert none.where("next_id is null").count() == 7
+    assert G.with_likeliest(df.limit(0), G.likeliest(lm), via=via).count() == 0
