@@ -8,10 +8,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import IntegerType, NumericType, StringType, StructType
+from pyspark.sql.functions import arrow_udf, pandas_udf
+from pyspark.sql.types import NumericType, StringType, StructType
 
 from sftprep.functions import uniform
 from sftprep.operators.tokens import EOS_ID, Vocabulary, decode, encode, join_frequent
@@ -485,26 +486,28 @@ def with_likeliest(
     A table under the shipping limits is one file per executor that its workers map; a
     larger one is joined, with frequent last tokens dealt over copies.
     """
-    asked = df.withColumn("_last", F.try_element_at(ids, F.lit(-1)).cast("int"))
+    last = F.try_element_at(ids, F.lit(-1)).cast("int")
     load = None if via == "join" else share_table(best, sort_by="prev")
     if load is None:
-        asked = asked.withColumn("_row", F.uuid())
+        rows = settle(df.withColumn("_last", last).withColumn("_row", F.monotonically_increasing_id()))
         table = best.select(F.col("prev").alias("_last"), F.col("next").cast("int").alias(out))
-        rows = settle(asked)
-        return join_frequent(rows, table, "_last", by=("_row",), how="left").select(*df.columns, out)
-
-    def answer(model: pa.Table, rows: pd.DataFrame) -> pd.DataFrame:
-        contexts, tokens = (model.column(c).to_numpy() for c in ("prev", "next"))
-        last = rows["_last"].fillna(-1).to_numpy(np.int64)
-        at = np.searchsorted(contexts, last)
-        at[at == len(contexts)] = 0
-        found = contexts[at] == last if len(contexts) else np.zeros(len(rows), bool)
-        following = pd.array(tokens[at] if len(contexts) else at, dtype="Int32")
-        following[~found] = pd.NA
-        return rows.drop(columns="_last").assign(**{out: following})
-
-    schema = StructType([*df.schema.fields]).add(out, IntegerType())
-    return apply_model(asked, load, answer, schema)
+        found = join_frequent(rows.select("_row", "_last"), table, "_last", by=("_row",))
+        return rows.join(found.drop("_last"), "_row", "left").select(*df.columns, out)
+    call = uuid.uuid4().hex
+
+    # Only the last tokens go to Python and back.
+    @arrow_udf("int")
+    def following(lasts: pa.Array) -> pa.Array:
+        model = loaded(call, load)
+        if not model.num_rows:
+            return pa.nulls(len(lasts), pa.int32())
+        # Views of the mapped file, in the order of contexts.
+        contexts, tokens = (model.column(c).chunk(0).to_numpy() for c in ("prev", "next"))
+        asked = pc.fill_null(lasts, -1).to_numpy()
+        at = np.minimum(np.searchsorted(contexts, asked), len(contexts) - 1)
+        return pa.array(tokens[at], pa.int32(), mask=contexts[at] != asked)
+
+    return df.withColumn(out, following(last))
 
 
 def predict_with(

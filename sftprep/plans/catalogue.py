@@ -260,7 +260,8 @@ def stream_encode(spark, sf_dir):
     arriving = streams.read_rows(spark, f"{sf_dir}/{{documents.parquet}}", stored.schema)
 
     def prepare(batch: DataFrame) -> DataFrame:
-        return K.encode(batch.select("doc_id", "text"), vocab, via="join").select("doc_id", "input_ids")
+        cut = K.with_pieces(batch.select("doc_id", "text")).select("doc_id", "pieces")
+        return K.encode(cut, vocab, via="join")
 
     streams.write_batches(arriving, path, prepare).awaitTermination()
     return _ids(streams.read_batches(spark, path, "doc_id long, input_ids array<int>"))
@@ -629,7 +630,7 @@ def predict_with(spark, sf_dir):
 
 
 def _likeliest(spark, sf_dir, via):
-    ids = _tokens(spark, sf_dir)
+    ids = settle(_tokens(spark, sf_dir).select("doc_id", "input_ids"))
     path = new_path(spark, "lm")
     models.save_lm(L.fit_lm(ids).withColumn("checkpoint", F.lit(1)), path)
     best = G.likeliest(models.load_lm(spark, path, 1))
