@@ -196,7 +196,7 @@ def spellings(used: DataFrame, vocab: DataFrame) -> DataFrame:
 def ids_by_join(df: DataFrame, spelled: DataFrame, col: str, out: str) -> DataFrame:
     """Ids by a join with ``spelled (piece, ids)``; rows are told apart by a number of
     their own, so ids may repeat or be null."""
-    rows = settle(df.withColumn("_row", F.uuid()))
+    rows = settle(df.withColumn("_row", F.monotonically_increasing_id()))
     tokens = rows.select("_row", F.posexplode(col).alias("_pos", "piece"))
     found = (
         join_frequent(tokens, spelled, "piece")
@@ -360,7 +360,7 @@ def decode(
     shipped = None if via == "join" else vocab.shipped
     if shipped is not None:
         return df.withColumn(out, _spell(shipped, first_id)(ids))
-    rows = settle(df.withColumn("_row", F.uuid()))
+    rows = settle(df.withColumn("_row", F.monotonically_increasing_id()))
     is_byte = F.col("token_id").between(FIRST_BYTE, FIRST_PIECE - 1)
     spelled = F.when(is_byte, F.substr("piece", F.lit(4), F.lit(2))).otherwise(F.hex(F.encode("piece", "utf-8")))
     table = vocab.table.where(F.col("token_id") >= first_id).select("token_id", spelled.alias("hex"))
