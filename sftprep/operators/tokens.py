@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -20,6 +22,8 @@ FIRST_BYTE, BYTES = len(SPECIALS), 256
 FIRST_PIECE = FIRST_BYTE + BYTES
 IGNORED_LABEL = -100
 MAX_LENGTH = 512
+# Elements of lists that a worker looks up at a time.
+PART = 1 << 20
 
 
 class Vocabulary:
@@ -107,9 +111,28 @@ def spelled_out(piece: str, characters: dict[str, int]) -> list[int]:
     return ids
 
 
+def in_parts(lists: pa.Array, work: Callable[[pa.Array], pa.Array], kind: pa.DataType, most: int = PART) -> pa.Array:
+    """``work`` on parts of about ``most`` elements, one list at least: an Arrow batch is
+    bounded in rows, not in bytes, and what a step sets aside should not grow with it."""
+    bounds = lists.offsets.to_numpy()
+    parts, at = [], 0
+    while at < len(lists):
+        to = max(at + 1, int(np.searchsorted(bounds, int(bounds[at]) + most, "right")) - 1)
+        to = min(to, len(lists))
+        parts.append(work(lists.slice(at, to - at)))
+        at = to
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def _lookup(shipped: Broadcast):
     @arrow_udf("array<int>")
     def ids(lists: pa.Array) -> pa.Array:
+        import pyarrow as pa
+
+        # Each part builds its index of the vocabulary anew, so parts are no smaller than that.
+        return in_parts(lists, part, pa.list_(pa.int32()), max(PART, len(shipped.value)))
+
+    def part(lists: pa.Array) -> pa.Array:
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -317,6 +340,11 @@ def only_full_length(df: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
 def _spell(shipped: Broadcast, first_id: int):
     @arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
+        import pyarrow as pa
+
+        return in_parts(lists, part, pa.string(), max(PART, len(shipped.value)))
+
+    def part(lists: pa.Array) -> pa.Array:
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc

@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
@@ -133,3 +134,18 @@ def test_pattern_agrees_with_a_plain_reading(documents):
     got = documents.sparkSession.createDataFrame([(text,)], "text string").select(pieces("text"))
     plain = re.findall(r"[ \t\r\n　]?(?:(?!_)\w)+|.", text, re.S)
     assert got.first()[0] == plain
+
+
+def test_long_batches_are_worked_on_in_parts():
+    lists = pa.array([[1, 2, 3], [], [4], None, [5, 6], [7] * 9, []], pa.list_(pa.int32()))
+    for most in (1, 2, 3, 5, 100):
+        for part in (lists, lists.slice(2), lists.slice(1, 4), lists.slice(0, 0)):
+            sizes = []
+
+            def work(own):
+                sizes.append(len(own.flatten()))
+                return own
+
+            got = K.in_parts(part, work, pa.list_(pa.int32()), most)
+            assert got.to_pylist() == part.to_pylist()
+            assert all(n <= most or n in (2, 3, 9) for n in sizes)
