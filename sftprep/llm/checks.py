@@ -39,11 +39,12 @@ with l as (select doc_id, unnest(range(len(x))) as pos, unnest(x) as line from (
 w as (select doc_id, pos, list_filter(regexp_split_to_array(line,'[ \t\x0b\x0c\r]+'), lambda x: x <> '') as w from l),
 k as (select doc_id, pos, w, array_to_string(w,' ') as line from w where len(w)>0),
 f as (select line, any_value(w) w, min((doc_id, pos)) as first_ from k group by 1),
-big as (select line, w, first_, len(w) n from f where len(w)>=8),
-v as materialized (select line, first_, n, p, array_to_string(list_concat(w[1:p-1], w[p+1:]),' ') d from (select *, unnest(range(1,n+1)) p from big)),
+big as (select line, if(len(w)>=8, w, string_split(line,'')) w, first_, len(w)>=8 as wordy from f where len(w)>=8 or length(line)>=16),
+u as (select line, w, first_, wordy, len(w) n from big),
+v as materialized (select line, first_, wordy, n, p, if(wordy, array_to_string(list_concat(w[1:p-1], w[p+1:]),' '), array_to_string(list_concat(w[1:p-1], w[p+1:]),'')) d from (select *, unnest(range(1,n+1)) p from u)),
 near as (
- select a.line from v a join (select d,p,n,min(first_) m from v group by 1,2,3) b on a.d=b.d and a.p=b.p and a.n=b.n where a.first_>b.m
- union select case when v.first_>s.first_ then v.line else s.line end from v join big s on v.d=s.line),
+ select a.line from v a join (select d,p,n,wordy,min(first_) m from v group by 1,2,3,4) b on a.d=b.d and a.p=b.p and a.n=b.n and a.wordy=b.wordy where a.first_>b.m
+ union select case when v.first_>s.first_ then v.line else s.line end from v join u s on v.d=s.line and v.wordy=s.wordy),
 j as (select k.doc_id, k.pos, f.first_ < (k.doc_id, k.pos) as copy, n.line is not null as near from k join f using(line) left join near n using(line)),
 g as (select doc_id, list(pos) filter(copy or near) gone, count(*) filter(copy) n_copies, count(*) filter(near and not copy) n_near from j group by 1)
 select d.doc_id, sha256(array_to_string(list_filter(string_split(d.text,chr(10)), lambda x,i: not coalesce(list_contains(gone,i-1),false)), chr(10))) as kept_sha256,

@@ -86,7 +86,7 @@ def _one_edit(a, b):
     return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
 
-def lines(rows, least=8):
+def lines(rows, least=8, letters=16):
     """For rows with distinct ids."""
     places = defaultdict(list)
     for doc_id, text in rows:
@@ -97,9 +97,12 @@ def lines(rows, least=8):
                     places[w].append((doc_id, at))
     first = {w: min(p) for w, p in places.items()}
     gone, copies, close = defaultdict(set), Counter(), Counter()
+    # Many words are compared by words, few by characters, too few characters not at all.
+    wordy = [w for w in first if len(w) >= least]
+    lettered = {w: list(" ".join(w)) for w in first if len(w) < least and len(" ".join(w)) >= letters}
     for w, found in places.items():
-        near = len(w) >= least and any(
-            len(v) >= least and first[v] < first[w] and _one_edit(list(v), list(w)) for v in first
+        near = any(first[v] < first[w] and _one_edit(list(v), list(w)) for v in wordy) if len(w) >= least else (
+            w in lettered and any(first[v] < first[w] and _one_edit(u, lettered[w]) for v, u in lettered.items())
         )
         for place in found:
             if place > first[w]:

@@ -199,6 +199,32 @@ def test_lines_under_random_edits(spark):
     assert as_set(got) == as_set(plain.lines(rows))
 
 
+def test_short_and_unspaced_lines_under_random_edits(spark):
+    rng, rows = np.random.default_rng(8), []
+    bases = ["page 12 of the annual report", "\u6771\u4eac\u90fd\u306b\u4f4f\u3093\u3067\u3044\u308b\u4eba\u3005\u306e\u751f\u6d3b\u3068\u6587\u5316\u306b\u3064\u3044\u3066" * 3,
+             "a b c d e f g", "short one", "aaaaaaaaaaaaaaaa", "\U0001f600" * 17, "x" * 5000]
+    for i in range(60):
+        own = []
+        for _ in range(4):
+            line = list(bases[int(rng.integers(0, len(bases)))])
+            for _ in range(int(rng.integers(0, 3))):
+                at, what = int(rng.integers(0, len(line))), rng.integers(0, 3)
+                line[at : at + (what > 0)] = ["ab \u6587\U0001f601"[rng.integers(0, 5)]] if what < 2 else []
+            own.append("".join(line))
+        rows.append((i, "\n".join(own)))
+    got = lines.line_dedup(table(spark, rows)).collect()
+    want = plain.lines(rows)
+    assert as_set(got) == as_set(want)
+    assert sum(r[4] for r in want) > 20
+
+
+def test_words_and_characters_are_not_mixed(spark):
+    rows = [(1, "abcdefghijklmnop"), (2, "a b c d e f g h i j k l m n o p"), (3, "a b c d e f g h i j k l m n o q"),
+            (4, "abcdefghijklmnoq"), (5, "abcdefghijklmno")]
+    got = {r["doc_id"]: r["n_near"] for r in lines.line_dedup(table(spark, rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 1, 4: 1, 5: 0}
+
+
 def test_rows_without_id_keep_their_lines(spark):
     got = lines.line_dedup(table(spark, [(None, f"{LINE}\n{LINE}"), (1, LINE)])).collect()
     assert as_set((r["doc_id"], r["text"]) for r in got) == as_set([(None, f"{LINE}\n{LINE}"), (1, LINE)])
