@@ -7,6 +7,8 @@ document is then kept with the probability its cell's weight asks for.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sftprep.functions import uniform
@@ -17,7 +19,9 @@ AXES = ("source", "lang", "topic")
 # the tokens is kept, and when raking has converged.
 TEMPER = {"source": 0.8, "lang": 0.9, "topic": 1.0}
 SHARE = 0.9
-CLOSE, MOST_ROUNDS = 1e-6, 60
+CLOSE = 1e-6
+# Raking that gains less than this part of its error in a job cannot reach its targets.
+_LEAST_GAIN = 0.001
 _ROUNDS_A_JOB = 4
 _SCALES = 64
 
@@ -58,18 +62,29 @@ def _named(c: str) -> Column:
 def tempered_targets(cells: DataFrame, axis: str, power: float) -> DataFrame:
     """The target total of each value of an axis: its share to a power, all summing alike."""
     shares = cells.groupBy(axis).agg(F.sum("tokens").cast("double").alias("had"))
-    whole = Window.partitionBy()
-    # One row per value of the axis, aggregated; never rows of documents.
     raised = F.pow("had", F.lit(float(power)))
-    return shares.select(axis, (raised * F.sum("had").over(whole) / F.sum(raised).over(whole)).alias("target"))
+    whole = shares.agg(F.sum("had").alias("had"), F.sum(raised).alias("raised")).first()
+    return shares.select(axis, (raised * F.lit(whole["had"]) / F.lit(whole["raised"])).alias("target"))
+
+
+def _total(axis: str) -> Column:
+    return F.sum("weight").over(Window.partitionBy(axis))
+
+
+def _off(axis: str) -> Column:
+    """How far the total of a cell's value lies from its target, as a part of the target."""
+    return F.abs(_total(axis) - F.col(f"to_{axis}")) / F.greatest(F.col(f"to_{axis}"), F.lit(1.0))
 
 
 def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     """Cells with ``weight``: scaled tokens whose totals reach the targets on every axis.
 
     ``cells`` has one row per occupied cell with ``tokens`` above 0. Targets name every
-    value of their axis; a value that is not named is held at no tokens. Stops when
-    every total is within a millionth of its target, or after 60 rounds.
+    value of their axis; a value that is not named is held at no tokens. Goes on until
+    every total is within a millionth of its target, or until four rounds no longer bring
+    the worst total 0.1 % nearer: then the targets contradict each other on the cells
+    there are. ``off_<axis>`` says how far the total of a cell's value is from its target,
+    as a part of the target.
     """
     for axis, target in targets.items():
         cells = cells.join(target.select(axis, F.col("target").alias(f"to_{axis}")), axis, "left")
@@ -78,25 +93,19 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
             0.0, [f"to_{axis}" for axis in targets]
         )
     )
-    for _ in range(MOST_ROUNDS // _ROUNDS_A_JOB):
+    worst = math.inf
+    while worst > CLOSE:
         step = cells
         for _ in range(_ROUNDS_A_JOB):
             for axis in targets:
-                total = F.sum("weight").over(Window.partitionBy(axis))
-                scaled = F.col("weight") * F.col(f"to_{axis}") / total
-                step = step.withColumn("weight", F.when(total > 0, scaled).otherwise(F.lit(0.0)))
+                scaled = F.col("weight") * F.col(f"to_{axis}") / _total(axis)
+                step = step.withColumn("weight", F.when(_total(axis) > 0, scaled).otherwise(F.lit(0.0)))
         cells = keep(step)
-        # The last axis is met by construction; the others tell how far raking is.
-        off = [
-            F.max(F.abs(F.sum("weight").over(Window.partitionBy(axis)) - F.col(f"to_{axis}"))
-                  / F.greatest(F.col(f"to_{axis}"), F.lit(1.0))).over(Window.partitionBy())
-            for axis in list(targets)[:-1]
-        ]
-        if not off or (worst := cells.select(F.greatest(*off, F.lit(0.0), F.lit(0.0)).alias("off")).first()) is None:
-            break
-        if worst["off"] <= CLOSE:
+        off = cells.select(F.greatest(*[_off(axis) for axis in targets], F.lit(0.0)).alias("off"))
+        before, worst = worst, off.agg(F.max("off").alias("off")).first()["off"] or 0.0
+        if worst > before * (1 - _LEAST_GAIN):
             break
-    return cells
+    return keep(cells.select("*", *[_off(axis).alias(f"off_{axis}") for axis in targets]))
 
 
 def calibrated(cells: DataFrame, share: float) -> DataFrame:
@@ -132,13 +141,17 @@ def mixed(
     share: float = SHARE,
     seed: int = 5,
 ) -> DataFrame:
-    """``doc_id, source, lang, topic, n_tokens, weight, keep_probability, kept`` per row.
+    """``doc_id, source, lang, topic, n_tokens, weight, keep_probability, kept`` per row,
+    and ``off_source, off_lang, off_topic``.
 
-    ``weight`` is the raked weight of one token of the document's cell. Targets default
+    ``weight`` is the raked weight of one token of the document's cell. ``off_<axis>`` is
+    what raking left between the total of the document's value and its target, as a part
+    of the target: near 0 unless the targets contradict each other. Targets default
     to tempered shares of the corpus; a caller may give a table ``(axis value, target)``
     per axis, with totals of the same scale. A null source, language or topic is a
     value of its own, written as an empty string. Documents without words have no
-    tokens to weigh and are kept (probability 1). The draw is a hash of the seed and the
+    tokens to weigh and are kept (probability 1); where no document of a cell has words,
+    its ``off_<axis>`` are null. The draw is a hash of the seed and the
     id, so reruns agree and rows that repeat an id are drawn together.
     """
     topic = layout_topic(F.col(text_col)) if topic is None else topic
@@ -154,7 +167,8 @@ def mixed(
     )
     targets = targets or {a: tempered_targets(cells, a, TEMPER[a]) for a in AXES}
     weights = calibrated(raked(cells, targets), share).select(
-        *AXES, (F.col("weight") / F.col("tokens")).alias("weight"), "keep_probability"
+        *AXES, (F.col("weight") / F.col("tokens")).alias("weight"), "keep_probability",
+        *[f"off_{axis}" for axis in targets],
     )
     drawn = F.coalesce(uniform(seed, "doc_id"), F.lit(0.0)) < F.col("keep_probability")
     return (

@@ -31,8 +31,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def seeded(n: int, seed: int) -> np.ndarray:
     """``n`` fixed pseudo-random 64-bit values for a seed."""
+    return seeded_at(np.arange(n, dtype=np.uint64), seed)
+
+
+def seeded_at(places: np.ndarray, seed: int) -> np.ndarray:
+    """The values at ``places`` of the endless sequence that ``seeded`` begins."""
     start = np.uint64((seed * 0x9E3779B97F4A7C15 + 0x1234567) & (2**64 - 1))
-    return mix(start + np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mix(start + (places.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
 
 
 _WORDS_AT_ONCE = 1 << 13

@@ -109,7 +109,7 @@ def test_memory_of_one_large_batch(name):
         "lang": pa.array(["en", "de"] * (n // 2)), "label": pa.array([1] * n, pa.int32()),
     })
     run = WORK[name]()
-    language.letter_classes()
+    language.lower_letters()
     tracemalloc.start()
     rows = sum(out.num_rows for out in run(iter([batch])))
     peak = tracemalloc.get_traced_memory()[1]

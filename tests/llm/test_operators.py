@@ -1,4 +1,5 @@
 import math
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -312,6 +313,40 @@ def test_languages(spark):
     assert right >= 0.99 * n
 
 
+def test_languages_equal_dense_profiles(spark):
+    """Bundles against plain sums over trigrams, in three scripts with many letters."""
+    rng, rows = np.random.default_rng(4), []
+    scripts = {"latin": range(97, 123), "cyrillic": range(0x430, 0x450), "han": range(0x4E00, 0x5E00)}
+    for i in range(60):
+        lang = list(scripts)[i % 3]
+        text = "".join(chr(rng.choice(scripts[lang])) if rng.random() < 0.8 else " " for _ in range(400))
+        rows.append((i, text, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    train = docs.where("doc_id < 30")
+
+    def profile(text):
+        # A run of spaces after a letter is one gap, also at the end.
+        line = [0] + [0 if c == " " else ord(c) for c in re.sub(" +", " ", text.lstrip())] + [0]
+        total, signs = np.zeros(64), lambda p: language.letter_vectors(np.array([p]), 64)[0].astype(float)
+        for a, b, c in zip(line, line[1:], line[2:]):
+            total += np.roll(signs(a), 2) * np.roll(signs(b), 1) * signs(c)
+        return total
+
+    vectors = {i: profile(t) for i, t, _ in rows}
+    known = {x: sum(vectors[i] for i, _, lang in rows if i < 30 and lang == x) for x in scripts}
+    for r in language.identify(docs, train.select("text", "lang"), dimensions=64).collect():
+        own = vectors[r["doc_id"]]
+        cosine = {x: own @ v / np.linalg.norm(own) / np.linalg.norm(v) for x, v in known.items()}
+        assert math.isclose(r["score"], max(0.0, *cosine.values()), abs_tol=1e-4)
+        assert math.isclose(cosine[r["lang_pred"]], max(cosine.values()), abs_tol=1e-4)
+
+
+def test_letters_have_vectors_of_their_own():
+    han = np.arange(0x4E00, 0x9FFF)
+    vectors = np.concatenate([language.letter_vectors(np.r_[0, 97:123], 256), language.letter_vectors(han, 256)])
+    assert len(np.unique(vectors, axis=0)) == len(vectors)
+
+
 def test_languages_of_odd_texts(docs):
     got = {r["doc_id"]: r for r in language.held_out_languages(docs).collect()}
     assert all(got[i]["lang_pred"] == "und" and got[i]["score"] == 0.0 for i in (3, 4, 5))
@@ -350,6 +385,35 @@ def test_mixing_meets_its_targets(spark):
     assert abs(kept / had - mixing.SHARE) < 0.05
 
 
+def _cells(spark, rows):
+    return spark.createDataFrame(rows, "source string, lang string, tokens long")
+
+
+def test_raking_equals_plain_rounds_and_needs_many(spark):
+    # Cells that carry next to nothing couple the axes: this takes many rounds.
+    rows = [("a", "x", 1000), ("a", "y", 1), ("b", "x", 1), ("b", "y", 1000)]
+    to = {"source": {"a": 1200.0, "b": 802.0}, "lang": {"x": 900.0, "y": 1102.0}}
+    weight = {(s, l): float(t) for s, l, t in rows}
+    for _ in range(5000):
+        for place, axis in enumerate(to):
+            had = {v: sum(w for k, w in weight.items() if k[place] == v) for v in to[axis]}
+            weight = {k: w * to[axis][k[place]] / had[k[place]] for k, w in weight.items()}
+    targets = {a: spark.createDataFrame(list(v.items()), f"{a} string, target double") for a, v in to.items()}
+    got = mixing.raked(_cells(spark, rows), targets).collect()
+    for r in got:
+        assert math.isclose(r["weight"], weight[r["source"], r["lang"]], rel_tol=1e-3, abs_tol=1e-2)
+        assert max(r["off_source"], r["off_lang"]) <= mixing.CLOSE
+
+
+def test_raking_tells_when_targets_contradict(spark):
+    rows = [("a", "x", 10), ("b", "y", 10)]
+    to = {"source": [("a", 15.0), ("b", 5.0)], "lang": [("x", 5.0), ("y", 15.0)]}
+    targets = {a: spark.createDataFrame(v, f"{a} string, target double") for a, v in to.items()}
+    got = {r["source"]: r for r in mixing.raked(_cells(spark, rows), targets).collect()}
+    assert got["a"]["off_lang"] == 0 and math.isclose(got["a"]["off_source"], 10 / 15)
+    assert math.isclose(got["b"]["off_source"], 2.0)
+
+
 def test_mixing_of_odd_rows(docs):
     got = mixing.mixed(docs).collect()
     assert len(got) == len(TEXTS)
