@@ -15,15 +15,36 @@ from sftprep.sources.datasets import write_small
 
 COUNTS = "prev int, next int, n long"
 DONE = "_SUCCESS"
+# Folders of a log, and of states that are saved as increments.
+INCREMENT, FULL = "increment", "full"
 
 
 def save_lm(states: DataFrame, path: str) -> None:
-    """Writes ``(checkpoint, prev, next, n)`` with a folder for each checkpoint."""
+    """Writes ``(checkpoint, prev, next, n)`` with a folder for each checkpoint.
+
+    States given as ``checkpoint_counts``, ``(prev, next, interval, n)``, are kept as what each
+    adds to the one before: many states take the room of their new counts.
+    """
+    if "interval" in states.columns:
+        states = states.select("prev", "next", "n", (F.col("interval") + 1).alias("checkpoint"))
+        path = f"{path}/{INCREMENT}"
     states.write.partitionBy("checkpoint").parquet(path)
 
 
+def saved_counts(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(prev, next, interval, n)`` of states that were saved as increments, else None."""
+    files, folder = hadoop_path(spark, f"{path}/{INCREMENT}")
+    if not files.exists(folder):
+        return None
+    rows = spark.read.schema(f"{COUNTS}, checkpoint int").parquet(f"{path}/{INCREMENT}")
+    return rows.select("prev", "next", (F.col("checkpoint") - 1).alias("interval"), "n")
+
+
 def load_lm(spark: SparkSession, path: str, checkpoint: int) -> DataFrame:
-    """One checkpoint's ``(prev, next, n)``; the other folders are not read."""
+    """One checkpoint's ``(prev, next, n)``; folders that it does not need are not read."""
+    fresh = saved_counts(spark, path)
+    if fresh is not None:
+        return fresh.where(F.col("interval") < checkpoint).groupBy("prev", "next").agg(F.sum("n").alias("n"))
     states = spark.read.schema(f"{COUNTS}, checkpoint int").parquet(path)
     return states.where(F.col("checkpoint") == checkpoint).drop("checkpoint")
 
@@ -54,41 +75,79 @@ class StateLog:
 
     def saved(self) -> list[int]:
         """Checkpoints that can be opened: those without a gap before them."""
-        done, start = self._done("increment"), max([0, *self._done("full")])
-        last = start
+        done, full = set(self._done(INCREMENT)), set(self._done(FULL))
+        last = max(full, default=0)
         while last + 1 in done:
             last += 1
-        return sorted({c for c in done if c <= last} | {c for c in self._done("full")})
+        return sorted({c for c in done if c <= last} | full)
 
     def append(self, fresh: DataFrame, checkpoints: list[int]) -> list[int]:
         """Saves increments of ``fresh (prev, next, interval, n)`` that are not saved yet, and
-        tells which: interval i - 1 is what checkpoint i adds."""
-        missing = sorted(set(checkpoints) - set(self._done("increment")))
+        tells which: interval i - 1 is what checkpoint i adds.
+
+        One pass writes them all to a draft, and each then moves to its place and is marked
+        as done. A checkpoint's rows may come in several files.
+        """
+        missing = sorted(set(checkpoints) - set(self._done(INCREMENT)))
+        if not missing:
+            return missing
+        draft = f"{self.path}/_draft-{uuid.uuid4().hex}"
+        wanted = self.spark.createDataFrame([(c - 1, c) for c in missing], "interval int, checkpoint int")
+        part = fresh.join(F.broadcast(wanted), "interval").groupBy("interval", "checkpoint", "prev", "next")
+        part.agg(F.sum("n").alias("n")).drop("interval").write.partitionBy("checkpoint").parquet(draft)
+        files, folder = hadoop_path(self.spark, f"{self.path}/{INCREMENT}")
+        files.mkdirs(folder)
         for checkpoint in missing:
-            part = fresh.where(F.col("interval") == checkpoint - 1).groupBy("prev", "next").agg(F.sum("n").alias("n"))
-            part.write.mode("overwrite").parquet(self._folder("increment", checkpoint))
+            written, place = (hadoop_path(self.spark, p)[1] for p in (
+                f"{draft}/checkpoint={checkpoint}", self._folder(INCREMENT, checkpoint)))
+            files.delete(place, True)
+            # An interval without pairs has no rows, but it is saved.
+            if not (files.rename(written, place) if files.exists(written) else files.mkdirs(place)):
+                raise OSError(f"cannot save checkpoint {checkpoint} at {place}")
+            files.create(place.suffix(f"/{DONE}")).close()
+        files.delete(hadoop_path(self.spark, draft)[1], True)
         return missing
 
     def state(self, checkpoint: int) -> DataFrame:
         """``(prev, next, n)`` at a checkpoint; reads the last full state before it and the
         increments since. Checkpoint 0 is the empty model."""
-        full = max([0, *(c for c in self._done("full") if c <= checkpoint)])
-        wanted = list(range(full + 1, checkpoint + 1))
-        absent = sorted(set(wanted) - set(self._done("increment")))
-        if absent:
-            raise ValueError(f"checkpoint {checkpoint} of {self.path} needs increments {absent}")
-        paths = [self._folder("increment", c) for c in wanted]
-        if full:
-            paths.append(self._folder("full", full))
+        paths = self._needed(max([0, *(c for c in self._done(FULL) if c <= checkpoint)]), checkpoint)
         if not paths:
             return self.spark.createDataFrame([], COUNTS)
         parts = self.spark.read.schema(COUNTS).parquet(*paths)
         return parts if len(paths) == 1 else parts.groupBy("prev", "next").agg(F.sum("n").alias("n"))
 
+    def _needed(self, full: int, checkpoint: int) -> list[str]:
+        """Folders of the increments after a full state (0: none), and of that state."""
+        wanted = range(full + 1, checkpoint + 1)
+        absent = sorted(set(wanted) - set(self._done(INCREMENT)))
+        if absent:
+            raise ValueError(f"checkpoint {checkpoint} of {self.path} needs increments {absent}")
+        return [*(self._folder(INCREMENT, c) for c in wanted), *([self._folder(FULL, full)] if full else [])]
+
+    def counts(self) -> list[tuple[int, int, DataFrame]]:
+        """``first, last, rows``: all states that can be opened, from one full state to the
+        next, and ``rows (prev, next, interval, n)`` they add up from. Each increment after the
+        first full state that is read, is read once; a full state counts as the interval
+        of its checkpoint."""
+        saved = set(self.saved())
+        starts = sorted({0, *self._done(FULL)})
+        out = []
+        for start, after in zip(starts, [*starts[1:], None]):
+            last = start
+            while last + 1 in saved and last + 1 != after:
+                last += 1
+            if last == 0:
+                continue
+            rows = self.spark.read.schema(COUNTS).parquet(*self._needed(start, last))
+            place = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)/[^/]+$", 1).cast("int")
+            out.append((max(start, 1), last, rows.select("prev", "next", (place - 1).alias("interval"), "n")))
+        return out
+
     def compact(self, checkpoint: int) -> None:
         """Writes the full state of a checkpoint; the log stays as it is."""
-        if checkpoint not in self._done("full"):
-            self.state(checkpoint).write.mode("overwrite").parquet(self._folder("full", checkpoint))
+        if checkpoint not in self._done(FULL):
+            self.state(checkpoint).write.mode("overwrite").parquet(self._folder(FULL, checkpoint))
 
 
 def mapped(name: str) -> pa.Table:

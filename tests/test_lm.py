@@ -2,9 +2,11 @@ import math
 from collections import Counter
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from sftprep.operators import lm as L
+from sftprep.operators import replay as R
 from sftprep.plans import flows
 
 TRAIN = [(1, 0, [1, 3, 4, 3, 2]), (2, 1, [1, 3, 0, 4, 2]), (3, 2, [1, 4, 4, 4, 2]), (4, 5, [1, 2])]
@@ -114,6 +116,43 @@ def test_many_checkpoints(spark, test):
     assert losses[120] == pytest.approx(loss([r for r in rows if r[1] < 120], TEST)[0], abs=1e-12)
 
 
+def many_rows(spark, n=240):
+    rows = [(i, i // 4, [1, 3 + i % 7, 3 + i % 5, 0, 4 + i % 3, 2][: 2 + i % 5]) for i in range(n) if i // 4 % 9]
+    return rows, spark.createDataFrame(rows, SCHEMA).withColumn("interval", F.col("step"))
+
+
+def test_sums_of_states_without_states(spark):
+    rows, train = many_rows(spark)
+    fresh = L.checkpoint_counts(train, by_interval=True)
+    weight = F.col("prev") * 7 + F.col("next")
+    got = {r[0]: tuple(r)[1:] for r in L.checkpoint_sums(fresh, 50, check=weight).collect()}
+    assert sorted(map(tuple, fresh.collect())) == sorted(map(tuple, L.checkpoint_counts(train).collect()))
+    for c in range(1, 51):
+        state = pairs([r for r in rows if r[1] < c])
+        want = (len(state), sum(state.values()), sum((7 * a + b) * n for (a, b), n in state.items()))
+        assert got.get(c, (0, 0, 0)) == want
+    # Rows read grow with pairs and intervals, not with states.
+    assert "Generate explode" not in plan_of(L.checkpoint_sums(fresh, 50, check=weight))
+
+
+@pytest.mark.parametrize("stretches", [1, 7, 64])
+def test_a_run_read_again_equals_its_states(spark, test, monkeypatch, stretches):
+    monkeypatch.setattr(R, "STRETCHES", stretches)
+    monkeypatch.setattr(R, "PAIRS", 3)
+    rows, train = many_rows(spark)
+    fresh = L.checkpoint_counts(train)
+    held = test.union(train.drop("interval").limit(20))
+    want = {r["checkpoint"]: r for r in L.checkpoint_losses(fresh, 55, held).collect()}
+    got = {r["checkpoint"]: r for r in R.replayed_losses(train, 55, held).collect()}
+    assert set(got) == set(want) == set(range(1, 56))
+    log = {r["interval"]: r for r in L.run_log(fresh).where("interval < 55").collect()}
+    again = {r["interval"]: r for r in R.replayed_log(train, 55).collect()}
+    assert set(log) == set(again)
+    for a, b in [*((want[c], got[c]) for c in want), *((log[i], again[i]) for i in log)]:
+        assert tuple(a) == pytest.approx(tuple(b), rel=1e-12)
+    assert R.replayed_losses(train, 55, held.limit(0)).count() == 0
+
+
 def test_rows_seen_are_the_rows_of_the_plan(spark):
     rows = spark.range(300).select("id", F.lit(3).alias("length"), F.array(*map(F.lit, (1, 3, 2))).alias("input_ids"))
     for config in (flows.RunConfig(n_epochs=3, eval_steps=7), flows.RunConfig(max_steps=10, eval_steps=4),

@@ -3,9 +3,10 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from sftprep.operators.batches import shard, shuffle_rank, steps, train_test_split
+from sftprep.operators.lm import checkpoint_sums
 from sftprep.operators.prompts import format_block
 from sftprep.sources import datasets as D
-from sftprep.sources.models import StateLog, load_lm, save_lm
+from sftprep.sources.models import StateLog, load_lm, save_lm, saved_counts
 
 SCHEMA = "rec_id long, instruction string, input string, output string"
 
@@ -159,6 +160,37 @@ def test_states_are_sums_of_increments(spark, tmp_path):
     assert len({f.rsplit("/", 1)[0] for f in log.state(4).inputFiles()}) == 2
 
 
+def test_all_states_from_one_reading(spark, tmp_path):
+    log = StateLog(spark, str(tmp_path / "log"))
+    assert log.counts() == []
+    log.append(increments(spark).union(increments(spark)), [1, 2, 3, 4])
+    assert state(log, 1) == [(1, 2, 6), (1, 3, 2)]
+    log.compact(3)
+    found = [(first, last, checkpoint_sums(rows, last).where(F.col("checkpoint") >= first).collect()) for first, last, rows in log.counts()]
+    assert [f[:2] for f in found] == [(1, 2), (3, 4)]
+    assert sorted(tuple(r) for f in found for r in f[2]) == [(1, 2, 8), (2, 2, 8), (3, 3, 20), (4, 3, 22)]
+
+
+def test_many_saves_are_one_pass(spark, tmp_path):
+    """A job per save would read all counts for each of them."""
+    rows = spark.range(400).selectExpr("cast(id % 5 as int) prev", "cast(id % 7 as int) next", "cast(id % 100 as int) interval", "id n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("saves", "saves")
+    log = StateLog(spark, str(tmp_path / "log"))
+    log.append(rows, list(range(1, 101)))
+    jobs = len(tracker.getJobIdsForGroup("saves"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert log.saved() == list(range(1, 101)) and jobs < 10
+
+
+def test_states_saved_as_increments(spark, tmp_path):
+    path = str(tmp_path / "model")
+    save_lm(increments(spark), path)
+    assert sorted(map(tuple, load_lm(spark, path, 3).collect())) == [(1, 2, 8), (1, 3, 1), (4, 4, 1)]
+    assert sorted(map(tuple, load_lm(spark, path, 2).collect())) == [(1, 2, 3), (1, 3, 1)]
+    assert saved_counts(spark, path).count() == 5
+
+
 def test_a_run_goes_on_where_it_was_cut_short(spark, tmp_path):
     import os
 
