@@ -1,7 +1,7 @@
 """Subword ids by the merges of a public byte-pair vocabulary file.
 
-Text is cut into words, each distinct word is split once by merging its bytes, and rows
-look their words up: merging costs what a corpus has of different words, not of words.
+Text is cut into words, a worker splits the distinct words of its rows by merging their
+bytes and keeps those it meets first, or rows are joined with all words, split once each.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from sftprep.functions.columns import PIECE_PATTERN
-from sftprep.operators.tokens import ids_by_join
-from sftprep.session import MAX_SHIPPED_BYTES, settle, ship
+from sftprep.operators.tokens import ids_by_join, in_parts
+from sftprep.session import MAX_SHIPPED_BYTES, settle
 
 # Fixed value: how the byte-pair vocabularies in use are meant to be cut. White space is
 # that of Unicode, and a space before a word belongs to it.
@@ -27,6 +27,10 @@ WORD_PATTERN = (
 )
 # The tokens of a broadcast stay in memory, so their place names them.
 _RANKS: dict[int, dict[bytes, int]] = {}
+# Words that a Python worker keeps the ids of, by vocabulary: the first it meets, which frequent
+# words are among.
+_SPELLED: dict[int, dict[str, list[int]]] = {}
+KEPT_WORDS, KEPT_LENGTH = 1 << 17, 64
 
 
 class Subwords:
@@ -63,6 +67,15 @@ def _ranks(shipped: Broadcast) -> dict[bytes, int]:
     return _RANKS[id(tokens)]
 
 
+def _spelled(shipped: Broadcast) -> dict[str, list[int]]:
+    """The words a Python worker keeps for a vocabulary."""
+    tokens = shipped.value
+    if id(tokens) not in _SPELLED:
+        _SPELLED.clear()
+        _SPELLED[id(tokens)] = {}
+    return _SPELLED[id(tokens)]
+
+
 def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a word: of all neighbours that make a token, those of the lowest id merge
     first, the leftmost of equals. Time grows with length times its logarithm."""
@@ -110,16 +123,28 @@ def spelled(words: DataFrame, subwords: Subwords) -> DataFrame:
     return words.mapInArrow(run, "piece string, ids array<int>")
 
 
-def _looked_up(shipped: Broadcast):
+def _spelled_here(shipped: Broadcast):
     @arrow_udf("array<int>")
     def ids(lists: pa.Array) -> pa.Array:
+        import pyarrow as pa
+
+        return in_parts(lists, part, pa.list_(pa.int32()))
+
+    def part(lists: pa.Array) -> pa.Array:
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        names, spellings = shipped.value
-        found = pc.index_in(lists.flatten(), value_set=names).to_numpy()
-        parts = spellings.take(pa.array(found))
+        ranks, kept = _ranks(shipped), _spelled(shipped)
+        words = lists.flatten().dictionary_encode()
+        found = []
+        for word in words.dictionary.to_pylist():
+            if (known := kept.get(word)) is None:
+                known = merged(word.encode(), ranks)
+                if len(kept) < KEPT_WORDS and len(word) <= KEPT_LENGTH:
+                    kept[word] = known
+            found.append(known)
+        parts = pa.array(found, pa.list_(pa.int32())).take(words.indices)
         before = np.r_[0, np.cumsum(pc.list_value_length(parts).to_numpy())]
         starts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         return pa.ListArray.from_arrays(pa.array(before[starts], pa.int32()), parts.flatten())
@@ -137,19 +162,17 @@ def encode(
 ) -> DataFrame:
     """Adds ``out``, the ids of each text; a null or empty text has none.
 
-    ``pattern`` cuts a text into words and must cover all of it. Distinct words are few
-    enough to be shipped up to the limits of shipped tables; beyond them rows are joined
-    with their words. Rows may repeat.
+    ``pattern`` cuts a text into words and must cover all of it. Each worker splits the
+    distinct words of a part of its rows and keeps a bounded number of them, so its memory
+    does not grow with the words of a corpus and no row moves. With ``via="join"`` each
+    distinct word is split once and rows are joined with their words. Rows may repeat.
     """
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
     rows = df.withColumn("_pieces", words)
-    used = rows.select(F.explode("_pieces").alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
-    table = settle(spelled(used.select("piece"), subwords))
-    found = None if via == "join" else ship(table, ("piece",))
-    if found is None:
-        return ids_by_join(rows, table, "_pieces", out).drop("_pieces")
-    pair = found.column("piece").combine_chunks(), found.column("ids").combine_chunks()
-    return rows.withColumn(out, _looked_up(df.sparkSession.sparkContext.broadcast(pair))("_pieces")).drop("_pieces")
+    if via == "join":
+        used = rows.select(F.explode("_pieces").alias("piece")).distinct()
+        return ids_by_join(rows, settle(spelled(used, subwords)), "_pieces", out).drop("_pieces")
+    return rows.withColumn(out, _spelled_here(subwords.shipped)("_pieces")).drop("_pieces")
 
 
 def decode(df: DataFrame, subwords: Subwords, ids: str = "input_ids", out: str = "decoded") -> DataFrame:
@@ -163,6 +186,11 @@ def decode(df: DataFrame, subwords: Subwords, ids: str = "input_ids", out: str =
     def text(lists: pa.Array) -> pa.Array:
         import pyarrow as pa
 
+        return in_parts(lists, part, pa.string())
+
+    def part(lists: pa.Array) -> pa.Array:
+        import pyarrow as pa
+
         tokens = shipped.value
         texts = [
             None if row is None

@@ -60,6 +60,22 @@ def test_repeated_rows_and_fewer_ids_than_characters(spark, known, documents):
     assert S.encode(rows.limit(0), known).collect() == []
 
 
+def test_workers_keep_a_bounded_number_of_words(spark, known):
+    """All distinct words were once sent to every worker."""
+    import os
+
+    from sftprep.session import new_path
+
+    rows = spark.range(3000).selectExpr("id", "concat(md5(cast(id as string)), ' the ', md5(cast(id as string))) as text")
+    folder = new_path(spark, "x").rsplit("/", 1)[0]
+    os.makedirs(folder, exist_ok=True)
+    n = len(os.listdir(folder))
+    ids = S.encode(rows.coalesce(1), known)
+    assert len(os.listdir(folder)) == n
+    want = S.encode(rows, known, via="join").select("id", "input_ids")
+    assert want.exceptAll(ids.select("id", "input_ids")).count() == 0
+
+
 def test_decode_of_odd_ids(spark, known):
     rows = spark.createDataFrame([([0, -1, None, 10**6],), ([],), (None,), ([94],)], "input_ids array<int>")
     got = [r["decoded"] for r in S.decode(rows, known).collect()]
