@@ -22,7 +22,8 @@ from sftprep.session import settle
 
 # From this many intervals on, a run is read again instead of joined with its states.
 MANY_INTERVALS = 32
-# Bounds of a task: pairs whose loss it keeps up, and tokens it reads (of a run log).
+# Bounds of a task: pairs whose loss it keeps up, and tokens it reads (of a run log). Each
+# stretch is given its held-out pairs anew, so there are no more than STRETCHES of those.
 PAIRS, TOKENS = 1 << 22, 1 << 24
 STRETCHES = 64
 # Rows that a task gets, in this order; the last kind is the run itself.
@@ -200,26 +201,36 @@ def _stretch(size: int, interval: str = "interval") -> Column:
     return F.expr(f"cast({interval} div {size} as int)")
 
 
+def _size(run: DataFrame, n_intervals: int, most: int) -> int:
+    """Intervals of a stretch: stretches for all cores or by their tokens, ``most`` at most."""
+    tokens = run.agg(F.coalesce(F.sum(F.greatest(F.size("ids"), F.lit(0)).cast("long")), F.lit(0))).first()[0]
+    wanted = max(run.sparkSession.sparkContext.defaultParallelism, -(-tokens // TOKENS))
+    return max(1, -(-n_intervals // min(wanted, most)))
+
+
+def _counted(labels: DataFrame, size: int, *keys: str) -> DataFrame:
+    """What each stretch adds to each key, counted map-side."""
+    return labels.groupBy(*keys, _stretch(size).alias("interval")).agg(F.count("*").alias("n"))
+
+
 def replayed_log(
     tokens: DataFrame, n_intervals: int, share: float = BIGRAM_SHARE, ids: str = "input_ids", pad_id: int = UNK_ID,
 ) -> DataFrame:
     """``lm.run_log`` of token rows with ``interval`` 0 to ``n_intervals - 1``: the same figures
     without a row for each pair and interval."""
     run = settle(tokens.where(F.col("interval").between(0, n_intervals - 1)).select(F.col("interval").cast("int"), F.col(ids).alias("ids")))
-    n_tokens = run.agg(F.coalesce(F.sum(F.greatest(F.size("ids"), F.lit(0))), F.lit(0))).first()[0]
-    size = max(1, -(-n_intervals // max(1, -(-n_tokens // TOKENS), min(STRETCHES, n_intervals // 4))))
+    size = _size(run, n_intervals, n_intervals)
     stretches = -(-n_intervals // size)
     labels = bigrams(run, "interval", ids="ids", pad_id=pad_id)
-    counts = settle(labels.groupBy("prev", "next", _stretch(size).alias("interval")).agg(F.count("*").alias("n")))
+    known = labels.where("prev is not null")
 
     def before(df: DataFrame, *keys: str) -> DataFrame:
         return _before(df, *keys).drop("n").withColumnsRenamed({"interval": "stretch", "before": "n"})
 
-    known = counts.where("prev is not null")
     parts = [
-        _rows(before(known, "prev", "next"), PAIR),
-        _rows(before(known.groupBy("prev", "interval").agg(F.sum("n").alias("n")), "prev"), CONTEXT),
-        _rows(before(counts.groupBy("next", "interval").agg(F.sum("n").alias("n")), "next"), SINGLE),
+        _rows(before(_counted(known, size, "prev", "next"), "prev", "next"), PAIR),
+        _rows(before(_counted(known, size, "prev"), "prev"), CONTEXT),
+        _rows(before(_counted(labels, size, "next"), "next"), SINGLE),
         _rows(_totals(labels, n_intervals, -1).withColumn("stretch", _stretch(size)), TOTAL),
         _rows(run.withColumn("stretch", _stretch(size)), ROW),
     ]
@@ -239,23 +250,22 @@ def replayed_losses(
     run = settle(tokens.where(F.col("interval").between(0, n_checkpoints - 1)).select(F.col("interval").cast("int"), F.col(ids).alias("ids")))
     held = settle(bigrams(eval_tokens, ids=ids, pad_id=pad_id).groupBy("prev", "next").agg(F.count("*").alias("weight")))
     blocks = max(1, -(-held.count() // PAIRS))
-    size = max(1, -(-n_checkpoints // STRETCHES))
+    size = _size(run, n_checkpoints, STRETCHES)
     stretches = -(-n_checkpoints // size)
     labels = bigrams(run, "interval", ids="ids", pad_id=pad_id)
-    counts = settle(labels.groupBy("prev", "next", _stretch(size).alias("interval")).agg(F.count("*").alias("n")))
 
-    def base(df: DataFrame, *keys: str) -> DataFrame:
-        sums = df.groupBy(*keys, "interval").agg(F.sum("n").alias("n"))
+    def base(sums: DataFrame, *keys: str) -> DataFrame:
         return _standing(sums, stretches, *keys).where(F.col("checkpoint") < stretches).withColumnRenamed("checkpoint", "stretch")
 
     each = F.explode(F.sequence(F.lit(0), F.lit(stretches - 1))).alias("stretch")
     pairs = held.select("*", each).join(
-        base(counts.join(held.select("prev", "next"), ["prev", "next"], "left_semi"), "prev", "next"), ["stretch", "prev", "next"], "left"
+        base(_counted(labels, size, "prev", "next").join(held.select("prev", "next"), ["prev", "next"], "left_semi"), "prev", "next"),
+        ["stretch", "prev", "next"], "left",
     ).withColumn("block", F.pmod(F.hash("prev", "next"), F.lit(blocks)))
     parts = [
         _rows(pairs, PAIR),
-        _rows(base(counts.where("prev is not null"), "prev"), CONTEXT),
-        _rows(base(counts, "next"), SINGLE),
+        _rows(base(_counted(labels.where("prev is not null"), size, "prev"), "prev"), CONTEXT),
+        _rows(base(_counted(labels, size, "next"), "next"), SINGLE),
         _rows(_totals(labels, n_checkpoints, 0).withColumn("stretch", _stretch(size)), TOTAL),
         _rows(run.withColumn("stretch", _stretch(size)), ROW),
     ]

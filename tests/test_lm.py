@@ -137,6 +137,7 @@ def test_sums_of_states_without_states(spark):
 
 @pytest.mark.parametrize("stretches", [1, 7, 64])
 def test_a_run_read_again_equals_its_states(spark, test, monkeypatch, stretches):
+    monkeypatch.setattr(R, "TOKENS", 20)
     monkeypatch.setattr(R, "STRETCHES", stretches)
     monkeypatch.setattr(R, "PAIRS", 3)
     rows, train = many_rows(spark)
