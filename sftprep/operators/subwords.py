@@ -170,8 +170,9 @@ def encode(
     words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
     rows = df.withColumn("_pieces", words)
     if via == "join":
-        used = rows.select(F.explode("_pieces").alias("piece")).distinct()
-        return ids_by_join(rows, settle(spelled(used, subwords)), "_pieces", out).drop("_pieces")
+        return ids_by_join(
+            rows, lambda used: settle(spelled(used.distinct(), subwords)), "_pieces", out
+        ).drop("_pieces")
     return rows.withColumn(out, _spelled_here(subwords.shipped)("_pieces")).drop("_pieces")
 
 

@@ -149,3 +149,45 @@ def test_long_batches_are_worked_on_in_parts():
             got = K.in_parts(part, work, pa.list_(pa.int32()), most)
             assert got.to_pylist() == part.to_pylist()
             assert all(n <= most or n in (2, 3, 9) for n in sizes)
+
+
+def test_a_join_moves_the_pieces_of_a_block_once(spark, vocab, monkeypatch):
+    """Tokens used to be joined one by one; a block's distinct ones are enough."""
+    rows = spark.createDataFrame([(i % 3, "aa bb " * 40 + "zqx\u0000") for i in range(50)], "id int, text string")
+    met = []
+    joined = K.join_frequent
+
+    def counted(tokens, *args, **kwargs):
+        met.append(tokens.count())
+        return joined(tokens, *args, **kwargs)
+
+    monkeypatch.setattr(K, "join_frequent", counted)
+    there = K.encode(rows.coalesce(1), vocab, via="join")
+    back = K.decode(there, vocab, via="join").collect()
+    assert len(back) == 50 and all(r["decoded"] == r["text"] for r in back)
+    assert len(met) == 2 and max(met) < 50
+
+
+@pytest.mark.parametrize("cap", [2, 3, 9, 512])
+def test_first_pieces_are_those_of_the_whole_text(spark, cap):
+    texts = [("x" * 5000 + " y z",), ("ab " * 900,), (". " * 40,), ("a   b   " * 3,), ("肺がん 😀" * 30,), ("",), (None,)]
+    df = spark.createDataFrame(texts, "text string")
+    first = K.with_first_pieces(df, cap - 2).select("pieces").collect()
+    assert first == K.truncate(K.with_pieces(df), cap).select("pieces").collect()
+
+
+def test_a_filter_looks_ids_up_once(documents, vocab):
+    plan = plan_of(K.only_full_length(K.tokenize(documents.repartition(4), vocab, 64), 64))
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_arrow_batches_of_texts_are_small(spark, documents, vocab):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, want in (("10000", "512"), ("0", "512"), ("100", "100")):
+            spark.conf.set(name, given)
+            K.decode(K.encode(documents, vocab), vocab)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, before)
