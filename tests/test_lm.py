@@ -232,3 +232,18 @@ def test_ngram_loss_of_long_contexts(spark, train, test):
     assert math.isclose(got[0]["eval_loss"], want, rel_tol=1e-9)
     empty = L.fit_ngrams(train.limit(0), 3)
     assert empty.collect() == [] and L.ngram_loss(empty, test, 3).first()["eval_loss"] == 0.0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_ngrams_are_counted_by_plain_columns(train, order):
+    got = {(r["length"], tuple(r["context"]), r["next"]): r["n"] for r in L.fit_ngrams(train, order).collect()}
+    want = Counter()
+    for _, _, ids in TRAIN:
+        for i in range(1, len(ids)):
+            for length in range(min(i, order - 1) + 1):
+                if ids[i] != 0:
+                    want[length, tuple(ids[i - length : i]), ids[i]] += 1
+    assert got == dict(want)
+    # Grouping by arrays took most of the time.
+    assert "keys=[context" not in plan_of(L.fit_ngrams(train, order)).replace("length#", "")
+    assert order == 1 or "_back1" in plan_of(L.fit_ngrams(train, order))
