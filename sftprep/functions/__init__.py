@@ -1,5 +1,7 @@
 from sftprep.functions.columns import (
+    LETTER_CLASS,
     PIECE_PATTERN,
+    SPACES,
     pieces,
     shuffle_key,
     truthy,
@@ -7,4 +9,4 @@ from sftprep.functions.columns import (
     words_or_none,
 )
 
-__all__ = ["PIECE_PATTERN", "pieces", "shuffle_key", "truthy", "uniform", "words_or_none"]
+__all__ = ["LETTER_CLASS", "PIECE_PATTERN", "SPACES", "pieces", "shuffle_key", "truthy", "uniform", "words_or_none"]

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -191,3 +192,44 @@ def test_arrow_batches_of_texts_are_small(spark, documents, vocab):
             assert spark.conf.get(name) == want
     finally:
         spark.conf.set(name, before)
+
+
+def test_texts_cut_outside_the_pattern_give_its_pieces(spark):
+    """Every code point, alone and beside letters and spaces, and odd texts."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    draw = random.Random(5)
+    some = ["a", "b", " ", "\t", "\n", "\u3000", "é", "e\u0301", "ж", "７", "肺", "😀", "\0", "_", *draw.sample(points, 200)]
+    texts = [None, "", " ", "a", None, "".join(points), "".join(f"{c}a {c}" for c in points[:0x3000])]
+    texts += ["".join(draw.choices(some, k=draw.randrange(40))) for _ in range(2000)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    kinds = K.character_kinds(spark).value
+    kept = df.select(pieces("text").alias("p"), F.coalesce("text", F.lit("")).alias("text")).toArrow().combine_chunks()
+    whole = kept.column("text").combine_chunks()
+    # A slice starts inside its buffers.
+    for part, want in ((whole, kept), (whole.slice(3, 50), kept.slice(3, 50)), (whole.slice(0, 0), kept.slice(0, 0))):
+        flat, starts = K.cut(part, kinds)
+        got = [flat.slice(a, b - a).to_pylist() for a, b in zip(starts, starts[1:])]
+        assert got == want.column("p").to_pylist()
+    want = df.select(F.explode(pieces("text")).alias("piece")).groupBy("piece").agg(F.count("*").alias("n"))
+    got = K.piece_counts_by_batch(df)
+    assert got.dtypes == want.dtypes and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    small = K.build_vocab(df.where("length(text) < 100"), 40)
+    ids = K.encode(df, small)
+    want = K.encode(K.with_pieces(df), small)
+    assert ids.exceptAll(want).count() == want.exceptAll(ids).count() == 0
+
+
+def test_whole_texts_make_no_row_or_element_per_piece_in_spark(spark, documents, vocab):
+    ids, counts = plan_of(K.tokenize(documents, vocab, None)), plan_of(K.piece_counts_by_batch(documents))
+    assert "regexp_extract_all" not in ids + counts and "Generate" not in counts
+    # What leaves Python is counted: one row per distinct piece of a part of a batch.
+    once = spark.range(512).select(F.lit("one two " * 1000).alias("text")).coalesce(1)
+    rows = K.piece_counts_by_batch(once).collect()
+    assert sorted((r["piece"], r["n"]) for r in rows) == [(" ", 512), (" one", 511_488), (" two", 512_000), ("one", 512)]
+
+
+def test_invalid_bytes_read_as_the_replacement_character(spark, vocab):
+    df = spark.range(1).select(F.unhex(F.lit("61FF62E38120")).cast("string").alias("text"))
+    assert K.encode(df, vocab).first() == K.encode(K.with_pieces(df), vocab).first()
+    want = df.select(F.explode(pieces("text")).alias("piece")).collect()
+    assert sorted(r["piece"] for r in K.piece_counts_by_batch(df).collect()) == sorted({r["piece"] for r in want})
