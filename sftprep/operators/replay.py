@@ -1,9 +1,10 @@
 """A run read again in its own order, for figures that need the state at each of many steps.
 
-Full states grow with their number times their size. Here a run is cut into stretches of
-intervals; Spark counts what each stretch starts from, and a task reads the rows of one
-stretch in order and keeps the counts it needs in arrays. An interval is a few steps, so its
-rows are bounded by the run settings.
+Full states grow with their number times their size, and a row for each token costs more
+than all sums over it. Here the rows of an interval are brought together and their pairs are
+counted in arrays, where they lie; the counts then go to blocks of contexts, and a task goes
+through all intervals of its block in order, with the counts it has seen so far. An interval
+is a few steps, so its distinct pairs are bounded by the run settings.
 """
 
 from __future__ import annotations
@@ -14,203 +15,354 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from sftprep.operators.lm import BIGRAM_SHARE, _before, _standing, bigrams
+from sftprep.operators.lm import BIGRAM_SHARE
 from sftprep.operators.tokens import UNK_ID
-from sftprep.session import settle
+from sftprep.session import small_batches
 
 # From this many intervals on, a run is read again instead of joined with its states.
 MANY_INTERVALS = 32
-# Bounds of a task: pairs whose loss it keeps up, and tokens it reads (of a run log). Each
-# stretch is given its held-out pairs anew, so there are no more than STRETCHES of those.
-PAIRS, TOKENS = 1 << 22, 1 << 24
-STRETCHES = 64
-# Rows that a task gets, in this order; the last kind is the run itself.
-PAIR, CONTEXT, SINGLE, TOTAL, ROW = range(5)
-FIELDS = {"interval": "int", "prev": "int", "next": "int", "n": "long", "weight": "long", "ids": "array<int>"}
-ABSENT = -(1 << 40)  # stands for a null id; no id is as small
-CHUNK = 1 << 15
-
-
-def _rows(df: DataFrame, kind: int, **named: str) -> DataFrame:
-    """``stretch, block, kind`` and all fields; null where a kind has no such field."""
-    block = F.col("block") if "block" in df.columns else F.lit(None).cast("int")
-    fields = [F.col(named.get(f, f)).cast(t).alias(f) if named.get(f, f) in df.columns else F.lit(None).cast(t).alias(f)
-              for f, t in FIELDS.items()]
-    return df.select(F.col("stretch").cast("int").alias("stretch"), block.alias("block"), F.lit(kind).alias("kind"), *fields)
-
-
-def _in_order(parts: list[DataFrame], stretches: int, blocks: int, state: Callable, schema: str) -> DataFrame:
-    """``state`` of each stretch and block, fed with its counts and then interval by interval."""
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    every = F.array(*[F.lit(b) for b in range(blocks)])
-    block = F.explode(F.when(F.col("block").isNull(), every).otherwise(F.array("block")))
-    dealt = rows.withColumn("block", block).withColumn("part", F.col("stretch") * blocks + F.col("block"))
+# Tokens that a worker reads before it counts them, and held-out pairs it scores at a time.
+TOKENS, PAIRS = 1 << 21, 1 << 15
+# Blocks of contexts, or one for each core: each block is given the counts of all single
+# tokens, so there are no more of them than are of use.
+STRETCHES = 24
+# What a message counts: held-out pairs, held-out tokens whose context is null, pairs of the
+# run, and its single tokens.
+HELD, LONE, PAIR, SINGLE = range(4)
+MESSAGE = "block int, interval int, kind int, size int, shift int, names binary, counts binary"
+SCORED = "interval int, n long, loss double"
+WIDE = np.uint64(32)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Natural numbers, first bytes of all of them first, compressed."""
+    values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    """What ``packed`` was given; its bytes tell how wide the numbers were."""
+    raw = np.frombuffer(pa.input_stream(pa.py_buffer(data), compression="zstd").read(), np.uint8)
+    width = len(raw) // max(size, 1)
+    flat = np.ascontiguousarray(raw.reshape(width, size).T)
+    return flat.view(f"u{width}").ravel().astype(np.uint64)
+
+
+def _labels(lists: pa.Array, pad_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Adjacent ids of the same row whose second one counts as a label, and which of the first
+    ones are known, that is not null."""
+    flat = lists.flatten()
+    valid = pc.is_valid(flat).to_numpy(zero_copy_only=False)
+    ids = pc.fill_null(flat, pad_id).to_numpy(zero_copy_only=False)
+    starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+    counted = ids != pad_id
+    counted[starts[starts < len(ids)]] = False
+    second = np.flatnonzero(counted)
+    return ids[second - 1], ids[second], valid[second - 1]
+
+
+def _summed(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct names in order, and the sums of their counts."""
+    order = np.argsort(names, kind="stable")
+    names, counts = names[order], counts[order]
+    heads = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
+    return names[heads], np.add.reduceat(counts, heads) if len(heads) else counts
+
+
+def blocks_of(prev: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of each context: a hash, so that frequent tokens do not lie together."""
+    mixed = (prev.astype(np.uint64) * np.uint64(2654435761)) & np.uint64(0xFFFFFFFF)
+    mixed = ((mixed ^ (mixed >> np.uint64(15))) * np.uint64(2246822519)) & np.uint64(0xFFFFFFFF)
+    return ((mixed * np.uint64(blocks)) >> WIDE).astype(np.uint16 if blocks < 1 << 16 else np.int64)
+
+
+def _messages(
+    interval: int, prev: np.ndarray, following: np.ndarray, known: np.ndarray, blocks: int, kinds: tuple[int, int]
+) -> pa.RecordBatch:
+    """The counts of some labels: pairs by block, and single tokens to block -1: with kind
+    ``SINGLE`` those of all labels, else of labels without a known context."""
+    rows = []
+    prev, following = prev.view(np.uint32), following.view(np.uint32)
+    small = max(int(prev.max(initial=0)), int(following.max(initial=0))) < 1 << 16
+    first, second = prev[known], following[known]
+    shift = 16 if small else 32
+    key = (first << np.uint32(16)) | second if small else (first.astype(np.uint64) << WIDE) | second
+    names, n = np.unique(key, return_counts=True)
+    place = blocks_of(names >> names.dtype.type(shift), blocks)
+    order = np.argsort(place, kind="stable")
+    ends = np.cumsum(np.bincount(place, minlength=blocks))
+    for block, (a, b) in enumerate(pairwise([0, *ends.tolist()])):
+        if b > a:
+            some = names[order[a:b]]
+            gaps = np.diff(some, prepend=some.dtype.type(0))
+            rows.append((block, interval, kinds[0], b - a, shift, packed(gaps), packed(n[order[a:b]])))
+    alone = following if kinds[1] == SINGLE else following[~known]
+    if len(alone):
+        names, n = np.unique(alone, return_counts=True)
+        gaps = np.diff(names, prepend=np.uint32(0))
+        rows.append((-1, interval, kinds[1], len(names), 0, packed(gaps), packed(n)))
+    kinds_of = [pa.int32()] * 5 + [pa.binary()] * 2
+    columns = [name.split()[0] for name in MESSAGE.split(", ")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds_of)], columns
+    )
+
+
+def _counted(rows: DataFrame, blocks: int, pad_id: int, kinds: tuple[int, int]) -> DataFrame:
+    """Messages of ``rows (interval, ids)``; neighbouring rows of an interval are counted at once."""
+    most = TOKENS
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, size, waiting = None, 0, []
+
+        def done() -> pa.RecordBatch:
+            return _messages(at, *map(np.concatenate, zip(*waiting)), blocks, kinds)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, list] = {kind: [] for kind in range(ROW)}
-        model, at, waiting = None, None, []
         for batch in batches:
-            kinds = batch.column("kind").to_numpy()
-            for first, last in pairwise([0, *(np.flatnonzero(np.diff(kinds)) + 1), len(kinds)]):
-                some, kind = batch.slice(first, last - first), int(kinds[first])
-                if kind < ROW:
-                    counts[kind].append([pc.fill_null(some.column(f), 0).to_numpy() for f in list(FIELDS)[:-1]])
-                    continue
-                model = model or state(counts)
-                intervals = some.column("interval").to_numpy()
-                for a, b in pairwise([0, *(np.flatnonzero(np.diff(intervals)) + 1), len(intervals)]):
-                    if waiting and at != intervals[a]:
-                        yield from model.step(at, *map(np.concatenate, zip(*waiting)))
-                        waiting = []
-                    at = int(intervals[a])
-                    waiting.append(_neighbours(some.column("ids").slice(a, b - a)))
-        model = model or state(counts)
+            intervals, lists = batch.column(0).to_numpy(), batch.column(1)
+            for a, b in _runs(intervals):
+                if waiting and (at != intervals[a] or size > most):
+                    yield done()
+                    size, waiting = 0, []
+                at = int(intervals[a])
+                labels = _labels(lists.slice(a, b - a), pad_id)
+                size += len(labels[0])
+                waiting.append(labels)
         if waiting:
-            yield from model.step(at, *map(np.concatenate, zip(*waiting)))
+            yield done()
+
+    return rows.select("interval", "ids").mapInArrow(count, MESSAGE)
+
+
+def _runs(intervals: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Neighbouring rows of the same interval."""
+    if len(intervals):
+        yield from pairwise([0, *(np.flatnonzero(np.diff(intervals)) + 1).tolist(), len(intervals)])
+
+
+def _in_order(messages: DataFrame, blocks: int, state: Callable[[], _Counts]) -> DataFrame:
+    """``state`` of each block, fed with its messages interval by interval."""
+    every = F.sequence(F.lit(0), F.lit(blocks - 1))
+    everywhere = (F.col("block") < 0) & (F.col("kind") == SINGLE)
+    block = F.explode(F.when(everywhere, every).otherwise(F.array(F.greatest("block", F.lit(0)))))
+    dealt = messages.withColumn("block", block).repartitionById(blocks, F.col("block"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, at = state(), None
+        told: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if at is not None and row["interval"] != at:
+                    yield from model.step(at, told)
+                    told = {}
+                at = row["interval"]
+                names = np.cumsum(unpacked(row["names"], row["size"]), dtype=np.uint64)
+                if row["shift"] == 16:
+                    names = ((names >> np.uint64(16)) << WIDE) | (names & np.uint64(0xFFFF))
+                told.setdefault(row["kind"], []).append((names, unpacked(row["counts"], row["size"]).astype(np.int64)))
+        if at is not None:
+            yield from model.step(at, told)
         yield from model.close()
 
-    parts_of = dealt.repartitionById(stretches * blocks, F.col("part")).sortWithinPartitions("kind", "interval")
-    return parts_of.select("kind", *FIELDS).mapInArrow(run, schema)
+    return dealt.sortWithinPartitions("interval").select(*dealt.columns).mapInArrow(run, SCORED)
+
+
+class _Index:
+    """A place for each name, in the order names came. What is new waits in a short sorted list,
+    so that the long one is seldom put together anew."""
+
+    def __init__(self):
+        self.size = 0
+        self.lists = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
+
+    def places(self, names: np.ndarray) -> np.ndarray:
+        """Of distinct names in order; names without a place get one."""
+        out = np.full(len(names), -1, np.int64)
+        for known, places in self.lists:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, names), len(known) - 1)
+                out = np.where(known[at] == names, places[at], out)
+        new = out < 0
+        if new.any():
+            out[new] = self.size + np.arange(new.sum())
+            self.size += int(new.sum())
+            self.lists[1] = self._merged(self.lists[1], (names[new], out[new]))
+            if len(self.lists[1][0]) > 4096 + len(self.lists[0][0]) // 64:
+                self.lists = [self._merged(*self.lists), (names[:0], out[:0])]
+        return out
 
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        names = np.concatenate([a[0], b[0]])
+        order = np.argsort(names, kind="stable")
+        return names[order], np.concatenate([a[1], b[1]])[order]
 
-def _neighbours(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All adjacent ids of the same row."""
-    flat = pc.fill_null(lists.flatten().cast(pa.int64()), ABSENT).to_numpy()
-    starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
-    inside = np.ones(len(flat), bool)
-    inside[starts[starts < len(flat)]] = False
-    second = np.flatnonzero(inside)
-    return flat[second - 1], flat[second]
+
+def _grown(sums: np.ndarray, size: int) -> np.ndarray:
+    """``sums`` with room for ``size`` names."""
+    return sums if len(sums) >= size else np.append(sums, np.zeros(max(size, 2 * len(sums)) - len(sums)))
 
 
 class _Counts:
-    """Counts of known pairs, of their contexts and of their second tokens, in arrays."""
-
-    def __init__(self, counts: dict[int, list], pad_id: int, share: float):
-        def column(kind: int, field: str, dtype=np.int64) -> np.ndarray:
-            found = [c[list(FIELDS).index(field)] for c in counts[kind]]
-            return np.concatenate(found).astype(dtype, copy=False) if found else np.zeros(0, dtype)
-
-        self.pad_id, self.share = pad_id, share
-        prev, following = column(PAIR, "prev"), column(PAIR, "next")
-        keys = self.key(prev, following)
-        order = np.argsort(keys)
-        self.keys, self.n = keys[order], column(PAIR, "n", float)[order]
-        self.weight = column(PAIR, "weight", float)[order]
-        self.contexts, self.singles = np.unique(prev), np.unique(following)
-        self.prev_at = np.searchsorted(self.contexts, prev[order]).astype(np.int32)
-        self.next_at = np.searchsorted(self.singles, following[order]).astype(np.int32)
-        self.in_context, self.alone = np.zeros(len(self.contexts)), np.zeros(len(self.singles))
-        for names, sums, kind, field in ((self.contexts, self.in_context, CONTEXT, "prev"), (self.singles, self.alone, SINGLE, "next")):
-            self.add(names, sums, column(kind, field), column(kind, "n", float))
-        self.totals = dict(zip(column(TOTAL, "interval").tolist(), column(TOTAL, "n", float).tolist()))
-        counts.clear()
+    """Counts of single tokens so far; all blocks are told of all of them."""
 
-    @staticmethod
-    def key(prev: np.ndarray, following: np.ndarray) -> np.ndarray:
-        return (prev << 32) | (following & 0xFFFFFFFF)
+    def __init__(self, share: float):
+        self.share, self.total = share, 0.0
+        self.singles, self.alone = _Index(), np.zeros(0)
 
-    @staticmethod
-    def add(names: np.ndarray, sums: np.ndarray, asked: np.ndarray, by: np.ndarray | None = None) -> None:
-        """Adds to the sums of names; others are not kept."""
-        if len(names) and len(asked):
-            at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
-            known = names[at] == asked
-            sums += np.bincount(at[known], None if by is None else by[known], len(names))
-
-    def labels(self, prev: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs whose second token counts as a label."""
-        counted = (following != self.pad_id) & (following != ABSENT)
-        return prev[counted], following[counted]
-
-    def minus_log(self, some: np.ndarray | slice, total: float) -> np.ndarray:
-        context = self.in_context[self.prev_at[some]]
-        p = self.share * self.n[some] / np.maximum(context, 1)
-        p += (1.0 - self.share) * (self.alone[self.next_at[some]] + 1) / (total + 1)
-        return -np.log(p)
+    def told(self, told: dict[int, list], kind: int) -> tuple[np.ndarray, np.ndarray]:
+        found = told.get(kind, [])
+        if len(found) == 1:
+            return found[0]
+        return _summed(*map(np.concatenate, zip(*found))) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    def places(self, names: np.ndarray) -> np.ndarray:
+        places = self.singles.places(names)
+        self.alone = _grown(self.alone, self.singles.size)
+        return places
+
+    def add(self, places: np.ndarray, n: np.ndarray) -> None:
+        """Tokens and types, together, are what estimates without context divide by."""
+        self.total += float(n.sum()) + float((self.alone[places] == 0).sum())
+        self.alone[places] += n
 
     def close(self) -> Iterator[pa.RecordBatch]:
         return iter(())
 
 
-def _one(interval: int, n: float, total: float) -> pa.RecordBatch:
+def _by_context(names: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct contexts of pairs in order, their sums, and how many pairs each has."""
+    prev = names >> WIDE
+    heads = np.flatnonzero(np.append(True, prev[1:] != prev[:-1]))
+    return prev[heads], np.add.reduceat(n, heads), np.diff(np.append(heads, len(prev)))
+
+
+def _one(interval: int, n: float, loss: float) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({
-        "interval": pa.array([interval], pa.int32()), "n": pa.array([int(n)], pa.int64()), "loss": pa.array([total], pa.float64()),
+        "interval": pa.array([interval], pa.int32()), "n": pa.array([int(n)], pa.int64()), "loss": pa.array([loss], pa.float64()),
     })
 
 
 class _Log(_Counts):
-    """Scores each interval's own tokens, then counts them. All its pairs are known."""
-
-    def step(self, interval: int, prev: np.ndarray, following: np.ndarray) -> Iterator[pa.RecordBatch]:
-        prev, following = self.labels(prev, following)
-        scored = prev != ABSENT
-        keys, n = np.unique(self.key(prev[scored], following[scored]), return_counts=True)
-        if len(keys):
-            at = np.searchsorted(self.keys, keys)
-            yield _one(interval, n.sum(), float((self.minus_log(at, self.totals[interval]) * n).sum()))
-            self.n[at] += n
-            self.in_context += np.bincount(self.prev_at[at], n, len(self.contexts))
-        self.add(self.singles, self.alone, following)
+    """Scores each interval's own pairs, then counts them."""
+
+    def __init__(self, share: float):
+        super().__init__(share)
+        self.pairs, self.n = _Index(), np.zeros(0)
+        self.contexts, self.in_context = _Index(), np.zeros(0)
+
+    def step(self, interval: int, told: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        single, n_single = self.told(told, SINGLE)
+        at_single = self.places(single)
+        names, n = self.told(told, PAIR)
+        if len(names):
+            pair = self.pairs.places(names)
+            self.n = _grown(self.n, self.pairs.size)
+            prev, sums, sizes = _by_context(names, n)
+            context = self.contexts.places(prev)
+            self.in_context = _grown(self.in_context, self.contexts.size)
+            # Every second token of a pair is one of the single tokens of its interval.
+            alone = self.alone[at_single][np.searchsorted(single, names & np.uint64(0xFFFFFFFF))]
+            p = self.share * self.n[pair] / np.repeat(np.maximum(self.in_context[context], 1), sizes)
+            p += (1.0 - self.share) * (alone + 1) / (self.total + 1)
+            yield _one(interval, n.sum(), -float(np.dot(np.log(p), n)))
+            self.n[pair] += n
+            self.in_context[context] += sums
+        self.add(at_single, n_single)
 
 
 class _Held(_Counts):
-    """Scores the held-out pairs after each interval of the stretch, also after empty ones."""
-
-    def __init__(self, *args):
-        super().__init__(*args)
-        self.ahead = sorted(self.totals)
+    """Scores the held-out pairs of its block after each interval, also after empty ones.
 
-    def scored(self, until: int | None) -> Iterator[pa.RecordBatch]:
-        while self.ahead and len(self.keys) and (until is None or self.ahead[0] < until):
-            interval, loss = self.ahead.pop(0), 0.0
-            for a in range(0, len(self.keys), CHUNK):
-                some = slice(a, a + CHUNK)
-                loss += float(np.dot(self.minus_log(some, self.totals[interval]), self.weight[some]))
-            yield _one(interval, self.weight.sum(), loss)
+    A pair that the run has not shown yet has its token's share alone, so such pairs are summed
+    by token; those it has shown are kept in the order they came, in arrays.
+    """
 
-    def step(self, interval: int, prev: np.ndarray, following: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def __init__(self, share: float, n_intervals: int):
+        super().__init__(share)
+        self.ahead, self.n_intervals, self.keys = 0, n_intervals, None
+
+    def hold(self, told: dict[int, list]) -> None:
+        self.keys, weight = self.told(told, HELD)
+        lone, lone_weight = self.told(told, LONE)
+        self.contexts, self.context_of = np.unique(self.keys >> WIDE, return_inverse=True)
+        self.in_context = np.zeros(len(self.contexts))
+        following = self.keys & np.uint64(0xFFFFFFFF)
+        names, at = np.unique(np.concatenate([following, lone]), return_inverse=True)
+        self.asked = self.places(names)
+        self.token_of, self.weight = at[: len(following)], weight.astype(float)
+        # Weights of pairs not shown yet, by token.
+        self.unseen = np.bincount(at, np.concatenate([weight, lone_weight]), len(names)).astype(float)
+        self.all = float(self.unseen.sum())
+        self.place, self.seen = np.full(len(self.keys), -1, np.int64), 0
+        # Of pairs shown, in the order they came: counts, weights, context and token.
+        self.n, self.w = np.zeros(len(self.keys)), np.zeros(len(self.keys))
+        self.c, self.t = np.zeros(len(self.keys), np.intp), np.zeros(len(self.keys), np.intp)
+
+    def scored(self, until: int) -> Iterator[pa.RecordBatch]:
+        for interval in range(self.ahead, until if self.all else 0):
+            context = self.share / np.maximum(self.in_context, 1)
+            single = (1.0 - self.share) * (self.alone[self.asked] + 1) / (self.total + 1)
+            loss = float(np.dot(np.log(single), self.unseen))
+            for a in range(0, self.seen, self.chunk):
+                some = slice(a, min(a + self.chunk, self.seen))
+                p = context.take(self.c[some], mode="clip")
+                p *= self.n[some]
+                p += single.take(self.t[some], mode="clip")
+                loss += float(np.dot(np.log(p, out=p), self.w[some]))
+            yield _one(interval, self.all, -loss)
+        self.ahead = max(self.ahead, until)
+
+    def step(self, interval: int, told: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        if interval < 0 or self.keys is None:
+            self.hold(told)
+            if interval < 0:
+                return
         yield from self.scored(interval)
-        prev, following = self.labels(prev, following)
-        self.add(self.singles, self.alone, following)
-        self.add(self.contexts, self.in_context, prev)
-        real = prev != ABSENT
-        self.add(self.keys, self.n, self.key(prev[real], following[real]))
-
-    def close(self) -> Iterator[pa.RecordBatch]:
-        return self.scored(None)
-
-
-def _totals(labels: DataFrame, n_intervals: int, last: int) -> DataFrame:
-    """``interval, n``: tokens and types up to the ``last``-th interval after each one; one
-    row per interval, so windows without a key are bounded by the run settings."""
-    alone = labels.groupBy("next", "interval").agg(F.count("*").alias("n"))
-    types = alone.groupBy("next").agg(F.min("interval").alias("interval")).groupBy("interval").agg(F.count("*").alias("types"))
-    added = alone.groupBy("interval").agg(F.sum("n").alias("tokens")).join(types, "interval", "left")
-    every = labels.sparkSession.range(n_intervals).select(F.col("id").cast("int").alias("interval"))
-    so_far = Window.orderBy("interval").rowsBetween(Window.unboundedPreceding, last)
-    each = F.coalesce("tokens", F.lit(0)) + F.coalesce("types", F.lit(0))
-    return every.join(added, "interval", "left").select("interval", F.coalesce(F.sum(each).over(so_far), F.lit(0)).alias("n"))
+        self.add(*self._placed(told))
+        names, n = self.told(told, PAIR)
+        if len(names) and len(self.keys):
+            prev, sums, _ = _by_context(names, n)
+            at, known = self._found(self.contexts, prev)
+            self.in_context[at] += sums[known]
+            at, known = self._found(self.keys, names)
+            new = at[self.place[at] < 0]
+            end = self.seen + len(new)
+            self.place[new] = np.arange(self.seen, end)
+            self.w[self.seen : end] = self.weight[new]
+            self.c[self.seen : end], self.t[self.seen : end] = self.context_of[new], self.token_of[new]
+            self.unseen -= np.bincount(self.token_of[new], self.weight[new], len(self.unseen))
+            self.seen = end
+            self.n[self.place[at]] += n[known]
+
+    def _placed(self, told: dict[int, list]) -> tuple[np.ndarray, np.ndarray]:
+        names, n = self.told(told, SINGLE)
+        return self.places(names), n
 
+    @staticmethod
+    def _found(names: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the asked names that are there, and which those are."""
+        at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+        known = names[at] == asked
+        return at[known], known
 
-def _stretch(size: int, interval: str = "interval") -> Column:
-    return F.expr(f"cast({interval} div {size} as int)")
+    def close(self) -> Iterator[pa.RecordBatch]:
+        return self.scored(self.n_intervals) if self.keys is not None else iter(())
 
 
-def _size(run: DataFrame, n_intervals: int, most: int) -> int:
-    """Intervals of a stretch: stretches for all cores or by their tokens, ``most`` at most."""
-    tokens = run.agg(F.coalesce(F.sum(F.greatest(F.size("ids"), F.lit(0)).cast("long")), F.lit(0))).first()[0]
-    wanted = max(run.sparkSession.sparkContext.defaultParallelism, -(-tokens // TOKENS))
-    return max(1, -(-n_intervals // min(wanted, most)))
+def _run(tokens: DataFrame, n_intervals: int, ids: str) -> DataFrame:
+    """``interval, ids`` of a run, the rows of an interval next to each other."""
+    small_batches(tokens.sparkSession)
+    run = tokens.where(F.col("interval").between(0, n_intervals - 1))
+    run = run.select(F.col("interval").cast("int").alias("interval"), F.col(ids).cast("array<int>").alias("ids"))
+    return run.where(F.size("ids") > 1).repartition("interval").sortWithinPartitions("interval")
 
 
-def _counted(labels: DataFrame, size: int, *keys: str) -> DataFrame:
-    """What each stretch adds to each key, counted map-side."""
-    return labels.groupBy(*keys, _stretch(size).alias("interval")).agg(F.count("*").alias("n"))
+def _blocks(tokens: DataFrame) -> int:
+    return max(1, STRETCHES, tokens.sparkSession.sparkContext.defaultParallelism)
 
 
 def replayed_log(
@@ -218,24 +370,12 @@ def replayed_log(
 ) -> DataFrame:
     """``lm.run_log`` of token rows with ``interval`` 0 to ``n_intervals - 1``: the same figures
     without a row for each pair and interval."""
-    run = settle(tokens.where(F.col("interval").between(0, n_intervals - 1)).select(F.col("interval").cast("int"), F.col(ids).alias("ids")))
-    size = _size(run, n_intervals, n_intervals)
-    stretches = -(-n_intervals // size)
-    labels = bigrams(run, "interval", ids="ids", pad_id=pad_id)
-    known = labels.where("prev is not null")
-
-    def before(df: DataFrame, *keys: str) -> DataFrame:
-        return _before(df, *keys).drop("n").withColumnsRenamed({"interval": "stretch", "before": "n"})
-
-    parts = [
-        _rows(before(_counted(known, size, "prev", "next"), "prev", "next"), PAIR),
-        _rows(before(_counted(known, size, "prev"), "prev"), CONTEXT),
-        _rows(before(_counted(labels, size, "next"), "next"), SINGLE),
-        _rows(_totals(labels, n_intervals, -1).withColumn("stretch", _stretch(size)), TOTAL),
-        _rows(run.withColumn("stretch", _stretch(size)), ROW),
-    ]
-    out = _in_order(parts, stretches, 1, lambda c: _Log(c, pad_id, share), "interval int, n long, loss double")
-    return out.select("interval", F.col("n").alias("tokens"), (F.col("loss") / F.col("n")).alias("loss"))
+    blocks = _blocks(tokens)
+    messages = _counted(_run(tokens, n_intervals, ids), blocks, pad_id, (PAIR, SINGLE))
+    out = _in_order(messages, blocks, lambda: _Log(share)).groupBy("interval").agg(
+        F.sum("n").alias("tokens"), F.sum("loss").alias("loss")
+    )
+    return out.select("interval", "tokens", (F.col("loss") / F.col("tokens")).alias("loss"))
 
 
 def replayed_losses(
@@ -245,31 +385,21 @@ def replayed_losses(
     """``lm.checkpoint_losses`` of token rows with ``interval``: the same figures, with
     held-out pairs times checkpoints evaluated in place instead of joined.
 
-    Rows moved grow with the run, and with held-out pairs times at most ``STRETCHES``.
+    Held-out pairs lie with the block of their context, once; what moves grows with the
+    distinct pairs of each interval.
     """
-    run = settle(tokens.where(F.col("interval").between(0, n_checkpoints - 1)).select(F.col("interval").cast("int"), F.col(ids).alias("ids")))
-    held = settle(bigrams(eval_tokens, ids=ids, pad_id=pad_id).groupBy("prev", "next").agg(F.count("*").alias("weight")))
-    blocks = max(1, -(-held.count() // PAIRS))
-    size = _size(run, n_checkpoints, STRETCHES)
-    stretches = -(-n_checkpoints // size)
-    labels = bigrams(run, "interval", ids="ids", pad_id=pad_id)
-
-    def base(sums: DataFrame, *keys: str) -> DataFrame:
-        return _standing(sums, stretches, *keys).where(F.col("checkpoint") < stretches).withColumnRenamed("checkpoint", "stretch")
-
-    each = F.explode(F.sequence(F.lit(0), F.lit(stretches - 1))).alias("stretch")
-    pairs = held.select("*", each).join(
-        base(_counted(labels, size, "prev", "next").join(held.select("prev", "next"), ["prev", "next"], "left_semi"), "prev", "next"),
-        ["stretch", "prev", "next"], "left",
-    ).withColumn("block", F.pmod(F.hash("prev", "next"), F.lit(blocks)))
-    parts = [
-        _rows(pairs, PAIR),
-        _rows(base(_counted(labels.where("prev is not null"), size, "prev"), "prev"), CONTEXT),
-        _rows(base(_counted(labels, size, "next"), "next"), SINGLE),
-        _rows(_totals(labels, n_checkpoints, 0).withColumn("stretch", _stretch(size)), TOTAL),
-        _rows(run.withColumn("stretch", _stretch(size)), ROW),
-    ]
-    out = _in_order(parts, stretches, blocks, lambda c: _Held(c, pad_id, share), "interval int, n long, loss double")
+    blocks, chunk = _blocks(tokens), PAIRS
+    held = eval_tokens.select(F.lit(-1).alias("interval"), F.col(ids).cast("array<int>").alias("ids")).where(F.size("ids") > 1)
+    messages = _counted(_run(tokens, n_checkpoints, ids), blocks, pad_id, (PAIR, SINGLE)).union(
+        _counted(held, blocks, pad_id, (HELD, LONE))
+    )
+
+    def state() -> _Held:
+        model = _Held(share, n_checkpoints)
+        model.chunk = chunk
+        return model
+
+    out = _in_order(messages, blocks, state)
     return out.groupBy((F.col("interval") + 1).alias("checkpoint")).agg(
         (F.sum("loss") / F.sum("n")).alias("eval_loss"), F.sum("n").alias("eval_tokens")
     )

@@ -154,6 +154,23 @@ def test_a_run_read_again_equals_its_states(spark, test, monkeypatch, stretches)
     assert R.replayed_losses(train, 55, held.limit(0)).count() == 0
 
 
+def test_a_run_is_read_again_without_a_row_for_each_token(spark):
+    """Wide, negative and null ids; a null context is not the id 0."""
+    some = [0, 5, 70_000, -3, 2_000_000_000, None]
+    ids = [[some[(i * 7 + j * j + i // 5) % 6] for j in range(i % 6)] for i in range(300)]
+    rows = spark.createDataFrame(
+        [(i // 6, x) for i, x in enumerate([*ids, None])], "interval int, input_ids array<int>"
+    )
+    held = spark.createDataFrame([([None, 5],), ([0, 5],), ([5, 70_000, -3],), ([None, 0, None, 7],)], "input_ids array<int>")
+    fresh = L.checkpoint_counts(rows)
+    want = {r["checkpoint"]: tuple(r) for r in L.checkpoint_losses(fresh, 52, held).collect()}
+    replayed = R.replayed_losses(rows, 52, held)
+    got = {r["checkpoint"]: tuple(r) for r in replayed.collect()}
+    assert set(got) == set(want) == set(range(1, 53))
+    assert all(got[c] == pytest.approx(want[c], rel=1e-12) for c in want)
+    assert "Generate inline" not in plan_of(replayed)
+
+
 def test_rows_seen_are_the_rows_of_the_plan(spark):
     rows = spark.range(300).select("id", F.lit(3).alias("length"), F.array(*map(F.lit, (1, 3, 2))).alias("input_ids"))
     for config in (flows.RunConfig(n_epochs=3, eval_steps=7), flows.RunConfig(max_steps=10, eval_steps=4),
