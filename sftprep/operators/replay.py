@@ -28,8 +28,8 @@ TOKENS, PAIRS = 1 << 21, 1 << 15
 # Blocks of contexts, or one for each core: each block is given the counts of all single
 # tokens, so there are no more of them than are of use.
 STRETCHES = 24
-# What a message counts: held-out pairs, held-out tokens whose context is null, pairs of the
-# run, and its single tokens.
+# What a message counts: held-out pairs, tokens whose context is null, pairs of the run, and its
+# single tokens.
 HELD, LONE, PAIR, SINGLE = range(4)
 MESSAGE = "block int, interval int, kind int, size int, shift int, names binary, counts binary"
 SCORED = "interval int, n long, loss double"
@@ -79,31 +79,61 @@ def blocks_of(prev: np.ndarray, blocks: int) -> np.ndarray:
     return ((mixed * np.uint64(blocks)) >> WIDE).astype(np.uint16 if blocks < 1 << 16 else np.int64)
 
 
-def _messages(
-    interval: int, prev: np.ndarray, following: np.ndarray, known: np.ndarray, blocks: int, kinds: tuple[int, int]
-) -> pa.RecordBatch:
-    """The counts of some labels: pairs by block, and single tokens to block -1: with kind
-    ``SINGLE`` those of all labels, else of labels without a known context."""
-    rows = []
-    prev, following = prev.view(np.uint32), following.view(np.uint32)
-    small = max(int(prev.max(initial=0)), int(following.max(initial=0))) < 1 << 16
-    first, second = prev[known], following[known]
-    shift = 16 if small else 32
-    key = (first << np.uint32(16)) | second if small else (first.astype(np.uint64) << WIDE) | second
-    names, n = np.unique(key, return_counts=True)
-    place = blocks_of(names >> names.dtype.type(shift), blocks)
+class _Tally:
+    """Counts of pairs, of single tokens and of tokens after a null, from labels put in."""
+
+    def __init__(self):
+        self.waiting, self.parts, self.size = [], [], 0
+
+    def put(self, labels: tuple[np.ndarray, np.ndarray, np.ndarray], most: int) -> None:
+        self.waiting.append(labels)
+        self.size += len(labels[0])
+        if self.size > most:
+            self.count()
+
+    def count(self) -> None:
+        prev, following, known = map(np.concatenate, zip(*self.waiting))
+        self.waiting, self.size = [], 0
+        prev, following = prev.view(np.uint32), following.view(np.uint32)
+        first, second = prev[known], following[known]
+        if max(int(first.max(initial=0)), int(second.max(initial=0))) < 1 << 16:
+            names, n = np.unique((first << np.uint32(16)) | second, return_counts=True)
+            names = ((names.astype(np.uint64) >> np.uint64(16)) << WIDE) | (names & np.uint32(0xFFFF))
+        else:
+            names, n = np.unique((first.astype(np.uint64) << WIDE) | second, return_counts=True)
+        singles, lone = (np.unique(x, return_counts=True) for x in (following, following[~known]))
+        self.parts.append(((names, n), singles, lone))
+
+    def sums(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        if self.waiting:
+            self.count()
+        if len(self.parts) == 1:
+            return list(self.parts[0])
+        return [_summed(*map(np.concatenate, zip(*some))) for some in zip(*self.parts)]
+
+
+def _messages(interval: int, tally: _Tally, blocks: int, held: bool) -> pa.RecordBatch:
+    """The sums of an interval: pairs by block; tokens, which every block needs, to block -1."""
+    (names, n), singles, lone = tally.sums()
+    shift = 16 if not len(names) or (int(names[-1]) >> 48 == 0 and not (names & np.uint64(0xFFFF0000)).any()) else 32
+    place = blocks_of(names >> WIDE, blocks)
     order = np.argsort(place, kind="stable")
-    ends = np.cumsum(np.bincount(place, minlength=blocks))
-    for block, (a, b) in enumerate(pairwise([0, *ends.tolist()])):
+    names, n = names[order], n[order]
+    if shift == 16:
+        names = ((names >> np.uint64(16)) | (names & np.uint64(0xFFFF))).astype(np.uint32)
+    rows = []
+
+    def add(block: int, kind: int, shift: int, some: np.ndarray, counts: np.ndarray) -> None:
+        gaps = np.diff(some, prepend=some.dtype.type(0))
+        rows.append((block, interval, kind, len(some), shift, packed(gaps), packed(counts)))
+
+    for block, (a, b) in enumerate(pairwise([0, *np.cumsum(np.bincount(place, minlength=blocks)).tolist()])):
         if b > a:
-            some = names[order[a:b]]
-            gaps = np.diff(some, prepend=some.dtype.type(0))
-            rows.append((block, interval, kinds[0], b - a, shift, packed(gaps), packed(n[order[a:b]])))
-    alone = following if kinds[1] == SINGLE else following[~known]
-    if len(alone):
-        names, n = np.unique(alone, return_counts=True)
-        gaps = np.diff(names, prepend=np.uint32(0))
-        rows.append((-1, interval, kinds[1], len(names), 0, packed(gaps), packed(n)))
+            add(block, HELD if held else PAIR, shift, names[a:b], n[a:b])
+    if len(singles[0]) and not held:
+        add(-1, SINGLE, 0, *singles)
+    if len(lone[0]):
+        add(-1, LONE, 0, *lone)
     kinds_of = [pa.int32()] * 5 + [pa.binary()] * 2
     columns = [name.split()[0] for name in MESSAGE.split(", ")]
     return pa.RecordBatch.from_arrays(
@@ -111,28 +141,22 @@ def _messages(
     )
 
 
-def _counted(rows: DataFrame, blocks: int, pad_id: int, kinds: tuple[int, int]) -> DataFrame:
+def _counted(rows: DataFrame, blocks: int, pad_id: int, held: bool = False) -> DataFrame:
     """Messages of ``rows (interval, ids)``; neighbouring rows of an interval are counted at once."""
     most = TOKENS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, size, waiting = None, 0, []
-
-        def done() -> pa.RecordBatch:
-            return _messages(at, *map(np.concatenate, zip(*waiting)), blocks, kinds)
-
+        at, tally = None, None
         for batch in batches:
             intervals, lists = batch.column(0).to_numpy(), batch.column(1)
             for a, b in _runs(intervals):
-                if waiting and (at != intervals[a] or size > most):
-                    yield done()
-                    size, waiting = 0, []
-                at = int(intervals[a])
-                labels = _labels(lists.slice(a, b - a), pad_id)
-                size += len(labels[0])
-                waiting.append(labels)
-        if waiting:
-            yield done()
+                if at != intervals[a]:
+                    if tally is not None:
+                        yield _messages(at, tally, blocks, held)
+                    at, tally = int(intervals[a]), _Tally()
+                tally.put(_labels(lists.slice(a, b - a), pad_id), most)
+        if tally is not None:
+            yield _messages(at, tally, blocks, held)
 
     return rows.select("interval", "ids").mapInArrow(count, MESSAGE)
 
@@ -143,11 +167,18 @@ def _runs(intervals: np.ndarray) -> Iterator[tuple[int, int]]:
         yield from pairwise([0, *(np.flatnonzero(np.diff(intervals)) + 1).tolist(), len(intervals)])
 
 
+def _read(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Names of a message, pairs as context and token of 32 bits each, and their counts."""
+    names = np.cumsum(unpacked(row["names"], row["size"]), dtype=np.uint64)
+    if row["shift"] == 16:
+        names = ((names >> np.uint64(16)) << WIDE) | (names & np.uint64(0xFFFF))
+    return names, unpacked(row["counts"], row["size"]).astype(np.int64)
+
+
 def _in_order(messages: DataFrame, blocks: int, state: Callable[[], _Counts]) -> DataFrame:
     """``state`` of each block, fed with its messages interval by interval."""
     every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    everywhere = (F.col("block") < 0) & (F.col("kind") == SINGLE)
-    block = F.explode(F.when(everywhere, every).otherwise(F.array(F.greatest("block", F.lit(0)))))
+    block = F.explode(F.when(F.col("kind") == SINGLE, every).otherwise(F.array(F.greatest("block", F.lit(0)))))
     dealt = messages.withColumn("block", block).repartitionById(blocks, F.col("block"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,15 +190,12 @@ def _in_order(messages: DataFrame, blocks: int, state: Callable[[], _Counts]) ->
                     yield from model.step(at, told)
                     told = {}
                 at = row["interval"]
-                names = np.cumsum(unpacked(row["names"], row["size"]), dtype=np.uint64)
-                if row["shift"] == 16:
-                    names = ((names >> np.uint64(16)) << WIDE) | (names & np.uint64(0xFFFF))
-                told.setdefault(row["kind"], []).append((names, unpacked(row["counts"], row["size"]).astype(np.int64)))
+                told.setdefault(row["kind"], []).append(_read(row))
         if at is not None:
             yield from model.step(at, told)
         yield from model.close()
 
-    return dealt.sortWithinPartitions("interval").select(*dealt.columns).mapInArrow(run, SCORED)
+    return dealt.sortWithinPartitions("interval").mapInArrow(run, SCORED)
 
 
 class _Index:
@@ -365,14 +393,38 @@ def _blocks(tokens: DataFrame) -> int:
     return max(1, STRETCHES, tokens.sparkSession.sparkContext.defaultParallelism)
 
 
+def counted_run(tokens: DataFrame, n_intervals: int, ids: str = "input_ids", pad_id: int = UNK_ID) -> DataFrame:
+    """Messages of token rows with ``interval`` 0 to ``n_intervals - 1``. Settle them when more
+    than one figure of the run is asked for: they take about a byte for each pair."""
+    return _counted(_run(tokens, n_intervals, ids), _blocks(tokens), pad_id)
+
+
+def run_pairs(counted: DataFrame) -> DataFrame:
+    """``lm.checkpoint_counts`` of ``counted_run``: one row for each pair of an interval."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                names, n = _read(row)
+                following = (names & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                if row["kind"] == LONE:
+                    prev = pa.nulls(len(names), pa.int32())
+                else:
+                    prev = pa.array((names >> WIDE).astype(np.uint32).view(np.int32))
+                interval = pa.array(np.full(len(names), row["interval"], np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [prev, pa.array(following), interval, pa.array(n)], ["prev", "next", "interval", "n"]
+                )
+
+    return counted.where(F.col("kind").isin(PAIR, LONE)).mapInArrow(rows, "prev int, next int, interval int, n long")
+
+
 def replayed_log(
     tokens: DataFrame, n_intervals: int, share: float = BIGRAM_SHARE, ids: str = "input_ids", pad_id: int = UNK_ID,
 ) -> DataFrame:
     """``lm.run_log`` of token rows with ``interval`` 0 to ``n_intervals - 1``: the same figures
     without a row for each pair and interval."""
-    blocks = _blocks(tokens)
-    messages = _counted(_run(tokens, n_intervals, ids), blocks, pad_id, (PAIR, SINGLE))
-    out = _in_order(messages, blocks, lambda: _Log(share)).groupBy("interval").agg(
+    out = _in_order(counted_run(tokens, n_intervals, ids, pad_id), _blocks(tokens), lambda: _Log(share)).groupBy("interval").agg(
         F.sum("n").alias("tokens"), F.sum("loss").alias("loss")
     )
     return out.select("interval", "tokens", (F.col("loss") / F.col("tokens")).alias("loss"))
@@ -380,19 +432,20 @@ def replayed_log(
 
 def replayed_losses(
     tokens: DataFrame, n_checkpoints: int, eval_tokens: DataFrame, share: float = BIGRAM_SHARE,
-    ids: str = "input_ids", pad_id: int = UNK_ID,
+    ids: str = "input_ids", pad_id: int = UNK_ID, counted: DataFrame | None = None,
 ) -> DataFrame:
     """``lm.checkpoint_losses`` of token rows with ``interval``: the same figures, with
-    held-out pairs times checkpoints evaluated in place instead of joined.
+    held-out pairs times checkpoints evaluated in place instead of joined. ``counted`` is
+    ``counted_run`` of the same rows, when that is there already.
 
     Held-out pairs lie with the block of their context, once; what moves grows with the
     distinct pairs of each interval.
     """
     blocks, chunk = _blocks(tokens), PAIRS
     held = eval_tokens.select(F.lit(-1).alias("interval"), F.col(ids).cast("array<int>").alias("ids")).where(F.size("ids") > 1)
-    messages = _counted(_run(tokens, n_checkpoints, ids), blocks, pad_id, (PAIR, SINGLE)).union(
-        _counted(held, blocks, pad_id, (HELD, LONE))
-    )
+    if counted is None:
+        counted = counted_run(tokens, n_checkpoints, ids, pad_id)
+    messages = counted.where(F.col("kind") != LONE).union(_counted(held, blocks, pad_id, held=True))
 
     def state() -> _Held:
         model = _Held(share, n_checkpoints)

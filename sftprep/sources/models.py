@@ -3,6 +3,7 @@ file that all workers of an executor share."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -70,8 +71,18 @@ class StateLog:
         files, folder = hadoop_path(self.spark, f"{self.path}/{kind}")
         if not files.exists(folder):
             return []
-        names = [s.getPath() for s in files.listStatus(folder)]
-        return sorted(int(p.getName()) for p in names if files.exists(p.suffix(f"/{DONE}")))
+        return sorted(self._numbers(files, folder.toString(), f"/*/{DONE}"))
+
+    def _numbers(self, files, folder: str, below: str) -> list[int]:
+        """Numbers in the places that match ``below`` in a folder; one call for all of them, for
+        a run may have many states."""
+        folder = re.sub(r"([\\{}\[\]*?^])", r"\\\1", folder)
+        found = files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(folder + below))
+        if found is None:
+            return []
+        jvm = self.spark._jvm
+        listed = jvm.scala.runtime.ScalaRunTime.stringOf(jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))
+        return [int(n) for n in re.findall(re.escape(below).replace(r"\*", r"(\d+)") + r"(?=, |\)$)", listed)]
 
     def saved(self) -> list[int]:
         """Checkpoints that can be opened: those without a gap before them."""
@@ -81,9 +92,10 @@ class StateLog:
             last += 1
         return sorted({c for c in done if c <= last} | full)
 
-    def append(self, fresh: DataFrame, checkpoints: list[int]) -> list[int]:
+    def append(self, fresh: DataFrame, checkpoints: list[int], summed: bool = False) -> list[int]:
         """Saves increments of ``fresh (prev, next, interval, n)`` that are not saved yet, and
-        tells which: interval i - 1 is what checkpoint i adds.
+        tells which: interval i - 1 is what checkpoint i adds. With ``summed``, ``fresh`` has
+        each pair of an interval once.
 
         One pass writes them all to a draft, and each then moves to its place and is marked
         as done. A checkpoint's rows may come in several files.
@@ -93,16 +105,21 @@ class StateLog:
             return missing
         draft = f"{self.path}/_draft-{uuid.uuid4().hex}"
         wanted = self.spark.createDataFrame([(c - 1, c) for c in missing], "interval int, checkpoint int")
-        part = fresh.join(F.broadcast(wanted), "interval").groupBy("interval", "checkpoint", "prev", "next")
-        part.agg(F.sum("n").alias("n")).drop("interval").write.partitionBy("checkpoint").parquet(draft)
+        part = fresh.join(F.broadcast(wanted), "interval")
+        if not summed:
+            part = part.groupBy("interval", "checkpoint", "prev", "next").agg(F.sum("n").alias("n"))
+        part.select("prev", "next", "n", "checkpoint").write.partitionBy("checkpoint").parquet(draft)
         files, folder = hadoop_path(self.spark, f"{self.path}/{INCREMENT}")
         files.mkdirs(folder)
+        there = set(self._numbers(files, folder.toString(), "/*"))
+        drawn = set(self._numbers(files, draft, "/checkpoint=*"))
+        path_of = self.spark._jvm.org.apache.hadoop.fs.Path
         for checkpoint in missing:
-            written, place = (hadoop_path(self.spark, p)[1] for p in (
-                f"{draft}/checkpoint={checkpoint}", self._folder(INCREMENT, checkpoint)))
-            files.delete(place, True)
+            written, place = path_of(f"{draft}/checkpoint={checkpoint}"), path_of(self._folder(INCREMENT, checkpoint))
+            if checkpoint in there:
+                files.delete(place, True)
             # An interval without pairs has no rows, but it is saved.
-            if not (files.rename(written, place) if files.exists(written) else files.mkdirs(place)):
+            if not (files.rename(written, place) if checkpoint in drawn else files.mkdirs(place)):
                 raise OSError(f"cannot save checkpoint {checkpoint} at {place}")
             files.create(place.suffix(f"/{DONE}")).close()
         files.delete(hadoop_path(self.spark, draft)[1], True)

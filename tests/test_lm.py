@@ -169,6 +169,35 @@ def test_a_run_is_read_again_without_a_row_for_each_token(spark):
     assert set(got) == set(want) == set(range(1, 53))
     assert all(got[c] == pytest.approx(want[c], rel=1e-12) for c in want)
     assert "Generate inline" not in plan_of(replayed)
+    pairs_of = R.run_pairs(R.counted_run(rows, 50)).collect()
+    key = lambda r: (r["interval"], r["prev"] is None, r["prev"], r["next"], r["n"])
+    assert sorted(map(key, pairs_of), key=str) == sorted(map(key, fresh.collect()), key=str)
+
+
+def test_a_run_saved_where_it_is_evaluated_is_counted_once(spark, tmp_path, monkeypatch):
+    rows = spark.range(640).select(
+        F.col("id").alias("rec"), F.lit(4).alias("length"),
+        F.array(F.lit(1), *[(F.col("id") * k % 11 + 3).cast("int") for k in (3, 7)], F.lit(2)).alias("input_ids"),
+    )
+    config = flows.RunConfig(by_length=False, n_epochs=1, save_steps=1, eval_steps=1)
+    placed, count = flows.placed_states(rows, "rec", config)
+    assert count == 40 >= R.MANY_INTERVALS
+    counted = flows.run_counts(placed, count)
+    assert "Generate inline" not in plan_of(counted)
+    want = sorted(map(tuple, L.checkpoint_counts(placed).select("prev", "next", "interval", "n").collect()))
+    assert sorted(map(tuple, counted.select("prev", "next", "interval", "n").collect())) == want
+    passes = []
+    monkeypatch.setattr(flows, "counted_run", lambda *a: passes.append(a) or R.counted_run(*a))
+    found, model = flows.evaluate_run(rows, rows.where("rec < 90"), "rec", config, str(tmp_path / "log, 1"))
+    assert len(passes) == 1 and found.count() == 40
+    losses = L.checkpoint_losses(L.checkpoint_counts(placed), count, rows.where("rec < 90"))
+    best = L.best_checkpoint(losses).first()["checkpoint"]
+    got = {(r["prev"], r["next"]): r["n"] for r in model.collect()}
+    state = Counter()
+    for prev, following, interval, n in want:
+        if interval < best:
+            state[prev, following] += n
+    assert got == dict(state)
 
 
 def test_rows_seen_are_the_rows_of_the_plan(spark):
