@@ -293,3 +293,23 @@ def test_ngrams_are_counted_by_plain_columns(train, order):
     # Grouping by arrays took most of the time.
     assert "keys=[context" not in plan_of(L.fit_ngrams(train, order)).replace("length#", "")
     assert order == 1 or "_back1" in plan_of(L.fit_ngrams(train, order))
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 22])
+def test_ngrams_are_counted_where_the_rows_lie(spark, monkeypatch, most):
+    """Parts of any size, ids that do not fit into one number together, and null ids."""
+    monkeypatch.setattr(L, "NGRAM_TOKENS", most)
+    some = [0, 5, 70_000, -3, 2_000_000_000, None]
+    ids = [[some[(i * 7 + j * j + i // 5) % 6] for j in range(i % 7)] for i in range(60)]
+    rows = spark.createDataFrame([(x,) for x in [*ids, None]], "input_ids array<int>").coalesce(2)
+    model = L.fit_ngrams(rows, 4)
+    got = {(r["length"], tuple(r["context"]), r["next"]): r["n"] for r in model.collect()}
+    want = Counter()
+    for row in ids:
+        for i in range(1, len(row)):
+            for length in range(min(i, 3) + 1):
+                if row[i] not in (0, None):
+                    want[length, tuple(row[i - length : i]), row[i]] += 1
+    assert got == dict(want)
+    # All lengths come from one pass, and no row is made of a token.
+    assert "Generate" not in plan_of(model) and plan_of(model).count("MapInArrow") == 1
