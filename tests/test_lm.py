@@ -303,6 +303,7 @@ def test_ngrams_are_counted_where_the_rows_lie(spark, monkeypatch, most):
     ids = [[some[(i * 7 + j * j + i // 5) % 6] for j in range(i % 7)] for i in range(60)]
     rows = spark.createDataFrame([(x,) for x in [*ids, None]], "input_ids array<int>").coalesce(2)
     model = L.fit_ngrams(rows, 4)
+    plan = plan_of(model)
     got = {(r["length"], tuple(r["context"]), r["next"]): r["n"] for r in model.collect()}
     want = Counter()
     for row in ids:
@@ -312,4 +313,15 @@ def test_ngrams_are_counted_where_the_rows_lie(spark, monkeypatch, most):
                     want[length, tuple(row[i - length : i]), row[i]] += 1
     assert got == dict(want)
     # All lengths come from one pass, and no row is made of a token.
-    assert "Generate" not in plan_of(model) and plan_of(model).count("MapInArrow") == 1
+    assert "Generate" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_a_log_of_many_intervals_makes_no_row_of_a_token(spark):
+    some = [0, 5, 70_000, -3, 2_000_000_000, None]
+    ids = [[some[(i * 7 + j * j + i // 5) % 6] for j in range(i % 6)] for i in range(300)]
+    rows = spark.createDataFrame([(i // 6, x) for i, x in enumerate(ids)], "interval int, input_ids array<int>")
+    want = {r["interval"]: tuple(r) for r in L.run_log(L.checkpoint_counts(rows)).collect()}
+    replayed = R.replayed_log(rows, 50)
+    assert "Generate inline" not in plan_of(replayed)
+    got = {r["interval"]: tuple(r) for r in replayed.collect()}
+    assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], rel=1e-12) for i in want)
