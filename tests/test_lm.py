@@ -325,3 +325,17 @@ def test_a_log_of_many_intervals_makes_no_row_of_a_token(spark):
     assert "Generate inline" not in plan_of(replayed)
     got = {r["interval"]: tuple(r) for r in replayed.collect()}
     assert set(got) == set(want) and all(got[i] == pytest.approx(want[i], rel=1e-12) for i in want)
+
+
+def test_metrics_of_many_checkpoints_make_no_row_of_a_token(spark):
+    rows = spark.range(640).select(
+        F.col("id").alias("rec"), F.lit(4).alias("length"),
+        F.array(F.lit(1), *[(F.col("id") * k % 11 + 3).cast("int") for k in (3, 7)], F.lit(2)).alias("input_ids"),
+    )
+    placed, count = flows.placed_states(rows, "rec", flows.RunConfig(by_length=False, n_epochs=1, eval_steps=1))
+    found = L.metrics(placed, flows.run_losses(placed, count, rows.where("rec < 90")))
+    assert "Generate inline" not in plan_of(found)
+    slow = L.metrics(placed, L.checkpoint_losses(L.checkpoint_counts(placed), count, rows.where("rec < 90")))
+    got, want = (sorted(map(tuple, df.collect())) for df in (found, slow))
+    assert len(got) == len(want) == 40
+    assert all(a == pytest.approx(b, rel=1e-12) for a, b in zip(got, want))
